@@ -126,5 +126,125 @@ SELECT endpoint, entry_date, resource, status, exception FROM (
 }
 
 
+def _order(cols, exclude=()) -> str:
+    return ", ".join(f"{c} DESC NULLS LAST" for c in cols if c not in exclude)
+
+
+_R4_TIES = ["latest_log_entry_date", "resource", "latest_status", "latest_exception", "licence",
+            "endpoint_url", "documentation_url", "collection", "pipeline", "dataset", "name",
+            "organisation_name", "endpoint_entry_date", "endpoint_end_date", "resource_start_date",
+            "resource_end_date"]
+
+_RD_KEYS = ("organisation", "collection", "pipeline", "endpoint")
+
+# Shared CTE items (each entry is "name AS (...)").
+_CTE = {
+    "rhe": f"rhe AS ({_R4})",
+    "rd": f"""rd AS (
+  SELECT replace(organisation, '-eng', '') AS organisation, collection, pipeline, endpoint, endpoint_url, licence,
+         resource, latest_status, latest_exception, endpoint_entry_date, endpoint_end_date, resource_start_date,
+         resource_end_date, latest_log_entry_date
+  FROM (SELECT *, row_number() OVER (PARTITION BY organisation, collection, pipeline, endpoint
+                                     ORDER BY {_order(_R4_TIES, _RD_KEYS)}) AS k FROM rhe) WHERE k = 1)""",
+    "pd": """pd AS (
+  SELECT p.organisation, o.name AS organisation_name, p.cohort, p.dataset, p.provision_reason,
+         p.end_date AS provision_end_date
+  FROM fx_provision p JOIN fx_organisation o ON o.organisation = p.organisation)""",
+    "pr": """pr AS (
+  SELECT pd.*, rd.collection, rd.pipeline, rd.endpoint, rd.endpoint_url, rd.licence, rd.resource,
+         rd.latest_status, rd.latest_exception, rd.endpoint_entry_date, rd.endpoint_end_date,
+         rd.resource_start_date, rd.resource_end_date, rd.latest_log_entry_date
+  FROM pd LEFT JOIN rd ON pd.organisation IS NOT DISTINCT FROM rd.organisation
+                      AND pd.dataset IS NOT DISTINCT FROM rd.pipeline)""",
+    "ic": """ic AS (
+  SELECT count(*) AS count_issues, strftime(TIMESTAMP '2003-01-01 00:00:00', '%d-%m-%Y') AS date,
+         i.issue_type, max(it.severity) AS severity, max(it.responsibility) AS responsibility,
+         i.dataset, i.resource, i.field
+  FROM fx_issue i JOIN fx_resource r ON i.resource = r.resource
+  JOIN fx_issue_type it ON i.issue_type = it.issue_type
+  WHERE r.end_date = ''
+  GROUP BY i.dataset, i.resource, i.issue_type, i.field)""",
+    "cfs": """cft AS (
+  SELECT cf.resource, cf.dataset,
+         CASE WHEN upper(cf.field) = upper(replace(replace(cf.column_name, ' ', '-'), '_', '-'))
+                   OR cf.field IN ('geometry', 'point') THEN cf.field END AS m,
+         CASE WHEN upper(cf.field) <> upper(replace(replace(cf.column_name, ' ', '-'), '_', '-'))
+                   AND cf.field NOT IN ('geometry', 'point') THEN cf.field END AS n
+  FROM fx_column_field cf JOIN fx_resource r ON cf.resource = r.resource
+  WHERE r.end_date = ''),
+cfs AS (
+  SELECT resource, dataset, replace(string_agg(DISTINCT m, ',' ORDER BY m), ',', ';') AS mapping_field,
+         replace(string_agg(DISTINCT n, ',' ORDER BY n), ',', ';') AS non_mapping_field
+  FROM cft GROUP BY resource, dataset)""",
+}
+_CTE_DEPS = {"rd": ["rhe"], "pr": ["pd", "rd"]}
+
+
+def _with(names, body: str) -> str:
+    order = ["rhe", "rd", "pd", "pr", "ic", "cfs"]
+    need: set[str] = set()
+
+    def add(n):
+        if n not in need:
+            need.add(n)
+            for d in _CTE_DEPS.get(n, []):
+                add(d)
+    for n in names:
+        add(n)
+    return "WITH " + ",\n".join(_CTE[n] for n in order if n in need) + "\n" + body
+
+
+_RS_COLS = ("organisation, organisation_name, cohort, dataset, collection, pipeline, endpoint, endpoint_url, "
+            "resource, resource_start_date, resource_end_date, latest_log_entry_date")
+_KEPT = "WHERE (resource IS NULL OR resource <> '') AND endpoint IS NOT NULL"
+_ACTIVE = "coalesce(endpoint_end_date, '') = ''"
+
+
+def _class_sum(sev: str, resp: str) -> str:
+    return (f"CAST(coalesce(sum(CASE WHEN severity = '{sev}' AND responsibility = '{resp}' AND {_ACTIVE} "
+            f"THEN count_issues END), 0) AS BIGINT) AS count_issue_{sev}_{resp}")
+
+
+_SQL.update({
+    "provision_data": _with(["pd"], "SELECT * FROM pd"),
+    "issue_counts": _with(["ic"], "SELECT * FROM ic"),
+    "column_field_summary": _with(["cfs"], "SELECT * FROM cfs"),
+    "endpoint_summary": _with(["rhe"], f"""
+SELECT organisation, dataset, endpoint, endpoint_url, documentation_url, resource, latest_status, latest_exception,
+       latest_log_entry_date, endpoint_entry_date AS entry_date, endpoint_end_date AS end_date,
+       resource_start_date AS latest_resource_start_date, resource_end_date
+FROM (SELECT *, row_number() OVER (PARTITION BY organisation, dataset, endpoint
+                                   ORDER BY {_order(_R4_TIES, ("dataset",))}) AS k
+      FROM rhe WHERE (endpoint_end_date = '' OR endpoint_end_date IS NULL)
+                 AND (resource_end_date = '' OR resource_end_date IS NULL))
+WHERE k = 1"""),
+    "reporting_data": _with(["rd"], "SELECT * FROM rd"),
+    "provision_reporting": _with(["pr"], "SELECT * FROM pr"),
+    "resource_summary": _with(["pr", "cfs"], f"""
+SELECT {_RS_COLS}, mapping_field, non_mapping_field FROM (
+  SELECT pr.*, cfs.mapping_field, cfs.non_mapping_field FROM pr
+  LEFT JOIN cfs ON pr.resource IS NOT DISTINCT FROM cfs.resource AND pr.dataset IS NOT DISTINCT FROM cfs.dataset)
+{_KEPT}"""),
+    "issue_type_summary": _with(["pr", "ic"], f"""
+SELECT {_RS_COLS}, count_issues, date, issue_type, severity, responsibility, field FROM (
+  SELECT pr.*, ic.count_issues, ic.date, ic.issue_type, ic.severity, ic.responsibility, ic.field FROM pr
+  LEFT JOIN ic ON pr.resource IS NOT DISTINCT FROM ic.resource AND pr.dataset IS NOT DISTINCT FROM ic.dataset)
+{_KEPT}"""),
+    "provision_summary": _with(["pr", "ic"], f"""
+SELECT organisation, organisation_name, dataset, provision_reason, provision_end_date,
+       count(DISTINCT CASE WHEN {_ACTIVE} THEN endpoint END) AS active_endpoint_count,
+       count(DISTINCT CASE WHEN {_ACTIVE} AND latest_status IS DISTINCT FROM '200' THEN endpoint END)
+           AS error_endpoint_count,
+       {_class_sum('error', 'internal')}, {_class_sum('error', 'external')},
+       {_class_sum('warning', 'internal')}, {_class_sum('warning', 'external')},
+       {_class_sum('notice', 'internal')}, {_class_sum('notice', 'external')}
+FROM (SELECT pr.*, ic.count_issues, ic.severity, ic.responsibility FROM pr
+      LEFT JOIN ic ON pr.resource IS NOT DISTINCT FROM ic.resource AND pr.dataset IS NOT DISTINCT FROM ic.dataset)
+WHERE organisation IS NOT NULL AND organisation_name IS NOT NULL AND dataset IS NOT NULL
+  AND provision_reason IS NOT NULL AND provision_end_date IS NOT NULL
+GROUP BY organisation, organisation_name, dataset, provision_reason, provision_end_date"""),
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: fx_with(v) for k, v in _SQL.items()}

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from regscope.fixtures import Fixtures
+from regscope.plans import performance as perf
 from regscope.plans import registry as reg
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +51,58 @@ def latest_by_key(spark, sf_dir):
     return reg.latest_log_by_endpoint(_fx(spark, sf_dir).log)
 
 
+def _perf_parts(spark, sf_dir):
+    t = _fx(spark, sf_dir).registry_tables()
+    historic = reg.historic_endpoints(t, "reporting")
+    provisions = perf.provision_data(t["provision"], t["organisation"])
+    prov_rep = perf.provision_reporting(provisions, perf.reporting_data(historic))
+    return t, historic, prov_rep
+
+
+def provision_data(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return perf.provision_data(fx.provision, fx.organisation)
+
+
+def issue_counts(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return perf.issue_counts(fx.issue, fx.resource, fx.issue_type)
+
+
+def column_field_summary(spark, sf_dir):
+    t = _fx(spark, sf_dir).registry_tables()
+    return perf.column_field_summary(t["column_field"], t["resource"])
+
+
+def endpoint_summary(spark, sf_dir):
+    t = _fx(spark, sf_dir).registry_tables()
+    return perf.endpoint_summary(reg.historic_endpoints(t, "reporting"))
+
+
+def reporting_data(spark, sf_dir):
+    t = _fx(spark, sf_dir).registry_tables()
+    return perf.reporting_data(reg.historic_endpoints(t, "reporting"))
+
+
+def provision_reporting(spark, sf_dir):
+    return _perf_parts(spark, sf_dir)[2]
+
+
+def resource_summary(spark, sf_dir):
+    t, _, prov_rep = _perf_parts(spark, sf_dir)
+    return perf.resource_summary(prov_rep, perf.column_field_summary(t["column_field"], t["resource"]))
+
+
+def issue_type_summary(spark, sf_dir):
+    t, _, prov_rep = _perf_parts(spark, sf_dir)
+    return perf.issue_type_summary(prov_rep, perf.issue_counts(t["issue"], t["resource"], t["issue_type"]))
+
+
+def provision_summary(spark, sf_dir):
+    t, _, prov_rep = _perf_parts(spark, sf_dir)
+    return perf.provision_summary(prov_rep, perf.issue_counts(t["issue"], t["resource"], t["issue_type"]))
+
+
 QUERIES: dict[str, Query] = {
     "most_recent_log": most_recent_log,
     "historic_endpoints_registry": historic_endpoints_registry,
@@ -59,4 +112,13 @@ QUERIES: dict[str, Query] = {
     "log_star": log_star,
     "days_since_200": days_since_200,
     "latest_by_key": latest_by_key,
+    "provision_data": provision_data,
+    "issue_counts": issue_counts,
+    "column_field_summary": column_field_summary,
+    "endpoint_summary": endpoint_summary,
+    "reporting_data": reporting_data,
+    "provision_reporting": provision_reporting,
+    "resource_summary": resource_summary,
+    "issue_type_summary": issue_type_summary,
+    "provision_summary": provision_summary,
 }
