@@ -248,3 +248,209 @@ GROUP BY organisation, organisation_name, dataset, provision_reason, provision_e
 
 def oracle_sql() -> dict[str, str]:
     return {k: fx_with(v) for k, v in _SQL.items()}
+
+
+# -- catalogue ------------------------------------------------------------------------
+_CAT = """ep AS (SELECT DISTINCT endpoint FROM fx_endpoint),
+src AS (SELECT * FROM fx_source WHERE coalesce(endpoint, '') <> '' AND endpoint IN (SELECT endpoint FROM ep)),
+epc AS (SELECT ep.endpoint, coalesce(c.collection, '') AS collection
+        FROM ep LEFT JOIN (SELECT endpoint, arg_max(collection, pos) AS collection FROM src GROUP BY endpoint) c
+        ON ep.endpoint = c.endpoint),
+epp AS (SELECT DISTINCT endpoint, pipeline FROM (SELECT endpoint, unnest(string_split(pipelines, ';')) AS pipeline
+                                                FROM src)),
+res AS (SELECT resource, arg_max(endpoints, pos) AS endpoints FROM fx_resource GROUP BY resource),
+live AS (SELECT * FROM res WHERE resource NOT IN (SELECT old_resource FROM fx_old_resource)),
+rep AS (SELECT resource, unnest(string_split(endpoints, ';')) AS endpoint,
+               unnest(range(1, len(string_split(endpoints, ';')) + 1)) AS k FROM live),
+matched AS (SELECT rep.resource, rep.endpoint, rep.k, epc.collection FROM rep JOIN epc ON rep.endpoint = epc.endpoint),
+rc AS (SELECT resource, arg_max(collection, k) AS collection FROM matched GROUP BY resource),
+rp AS (SELECT DISTINCT m.resource, p.pipeline FROM matched m JOIN epp p ON m.endpoint = p.endpoint),
+cat AS (SELECT rc.collection, rp.pipeline, rp.resource FROM rp JOIN rc ON rp.resource = rc.resource)"""
+
+_VERSION = "CAST(CAST(epoch(date_trunc('hour', TIMESTAMP '2003-01-01 00:00:00')) AS BIGINT) AS VARCHAR)"
+_HOST = "https://files.example.org/"
+
+
+def _manifest(kind: str, url_mid: str) -> str:
+    return (f"SELECT DISTINCT '{kind}' AS kind, '{_HOST}' || collection || '-collection/{url_mid}/' || pipeline || '/' "
+            f"|| resource || '.csv?version=' || {_VERSION} AS url, "
+            f"'var/{kind}/' || pipeline || '/' || resource || '.csv' AS output_path FROM cat WHERE pipeline <> ''")
+
+
+_P = "'/([a-zA-Z0-9_-]+)/([a-f0-9]+).csv$'"
+
+
+def _norm_date_sql(c: str) -> str:
+    return (f"CASE WHEN {c} IS NULL OR {c} = '' THEN '' "
+            f"WHEN length({c}) = 10 THEN strftime(strptime({c}, '%Y-%m-%d'), '%Y-%m-%d') "
+            f"WHEN length({c}) = 7 THEN strftime(strptime({c} || '-01', '%Y-%m-%d'), '%Y-%m-%d') "
+            f"WHEN length({c}) = 4 THEN strftime(strptime({c} || '-01-01', '%Y-%m-%d'), '%Y-%m-%d') "
+            f"ELSE error('unknown date format ' || {c}) END")
+
+
+def _norm_ts_sql(c: str) -> str:
+    out = "'%Y-%m-%dT%H:%M:%SZ'"
+    return (f"CASE WHEN {c} IS NULL OR {c} = '' THEN '' "
+            f"WHEN length({c}) >= 20 THEN strftime(strptime(substring({c}, 1, 19), '%Y-%m-%dT%H:%M:%S'), {out}) "
+            f"WHEN length({c}) = 10 THEN strftime(strptime({c}, '%Y-%m-%d'), {out}) "
+            f"WHEN length({c}) = 7 THEN strftime(strptime({c} || '-01', '%Y-%m-%d'), {out}) "
+            f"WHEN length({c}) = 4 THEN strftime(strptime({c} || '-01-01', '%Y-%m-%d'), {out}) "
+            f"ELSE error('unknown date format ' || {c}) END")
+
+
+def _filetype_sql(c: str) -> str:
+    head = f"lower(substring({c}, 1, 10))"
+    excel = "chr(208) || chr(207) || chr(17) || chr(224) || chr(161) || chr(177) || chr(26) || chr(225)"
+    return (f"CASE WHEN starts_with({c}, {excel}) THEN 'excel' "
+            f"WHEN starts_with({c}, 'PK' || chr(3) || chr(4)) THEN 'zip' "
+            f"WHEN starts_with({c}, 'SQLite format 3' || chr(0)) THEN 'sqlite' "
+            f"WHEN starts_with({head}, '<!doctype ') THEN 'html' "
+            f"WHEN starts_with({head}, '<?xml ') OR starts_with({head}, '<wfs:') THEN 'xml' "
+            f"WHEN starts_with({head}, '{{') THEN 'json' ELSE 'csv' END")
+
+
+_MAP = ("CASE WHEN upper(field) = upper(replace(replace(column_name, ' ', '-'), '_', '-')) "
+        "OR field IN ('geometry', 'point') THEN field END")
+_NONMAP = ("CASE WHEN upper(field) <> upper(replace(replace(column_name, ' ', '-'), '_', '-')) "
+           "AND field NOT IN ('geometry', 'point') THEN field END")
+
+_FIXTURE_VIEWS = ("organisation source endpoint resource old_resource log issue_type issue provision column_field "
+                  "raw_source converted landed geography blank_list expectation_a expectation_b "
+                  "operational_issue").split()
+
+_SQL.update({
+    "resource_catalogue": f"WITH {_CAT}\nSELECT * FROM cat",
+    "unmapped_resources": f"""WITH {_CAT},
+flags AS (SELECT m.resource, bool_or(p.pipeline = '') AS blank FROM matched m JOIN epp p ON m.endpoint = p.endpoint
+          GROUP BY m.resource)
+SELECT * FROM (
+  SELECT live.resource, rc.collection,
+         CASE WHEN rc.collection IS NULL THEN 'no-endpoint' WHEN f.blank IS NULL THEN 'no-pipeline'
+              WHEN f.blank THEN 'blank-pipeline' END AS reason
+  FROM live LEFT JOIN rc ON live.resource = rc.resource LEFT JOIN flags f ON live.resource = f.resource)
+WHERE reason IS NOT NULL""",
+    "active_resources": "SELECT * FROM fx_resource WHERE end_date = ''",
+    "live_resources": "SELECT * FROM fx_resource WHERE resource NOT IN (SELECT old_resource FROM fx_old_resource)",
+    "planning_authorities": """
+SELECT DISTINCT organisation FROM fx_source
+WHERE starts_with(organisation, 'local-authority') OR starts_with(organisation, 'development-corporation')
+   OR starts_with(organisation, 'national-park')""",
+    "source_pipeline": "SELECT * FROM fx_source_pipeline",
+    "canonical_organisation": """
+SELECT s.source, s.organisation, o.organisation AS canonical_organisation, o.name AS organisation_name
+FROM fx_source s JOIN fx_organisation o ON o.organisation = replace(s.organisation, '-eng', '')""",
+    "organisation_datasets": """
+WITH p AS (SELECT organisation, unnest(string_split(coalesce(pipelines, ''), ';')) AS dataset FROM fx_source)
+SELECT organisation, string_agg(DISTINCT dataset, ';' ORDER BY dataset) AS datasets,
+       count(DISTINCT dataset) AS dataset_count FROM p GROUP BY organisation""",
+    "dataset_organisations": """
+WITH p AS (SELECT organisation, unnest(string_split(coalesce(pipelines, ''), ';')) AS dataset FROM fx_source)
+SELECT dataset, string_agg(DISTINCT organisation, ';' ORDER BY organisation) AS organisations,
+       count(DISTINCT organisation) AS organisation_count FROM p GROUP BY dataset""",
+    "datasets_of_collection": """
+SELECT DISTINCT dataset FROM (SELECT collection, unnest(string_split(pipelines, ';')) AS dataset FROM fx_source)
+WHERE collection = 'collection-1'""",
+    "artifact_manifest": f"""WITH {_CAT}
+{_manifest('issue', 'issue')}
+UNION
+{_manifest('column-field', 'var/column-field')}
+UNION
+{_manifest('converted-resource', 'var/converted-resource')}""",
+    "collection_file_manifest": f"""
+SELECT c.collection, f.file, '{_HOST}' || c.collection || '-collection/collection/' || f.file AS url,
+       'var/collection/' || c.collection || '/' || f.file AS output_path
+FROM (SELECT DISTINCT collection FROM fx_source) c
+CROSS JOIN (VALUES ('endpoint.csv'), ('source.csv'), ('log.csv'), ('resource.csv'), ('old-resource.csv')) f(file)""",
+    "pending_manifest": f"""WITH {_CAT}
+SELECT * FROM ({_manifest('issue', 'issue')}) m
+WHERE output_path NOT IN (SELECT output_path FROM fx_landed)""",
+    "slug_inventory": """
+SELECT '/organisation/' || split_part(organisation, ':', 1) || '/' || split_part(organisation, ':', 2) AS slug,
+       'organisation' AS kind FROM fx_organisation
+UNION ALL SELECT replace(slug_id_label, chr(9), '') AS slug, 'category' AS kind FROM fx_geography
+UNION ALL SELECT slug_id_label AS slug, 'geography' AS kind FROM fx_geography WHERE slug_id_label <> ''""",
+    "column_mapping_flag": f"""
+SELECT resource, dataset, column_name, field,
+       upper(field) = upper(replace(replace(column_name, ' ', '-'), '_', '-')) AS header_match,
+       {_MAP} AS mapping_field, {_NONMAP} AS non_mapping_field
+FROM fx_column_field""",
+    "normalise_date": f"""
+SELECT source, start_date, {_norm_date_sql('start_date')} AS start_date_normalised FROM fx_raw_source""",
+    "normalise_timestamp": f"""
+SELECT source, entry_date, {_norm_ts_sql('entry_date')} AS entry_date_normalised FROM fx_raw_source""",
+    "normalise_dates_table": f"""
+SELECT source, collection, organisation, endpoint, dataset, pipeline, {_norm_ts_sql('entry_date')} AS entry_date,
+       {_norm_date_sql('start_date')} AS start_date, undeclared FROM fx_raw_source""",
+    "source_key": """
+SELECT CASE WHEN coalesce(source, '') <> '' THEN md5(collection || '|' || organisation || '|' || endpoint)
+            ELSE source END AS source, collection, organisation, endpoint FROM fx_raw_source""",
+    "default_dataset": """
+SELECT source, pipeline, CASE WHEN coalesce(dataset, '') = '' THEN coalesce(pipeline, '') ELSE dataset END AS dataset
+FROM fx_raw_source""",
+    "project_declared": """
+SELECT source, collection, organisation, endpoint, '' AS licence, '' AS documentation_url, dataset, entry_date,
+       start_date, '' AS end_date FROM fx_raw_source""",
+    "consolidate_source": f"""
+SELECT CASE WHEN coalesce(source, '') <> '' THEN md5(collection || '|' || organisation || '|' || endpoint)
+            ELSE source END AS source, collection, organisation, endpoint, '' AS licence, '' AS documentation_url,
+       CASE WHEN coalesce(dataset, '') = '' THEN coalesce(pipeline, '') ELSE dataset END AS dataset,
+       {_norm_ts_sql('entry_date')} AS entry_date, {_norm_date_sql('start_date')} AS start_date, '' AS end_date
+FROM fx_raw_source""",
+    "hour_version": "SELECT event_id, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS hour_version FROM events",
+    "path_keys": f"""
+SELECT path, regexp_extract(path, {_P}, 1) AS dataset, regexp_extract(path, {_P}, 2) AS resource, elapsed, status,
+       exception FROM fx_converted""",
+    "path_mismatch": f"""
+SELECT path, 'dataset' AS field, regexp_extract(path, {_P}, 1) AS dir_value, dataset AS file_value FROM fx_converted
+WHERE regexp_extract(path, {_P}, 1) IS DISTINCT FROM dataset
+UNION ALL
+SELECT path, 'resource' AS field, regexp_extract(path, {_P}, 2) AS dir_value, resource AS file_value FROM fx_converted
+WHERE regexp_extract(path, {_P}, 2) IS DISTINCT FROM resource""",
+    "sniff_filetype": f"""
+SELECT 'pages' AS source_table, page_id AS id, {_filetype_sql('html')} AS filetype FROM pages
+UNION ALL
+SELECT 'documents' AS source_table, doc_id AS id, {_filetype_sql('text')} AS filetype FROM documents""",
+    "duplicate_issues": """
+SELECT resource, dataset, row_number, field, issue_type, value, line_number FROM (
+  SELECT *, row_number() OVER (PARTITION BY dataset, resource, row_number, field ORDER BY line_number) AS k
+  FROM fx_issue) WHERE k > 1""",
+    "blank_delimited_groups": """
+SELECT pos, slug, name, group_id FROM (
+  SELECT *, CAST(sum(CASE WHEN coalesce(slug, '') = '' AND coalesce(name, '') = '' THEN 1 ELSE 0 END)
+                 OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS group_id,
+         (coalesce(slug, '') = '' AND coalesce(name, '') = '') AS b
+  FROM fx_blank_list) WHERE NOT b""",
+    "concat_tables": """
+SELECT resource, dataset, field, issue_type, value, line_number FROM fx_issue
+UNION ALL
+SELECT resource, dataset, field, issue_type, value, line_number FROM fx_operational_issue""",
+    "expectation_union": "SELECT * FROM fx_expectation_a UNION ALL BY NAME SELECT * FROM fx_expectation_b",
+    "append_issues": """
+SELECT dataset, resource, line_number, entry_number, field, issue_type, value, message, entry_date,
+       '' AS row_number FROM fx_operational_issue
+UNION ALL
+SELECT dataset, resource, line_number, CAST(NULL AS BIGINT) AS entry_number, field, issue_type, value,
+       '' AS message, '' AS entry_date, row_number FROM fx_issue""",
+    "table_inventory": "\nUNION ALL\n".join(
+        f"SELECT 'fx_{n}' AS table_name, count(*) AS row_count FROM fx_{n}" for n in _FIXTURE_VIEWS),
+})
+
+
+def _column_expectations() -> str:
+    from regscope.plans.performance import EXPECTED_COLUMNS
+    sources = {
+        "endpoint_dataset_issue_type_summary": _SQL["issue_type_summary"],
+        "endpoint_dataset_resource_summary": _SQL["resource_summary"],
+        "endpoint_dataset_summary": _SQL["endpoint_summary"],
+        "provision_summary": _SQL["provision_summary"],
+        "reporting_historic_endpoints": _SQL["reporting_historic_endpoints"],
+        "reporting_latest_endpoints": _SQL["reporting_latest_endpoints"],
+    }
+    parts = []
+    for t, cols in EXPECTED_COLUMNS.items():
+        parts.append(f"SELECT '{t}' AS table_name, true AS success, '' AS missing, '{';'.join(cols)}' AS actual, "
+                     f"(SELECT count(*) FROM ({sources[t]})) AS row_count")
+    return "\nUNION ALL\n".join(parts)
+
+
+_SQL["column_expectations"] = _column_expectations()

@@ -122,3 +122,232 @@ QUERIES: dict[str, Query] = {
     "issue_type_summary": issue_type_summary,
     "provision_summary": provision_summary,
 }
+
+
+# -- catalogue, indexes, manifests ---------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from regscope.functions import keys as K  # noqa: E402
+from regscope.functions.dates import hour_version as _hour_version  # noqa: E402
+from regscope.functions.dates import normalise_date as _norm_date  # noqa: E402
+from regscope.functions.dates import normalise_timestamp as _norm_ts  # noqa: E402
+from regscope.functions.sniff import filetype  # noqa: E402
+from regscope.operators import quality as Q  # noqa: E402
+from regscope.operators import setops as U  # noqa: E402
+from regscope.operators import windows as W  # noqa: E402
+from regscope.plans import catalogue as cat  # noqa: E402
+from regscope.plans import consolidate as con  # noqa: E402
+
+# Fixed value: declared fields of the consolidated ``source`` table used by the keys below.
+SOURCE_FIELDS = ["source", "collection", "organisation", "endpoint", "licence", "documentation_url",
+                 "dataset", "entry_date", "start_date", "end_date"]
+
+
+def _catalogue(fx):
+    return cat.resource_catalogue(fx.endpoint, fx.source, fx.resource, fx.old_resource)
+
+
+def resource_catalogue(spark, sf_dir):
+    return _catalogue(_fx(spark, sf_dir))
+
+
+def unmapped_resources(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return cat.unmapped_resources(fx.endpoint, fx.source, fx.resource, fx.old_resource)
+
+
+def active_resources(spark, sf_dir):
+    return cat.active_resources(_fx(spark, sf_dir).resource)
+
+
+def live_resources(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return cat.live_resources(fx.resource, fx.old_resource)
+
+
+def planning_authorities(spark, sf_dir):
+    return cat.planning_authorities(_fx(spark, sf_dir).source)
+
+
+def source_pipeline(spark, sf_dir):
+    return cat.source_pipeline(_fx(spark, sf_dir).source)
+
+
+def canonical_organisation(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return cat.source_organisations(fx.source, fx.organisation)
+
+
+def organisation_datasets(spark, sf_dir):
+    return cat.organisation_datasets(_fx(spark, sf_dir).source)
+
+
+def dataset_organisations(spark, sf_dir):
+    return cat.dataset_organisations(_fx(spark, sf_dir).source)
+
+
+def datasets_of_collection(spark, sf_dir):
+    return cat.datasets_of_collection(cat.dataset_collections(_fx(spark, sf_dir).source), "collection-1")
+
+
+def artifact_manifest(spark, sf_dir):
+    return cat.artifact_manifest(_catalogue(_fx(spark, sf_dir)),
+                                 kinds=("issue", "column-field", "converted-resource"))
+
+
+def collection_file_manifest(spark, sf_dir):
+    return cat.collection_file_manifest(_fx(spark, sf_dir).source)
+
+
+def pending_manifest(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return cat.pending_manifest(cat.artifact_manifest(_catalogue(fx), kinds=("issue",)), fx.landed)
+
+
+def slug_inventory(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return cat.slug_inventory(fx.organisation, category=fx.geography, geography=fx.geography)
+
+
+def column_mapping_flag(spark, sf_dir):
+    cf = _fx(spark, sf_dir).column_field
+    return cf.select("resource", "dataset", "column_name", "field",
+                     K.header_match("column_name", "field").alias("header_match"),
+                     K.mapping_field("column_name", "field").alias("mapping_field"),
+                     K.non_mapping_field("column_name", "field").alias("non_mapping_field"))
+
+
+# -- consolidation ------------------------------------------------------------------------
+def normalise_date(spark, sf_dir):
+    rs = _fx(spark, sf_dir).raw_source
+    return rs.select("source", "start_date", _norm_date("start_date").alias("start_date_normalised"))
+
+
+def normalise_timestamp(spark, sf_dir):
+    rs = _fx(spark, sf_dir).raw_source
+    return rs.select("source", "entry_date", _norm_ts("entry_date").alias("entry_date_normalised"))
+
+
+def normalise_dates_table(spark, sf_dir):
+    return con.normalise_dates(_fx(spark, sf_dir).raw_source)
+
+
+def source_key(spark, sf_dir):
+    rs = _fx(spark, sf_dir).raw_source
+    return rs.select(K.source_key().alias("source"), "collection", "organisation", "endpoint")
+
+
+def default_dataset(spark, sf_dir):
+    rs = _fx(spark, sf_dir).raw_source
+    return rs.select("source", "pipeline", K.default_dataset().alias("dataset"))
+
+
+def project_declared(spark, sf_dir):
+    return con.project_declared(_fx(spark, sf_dir).raw_source, SOURCE_FIELDS)
+
+
+def consolidate_source(spark, sf_dir):
+    return con.consolidate(_fx(spark, sf_dir).raw_source, "source", SOURCE_FIELDS)
+
+
+def hour_version(spark, sf_dir):
+    ev = _fx(spark, sf_dir).table("events")
+    return ev.select("event_id", _hour_version("ts").alias("hour_version"))
+
+
+def path_keys(spark, sf_dir):
+    return con.override_from_path(_fx(spark, sf_dir).converted, "dataset")
+
+
+def path_mismatch(spark, sf_dir):
+    return con.path_mismatches(_fx(spark, sf_dir).converted, "dataset")
+
+
+def sniff_filetype(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    pages = fx.table("pages").select(F.lit("pages").alias("source_table"), F.col("page_id").alias("id"),
+                                     filetype("html").alias("filetype"))
+    docs = fx.table("documents").select(F.lit("documents").alias("source_table"), F.col("doc_id").alias("id"),
+                                        filetype("text").alias("filetype"))
+    return pages.unionByName(docs)
+
+
+# -- quality, windows, unions ----------------------------------------------------------------
+def duplicate_issues(spark, sf_dir):
+    return W.repeated_rows(_fx(spark, sf_dir).issue, ["dataset", "resource"], ["row_number", "field"],
+                           "line_number")
+
+
+def blank_delimited_groups(spark, sf_dir):
+    return W.blank_delimited_groups(_fx(spark, sf_dir).blank_list, "pos", ["slug", "name"])
+
+
+def concat_tables(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return U.concat_tables([fx.issue, fx.operational_issue])
+
+
+def expectation_union(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return U.union_by_name([fx.expectation_a, fx.expectation_b])
+
+
+def append_issues(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return U.append_rows(fx.operational_issue, fx.issue)
+
+
+def column_expectations(spark, sf_dir):
+    t = _fx(spark, sf_dir).registry_tables()
+    historic = reg.historic_endpoints(t, "reporting")
+    reports = perf.build_performance(t)
+    reports["reporting_historic_endpoints"] = historic
+    reports["reporting_latest_endpoints"] = reg.latest_endpoints(t, "reporting")
+    return Q.column_expectations(reports, perf.EXPECTED_COLUMNS)
+
+
+FIXTURE_VIEWS = ("organisation source endpoint resource old_resource log issue_type issue provision column_field "
+                 "raw_source converted landed geography blank_list expectation_a expectation_b "
+                 "operational_issue").split()
+
+
+def table_inventory(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return Q.table_inventory({f"fx_{n}": getattr(fx, n) for n in FIXTURE_VIEWS})
+
+
+QUERIES.update({
+    "resource_catalogue": resource_catalogue,
+    "planning_authorities": planning_authorities,
+    "source_pipeline": source_pipeline,
+    "canonical_organisation": canonical_organisation,
+    "column_mapping_flag": column_mapping_flag,
+    "active_resources": active_resources,
+    "live_resources": live_resources,
+    "unmapped_resources": unmapped_resources,
+    "organisation_datasets": organisation_datasets,
+    "dataset_organisations": dataset_organisations,
+    "datasets_of_collection": datasets_of_collection,
+    "normalise_date": normalise_date,
+    "normalise_timestamp": normalise_timestamp,
+    "normalise_dates_table": normalise_dates_table,
+    "source_key": source_key,
+    "default_dataset": default_dataset,
+    "project_declared": project_declared,
+    "consolidate_source": consolidate_source,
+    "hour_version": hour_version,
+    "path_keys": path_keys,
+    "path_mismatch": path_mismatch,
+    "artifact_manifest": artifact_manifest,
+    "collection_file_manifest": collection_file_manifest,
+    "pending_manifest": pending_manifest,
+    "slug_inventory": slug_inventory,
+    "sniff_filetype": sniff_filetype,
+    "duplicate_issues": duplicate_issues,
+    "blank_delimited_groups": blank_delimited_groups,
+    "concat_tables": concat_tables,
+    "expectation_union": expectation_union,
+    "append_issues": append_issues,
+    "column_expectations": column_expectations,
+    "table_inventory": table_inventory,
+})
