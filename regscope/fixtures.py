@@ -14,6 +14,7 @@ on the Spark side (a projection, no join).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,9 +43,23 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Fixtures":
+        """Shared instance per (session, folder): the table scans and view plans
+        are built once and reused by every query of the session."""
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        fx = _INSTANCES.get(key)
+        if fx is None:
+            fx = _INSTANCES[key] = cls(spark, sf_dir)
+        return fx
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self._tables.get(name)
+        if df is None:
+            df = self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return df
 
     # -- registry roles -------------------------------------------------------
     @cached_property
@@ -266,22 +281,43 @@ class Fixtures:
             _day_text(o.o_orderdate).alias("entry_date"),
         )
 
-    def registry_tables(self) -> dict[str, DataFrame]:
-        """The tables the registry reports read, keyed by registry name."""
+    @cached_property
+    def source_pipeline(self) -> DataFrame:
         from regscope.functions.keys import explode_list
-        return {
-            "log": self.log,
-            "source": self.source,
-            "endpoint": self.endpoint,
-            "organisation": self.organisation,
-            "resource": self.resource,
-            "source_pipeline": explode_list(self.source, "pipelines", "pipeline", keep=["source"]),
-            "provision": self.provision,
-            "issue": self.issue,
-            "issue_type": self.issue_type,
-            "column_field": self.column_field.withColumnRenamed("column_name", "column"),
-            "old_resource": self.old_resource,
-        }
+        return explode_list(self.source, "pipelines", "pipeline", keep=["source"])
+
+    @cached_property
+    def column_field_table(self) -> DataFrame:
+        """``column_field`` under its registry column name (``column``)."""
+        return self.column_field.withColumnRenamed("column_name", "column")
+
+    def registry_tables(self) -> "RegistryTables":
+        """The tables the registry reports read, keyed by registry name (built on first use)."""
+        return RegistryTables(self)
+
+
+class RegistryTables(Mapping):
+    """Read-only ``name -> DataFrame`` view over a ``Fixtures`` instance."""
+
+    _NAMES = {"log": "log", "source": "source", "endpoint": "endpoint", "organisation": "organisation",
+              "resource": "resource", "source_pipeline": "source_pipeline", "provision": "provision",
+              "issue": "issue", "issue_type": "issue_type", "column_field": "column_field_table",
+              "old_resource": "old_resource"}
+
+    def __init__(self, fx: Fixtures):
+        self._fx = fx
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self._fx, self._NAMES[name])
+
+    def __iter__(self):
+        return iter(self._NAMES)
+
+    def __len__(self) -> int:
+        return len(self._NAMES)
+
+
+_INSTANCES: dict = {}
 
 
 # --------------------------------------------------------------------------

@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _fx(spark: SparkSession, sf_dir: str) -> Fixtures:
-    return Fixtures(spark, sf_dir)
+    return Fixtures.of(spark, sf_dir)
 
 
 def most_recent_log(spark, sf_dir):
