@@ -64,7 +64,15 @@ def csv_headers(spark: SparkSession, paths) -> dict[str, str]:
     Runs as one Spark job over the first split of each file; only one short
     line per file reaches the driver (the same listing Spark itself holds).
     """
-    lines = (spark.read.text(_paths(paths))
+    from pyspark.errors import AnalysisException
+
+    try:
+        text = spark.read.text(_paths(paths))
+    except AnalysisException as e:  # nothing landed under the pattern
+        if "PATH_NOT_FOUND" in str(e):
+            return {}
+        raise
+    lines = (text
              .select("value", F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("start"))
              .where(F.col("start") == 0)
