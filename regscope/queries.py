@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from regscope.fixtures import Fixtures
+from regscope.session import configure
 from regscope.plans import performance as perf
 from regscope.plans import registry as reg
 
@@ -15,6 +16,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _fx(spark: SparkSession, sf_dir: str) -> Fixtures:
+    # ISO text dates are parsed and formatted in the session zone: pin UTC
+    # (and AQE) on whatever session the caller hands us.
+    configure(spark)
     return Fixtures.of(spark, sf_dir)
 
 
