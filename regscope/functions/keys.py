@@ -104,6 +104,16 @@ ARTIFACT_TEMPLATES = {
                            "var/converted-resource/{pipeline}/{resource}.csv"),
     "resource": ("{collection}-collection/collection/resource/{resource}", "var/resource/{resource}"),
 }
+DATASET_TEMPLATES = {
+    "expectation": [("log/expectation/dataset={dataset}/{dataset}.parquet", "var/expectations/{dataset}.parquet")],
+    "expectation-csv": [
+        ("{collection}-collection/dataset/{dataset}-expectation-result.csv",
+         "var/expectations/{dataset}-expectation-result.csv"),
+        ("{collection}-collection/dataset/{dataset}-expectation-issue.csv",
+         "var/expectations/{dataset}-expectation-issue.csv")],
+    "operational-issue": [("performance/operational_issue/{dataset}/operational-issue.csv",
+                           "performance/operational_issue/{dataset}/operational-issue.csv")],
+}
 COLLECTION_FILES = ("endpoint.csv", "source.csv", "log.csv", "resource.csv", "old-resource.csv")
 PIPELINE_FILES = ("column.csv", "combine.csv", "concat.csv", "convert.csv", "default.csv", "default-value.csv",
                   "patch.csv", "plugins.py", "skip.csv", "transform.csv", "filter.csv", "lookup.csv")

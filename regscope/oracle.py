@@ -356,6 +356,22 @@ UNION
 {_manifest('column-field', 'var/column-field')}
 UNION
 {_manifest('converted-resource', 'var/converted-resource')}""",
+    "dataset_manifest": f"""
+WITH d AS (SELECT DISTINCT dataset, collection FROM (
+             SELECT collection, unnest(string_split(pipelines, ';')) AS dataset FROM fx_source)
+           WHERE coalesce(collection, '') <> '')
+SELECT DISTINCT 'expectation' AS kind,
+       '{_HOST}log/expectation/dataset=' || dataset || '/' || dataset || '.parquet?version=' || {_VERSION} AS url,
+       'var/expectations/' || dataset || '.parquet' AS output_path FROM d
+UNION
+SELECT 'expectation-csv', '{_HOST}' || collection || '-collection/dataset/' || dataset
+       || '-expectation-result.csv?version=' || {_VERSION}, 'var/expectations/' || dataset || '-expectation-result.csv' FROM d
+UNION
+SELECT 'expectation-csv', '{_HOST}' || collection || '-collection/dataset/' || dataset
+       || '-expectation-issue.csv?version=' || {_VERSION}, 'var/expectations/' || dataset || '-expectation-issue.csv' FROM d
+UNION
+SELECT 'operational-issue', '{_HOST}performance/operational_issue/' || dataset || '/operational-issue.csv?version='
+       || {_VERSION}, 'performance/operational_issue/' || dataset || '/operational-issue.csv' FROM d""",
     "collection_file_manifest": f"""
 SELECT c.collection, f.file, '{_HOST}' || c.collection || '-collection/collection/' || f.file AS url,
        'var/collection/' || c.collection || '/' || f.file AS output_path

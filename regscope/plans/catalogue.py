@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regscope.functions.dates import DEFAULT_AS_OF, hour_version_of
-from regscope.functions.keys import (ARTIFACT_TEMPLATES, COLLECTION_FILES, DEFAULT_FILE_HOST,
+from regscope.functions.keys import (ARTIFACT_TEMPLATES, COLLECTION_FILES, DATASET_TEMPLATES, DEFAULT_FILE_HOST,
                                      canonical_organisation, explode_list, fill_template,
                                      is_planning_authority)
 from regscope.operators.aggregates import inverted_index
@@ -147,6 +147,17 @@ def datasets_with_collection(datasets: DataFrame) -> DataFrame:
 
 
 # -- P17 / J10 / J11 ---------------------------------------------------------------------
+def _manifest_rows(df: DataFrame, templates, host: str, as_of: str, **cols) -> DataFrame:
+    """One (kind, url, output_path) row per input row and template, in one pass
+    (an ``explode`` over the templates, not a union of re-scans); distinct by url."""
+    version = hour_version_of(as_of).cast("string")
+    entries = [F.struct(F.lit(kind).alias("kind"),
+                        F.concat(F.lit(host), fill_template(url_t, **cols), F.lit("?version="), version).alias("url"),
+                        fill_template(path_t, **cols).alias("output_path"))
+               for kind, url_t, path_t in templates]
+    return df.select(F.explode(F.array(*entries)).alias("__m")).select("__m.*").distinct()
+
+
 def artifact_manifest(catalogue: DataFrame, kinds: Sequence[str] = ("issue",),
                       host: str = DEFAULT_FILE_HOST, as_of: str = DEFAULT_AS_OF) -> DataFrame:
     """Download manifest per (collection, pipeline, resource): url -> output path.
@@ -154,20 +165,20 @@ def artifact_manifest(catalogue: DataFrame, kinds: Sequence[str] = ("issue",),
     Rows with a blank pipeline cannot be fetched and are left out (reported by
     ``unmapped_resources``); the url is the key, so the manifest is distinct.
     """
-    version = hour_version_of(as_of).cast("string")
     usable = catalogue.where(F.coalesce(F.col("pipeline"), F.lit("")) != "")
-    parts = []
-    for kind in kinds:
-        url_t, path_t = ARTIFACT_TEMPLATES[kind]
-        cols = dict(collection=F.col("collection"), pipeline=F.col("pipeline"), resource=F.col("resource"))
-        parts.append(usable.select(
-            F.lit(kind).alias("kind"),
-            F.concat(F.lit(host), fill_template(url_t, **cols), F.lit("?version="), version).alias("url"),
-            fill_template(path_t, **cols).alias("output_path")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+    templates = [(k, *ARTIFACT_TEMPLATES[k]) for k in kinds]
+    return _manifest_rows(usable, templates, host, as_of, collection=F.col("collection"),
+                          pipeline=F.col("pipeline"), resource=F.col("resource"))
+
+
+def dataset_manifest(datasets: DataFrame, kinds: Sequence[str] = tuple(DATASET_TEMPLATES),
+                     host: str = DEFAULT_FILE_HOST, as_of: str = DEFAULT_AS_OF) -> DataFrame:
+    """Download manifest per dataset that belongs to a collection (expectation
+    logs and results, operational issue logs)."""
+    usable = datasets_with_collection(datasets)
+    templates = [(k, u, p) for k in kinds for u, p in DATASET_TEMPLATES[k]]
+    return _manifest_rows(usable, templates, host, as_of, dataset=F.col("dataset"),
+                          collection=F.col("collection"))
 
 
 def collection_file_manifest(collections: DataFrame, files: Sequence[str] = COLLECTION_FILES,

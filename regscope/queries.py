@@ -199,6 +199,10 @@ def artifact_manifest(spark, sf_dir):
                                  kinds=("issue", "column-field", "converted-resource"))
 
 
+def dataset_manifest(spark, sf_dir):
+    return cat.dataset_manifest(cat.dataset_collections(_fx(spark, sf_dir).source))
+
+
 def collection_file_manifest(spark, sf_dir):
     return cat.collection_file_manifest(_fx(spark, sf_dir).source)
 
@@ -344,6 +348,7 @@ QUERIES.update({
     "path_mismatch": path_mismatch,
     "artifact_manifest": artifact_manifest,
     "collection_file_manifest": collection_file_manifest,
+    "dataset_manifest": dataset_manifest,
     "pending_manifest": pending_manifest,
     "slug_inventory": slug_inventory,
     "sniff_filetype": sniff_filetype,

@@ -1,0 +1,7 @@
+"""Incremental (streaming) jobs.
+
+The reference has no stream processing (no windows, watermarks or state);
+its only incremental behaviour is "fetch and append only what has not landed
+yet", which ``landing.append_landed`` expresses as a Structured Streaming file
+source run with ``availableNow``.
+"""
