@@ -167,7 +167,9 @@ def latest_endpoints(tables: Tables, variant: str = "registry", as_of: str = DEF
               .select("endpoint", "status", "exception",
                       F.col("__m.entry_date").alias("latest"), F.col("__m.resource").alias("resource")))
     es, e, r = _dims(tables)
-    d200 = days_since_200(log, as_of)
+    # status is a key of the aggregated log, so the last '200' per endpoint comes
+    # from that small aggregate rather than from a second pass over the log
+    d200 = days_since_200(logagg.select("endpoint", "status", F.col("latest").alias("entry_date")), as_of)
     j = (logagg.join(es, "endpoint")
          .join(e.where(F.col("e_end_date") == ""), "endpoint")
          .join(d200, "endpoint", "left")
