@@ -36,6 +36,18 @@ def column_expectations(reports: Mapping[str, DataFrame],
     return out
 
 
+def check_columns(reports: Mapping[str, DataFrame], expected: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Q1 as a gate: the column check, raising when any table misses a column
+    (the result is one small row per table; only it reaches the driver)."""
+    result = column_expectations(reports, expected)
+    failed = [r for r in result.where(~F.col("success")).collect()]
+    if failed:
+        detail = "; ".join(f"{r['table_name']} did not have all expected columns. Missing columns: "
+                           f"{r['missing']}. Columns found: {r['actual']}" for r in failed)
+        raise ValueError(f"Performance DB check failed: {detail}")
+    return result
+
+
 def assert_columns(df: DataFrame, expected: Sequence[str], table: str = "table") -> DataFrame:
     """Raise when a declared column is missing (strict sink check)."""
     missing = [c for c in expected if c not in df.columns]

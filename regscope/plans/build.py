@@ -93,9 +93,11 @@ def concat_converted_resources(spark: SparkSession, input_dir: str, out_dir: str
 
 
 def build_registry(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
-                   operational_issue_csv: str | None = None, as_of: str = DEFAULT_AS_OF) -> dict[str, str]:
+                   operational_issue_csv: str | None = None, as_of: str = DEFAULT_AS_OF,
+                   specification: DataFrame | None = None) -> dict[str, str]:
     """Second pass: most recent log, historic and latest endpoints (registry
-    variants) and the typed operational-issue table, as Parquet."""
+    variants), the typed operational-issue table and the specification table,
+    as Parquet."""
     out = {
         "reporting_most_recent_log": write_parquet(reg.most_recent_log(tables["log"]),
                                                    "reporting_most_recent_log", out_dir),
@@ -104,6 +106,8 @@ def build_registry(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir
         "reporting_latest_endpoints": write_parquet(reg.latest_endpoints(tables, "registry", as_of),
                                                     "reporting_latest_endpoints", out_dir),
     }
+    if specification is not None:
+        out["specification"] = write_parquet(specification, "specification", out_dir)
     if operational_issue_csv:
         out["operational_issue"] = write_parquet(read_csv_typed(spark, operational_issue_csv),
                                                  "operational_issue", out_dir)

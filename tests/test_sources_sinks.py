@@ -102,3 +102,32 @@ def test_concat_converted_resources_mismatch(spark, scratch):
     table, mism = build.concat_converted_resources(spark, f"{scratch}/conv", f"{scratch}/out")
     assert len(C.read_csv_text(spark, table).collect()) == 2
     assert rows(mism, "field", "dir_value", "file_value") == [("dataset", "tree", "area"), ("resource", "abc", "abd")]
+
+
+def test_concat_issues_strict_and_path_keys(spark, scratch):
+    from regscope.plans.build import ISSUE_FIELDS
+    _write(f"{scratch}/var/issue/tree/abc.csv", "row-number,field,issue-type\n1,geometry,missing\n")
+    out = build.concat_issues(spark, f"{scratch}/var/issue", f"{scratch}/issues")
+    df = C.read_csv_text(spark, out)
+    assert df.columns == ISSUE_FIELDS
+    assert rows(df, "resource", "pipeline", "row-number", "entity") == [("abc", "tree", "1", "")]
+    _write(f"{scratch}/var/issue2/tree/abd.csv", "row-number,surprise\n1,x\n")
+    with pytest.raises(ValueError, match="undeclared"):
+        build.concat_issues(spark, f"{scratch}/var/issue2", f"{scratch}/issues2")
+
+
+def test_build_performance_tables_match_queries(spark, scratch):
+    from regscope.fixtures import Fixtures
+    from regscope.operators.quality import check_columns
+    from regscope.plans.performance import EXPECTED_COLUMNS
+    from regscope.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    out = build.build_performance_tables(Fixtures.of(spark, sf).registry_tables(), scratch)
+    written = {k: spark.read.parquet(v) for k, v in out.items()}
+    assert rows(written["provision_summary"]) == rows(QUERIES["provision_summary"](spark, sf))
+    assert rows(written["endpoint_dataset_summary"]) == rows(QUERIES["endpoint_summary"](spark, sf))
+    expected = {k: v for k, v in EXPECTED_COLUMNS.items() if k in written}
+    assert check_columns(written, expected).count() == 4
+    with pytest.raises(ValueError, match="Missing columns"):
+        check_columns({"provision_summary": written["provision_summary"].drop("dataset")},
+                      {"provision_summary": EXPECTED_COLUMNS["provision_summary"]})
