@@ -6,11 +6,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from regscope.fixtures import Fixtures
-from regscope.session import configure
+from regscope.functions import keys as K
+from regscope.functions.dates import hour_version as _hour_version
+from regscope.functions.dates import normalise_date as _norm_date
+from regscope.functions.dates import normalise_timestamp as _norm_ts
+from regscope.functions.sniff import filetype
+from regscope.operators import quality as Q
+from regscope.operators import setops as U
+from regscope.operators import windows as W
+from regscope.plans import catalogue as cat
+from regscope.plans import consolidate as con
 from regscope.plans import performance as perf
 from regscope.plans import registry as reg
+from regscope.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,19 +140,6 @@ QUERIES: dict[str, Query] = {
 
 
 # -- catalogue, indexes, manifests ---------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from regscope.functions import keys as K  # noqa: E402
-from regscope.functions.dates import hour_version as _hour_version  # noqa: E402
-from regscope.functions.dates import normalise_date as _norm_date  # noqa: E402
-from regscope.functions.dates import normalise_timestamp as _norm_ts  # noqa: E402
-from regscope.functions.sniff import filetype  # noqa: E402
-from regscope.operators import quality as Q  # noqa: E402
-from regscope.operators import setops as U  # noqa: E402
-from regscope.operators import windows as W  # noqa: E402
-from regscope.plans import catalogue as cat  # noqa: E402
-from regscope.plans import consolidate as con  # noqa: E402
-
 # Fixed value: declared fields of the consolidated ``source`` table used by the keys below.
 SOURCE_FIELDS = ["source", "collection", "organisation", "endpoint", "licence", "documentation_url",
                  "dataset", "entry_date", "start_date", "end_date"]
