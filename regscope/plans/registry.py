@@ -16,9 +16,11 @@ Plan shape (the same for all four endpoint reports):
    other blank source row.
 3. Joins on ``endpoint`` then ``resource``; the planner broadcasts what its
    statistics bound as small and sort-merges the rest.
-4. A final small ``groupBy`` on the report grain, and for the "latest" reports a
-   top-1 per (organisation, pipeline) written as an arg-max aggregate rather
-   than a window (``rn`` is therefore always 1, as the reference keeps only
+4. The endpoint and resource dimensions are reduced to the report grain first
+   (``_report_dims``), so the joined rows are already one per report key and
+   no aggregation runs on the join result. The "latest" reports then take a
+   top-1 per (organisation, pipeline) as an arg-max aggregate rather than a
+   window (``rn`` is therefore always 1, as the reference keeps only
    ``rn = 1``).
 
 Ties: where the reference takes bare columns from "some" row of a group, we
@@ -56,19 +58,23 @@ def most_recent_log(log: DataFrame) -> DataFrame:
 
 
 # -- J1 / J3 building blocks ------------------------------------------------------
-def endpoint_sources(source: DataFrame, source_pipeline: DataFrame, organisation: DataFrame) -> DataFrame:
+def endpoint_sources(source: DataFrame, source_pipeline: DataFrame, organisation: DataFrame,
+                     columns=None) -> DataFrame:
     """Distinct (endpoint, source attributes, pipeline, organisation attributes).
 
     ``source ⨝ source_pipeline ON source`` and
-    ``organisation ON organisation = replace(source.organisation, '-eng', '')``.
+    ``organisation ON organisation = replace(source.organisation, '-eng', '')``;
+    ``columns`` limits the attributes kept (the distinct is on endpoint + them).
     """
     sp = source_pipeline.select("source", "pipeline").distinct()
     s = source.select("source", "endpoint", "organisation", "collection", "licence", "documentation_url")
     o = organisation.select(F.col("organisation").alias("__org"), "name", F.col("dataset").alias("org_dataset"))
-    return (s.join(sp, "source")
-            .join(o, canonical_organisation(s["organisation"]) == o["__org"])
-            .drop("source", "__org")
-            .distinct())
+    j = (s.join(sp, "source")
+         .join(o, canonical_organisation(s["organisation"]) == o["__org"])
+         .drop("source", "__org"))
+    if columns is not None:
+        j = j.select("endpoint", *columns)
+    return j.distinct()
 
 
 def log_star(tables: Tables) -> DataFrame:
@@ -100,14 +106,28 @@ def endpoint_days_since_200(endpoint: DataFrame, log: DataFrame, as_of: str = DE
             .join(days_since_200(log, as_of), "endpoint", "left"))
 
 
-def _dims(tables: Tables):
-    e = tables["endpoint"].select("endpoint", "endpoint_url",
-                                  F.col("entry_date").alias("e_entry_date"),
-                                  F.col("end_date").alias("e_end_date"))
-    r = tables["resource"].select(F.col("resource").alias("__res"),
-                                  F.col("start_date").alias("r_start_date"),
-                                  F.col("end_date").alias("r_end_date"))
-    es = endpoint_sources(tables["source"], tables["source_pipeline"], tables["organisation"])
+def _report_dims(tables: Tables, source_columns, active_endpoints_only: bool = False):
+    """The star's dimensions reduced to the report grain, so the log join yields
+    at most one row per report key and needs no second aggregation.
+
+    Rows of the star that share a report key come from the same aggregated log
+    row and differ only by duplicate dimension rows; the reference keeps the
+    dimension values of one of them. Because the dimensions are independent,
+    the greatest (endpoint dates, resource dates) tuple over such rows is the
+    greatest endpoint-date pair per (endpoint, url) followed by the greatest
+    resource-date pair per resource — computed here on the small dimension
+    tables instead of on the join result.
+    """
+    ep = tables["endpoint"]
+    if active_endpoints_only:
+        ep = ep.where(F.col("end_date") == "")
+    e = (ep.groupBy("endpoint", "endpoint_url").agg(F.max(F.struct("entry_date", "end_date")).alias("__e"))
+         .select("endpoint", "endpoint_url", F.col("__e.entry_date").alias("e_entry_date"),
+                 F.col("__e.end_date").alias("e_end_date")))
+    r = (tables["resource"].groupBy("resource").agg(F.max(F.struct("start_date", "end_date")).alias("__r"))
+         .select(F.col("resource").alias("__res"), F.col("__r.start_date").alias("r_start_date"),
+                 F.col("__r.end_date").alias("r_end_date")))
+    es = endpoint_sources(tables["source"], tables["source_pipeline"], tables["organisation"], source_columns)
     return es, e, r
 
 
@@ -125,15 +145,16 @@ def historic_endpoints(tables: Tables, variant: str = "registry") -> DataFrame:
     log = tables["log"]
     logagg = log.groupBy("endpoint", "status", "exception", "resource").agg(
         F.max("entry_date").alias("latest"))
-    es, e, r = _dims(tables)
-    j = (logagg.join(es, "endpoint").join(e, "endpoint")
+    source_columns = ["organisation", "name", "collection", "pipeline", "licence"] + \
+        (["documentation_url"] if reporting else ["org_dataset"])
+    es, e, r = _report_dims(tables, source_columns)
+    g = (logagg.join(es, "endpoint").join(e, "endpoint")
          .join(r, logagg["resource"] == r["__res"], "left"))
     dataset = F.col("pipeline") if reporting else F.col("org_dataset")
-    j = j.withColumn("dataset", dataset).withColumn("organisation_name", F.col("name"))
+    g = g.withColumn("dataset", dataset).withColumn("organisation_name", F.col("name"))
     keys = ["organisation", "name", "organisation_name", "dataset", "collection", "pipeline",
             "endpoint", "endpoint_url"] + (["documentation_url"] if reporting else []) + \
            ["licence", "status", "exception", "resource"]
-    g = top_by(j, keys, order=["latest", "e_entry_date", "e_end_date", "r_start_date", "r_end_date"])
     if not reporting:
         return g.select(*keys, F.col("latest").alias("latest_log_entry_date"),
                         F.col("e_entry_date").alias("endpoint_entry_date"),
@@ -166,19 +187,18 @@ def latest_endpoints(tables: Tables, variant: str = "registry", as_of: str = DEF
               .agg(F.max(F.struct("entry_date", "resource")).alias("__m"))
               .select("endpoint", "status", "exception",
                       F.col("__m.entry_date").alias("latest"), F.col("__m.resource").alias("resource")))
-    es, e, r = _dims(tables)
+    source_columns = ["organisation", "name", "collection", "pipeline", "licence"] + \
+        ([] if reporting else ["org_dataset"])
+    es, e, r = _report_dims(tables, source_columns, active_endpoints_only=True)
     # status is a key of the aggregated log, so the last '200' per endpoint comes
     # from that small aggregate rather than from a second pass over the log
     d200 = days_since_200(logagg.select("endpoint", "status", F.col("latest").alias("entry_date")), as_of)
-    j = (logagg.join(es, "endpoint")
-         .join(e.where(F.col("e_end_date") == ""), "endpoint")
+    g = (logagg.join(es, "endpoint")
+         .join(e, "endpoint")
          .join(d200, "endpoint", "left")
          .join(r, F.col("resource") == r["__res"], "left"))
     dataset = F.col("pipeline") if reporting else F.col("org_dataset")
-    j = j.withColumn("dataset", dataset).withColumn("organisation_name", F.col("name"))
-    keys = ["organisation", "name", "organisation_name", "dataset", "collection", "pipeline",
-            "endpoint", "endpoint_url", "licence", "status", "days_since_200", "exception"]
-    g = top_by(j, keys, order=["latest", "resource", "e_entry_date", "e_end_date", "r_start_date", "r_end_date"])
+    g = g.withColumn("dataset", dataset).withColumn("organisation_name", F.col("name"))
     # top-1 per (organisation, pipeline): the reference's window, as an arg-max aggregate
     order = ["e_entry_date", "latest", "endpoint", "status", "exception", "collection", "licence",
              "name", "dataset", "endpoint_url", "days_since_200", "resource", "e_end_date",

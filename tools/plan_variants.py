@@ -32,8 +32,17 @@ from regscope.plans import registry as reg  # noqa: E402
 from regscope.session import build_session  # noqa: E402
 
 
+def raw_dims(t):
+    """Dimensions as they are (no reduction to the report grain)."""
+    e = t["endpoint"].select("endpoint", "endpoint_url", F.col("entry_date").alias("e_entry_date"),
+                             F.col("end_date").alias("e_end_date"))
+    r = t["resource"].select(F.col("resource").alias("__res"), F.col("start_date").alias("r_start_date"),
+                             F.col("end_date").alias("r_end_date"))
+    return reg.endpoint_sources(t["source"], t["source_pipeline"], t["organisation"]), e, r
+
+
 def r4_direct(t):
-    es, e, r = reg._dims(t)
+    es, e, r = raw_dims(t)
     j = (t["log"].join(es, "endpoint").join(e, "endpoint")
          .join(r, F.col("resource") == r["__res"], "left"))
     keys = ["organisation", "name", "pipeline", "collection", "endpoint", "endpoint_url", "documentation_url",
