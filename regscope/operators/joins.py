@@ -52,3 +52,18 @@ def anti_join(df: DataFrame, other: DataFrame, left_key: str, right_key: str) ->
     """Rows of ``df`` whose key is not listed in ``other`` (NOT IN without NULL traps)."""
     keys = other.select(F.col(right_key).alias("__k")).where(F.col("__k").isNotNull())
     return df.join(keys, df[left_key] == keys["__k"], "left_anti")
+
+
+def null_safe_semi_join(df: DataFrame, keys: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Rows of ``df`` whose key matches a key of ``keys`` (NULL matches NULL).
+
+    Used to restrict a large fact aggregate to the keys a later left join can
+    actually match; when the join columns are grouping columns of an aggregate
+    below, Catalyst pushes the semi join beneath it, so fewer rows are aggregated.
+    """
+    k = keys.select(*[F.col(rc).alias(f"__sk{i}") for i, (_, rc) in enumerate(pairs)]).distinct()
+    cond = None
+    for i, (lc, _) in enumerate(pairs):
+        c = df[lc].eqNullSafe(k[f"__sk{i}"])
+        cond = c if cond is None else (cond & c)
+    return df.join(k, cond, "left_semi")

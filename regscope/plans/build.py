@@ -130,11 +130,11 @@ def build_performance_tables(tables: Mapping[str, DataFrame], out_dir: str,
     endpoints report they share is computed once and materialised."""
     historic = materialize(reg.historic_endpoints(tables, "reporting"), "reporting_historic_endpoints")
     provisions = perf.provision_data(tables["provision"], tables["organisation"])
-    issues = materialize(perf.issue_counts(tables["issue"], tables["resource"], tables["issue_type"], as_of),
-                         "issue_counts")
-    cf = perf.column_field_summary(tables["column_field"], tables["resource"])
     prov_rep = materialize(perf.provision_reporting(provisions, perf.reporting_data(historic)),
                            "provision_reporting")
+    issues = materialize(perf.issue_counts(tables["issue"], tables["resource"], tables["issue_type"], as_of,
+                                           restrict_to=prov_rep), "issue_counts")
+    cf = perf.column_field_summary(tables["column_field"], tables["resource"], restrict_to=prov_rep)
     frames = {
         "endpoint_dataset_summary": perf.endpoint_summary(historic),
         "endpoint_dataset_resource_summary": perf.resource_summary(prov_rep, cf),

@@ -12,6 +12,13 @@ Plan notes
   then joined to the provision/endpoint rows; the two distinct endpoint counts
   are a two-level aggregate (per group+endpoint flags, then sums), so there
   is no ``Expand`` and every level is a partial aggregate.
+* ``restrict_to``: the issue and column-field aggregates feeding the
+  provision-level reports can be restricted (null-safe semi join on the raw
+  rows, before aggregating) to the (resource, dataset) pairs the
+  provision/endpoint rows can match — only current resources, where the issue
+  table holds every historic one. It pays when those rows are materialised
+  (``plans.build`` does); inline, column pruning makes Spark recompute their
+  log-side plan instead of reusing it, so single-query plans leave it off.
 * pandas merge semantics are kept: left joins match NULL keys to NULL keys
   (``eqNullSafe``), ``groupby`` drops groups with a NULL key, ``!= ''`` is true
   for NULL.
@@ -27,7 +34,7 @@ from pyspark.sql import functions as F
 from regscope.functions.dates import DEFAULT_AS_OF, report_date
 from regscope.functions.keys import canonical_organisation, mapping_field, non_mapping_field
 from regscope.operators.aggregates import distinct_list, drop_null_keys, top_by
-from regscope.operators.joins import null_safe_left_join
+from regscope.operators.joins import null_safe_left_join, null_safe_semi_join
 from regscope.plans.registry import historic_endpoints
 
 Tables = Mapping[str, DataFrame]
@@ -76,6 +83,9 @@ R4_TIE_ORDER = ["latest_log_entry_date", "resource", "latest_status", "latest_ex
                 "resource_end_date"]
 
 
+_RESOURCE_DATASET = [("resource", "resource"), ("dataset", "dataset")]
+
+
 def _blank_or_null(c: str):
     return F.coalesce(F.col(c), F.lit("")) == ""
 
@@ -90,8 +100,15 @@ def provision_data(provision: DataFrame, organisation: DataFrame) -> DataFrame:
 
 # -- R7 -----------------------------------------------------------------------
 def issue_counts(issue: DataFrame, resource: DataFrame, issue_type: DataFrame,
-                 as_of: str = DEFAULT_AS_OF) -> DataFrame:
-    """Issues of active resources per (dataset, resource, issue_type, field)."""
+                 as_of: str = DEFAULT_AS_OF, restrict_to: DataFrame | None = None) -> DataFrame:
+    """Issues of active resources per (dataset, resource, issue_type, field).
+
+    ``restrict_to`` (frames with ``resource`` and ``dataset``, e.g. the
+    provision/endpoint rows) keeps only issues a later join on those keys can
+    match; the filter runs on the raw issue rows, before they are aggregated.
+    """
+    if restrict_to is not None:
+        issue = null_safe_semi_join(issue, restrict_to, _RESOURCE_DATASET)
     counted = issue.groupBy("dataset", "resource", "issue_type", "field").agg(F.count(F.lit(1)).alias("__n"))
     active = resource.where(F.col("end_date") == "").groupBy("resource").agg(F.count(F.lit(1)).alias("__rm"))
     types = issue_type.groupBy("issue_type").agg(F.count(F.lit(1)).alias("__tm"),
@@ -104,11 +121,15 @@ def issue_counts(issue: DataFrame, resource: DataFrame, issue_type: DataFrame,
 
 
 # -- R8 -----------------------------------------------------------------------
-def column_field_summary(column_field: DataFrame, resource: DataFrame) -> DataFrame:
+def column_field_summary(column_field: DataFrame, resource: DataFrame,
+                         restrict_to: DataFrame | None = None) -> DataFrame:
     """Per (resource, dataset) of active resources: fields that do / do not map
-    their column header (sorted, ``;``-joined, NULL when none)."""
+    their column header (sorted, ``;``-joined, NULL when none). ``restrict_to``
+    as in ``issue_counts``."""
     active = resource.where(F.col("end_date") == "").select("resource")
     cf = column_field.join(active, "resource", "left_semi")
+    if restrict_to is not None:
+        cf = null_safe_semi_join(cf, restrict_to, _RESOURCE_DATASET)
     tagged = cf.select("resource", "dataset",
                        mapping_field("column", "field").alias("__m"),
                        non_mapping_field("column", "field").alias("__n"))
@@ -157,12 +178,12 @@ def _kept(df: DataFrame) -> DataFrame:
 
 
 def resource_summary(prov_rep: DataFrame, cf_summary: DataFrame) -> DataFrame:
-    m = null_safe_left_join(prov_rep, cf_summary, [("resource", "resource"), ("dataset", "dataset")])
+    m = null_safe_left_join(prov_rep, cf_summary, _RESOURCE_DATASET)
     return _kept(m).select(*EXPECTED_COLUMNS["endpoint_dataset_resource_summary"])
 
 
 def issue_type_summary(prov_rep: DataFrame, issues: DataFrame) -> DataFrame:
-    m = null_safe_left_join(prov_rep, issues, [("resource", "resource"), ("dataset", "dataset")])
+    m = null_safe_left_join(prov_rep, issues, _RESOURCE_DATASET)
     return _kept(m).select(*EXPECTED_COLUMNS["endpoint_dataset_issue_type_summary"])
 
 
@@ -197,9 +218,9 @@ def build_performance(tables: Tables, as_of: str = DEFAULT_AS_OF) -> dict[str, D
     """All performance tables from the registry tables, sharing intermediate plans."""
     historic = historic_endpoints(tables, "reporting")
     provisions = provision_data(tables["provision"], tables["organisation"])
+    prov_rep = provision_reporting(provisions, reporting_data(historic))
     issues = issue_counts(tables["issue"], tables["resource"], tables["issue_type"], as_of)
     cf = column_field_summary(tables["column_field"], tables["resource"])
-    prov_rep = provision_reporting(provisions, reporting_data(historic))
     return {
         "endpoint_dataset_summary": endpoint_summary(historic),
         "endpoint_dataset_resource_summary": resource_summary(prov_rep, cf),
