@@ -35,6 +35,49 @@ OPERATIONAL_ISSUE_FIELDS = ["dataset", "resource", "line-number", "entry-number"
 COLUMN_FIELD_FIELDS = ["dataset", "resource", "column", "field", "entry-date", "end-date", "start-date"]
 CONVERTED_RESOURCE_FIELDS = ["dataset", "resource", "elapsed", "status", "exception"]
 
+# The ORDER BY of each written report (applied at the sink only).
+REPORT_ORDER = {
+    "reporting_historic_endpoints": ["organisation", "name", "dataset", "collection", "pipeline",
+                                     "latest_log_entry_date desc"],
+    "reporting_latest_endpoints": ["organisation", "name", "dataset", "collection", "pipeline",
+                                   "endpoint_entry_date desc"],
+    "provision_data": ["organisation"],
+    "reporting_data": ["organisation", "collection"],
+    "planning_authorities": ["organisation"],
+}
+
+
+def consolidate_files(spark: SparkSession, table: str, fields: Sequence[str], paths: Sequence[str],
+                      output_path: str) -> str | None:
+    """R16 for an explicit file list: ``paths`` of one table (headers may differ)
+    -> one consolidated CSV with the declared ``fields``."""
+    df = read_csv_union(spark, list(paths))
+    if df is None:
+        return None
+    return write_csv(consolidate(df, table, fields), fields, output_path)
+
+
+def catalogue_from_collection(spark: SparkSession, input_dir: str) -> DataFrame:
+    """R14 from a collection folder (``endpoint.csv``, ``source.csv``,
+    ``resource.csv`` and optional ``old-resource.csv``): distinct
+    (collection, pipeline, resource). File order is the position for
+    "last row wins"."""
+    from regscope.plans.catalogue import resource_catalogue
+    from regscope.sources.csv import files_exist, read_csv_text, snake_case_columns
+
+    base = input_dir.rstrip("/")
+
+    def table(name):
+        df = snake_case_columns(read_csv_text(spark, f"{base}/{name}.csv"))
+        from pyspark.sql import functions as F
+        return df.withColumn("pos", F.monotonically_increasing_id())
+
+    if files_exist(spark, f"{base}/old-resource.csv"):
+        old = table("old-resource")
+    else:
+        old = spark.createDataFrame([], "old_resource string, resource string")
+    return resource_catalogue(table("endpoint"), table("source"), table("resource"), old)
+
 
 def consolidate_collection(spark: SparkSession, var_dir: str, out_dir: str,
                            schema_fields: Mapping[str, Sequence[str]],
@@ -102,9 +145,11 @@ def build_registry(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir
         "reporting_most_recent_log": write_parquet(reg.most_recent_log(tables["log"]),
                                                    "reporting_most_recent_log", out_dir),
         "reporting_historic_endpoints": write_parquet(reg.historic_endpoints(tables, "registry"),
-                                                      "reporting_historic_endpoints", out_dir),
+                                                      "reporting_historic_endpoints", out_dir,
+                                                      sort_by=REPORT_ORDER["reporting_historic_endpoints"]),
         "reporting_latest_endpoints": write_parquet(reg.latest_endpoints(tables, "registry", as_of),
-                                                    "reporting_latest_endpoints", out_dir),
+                                                    "reporting_latest_endpoints", out_dir,
+                                                    sort_by=REPORT_ORDER["reporting_latest_endpoints"]),
     }
     if specification is not None:
         out["specification"] = write_parquet(specification, "specification", out_dir)
@@ -118,9 +163,11 @@ def build_reports(tables: Mapping[str, DataFrame], out_dir: str, as_of: str = DE
     """Third pass, part one: the reporting variants of historic/latest endpoints."""
     return {
         "reporting_historic_endpoints": write_parquet(reg.historic_endpoints(tables, "reporting"),
-                                                      "reporting_historic_endpoints", out_dir),
+                                                      "reporting_historic_endpoints", out_dir,
+                                                      sort_by=REPORT_ORDER["reporting_historic_endpoints"]),
         "reporting_latest_endpoints": write_parquet(reg.latest_endpoints(tables, "reporting", as_of),
-                                                    "reporting_latest_endpoints", out_dir),
+                                                    "reporting_latest_endpoints", out_dir,
+                                                    sort_by=REPORT_ORDER["reporting_latest_endpoints"]),
     }
 
 
@@ -142,3 +189,31 @@ def build_performance_tables(tables: Mapping[str, DataFrame], out_dir: str,
         "provision_summary": perf.provision_summary(prov_rep, issues),
     }
     return {name: write_parquet(df, name, out_dir) for name, df in frames.items()}
+
+
+def load_registry(spark: SparkSession, collection_dir: str, specification_dir: str, cache_dir: str,
+                  issue_csv: str | None = None, column_field_csv: str | None = None) -> dict[str, DataFrame]:
+    """The registry tables from consolidated CSV folders, with snake_case
+    column names (``source_pipeline`` is derived from ``source.pipelines``)."""
+    from regscope.functions.keys import explode_list
+    from regscope.sources.csv import files_exist, read_csv_text, snake_case_columns
+
+    def csv(path):
+        return snake_case_columns(read_csv_text(spark, path)) if files_exist(spark, path) else None
+
+    base = {name: csv(f"{collection_dir.rstrip('/')}/{name}.csv")
+            for name in ("source", "endpoint", "log", "resource", "old-resource")}
+    tables = {k.replace("-", "_"): v for k, v in base.items() if v is not None}
+    tables["organisation"] = csv(f"{cache_dir.rstrip('/')}/organisation.csv")
+    for name in ("provision", "issue-type"):
+        df = csv(f"{specification_dir.rstrip('/')}/{name}.csv")
+        if df is not None:
+            tables[name.replace("-", "_")] = df
+    if issue_csv:
+        tables["issue"] = csv(issue_csv)
+    if column_field_csv:
+        tables["column_field"] = csv(column_field_csv)
+    src = tables["source"]
+    lists = "pipelines" if "pipelines" in src.columns else "datasets"
+    tables["source_pipeline"] = explode_list(src, lists, "pipeline", keep=["source"])
+    return tables

@@ -16,18 +16,36 @@ from regscope.operators.quality import assert_no_extra_columns
 from regscope.session import ensure_checkpoint_dir
 
 
-def write_parquet(df: DataFrame, name: str, out_dir: str, mode: str = "overwrite") -> str:
+def ordered(df: DataFrame, sort_by: Sequence | None) -> DataFrame:
+    """O1: a report's ORDER BY, applied only at the sink (a range-partitioned
+    global sort; part files are written in order). ``sort_by`` items are column
+    names, ``"name desc"`` strings, or Columns."""
+    if not sort_by:
+        return df
+    from pyspark.sql import functions as F
+
+    def key(k):
+        if isinstance(k, str) and k.lower().endswith(" desc"):
+            return F.desc(k[:-5].strip())
+        return k
+    return df.orderBy(*[key(k) for k in sort_by])
+
+
+def write_parquet(df: DataFrame, name: str, out_dir: str, mode: str = "overwrite",
+                  sort_by: Sequence | None = None) -> str:
     """K1: ``<out_dir>/<name>.parquet``."""
     path = f"{out_dir.rstrip('/')}/{name}.parquet"
-    df.write.mode(mode).parquet(path)
+    ordered(df, sort_by).write.mode(mode).parquet(path)
     return path
 
 
-def write_csv(df: DataFrame, columns: Sequence[str], path: str, mode: str = "overwrite") -> str:
+def write_csv(df: DataFrame, columns: Sequence[str], path: str, mode: str = "overwrite",
+              sort_by: Sequence | None = None) -> str:
     """K2: header CSV with the declared column order (absent columns blank)."""
     from regscope.plans.consolidate import project_declared
 
-    project_declared(df, columns).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    out = ordered(project_declared(df, columns), sort_by)
+    out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
     return path
 
 

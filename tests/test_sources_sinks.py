@@ -131,3 +131,27 @@ def test_build_performance_tables_match_queries(spark, scratch):
     with pytest.raises(ValueError, match="Missing columns"):
         check_columns({"provision_summary": written["provision_summary"].drop("dataset")},
                       {"provision_summary": EXPECTED_COLUMNS["provision_summary"]})
+
+
+def test_sorted_sink(spark, scratch):
+    df = spark.createDataFrame([(i % 7, f"v{i}") for i in range(50)], "k int, v string").repartition(4)
+    p = sinks.write_parquet(df, "s", scratch, sort_by=["k desc", "v"])
+    back = [(r["k"], r["v"]) for r in spark.read.parquet(p).collect()]
+    assert back == sorted(back, key=lambda x: (-x[0], x[1]))
+
+
+def test_consolidate_files_and_catalogue_from_collection(spark, scratch):
+    _write(f"{scratch}/a.csv", "endpoint,entry-date\ne1,2020\n")
+    _write(f"{scratch}/b.csv", "entry-date,endpoint,end-date\n2021-02,e2,2022-03-04\n")
+    out = build.consolidate_files(spark, "endpoint", ["endpoint", "entry-date", "end-date"],
+                                  [f"{scratch}/a.csv", f"{scratch}/b.csv"], f"{scratch}/endpoint-out.csv")
+    assert rows(C.read_csv_text(spark, out)) == [("e1", "2020-01-01T00:00:00Z", ""),
+                                                 ("e2", "2021-02-01T00:00:00Z", "2022-03-04")]
+    col = f"{scratch}/collection"
+    _write(f"{col}/endpoint.csv", "endpoint,endpoint-url\ne1,u\ne2,u2\ne1,u\n")
+    _write(f"{col}/source.csv", "source,collection,endpoint,pipelines\ns1,c1,e1,tree\ns2,c2,e1,area\ns3,c3,,x\n")
+    _write(f"{col}/resource.csv", "resource,endpoints\nr1,e1\nr2,e2;e1\nr3,e9\nr4,e1\n")
+    _write(f"{col}/old-resource.csv", "old-resource,resource\nr4,r5\n")
+    cat = build.catalogue_from_collection(spark, col)
+    # e1: last source row names c2, pipelines tree+area; e2: no source -> '' collection, no pipelines
+    assert rows(cat) == [("c2", "area", "r1"), ("c2", "area", "r2"), ("c2", "tree", "r1"), ("c2", "tree", "r2")]
