@@ -1,6 +1,4 @@
 import pytest
-from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from regscope.functions import dates as D
 from regscope.functions import keys as K
