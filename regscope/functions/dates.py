@@ -1,23 +1,28 @@
 """ISO date/time text helpers (``Column -> Column``), all JVM-side built-ins.
 
 Registry dates are kept as ISO *text* (``YYYY-MM-DD``, ``YYYY-MM-DDTHH:MM:SSZ``)
-and compared lexicographically; they are parsed only inside the helpers
-below. The session time zone is pinned to UTC (``regscope.session``) so that
-parsing and formatting round-trip exactly.
+and compared lexicographically. The helpers here never round-trip a value
+through a zone-aware timestamp: parsing is used only to *validate* a shape,
+normalised outputs are built from the validated text, elapsed times come from
+day numbers and time-of-day fields, and ``as_of`` stamps are computed once on
+the driver. The results are therefore the same in any session time zone.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The accepted text shapes and their output formats.
-TIMESTAMP_OUT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-DATE_OUT = "yyyy-MM-dd"
+DATE_SHAPES = {10: "yyyy-MM-dd", 7: "yyyy-MM", 4: "yyyy"}
+DATE_PADDING = {10: "", 7: "-01", 4: "-01-01"}
+TIME_SHAPE = "yyyy-MM-dd'T'HH:mm:ss"
 SECONDS_PER_DAY = 86400
 DEFAULT_AS_OF = "2003-01-01T00:00:00Z"
 
-# A time string SQLite's date() accepts after the day part.
+# A time string SQL date() accepts after the day part.
 _SQL_TIME_SUFFIX = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}:\d{2})?$"
 
 
@@ -29,16 +34,20 @@ def _blank(c: Column) -> Column:
     return F.coalesce(c, F.lit("")) == ""
 
 
-def _by_length(c: Column, with_time: bool) -> Column:
-    """Parse by text length: >=20 (time, first 19 chars), 10, 7 or 4."""
+def _valid(c: Column, pattern: str) -> Column:
+    """Does ``c`` parse with ``pattern``? (validation only; the value is not used)"""
+    return F.try_to_timestamp(c, F.lit(pattern)).isNotNull()
+
+
+def _normalised_day(c: Column) -> Column:
+    """``YYYY-MM-DD`` for a valid 10/7/4-character date text, else NULL."""
     n = F.length(c)
-    parsed = F.when(n == 10, F.try_to_timestamp(c, F.lit("yyyy-MM-dd"))) \
-        .when(n == 7, F.try_to_timestamp(c, F.lit("yyyy-MM"))) \
-        .when(n == 4, F.try_to_timestamp(c, F.lit("yyyy")))
-    if with_time:
-        parsed = F.when(n >= 20, F.try_to_timestamp(F.substring(c, 1, 19),
-                                                     F.lit("yyyy-MM-dd'T'HH:mm:ss"))).otherwise(parsed)
-    return parsed
+    out = None
+    for length, pattern in DATE_SHAPES.items():
+        branch = (n == length) & _valid(c, pattern)
+        value = F.concat(c, F.lit(DATE_PADDING[length]))
+        out = F.when(branch, value) if out is None else out.when(branch, value)
+    return out
 
 
 def _finish(c: Column, out: Column, strict: bool) -> Column:
@@ -57,7 +66,7 @@ def normalise_date(c, strict: bool = True) -> Column:
     (the reference exits), else yields NULL so callers can quarantine it.
     """
     c = _col(c)
-    return _finish(c, F.date_format(_by_length(c, with_time=False), DATE_OUT), strict)
+    return _finish(c, _normalised_day(c), strict)
 
 
 def normalise_timestamp(c, strict: bool = True) -> Column:
@@ -68,7 +77,10 @@ def normalise_timestamp(c, strict: bool = True) -> Column:
     Length 19 (no zone marker) is not an accepted shape.
     """
     c = _col(c)
-    return _finish(c, F.date_format(_by_length(c, with_time=True), TIMESTAMP_OUT), strict)
+    head = F.substring(c, 1, 19)
+    out = (F.when((F.length(c) >= 20) & _valid(head, TIME_SHAPE), F.concat(head, F.lit("Z")))
+           .otherwise(F.concat(_normalised_day(c), F.lit("T00:00:00Z"))))
+    return _finish(c, out, strict)
 
 
 def date_part(c) -> Column:
@@ -86,35 +98,45 @@ def sql_day(c) -> Column:
     return F.when(c.rlike(_SQL_TIME_SUFFIX), F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd"))
 
 
-def iso_to_timestamp(c) -> Column:
-    """Parse canonical ISO text (``...THH:MM:SS[Z]`` or a bare day) to TIMESTAMP."""
+def epoch_seconds(c) -> Column:
+    """Seconds since 1970-01-01T00:00:00 of an ISO text read as UTC wall-clock
+    (``YYYY-MM-DD[THH:MM:SS...]``; any suffix after the seconds is ignored).
+    NULL when the text is not such a date/time."""
     c = _col(c)
-    return F.coalesce(
-        F.try_to_timestamp(F.substring(c, 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-        F.try_to_timestamp(F.substring(c, 1, 19), F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.when(F.length(c) == 10, F.try_to_timestamp(c, F.lit("yyyy-MM-dd"))),
-    )
+    day = F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd")
+    has_time = (F.length(c) >= 19) & (_valid(F.substring(c, 1, 19), TIME_SHAPE)
+                                      | _valid(F.substring(c, 1, 19), "yyyy-MM-dd HH:mm:ss"))
+    part = lambda start: F.substring(c, start, 2).try_cast("int")
+    seconds_of_day = F.when(has_time, part(12) * 3600 + part(15) * 60 + part(18)) \
+        .when(F.length(c) == 10, F.lit(0))
+    return F.unix_date(day).cast("bigint") * SECONDS_PER_DAY + seconds_of_day
 
 
-def as_of_timestamp(as_of: str = DEFAULT_AS_OF) -> Column:
-    return iso_to_timestamp(F.lit(as_of))
+def _as_of(as_of: str) -> datetime:
+    """``as_of`` ISO text (date or date-time, optional ``Z``) as a UTC datetime."""
+    text = as_of.rstrip("Z").replace(" ", "T")
+    dt = datetime.fromisoformat(text)
+    return dt.replace(tzinfo=timezone.utc) if dt.tzinfo is None else dt.astimezone(timezone.utc)
 
 
 def elapsed_days(c, as_of: str = DEFAULT_AS_OF) -> Column:
     """Whole days from an ISO timestamp text to ``as_of``, truncated toward zero."""
-    secs = F.unix_timestamp(as_of_timestamp(as_of)) - F.unix_timestamp(iso_to_timestamp(c))
+    secs = F.lit(int(_as_of(as_of).timestamp())) - epoch_seconds(c)
     return (secs / F.lit(SECONDS_PER_DAY)).cast("int")
 
 
 def report_date(as_of: str = DEFAULT_AS_OF) -> Column:
     """The report stamp ``dd-mm-yyyy`` of ``as_of``."""
-    return F.date_format(as_of_timestamp(as_of), "dd-MM-yyyy")
+    return F.lit(_as_of(as_of).strftime("%d-%m-%Y"))
 
 
 def hour_version(ts) -> Column:
-    """Epoch seconds of a timestamp truncated to the hour (cache version)."""
-    return F.unix_timestamp(F.date_trunc("hour", _col(ts))).cast("bigint")
+    """Epoch seconds of a timestamp's hour (cache version); the wall-clock
+    value is read as UTC, as for ISO text."""
+    ts = _col(ts)
+    return F.unix_date(F.to_date(ts)).cast("bigint") * SECONDS_PER_DAY + F.hour(ts).cast("bigint") * 3600
 
 
 def hour_version_of(as_of: str = DEFAULT_AS_OF) -> Column:
-    return hour_version(as_of_timestamp(as_of))
+    t = int(_as_of(as_of).timestamp())
+    return F.lit(t - t % 3600)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from regscope.functions import dates as D
 from regscope.functions import keys as K
@@ -108,3 +109,24 @@ def test_filetype_bytes(spark):
     from regscope.functions.sniff import filetype_of_bytes
     df = spark.createDataFrame([(bytearray(b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1xx"),)], "v binary")
     assert df.select(filetype_of_bytes("v")).first()[0] == "excel"
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata", "Europe/London"])
+def test_dates_do_not_depend_on_session_zone(spark, zone):
+    texts = [("2021-03-28T01:30:00Z",), ("2021-03-14T02:30:00.5+01:00",), ("2020-06",), ("2002-06-30T23:59:59Z",)]
+    df = spark.createDataFrame(texts, "v string")
+
+    def compute():
+        return [tuple(r) for r in df.select(
+            D.normalise_timestamp("v"), D.elapsed_days("v", "2003-01-01T00:00:00Z"),
+            D.hour_version(F.lit("2024-01-01 05:59:59").cast("timestamp_ntz"))).collect()]
+
+    expected = compute()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert compute() == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert expected[0][0] == "2021-03-28T01:30:00Z" and expected[3][1] == 184
+    assert expected[0][2] == 1704085200
