@@ -81,14 +81,23 @@ def csv_headers(spark: SparkSession, paths) -> dict[str, str]:
     return {r["file"]: r["header"] for r in first.collect()}
 
 
-def read_csv_union(spark: SparkSession, paths, with_path: bool = False) -> DataFrame | None:
+def read_csv_union(spark: SparkSession, paths, with_path: bool = False,
+                   uniform: bool = False) -> DataFrame | None:
     """S2: files of one table whose headers differ, matched by column *name*.
 
     Zero-byte files contribute nothing. Columns absent from a file are
     ``''`` there. Returns ``None`` when no file has a header.
+
+    Finding each file's header is a text scan of the files (Spark does not
+    prune a scan to the first split of a file), i.e. one extra pass over the
+    landed CSVs. ``uniform=True`` skips it when the caller knows every file
+    has the same header (one read).
     """
     from regscope.operators.setops import union_by_name
 
+    if uniform:
+        return read_csv_text(spark, paths, with_path=with_path) if files_exist_any(spark, paths) else None
+
     groups: dict[str, list[str]] = defaultdict(list)
     for path, header in sorted(csv_headers(spark, paths).items()):
         groups[header].append(path)
@@ -132,5 +141,9 @@ def files_exist(spark: SparkSession, pattern: str) -> bool:
         return False
 
 
+def files_exist_any(spark: SparkSession, paths) -> bool:
+    return any(files_exist(spark, p) for p in _paths(paths))
+
+
 def paths_of(files: Iterable[str] | str) -> Sequence[str]:
     return _paths(files)

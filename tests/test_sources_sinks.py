@@ -155,3 +155,11 @@ def test_consolidate_files_and_catalogue_from_collection(spark, scratch):
     cat = build.catalogue_from_collection(spark, col)
     # e1: last source row names c2, pipelines tree+area; e2: no source -> '' collection, no pipelines
     assert rows(cat) == [("c2", "area", "r1"), ("c2", "area", "r2"), ("c2", "tree", "r1"), ("c2", "tree", "r2")]
+
+
+def test_read_csv_union_uniform_fast_path(spark, scratch):
+    _write(f"{scratch}/u/c1/log.csv", "endpoint,status\ne1,200\n")
+    _write(f"{scratch}/u/c2/log.csv", "endpoint,status\ne2,\n")
+    df = C.read_csv_union(spark, f"{scratch}/u/*/log.csv", uniform=True)
+    assert rows(df) == [("e1", "200"), ("e2", "")]
+    assert C.read_csv_union(spark, f"{scratch}/nothing/*.csv", uniform=True) is None
