@@ -3,9 +3,9 @@
 Join strategy is left to Catalyst + AQE: a side whose size the planner can
 bound (file statistics at plan time, shuffle statistics at run time under AQE)
 below ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, anything larger
-becomes a sort-merge join whose skewed partitions AQE splits. We only write an
-explicit ``broadcast()`` for frames built from fixed literal lists, whose size
-is known.
+becomes a sort-merge join whose skewed partitions AQE splits. No explicit
+``broadcast()`` is written: frames built from fixed literal lists are local
+relations whose exact size the planner already knows.
 """
 
 from __future__ import annotations
