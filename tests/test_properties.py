@@ -89,3 +89,60 @@ def test_explode_list_matches_split(spark, lists):
     got = rows(explode_list(df, "v", "item", keep=["i"]), "i", "item")
     expect = sorted((i, x) for i, v in enumerate(lists) if v is not None for x in v.split(";"))
     assert got == expect
+
+
+keys = st.sampled_from(["a", "b", None])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(keys, keys, st.integers(0, 5)), min_size=1, max_size=12),
+       st.lists(st.tuples(keys, keys, st.integers(10, 15)), max_size=12))
+def test_null_safe_left_join_matches_pandas_merge(spark, left, right):
+    import pandas as pd
+
+    from regscope.operators.joins import null_safe_left_join
+    lp = pd.DataFrame(left, columns=["organisation", "dataset", "x"])
+    rp = pd.DataFrame(right, columns=["organisation", "pipeline", "y"])
+    expect = lp.merge(rp, left_on=["organisation", "dataset"], right_on=["organisation", "pipeline"], how="left")
+    ls = spark.createDataFrame(left, "organisation string, dataset string, x int")
+    rs = spark.createDataFrame(right, "organisation string, pipeline string, y int")
+    got = null_safe_left_join(ls, rs, [("organisation", "organisation"), ("dataset", "pipeline")])
+    assert got.columns == list(expect.columns)
+
+    def norm(v):
+        return None if v is None or (isinstance(v, float) and v != v) else (int(v) if isinstance(v, float) else v)
+    exp_rows = sorted((tuple(norm(v) for v in r) for r in expect.itertuples(index=False)), key=repr)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == exp_rows
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["o1", "o2"]), st.sampled_from(["c1", "c2"]),
+                          maybe(st.sampled_from(["e1", "e2", "e3"])), maybe(st.sampled_from(["", "2020-01-01"])),
+                          maybe(st.sampled_from(["200", "404"])), maybe(st.sampled_from(["r1", "r2"]))),
+                min_size=1, max_size=10),
+       st.lists(st.tuples(st.sampled_from(["r1", "r2", "r3"]), st.sampled_from(["error", "warning", "notice"]),
+                          st.sampled_from(["internal", "external"]), st.integers(1, 5)), max_size=10))
+def test_provision_summary_matches_model(spark, prov_rows, issue_rows):
+    from regscope.plans.performance import ISSUE_CLASSES, provision_summary
+    cols = ["organisation", "cohort", "endpoint", "endpoint_end_date", "latest_status", "resource"]
+    pr = spark.createDataFrame(prov_rows, ", ".join(f"{c} string" for c in cols)).selectExpr(
+        "organisation", "'Name' AS organisation_name", "cohort", "'tree' AS dataset", "'statutory' AS provision_reason",
+        "'' AS provision_end_date", "endpoint", "endpoint_end_date", "latest_status", "resource")
+    issues = spark.createDataFrame([(r, "tree", s, p, n) for r, s, p, n in issue_rows],
+                                   "resource string, dataset string, severity string, responsibility string, "
+                                   "count_issues long")
+    got = {r["organisation"]: tuple(r)[5:] for r in provision_summary(pr, issues).collect()}
+    # model: merge rows = each provision row x its issue rows (or itself once); counts over the merge
+    expect = {}
+    for org in {p[0] for p in prov_rows}:
+        merged = []
+        for p in (p for p in prov_rows if p[0] == org):
+            matches = [i for i in issue_rows if i[0] == p[5]]
+            merged += [(p, i) for i in matches] or [(p, None)]
+        active = [(p, i) for p, i in merged if p[3] in (None, "")]
+        counts = [len({p[2] for p, _ in active if p[2] is not None}),
+                  len({p[2] for p, _ in active if p[2] is not None and p[4] != "200"})]
+        for s, r in ISSUE_CLASSES:
+            counts.append(sum(i[3] for _, i in active if i and i[1] == s and i[2] == r))
+        expect[org] = tuple(counts)
+    assert got == expect
