@@ -16,12 +16,20 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def read_parquet_union(spark: SparkSession, paths) -> DataFrame:
     """S4: union by column name of Parquet files whose schemas differ.
 
-    ``mergeSchema`` cannot merge, e.g., INT with BIGINT (it raises), so files
-    are grouped by their own schema, each group is read with one scan, and
-    the groups are unioned by name with numeric widening; a column missing
-    from a file is NULL there.
+    First Spark's own ``mergeSchema`` read (footers are read by a distributed
+    job; a column missing from a file is NULL there). It refuses to merge,
+    e.g., INT with BIGINT; then files are grouped by their own schema, each
+    group is read with one scan, and the groups are unioned by name with
+    numeric widening.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    try:
+        merged = spark.read.option("mergeSchema", True).parquet(*paths)
+        merged.schema  # schema merge happens here
+        return merged
+    except Exception as e:  # noqa: BLE001 - the JVM error may arrive unconverted
+        if "CANNOT_MERGE_SCHEMAS" not in str(e):
+            raise
     files: list[str] = []
     for p in paths:
         if _is_pattern(p):

@@ -163,3 +163,10 @@ def test_read_csv_union_uniform_fast_path(spark, scratch):
     df = C.read_csv_union(spark, f"{scratch}/u/*/log.csv", uniform=True)
     assert rows(df) == [("e1", "200"), ("e2", "")]
     assert C.read_csv_union(spark, f"{scratch}/nothing/*.csv", uniform=True) is None
+
+
+def test_parquet_union_fast_path_merges_by_name(spark, scratch):
+    spark.createDataFrame([(1, "a")], "n bigint, s string").write.parquet(f"{scratch}/q/one.parquet")
+    spark.createDataFrame([(2, 0.5)], "n bigint, score double").write.parquet(f"{scratch}/q/two.parquet")
+    df = read_parquet_union(spark, [f"{scratch}/q/one.parquet", f"{scratch}/q/two.parquet"])
+    assert rows(df, "n", "s", "score") == [(1, "a", None), (2, None, 0.5)]
