@@ -1,0 +1 @@
+"""regscope.functions"""

@@ -1,0 +1 @@
+"""regscope.plans"""

@@ -44,7 +44,7 @@ SEVERITIES = ("error", "warning", "notice")
 RESPONSIBILITIES = ("internal", "external")
 ISSUE_CLASSES = [(s, r) for s in SEVERITIES for r in RESPONSIBILITIES]
 
-# Expected report columns (the column check's golden lists).
+# Expected report columns (the column check's golden lists), in report order.
 EXPECTED_COLUMNS = {
     "endpoint_dataset_issue_type_summary": [
         "organisation", "organisation_name", "cohort", "dataset", "collection", "pipeline", "endpoint",
