@@ -23,20 +23,18 @@ def null_safe_left_join(left: DataFrame, right: DataFrame,
     Right key columns whose name equals the left key are dropped (pandas keeps
     one column for a shared key name); differently named right keys stay.
     """
-    lk = [left[lc] for lc, _ in pairs]
-    renamed = right
-    tmp = {}
-    for i, (lc, rc) in enumerate(pairs):
-        t = f"__rk{i}"
-        renamed = renamed.withColumn(t, F.col(rc))
-        tmp[t] = (lc, rc)
+    shared = {rc for lc, rc in pairs if lc == rc}
+    clash = (set(left.columns) & set(right.columns)) - shared
+    if clash:
+        raise ValueError(f"columns on both sides that are not shared keys: {sorted(clash)}")
+    keys = [F.col(rc).alias(f"__rk{i}") for i, (_, rc) in enumerate(pairs)]
+    r = right.select(*keys, *[c for c in right.columns if c not in shared])
     cond = None
-    for (t, (lc, rc)), lcol in zip(tmp.items(), lk):
-        c = lcol.eqNullSafe(renamed[t])
+    for i, (lc, _) in enumerate(pairs):
+        c = left[lc].eqNullSafe(r[f"__rk{i}"])
         cond = c if cond is None else (cond & c)
-    drop = [rc for lc, rc in pairs if lc == rc]
-    out = left.join(renamed.drop(*drop), cond, "left")
-    return out.drop(*tmp.keys())
+    out = left.columns + [c for c in right.columns if c not in shared]
+    return left.join(r, cond, "left").select(*[left[c] if c in left.columns else r[c] for c in out])
 
 
 def last_by_position(df: DataFrame, key: str, position: str, columns: Sequence[str]) -> DataFrame:

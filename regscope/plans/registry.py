@@ -151,18 +151,16 @@ def historic_endpoints(tables: Tables, variant: str = "registry") -> DataFrame:
     g = (logagg.join(es, "endpoint").join(e, "endpoint")
          .join(r, logagg["resource"] == r["__res"], "left"))
     dataset = F.col("pipeline") if reporting else F.col("org_dataset")
-    g = g.withColumn("dataset", dataset).withColumn("organisation_name", F.col("name"))
-    keys = ["organisation", "name", "organisation_name", "dataset", "collection", "pipeline",
-            "endpoint", "endpoint_url"] + (["documentation_url"] if reporting else []) + \
-           ["licence", "status", "exception", "resource"]
+    keys = ["organisation", "name", F.col("name").alias("organisation_name"), dataset.alias("dataset"),
+            "collection", "pipeline", "endpoint", "endpoint_url"] + \
+        (["documentation_url"] if reporting else []) + ["licence"]
     if not reporting:
-        return g.select(*keys, F.col("latest").alias("latest_log_entry_date"),
+        return g.select(*keys, "status", "exception", "resource", F.col("latest").alias("latest_log_entry_date"),
                         F.col("e_entry_date").alias("endpoint_entry_date"),
                         F.col("e_end_date").alias("endpoint_end_date"),
                         F.col("r_start_date").alias("resource_start_date"),
                         F.col("r_end_date").alias("resource_end_date"))
-    out = [c for c in keys if c not in ("status", "exception", "resource")]
-    return g.select(*out,
+    return g.select(*keys,
                     F.col("status").alias("latest_status"), F.col("exception").alias("latest_exception"),
                     "resource",
                     date_part("latest").alias("latest_log_entry_date"),
@@ -198,7 +196,7 @@ def latest_endpoints(tables: Tables, variant: str = "registry", as_of: str = DEF
          .join(d200, "endpoint", "left")
          .join(r, F.col("resource") == r["__res"], "left"))
     dataset = F.col("pipeline") if reporting else F.col("org_dataset")
-    g = g.withColumn("dataset", dataset).withColumn("organisation_name", F.col("name"))
+    g = g.select("*", dataset.alias("dataset"), F.col("name").alias("organisation_name"))
     # top-1 per (organisation, pipeline): the reference's window, as an arg-max aggregate
     order = ["e_entry_date", "latest", "endpoint", "status", "exception", "collection", "licence",
              "name", "dataset", "endpoint_url", "days_since_200", "resource", "e_end_date",

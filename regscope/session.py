@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # strict date/time parsing: an impossible date is invalid, never rolled over
+    "spark.sql.legacy.timeParserPolicy": "CORRECTED",
 }
 
 
