@@ -218,3 +218,22 @@ def slug_inventory(organisation: DataFrame | None = None, category: DataFrame |
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# -- link tables of the registry ---------------------------------------------------------
+def resource_endpoint(resource: DataFrame) -> DataFrame:
+    """One (resource, endpoint) row per item of the resource's endpoints list."""
+    return explode_list(resource, "endpoints", "endpoint", keep=["resource"]).distinct()
+
+
+def resource_organisation(resource: DataFrame, source: DataFrame) -> DataFrame:
+    """Distinct (resource, organisation) through the endpoints the resource was fetched from."""
+    src = source.where(F.coalesce(F.col("endpoint"), F.lit("")) != "").select("endpoint", "organisation").distinct()
+    return resource_endpoint(resource).join(src, "endpoint").select("resource", "organisation").distinct()
+
+
+def resource_dataset(resource: DataFrame, source: DataFrame) -> DataFrame:
+    """Distinct (resource, dataset) through the pipelines of the sources of its endpoints."""
+    pipes = explode_list(source.where(F.coalesce(F.col("endpoint"), F.lit("")) != ""),
+                         "pipelines", "dataset", keep=["endpoint"]).distinct()
+    return resource_endpoint(resource).join(pipes, "endpoint").select("resource", "dataset").distinct()

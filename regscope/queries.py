@@ -175,6 +175,20 @@ def source_pipeline(spark, sf_dir):
     return cat.source_pipeline(_fx(spark, sf_dir).source)
 
 
+def resource_endpoint(spark, sf_dir):
+    return cat.resource_endpoint(_fx(spark, sf_dir).resource)
+
+
+def resource_organisation(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return cat.resource_organisation(fx.resource, fx.source)
+
+
+def resource_dataset(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return cat.resource_dataset(fx.resource, fx.source)
+
+
 def canonical_organisation(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     return cat.source_organisations(fx.source, fx.organisation)
@@ -326,6 +340,9 @@ QUERIES.update({
     "resource_catalogue": resource_catalogue,
     "planning_authorities": planning_authorities,
     "source_pipeline": source_pipeline,
+    "resource_endpoint": resource_endpoint,
+    "resource_organisation": resource_organisation,
+    "resource_dataset": resource_dataset,
     "canonical_organisation": canonical_organisation,
     "column_mapping_flag": column_mapping_flag,
     "active_resources": active_resources,
