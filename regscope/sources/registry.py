@@ -20,6 +20,17 @@ SPECIFICATION_TABLES = ("award", "collection", "theme", "typology", "dataset", "
                         "provision-reason", "quality", "specification", "specification-status")
 
 
+CACHE_TABLES = ("organisation",)
+
+
+def registry_locations(collection_dir: str, specification_dir: str, pipeline_dir: str,
+                       cache_dir: str) -> dict[str, str]:
+    """Every registry table -> the folder it is landed under."""
+    groups = ((COLLECTION_TABLES, collection_dir), (SPECIFICATION_TABLES, specification_dir),
+              (PIPELINE_TABLES, pipeline_dir), (CACHE_TABLES, cache_dir))
+    return {t: d for tables, d in groups for t in tables}
+
+
 def view_name(table: str) -> str:
     return table.replace("-", "_")
 
@@ -46,3 +57,21 @@ def register_tables(spark: SparkSession, registry: Mapping[str, str | DataFrame]
         df.createOrReplaceTempView(view_name(table))
         out[view_name(table)] = df
     return out
+
+
+def register_link_tables(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Register the link tables derived from ``;`` lists (source -> pipelines,
+    resource -> endpoints, and through them resource -> organisations / datasets)."""
+    from regscope.plans import catalogue as cat
+
+    links: dict[str, DataFrame] = {}
+    if "source" in tables:
+        links["source_pipeline"] = cat.source_pipeline(tables["source"])
+    if "resource" in tables:
+        links["resource_endpoint"] = cat.resource_endpoint(tables["resource"])
+        if "source" in tables:
+            links["resource_organisation"] = cat.resource_organisation(tables["resource"], tables["source"])
+            links["resource_dataset"] = cat.resource_dataset(tables["resource"], tables["source"])
+    for name, df in links.items():
+        df.createOrReplaceTempView(name)
+    return links

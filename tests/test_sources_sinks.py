@@ -170,3 +170,19 @@ def test_parquet_union_fast_path_merges_by_name(spark, scratch):
     spark.createDataFrame([(2, 0.5)], "n bigint, score double").write.parquet(f"{scratch}/q/two.parquet")
     df = read_parquet_union(spark, [f"{scratch}/q/one.parquet", f"{scratch}/q/two.parquet"])
     assert rows(df, "n", "s", "score") == [(1, "a", None), (2, None, 0.5)]
+
+
+def test_registry_locations_and_links(spark, scratch):
+    from regscope.sources.registry import register_link_tables, registry_locations
+    loc = registry_locations(f"{scratch}/collection", f"{scratch}/specification", f"{scratch}/pipeline",
+                             f"{scratch}/cache")
+    assert loc["log"].endswith("/collection") and loc["issue-type"].endswith("/specification")
+    assert loc["default-value"].endswith("/pipeline") and loc["organisation"].endswith("/cache")
+    assert len(loc) == 45
+    _write(f"{scratch}/collection/source.csv", "source,organisation,endpoint,pipelines\ns1,o1,e1,tree;area\n")
+    _write(f"{scratch}/collection/resource.csv", "resource,endpoints\nr1,e1;e2\n")
+    tables = register_tables(spark, {"source": f"{scratch}/collection", "resource": f"{scratch}/collection"})
+    links = register_link_tables(tables)
+    assert sorted(links) == ["resource_dataset", "resource_endpoint", "resource_organisation", "source_pipeline"]
+    got = spark.sql("SELECT resource, dataset FROM resource_dataset ORDER BY dataset").collect()
+    assert [tuple(r) for r in got] == [("r1", "area"), ("r1", "tree")]
