@@ -30,6 +30,8 @@ def column_expectations(reports: Mapping[str, DataFrame],
             F.lit(";".join(missing)).alias("missing"),
             F.lit(";".join(actual)).alias("actual"),
             "row_count"))
+    if not parts:
+        raise ValueError("none of the expected tables is among the reports")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -68,6 +70,8 @@ def table_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count per named table (one UNION ALL of one-row aggregates)."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
              for name, df in tables.items()]
+    if not parts:
+        raise ValueError("table_inventory needs at least one table")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

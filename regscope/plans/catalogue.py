@@ -214,6 +214,8 @@ def slug_inventory(organisation: DataFrame | None = None, category: DataFrame |
     if geography is not None:
         parts.append(geography.where(F.coalesce(F.col("slug_id_label"), F.lit("")) != "")
                      .select(F.col("slug_id_label").alias("slug"), F.lit("geography").alias("kind")))
+    if not parts:
+        raise ValueError("slug_inventory needs at least one of organisation, category, geography")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

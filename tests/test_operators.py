@@ -95,3 +95,12 @@ def test_column_checks(spark):
         assert_columns(df, ["x", "z"], "t")
     with pytest.raises(ValueError, match="undeclared"):
         assert_no_extra_columns(df, ["x"], "t")
+
+
+def test_empty_inputs_are_clear_errors(spark):
+    from regscope.operators.quality import table_inventory
+    from regscope.plans.catalogue import slug_inventory
+    for call in (lambda: U.union_by_name([]), lambda: U.concat_tables([]), lambda: table_inventory({}),
+                 lambda: slug_inventory(), lambda: column_expectations({}, {"t": ["x"]})):
+        with pytest.raises(ValueError):
+            call()
