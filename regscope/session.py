@@ -19,6 +19,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the only broadcasts are those Spark proves smaller than this: from file
+    # statistics at plan time, from actual shuffle sizes under AQE at run time
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     # strict date/time parsing: an impossible date is invalid, never rolled over
     "spark.sql.legacy.timeParserPolicy": "CORRECTED",
 }
