@@ -124,6 +124,22 @@ def read_partitioned_csv(spark: SparkSession, root: str, key_column: str,
     return override_from_path(df, key_column, PATH_COLUMN).drop(PATH_COLUMN) if strict else df
 
 
+def read_positioned_csv(spark: SparkSession, path: str, position: str = "pos") -> DataFrame:
+    """S1 plus the row's position in its file (ascending in file order; ids of
+    different files do not interleave). For lists whose meaning depends on
+    order, e.g. groups separated by blank rows."""
+    return read_csv_text(spark, path).withColumn(position, F.monotonically_increasing_id())
+
+
+def read_blank_delimited_groups(spark: SparkSession, path: str) -> DataFrame:
+    """A curated list whose groups are separated by all-blank rows -> rows with
+    a ``group_id`` (see ``operators.windows.blank_delimited_groups``)."""
+    from regscope.operators.windows import blank_delimited_groups
+
+    df = read_positioned_csv(spark, path)
+    return blank_delimited_groups(df, "pos", [c for c in df.columns if c != "pos"])
+
+
 def snake_case_columns(df: DataFrame) -> DataFrame:
     """kebab-case CSV headers -> snake_case column names (``issue-type`` -> ``issue_type``)."""
     return df.withColumnsRenamed({c: c.replace("-", "_") for c in df.columns if "-" in c})

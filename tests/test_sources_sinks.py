@@ -186,3 +186,11 @@ def test_registry_locations_and_links(spark, scratch):
     assert sorted(links) == ["resource_dataset", "resource_endpoint", "resource_organisation", "source_pipeline"]
     got = spark.sql("SELECT resource, dataset FROM resource_dataset ORDER BY dataset").collect()
     assert [tuple(r) for r in got] == [("r1", "area"), ("r1", "tree")]
+
+
+def test_read_blank_delimited_groups(spark, scratch):
+    _write(f"{scratch}/groups.csv", "slug,name,geography,url\n/a/1,A one,g:1,u1\n/a/2,A two,g:2,u2\n,,,\n"
+                                    "/b/1,B,g:3,u3\n,,,\n,,,\n/c/1,\"C, with comma\",g:4,u4\n/c/2,C2,g:5,u5\n")
+    df = C.read_blank_delimited_groups(spark, f"{scratch}/groups.csv")
+    got = sorted((r["slug"], r["group_id"]) for r in df.collect())
+    assert got == [("/a/1", 0), ("/a/2", 0), ("/b/1", 1), ("/c/1", 3), ("/c/2", 3)]
