@@ -189,8 +189,13 @@ def latest_endpoints(tables: Tables, variant: str = "registry", as_of: str = DEF
         ([] if reporting else ["org_dataset"])
     es, e, r = _report_dims(tables, source_columns, active_endpoints_only=True)
     # status is a key of the aggregated log, so the last '200' per endpoint comes
-    # from that small aggregate rather than from a second pass over the log
-    d200 = days_since_200(logagg.select("endpoint", "status", F.col("latest").alias("entry_date")), as_of)
+    # from that small aggregate rather than from a second pass over the log. It is
+    # a conditional max, not a filter: a filter on a grouping key would be pushed
+    # below the log aggregate, making that branch a different plan that Spark
+    # could not share — and the log would be scanned twice.
+    d200 = (logagg.groupBy("endpoint")
+            .agg(F.max(F.when(F.col("status") == "200", F.col("latest"))).alias("__last200"))
+            .select("endpoint", elapsed_days("__last200", as_of).alias("days_since_200")))
     g = (logagg.join(es, "endpoint")
          .join(e, "endpoint")
          .join(d200, "endpoint", "left")
