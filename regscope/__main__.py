@@ -49,6 +49,12 @@ def main(argv=None) -> int:
     c.add_argument("--input-dir", default="var/converted-resource/")
     c.add_argument("--output-dir", default="converted-resource/")
 
+    c = sub.add_parser("expectations", help="expectation manifest + union of landed expectation Parquet files")
+    c.add_argument("--spec-dir", default="specification")
+    c.add_argument("--cache-dir", default="var/expectations")
+    c.add_argument("--output-dir", default="expectation")
+    c.add_argument("--as-of", default=None)
+
     c = sub.add_parser("resources", help="resource catalogue (collection, pipeline, resource) as CSV")
     c.add_argument("--input-dir", default="collection/")
     c.add_argument("--output", default="resources.csv")
@@ -80,6 +86,20 @@ def main(argv=None) -> int:
         if mismatches is not None:
             from regscope.sinks import write_csv
             write_csv(mismatches, mismatches.columns, f"{a.output_dir.rstrip('/')}/mismatch.csv")
+    elif a.cmd == "expectations":
+        from regscope.plans.catalogue import dataset_manifest
+        from regscope.sinks import write_csv
+        from regscope.sources.csv import files_exist, read_csv_text
+        from regscope.sources.parquet import read_parquet_union
+        out = a.output_dir.rstrip("/")
+        kw = {"as_of": a.as_of} if a.as_of else {}
+        datasets = read_csv_text(spark, f"{a.spec_dir.rstrip('/')}/dataset.csv").select("dataset", "collection")
+        manifest = dataset_manifest(datasets, kinds=("expectation",), **kw)
+        write_csv(manifest, manifest.columns, f"{out}/manifest.csv")
+        pattern = f"{a.cache_dir.rstrip('/')}/*.parquet"
+        if files_exist(spark, pattern):
+            union = read_parquet_union(spark, pattern)
+            write_csv(union, union.columns, f"{out}/expectation.csv")
     elif a.cmd == "resources":
         from regscope.sinks import write_csv
         cat = build.catalogue_from_collection(spark, a.input_dir)

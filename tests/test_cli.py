@@ -54,3 +54,17 @@ def test_cli_passes(spark, scratch):
         ("local-authority:A", "tree", 1, 0)]
     assert main(["resources", "--input-dir", f"{d}/collection", "--output", f"{d}/resources.csv"]) == 0
     assert rows(read_csv_text(spark, f"{d}/resources.csv")) == [("c1", "tree", "r1")]
+
+
+def test_cli_expectations(spark, scratch):
+    d = scratch
+    _write(f"{d}/specification/dataset.csv", "dataset,collection\ntree,trees\nbrand,\n")
+    spark.createDataFrame([(1, "ok")], "n int, result string").write.parquet(f"{d}/var/expectations/tree.parquet")
+    spark.createDataFrame([(2, 0.5)], "n bigint, score double").write.parquet(f"{d}/var/expectations/area.parquet")
+    assert main(["expectations", "--spec-dir", f"{d}/specification", "--cache-dir", f"{d}/var/expectations",
+                 "--output-dir", f"{d}/expectation"]) == 0
+    man = read_csv_text(spark, f"{d}/expectation/manifest.csv")
+    assert rows(man, "kind", "output_path") == [("expectation", "var/expectations/tree.parquet")]
+    exp = read_csv_text(spark, f"{d}/expectation/expectation.csv")
+    assert sorted(exp.columns) == ["n", "result", "score"]
+    assert rows(exp, "n", "result", "score") == [("1", "ok", ""), ("2", "", "0.5")]
