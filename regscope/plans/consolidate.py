@@ -65,6 +65,22 @@ def consolidate(df: DataFrame, table: str, fields: Sequence[str], strict: bool =
     return project_declared(normalise_dates(staged, strict), fields)
 
 
+def consolidate_quarantine(df: DataFrame, table: str, fields: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``consolidate`` without aborting: returns (good rows consolidated, bad
+    rows as they came in, with ``bad_columns`` naming the date columns whose
+    shape is unknown). One pass decides each row; nothing is collected."""
+    dates = [c for c in df.columns if is_timestamp_column(c) or is_date_column(c)]
+    checks = []
+    for c in dates:
+        norm = normalise_timestamp(F.col(f"`{c}`"), False) if is_timestamp_column(c) else \
+            normalise_date(F.col(f"`{c}`"), False)
+        checks.append(F.when(norm.isNull(), F.lit(c)))
+    flagged = df.withColumn("bad_columns", F.concat_ws(";", *checks) if checks else F.lit(""))
+    good = flagged.where(F.col("bad_columns") == "").drop("bad_columns")
+    bad = flagged.where(F.col("bad_columns") != "")
+    return consolidate(good, table, fields), bad
+
+
 def with_path_keys(df: DataFrame, path_col: str = "path", strict: bool = True) -> DataFrame:
     """Add ``path_key`` (directory name) and ``path_hash`` (file stem) from the file path.
 

@@ -194,3 +194,12 @@ def test_read_blank_delimited_groups(spark, scratch):
     df = C.read_blank_delimited_groups(spark, f"{scratch}/groups.csv")
     got = sorted((r["slug"], r["group_id"]) for r in df.collect())
     assert got == [("/a/1", 0), ("/a/2", 0), ("/b/1", 1), ("/c/1", 3), ("/c/2", 3)]
+
+
+def test_consolidate_quarantine(spark):
+    from regscope.plans.consolidate import consolidate_quarantine
+    df = spark.createDataFrame([("e1", "2020-01-02T03:04:05Z", "2020"), ("e2", "2020-01-02T03:04:05", "2020-01"),
+                                ("e3", "", "13/01/2020")], "endpoint string, `entry-date` string, `start-date` string")
+    good, bad = consolidate_quarantine(df, "endpoint", ["endpoint", "entry-date", "start-date"])
+    assert rows(good) == [("e1", "2020-01-02T03:04:05Z", "2020-01-01")]
+    assert rows(bad, "endpoint", "bad_columns") == [("e2", "entry-date"), ("e3", "start-date")]
