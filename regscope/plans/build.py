@@ -44,6 +44,9 @@ REPORT_ORDER = {
     "provision_data": ["organisation"],
     "reporting_data": ["organisation", "collection"],
     "planning_authorities": ["organisation"],
+    # the lookup columns the reference indexes: sorted Parquet lets row-group
+    # min/max statistics prune reads by them
+    "provision_summary": ["organisation", "organisation_name", "dataset"],
 }
 
 
@@ -188,7 +191,7 @@ def build_performance_tables(tables: Mapping[str, DataFrame], out_dir: str,
         "endpoint_dataset_issue_type_summary": perf.issue_type_summary(prov_rep, issues),
         "provision_summary": perf.provision_summary(prov_rep, issues),
     }
-    return {name: write_parquet(df, name, out_dir) for name, df in frames.items()}
+    return {name: write_parquet(df, name, out_dir, sort_by=REPORT_ORDER.get(name)) for name, df in frames.items()}
 
 
 def load_registry(spark: SparkSession, collection_dir: str, specification_dir: str, cache_dir: str,
