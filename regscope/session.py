@@ -29,7 +29,7 @@ RUNTIME_CONF = {
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "regscope") -> SparkSession:
+                  app_name: str = "regscope", extra_conf: dict | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -39,7 +39,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in RUNTIME_CONF.items():
+    for k, v in {**RUNTIME_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -56,6 +56,16 @@ def save_replace(df: DataFrame, name: str) -> str:
     return name
 
 
+def save_append(df: DataFrame, name: str) -> str:
+    """K4: create the managed table if absent, else append to it (by column name)."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        df.select(*spark.table(name).columns).write.mode("append").saveAsTable(name)
+    else:
+        df.write.mode("errorifexists").saveAsTable(name)
+    return name
+
+
 def write_strict(df: DataFrame, columns: Sequence[str], path: str, table: str = "table") -> str:
     """K6: refuse a frame that carries a column outside the declared list."""
     assert_no_extra_columns(df, columns, table)

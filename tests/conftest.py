@@ -11,7 +11,9 @@ from regscope.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", shuffle_partitions=8, app_name="regscope-tests")
+    warehouse = tempfile.mkdtemp(prefix="run-warehouse-", dir="/tmp")
+    s = build_session("local[*]", shuffle_partitions=8, app_name="regscope-tests",
+                      extra_conf={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

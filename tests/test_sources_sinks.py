@@ -203,3 +203,15 @@ def test_consolidate_quarantine(spark):
     good, bad = consolidate_quarantine(df, "endpoint", ["endpoint", "entry-date", "start-date"])
     assert rows(good) == [("e1", "2020-01-02T03:04:05Z", "2020-01-01")]
     assert rows(bad, "endpoint", "bad_columns") == [("e2", "entry-date"), ("e3", "start-date")]
+
+
+def test_managed_table_sinks(spark, scratch):
+    name = f"probe_{os.path.basename(scratch).replace('-', '_')}"
+    a = spark.createDataFrame([("x", 1)], "k string, v int")
+    b = spark.createDataFrame([(2, "y")], "v int, k string")
+    sinks.save_append(a, name)
+    sinks.save_append(b, name)
+    assert rows(spark.table(name), "k", "v") == [("x", 1), ("y", 2)]
+    sinks.save_replace(a, name)
+    assert rows(spark.table(name), "k", "v") == [("x", 1)]
+    spark.sql(f"DROP TABLE {name}")
