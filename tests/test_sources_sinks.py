@@ -215,3 +215,11 @@ def test_managed_table_sinks(spark, scratch):
     sinks.save_replace(a, name)
     assert rows(spark.table(name), "k", "v") == [("x", 1)]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_csv_union_crlf_and_quoted_headers(spark, scratch):
+    _write(f"{scratch}/q/c1/t.csv", '"a,b",c\r\n"1,2",x\r\n')
+    _write(f"{scratch}/q/c2/t.csv", 'c,"a,b"\n"y\nz","3"\n')
+    df = C.read_collection_table(spark, f"{scratch}/q", "t")
+    assert sorted(df.columns) == ["a,b", "c"]
+    assert rows(df, "a,b", "c") == [("1,2", "x"), ("3", "y\nz")]
