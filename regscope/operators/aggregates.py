@@ -47,15 +47,6 @@ def distinct_list(c, sep: str = ";") -> Column:
     return F.when(F.size(s) > 0, F.array_join(s, sep))
 
 
-def count_where(cond: Column) -> Column:
-    return F.count(F.when(cond, F.lit(1)))
-
-
-def sum_where(cond: Column, value) -> Column:
-    value = F.col(value) if isinstance(value, str) else value
-    return F.sum(F.when(cond, value))
-
-
 def drop_null_keys(df: DataFrame, keys) -> DataFrame:
     """pandas ``groupby`` semantics: rows with a NULL in any key form no group."""
     cond = None

@@ -15,7 +15,6 @@ unions the groups by column name.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -160,6 +159,3 @@ def files_exist(spark: SparkSession, pattern: str) -> bool:
 def files_exist_any(spark: SparkSession, paths) -> bool:
     return any(files_exist(spark, p) for p in _paths(paths))
 
-
-def paths_of(files: Iterable[str] | str) -> Sequence[str]:
-    return _paths(files)
