@@ -159,3 +159,16 @@ def files_exist(spark: SparkSession, pattern: str) -> bool:
 def files_exist_any(spark: SparkSession, paths) -> bool:
     return any(files_exist(spark, p) for p in _paths(paths))
 
+
+
+def sniff_files(spark: SparkSession, pattern: str) -> DataFrame:
+    """P18 over landed files: (path, filetype) from each file's leading bytes.
+
+    Uses Spark's ``binaryFile`` source, which reads a file whole (it has no
+    partial read), so files are classified where they land, one task per file
+    batch, and only the classification leaves the executors.
+    """
+    from regscope.functions.sniff import filetype_of_bytes
+
+    files = spark.read.format("binaryFile").load(pattern)
+    return files.select("path", filetype_of_bytes("content").alias("filetype"))

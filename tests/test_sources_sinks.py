@@ -223,3 +223,16 @@ def test_csv_union_crlf_and_quoted_headers(spark, scratch):
     df = C.read_collection_table(spark, f"{scratch}/q", "t")
     assert sorted(df.columns) == ["a,b", "c"]
     assert rows(df, "a,b", "c") == [("1,2", "x"), ("3", "y\nz")]
+
+
+def test_sniff_files(spark, scratch):
+    samples = {"a.csv": b"x,y\n1,2\n", "b.html": b"<!DOCTYPE html><p>", "c.json": b'{"type": 1}',
+               "d.zip": b"PK\x03\x04....", "e.xls": b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1....",
+               "f.gpkg": b"SQLite format 3\x00....", "g.xml": b"<?xml version='1.0'?><a/>"}
+    os.makedirs(f"{scratch}/landed", exist_ok=True)
+    for name, data in samples.items():
+        with open(f"{scratch}/landed/{name}", "wb") as f:
+            f.write(data)
+    got = {os.path.basename(r["path"]): r["filetype"] for r in C.sniff_files(spark, f"{scratch}/landed/*").collect()}
+    assert got == {"a.csv": "csv", "b.html": "html", "c.json": "json", "d.zip": "zip", "e.xls": "excel",
+                   "f.gpkg": "sqlite", "g.xml": "xml"}
