@@ -55,6 +55,22 @@ def main(argv=None) -> int:
     c.add_argument("--output-dir", default="expectation")
     c.add_argument("--as-of", default=None)
 
+    c = sub.add_parser("duplicate-issues", help="issue rows repeating an earlier (row-number, field) in their file")
+    c.add_argument("--input-dir", default="var/issue/")
+    c.add_argument("--output", default="duplicate-issue.csv")
+
+    c = sub.add_parser("planning-authorities", help="organisations with a planning-authority prefix")
+    c.add_argument("--source", default="collection/source.csv")
+    c.add_argument("--output", default="planning-authorities.csv")
+
+    c = sub.add_parser("slugs", help="organisation, category and geography slugs")
+    c.add_argument("--cache-dir", default="var/cache")
+    c.add_argument("--output", default="slugs.csv")
+
+    c = sub.add_parser("sniff", help="classify landed files by their leading bytes")
+    c.add_argument("pattern")
+    c.add_argument("--output", default="filetypes.csv")
+
     c = sub.add_parser("resources", help="resource catalogue (collection, pipeline, resource) as CSV")
     c.add_argument("--input-dir", default="collection/")
     c.add_argument("--output", default="resources.csv")
@@ -100,6 +116,37 @@ def main(argv=None) -> int:
         if files_exist(spark, pattern):
             union = read_parquet_union(spark, pattern)
             write_csv(union, union.columns, f"{out}/expectation.csv")
+    elif a.cmd == "duplicate-issues":
+        from pyspark.sql import functions as F
+
+        from regscope.operators.windows import repeated_rows
+        from regscope.sinks import write_csv
+        from regscope.sources.csv import read_partitioned_csv
+        issues = read_partitioned_csv(spark, a.input_dir, "pipeline")
+        if issues is not None:
+            # file order: each CSV file is read by one task, rows in order
+            issues = issues.withColumn("__pos", F.monotonically_increasing_id())
+            dup = repeated_rows(issues, ["pipeline", "resource"], ["row-number", "field"], "__pos").drop("__pos")
+            write_csv(dup, dup.columns, a.output)
+    elif a.cmd == "planning-authorities":
+        from regscope.plans.catalogue import planning_authorities
+        from regscope.sinks import write_csv
+        from regscope.sources.csv import read_csv_text
+        write_csv(planning_authorities(read_csv_text(spark, a.source)), ["organisation"], a.output,
+                  sort_by=["organisation"])
+    elif a.cmd == "slugs":
+        from regscope.plans.catalogue import slug_inventory
+        from regscope.sinks import write_csv
+        from regscope.sources.csv import files_exist, read_csv_text
+        base = a.cache_dir.rstrip("/")
+        parts = {n: read_csv_text(spark, f"{base}/{n}.csv") if files_exist(spark, f"{base}/{n}.csv") else None
+                 for n in ("organisation", "category", "geography")}
+        write_csv(slug_inventory(parts["organisation"], parts["category"], parts["geography"]), ["slug", "kind"],
+                  a.output)
+    elif a.cmd == "sniff":
+        from regscope.sinks import write_csv
+        from regscope.sources.csv import sniff_files
+        write_csv(sniff_files(spark, a.pattern), ["path", "filetype"], a.output)
     elif a.cmd == "resources":
         from regscope.sinks import write_csv
         cat = build.catalogue_from_collection(spark, a.input_dir)

@@ -68,3 +68,19 @@ def test_cli_expectations(spark, scratch):
     exp = read_csv_text(spark, f"{d}/expectation/expectation.csv")
     assert sorted(exp.columns) == ["n", "result", "score"]
     assert rows(exp, "n", "result", "score") == [("1", "ok", ""), ("2", "", "0.5")]
+
+
+def test_cli_scripts(spark, scratch):
+    d = scratch
+    _write(f"{d}/var/issue/tree/aa.csv", "row-number,field,issue-type\n1,geometry,a\n2,name,b\n1,geometry,c\n")
+    _write(f"{d}/var/issue/area/bb.csv", "row-number,field,issue-type\n1,geometry,a\n")
+    assert main(["duplicate-issues", "--input-dir", f"{d}/var/issue", "--output", f"{d}/dup.csv"]) == 0
+    assert rows(read_csv_text(spark, f"{d}/dup.csv"), "pipeline", "resource", "issue-type") == [("tree", "aa", "c")]
+    _write(f"{d}/collection/source.csv", "organisation,pipelines\nlocal-authority-eng:X,tree\ngovernment-organisation:Y,\n")
+    assert main(["planning-authorities", "--source", f"{d}/collection/source.csv", "--output", f"{d}/lpa.csv"]) == 0
+    assert rows(read_csv_text(spark, f"{d}/lpa.csv")) == [("local-authority-eng:X",)]
+    _write(f"{d}/var/cache/organisation.csv", "organisation,name\nlocal-authority:E1,A\n")
+    _write(f"{d}/var/cache/geography.csv", "slug_id_label\n/area/1\n\n")
+    assert main(["slugs", "--cache-dir", f"{d}/var/cache", "--output", f"{d}/slugs.csv"]) == 0
+    assert rows(read_csv_text(spark, f"{d}/slugs.csv")) == [("/area/1", "geography"),
+                                                            ("/organisation/local-authority/E1", "organisation")]
