@@ -62,6 +62,20 @@ def consolidate(df: DataFrame, table: str, fields: Sequence[str], strict: bool =
     if "dataset" in fields:
         cols["dataset"] = default_dataset(cols.get("dataset", F.lit("")), cols.get("pipeline", F.lit("")))
     staged = df.select(*[v.alias(k) for k, v in cols.items()])
+    if strict:
+        # date columns that are not declared are dropped by the projection, but an
+        # unknown shape in them still aborts (as in the reference); a validating
+        # filter keeps Catalyst from pruning them away unchecked
+        dropped = [c for c in staged.columns if c not in fields and (is_timestamp_column(c) or is_date_column(c))]
+        if dropped:
+            ok = None
+            for c in dropped:
+                norm = normalise_timestamp(F.col(f"`{c}`"), True) if is_timestamp_column(c) else \
+                    normalise_date(F.col(f"`{c}`"), True)
+                # always true, but not provably so for the optimizer: evaluated (and may abort) per row
+                check = F.length(F.coalesce(norm, F.lit(""))) >= 0
+                ok = check if ok is None else (ok & check)
+            staged = staged.where(ok)
     return project_declared(normalise_dates(staged, strict), fields)
 
 

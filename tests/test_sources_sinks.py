@@ -236,3 +236,13 @@ def test_sniff_files(spark, scratch):
     got = {os.path.basename(r["path"]): r["filetype"] for r in C.sniff_files(spark, f"{scratch}/landed/*").collect()}
     assert got == {"a.csv": "csv", "b.html": "html", "c.json": "json", "d.zip": "zip", "e.xls": "excel",
                    "f.gpkg": "sqlite", "g.xml": "xml"}
+
+
+def test_consolidate_checks_undeclared_date_columns(spark):
+    from regscope.plans.consolidate import consolidate
+    df = spark.createDataFrame([("e1", "2020-01-01", "2021"), ("e2", "2020-02-02", "garbage")],
+                               "endpoint string, `start-date` string, `foo-date` string")
+    with pytest.raises(Exception, match="unknown date format"):
+        consolidate(df, "endpoint", ["endpoint", "start-date"]).collect()
+    ok = consolidate(df.where("endpoint = 'e1'"), "endpoint", ["endpoint", "start-date"])
+    assert rows(ok) == [("e1", "2020-01-01")]
