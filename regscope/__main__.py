@@ -156,7 +156,10 @@ def main(argv=None) -> int:
                                      a.issue_csv, a.column_field_csv)
         kw = {"as_of": a.as_of} if a.as_of else {}
         if a.cmd == "build-registry":
-            build.build_registry(spark, tables, a.out, a.operational_issue_csv, **kw)
+            from regscope.sources.csv import files_exist, read_csv_text
+            spec_csv = f"{a.specification_dir.rstrip('/')}/specification.csv"
+            spec = read_csv_text(spark, spec_csv) if files_exist(spark, spec_csv) else None
+            build.build_registry(spark, tables, a.out, a.operational_issue_csv, specification=spec, **kw)
         elif a.cmd == "build-reports":
             build.build_reports(tables, a.out, **kw)
         elif a.cmd == "build-performance":

@@ -375,3 +375,72 @@ QUERIES.update({
     "column_expectations": column_expectations,
     "table_inventory": table_inventory,
 })
+
+
+# Which SURVEY §2 operators each query key exercises (inventory IDs).
+INVENTORY: dict[str, list[str]] = {
+    "most_recent_log": ["R1", "J5", "P9", "A10"],
+    "historic_endpoints_registry": ["R2", "J1", "J2", "J3", "A1", "A2"],
+    "latest_endpoints_registry": ["R3", "J1", "J2", "J4", "F2", "F5", "P10", "A2", "W1", "O2"],
+    "reporting_historic_endpoints": ["R4", "J1", "J2", "J3", "A1", "P8", "P20"],
+    "reporting_latest_endpoints": ["R5", "J4", "F2", "P8", "P10", "W1", "O2"],
+    "log_star": ["J1", "J3"],
+    "days_since_200": ["J4", "A10", "F5", "P10"],
+    "latest_by_key": ["A2", "O2"],
+    "provision_data": ["R6", "J12", "P20"],
+    "issue_counts": ["R7", "J13", "F1", "A3", "P11"],
+    "column_field_summary": ["R8", "J14", "F1", "A4", "P14"],
+    "endpoint_summary": ["R9", "A2", "F3", "P20"],
+    "reporting_data": ["R10", "A2", "P13"],
+    "provision_reporting": ["J6"],
+    "resource_summary": ["R11", "J6", "J7", "F4"],
+    "issue_type_summary": ["R12", "J6", "J7", "F4"],
+    "provision_summary": ["R13", "A5", "A6", "A7", "P19", "F3"],
+    "resource_catalogue": ["R14", "J9", "A9", "F9", "P15", "A11"],
+    "planning_authorities": ["R15", "F6", "A11", "O3"],
+    "source_pipeline": ["P15"],
+    "resource_endpoint": ["P15"],
+    "resource_organisation": ["P15"],
+    "resource_dataset": ["P15"],
+    "canonical_organisation": ["J3", "P13"],
+    "column_mapping_flag": ["P14"],
+    "active_resources": ["F1"],
+    "live_resources": ["J8", "U4"],
+    "unmapped_resources": ["Q4"],
+    "organisation_datasets": ["A8"],
+    "dataset_organisations": ["A8"],
+    "datasets_of_collection": ["F8"],
+    "normalise_date": ["P3"],
+    "normalise_timestamp": ["P4"],
+    "normalise_dates_table": ["P5"],
+    "source_key": ["P6"],
+    "default_dataset": ["P7"],
+    "project_declared": ["P1"],
+    "consolidate_source": ["R16", "P1", "P5", "P6", "P7"],
+    "hour_version": ["P12"],
+    "path_keys": ["S3", "Q3", "R17"],
+    "path_mismatch": ["Q2", "R17"],
+    "artifact_manifest": ["P17"],
+    "dataset_manifest": ["P17", "F7"],
+    "collection_file_manifest": ["J10"],
+    "pending_manifest": ["J11", "U4"],
+    "slug_inventory": ["P16", "U5"],
+    "sniff_filetype": ["P18"],
+    "duplicate_issues": ["W2", "Q5"],
+    "blank_delimited_groups": ["W3"],
+    "concat_tables": ["U1"],
+    "expectation_union": ["S4", "U2"],
+    "append_issues": ["U3"],
+    "column_expectations": ["Q1"],
+    "table_inventory": ["S7", "S8"],
+}
+
+# Operators exercised by unit tests rather than a registered key (they need
+# landed files or a catalog): test module that covers each.
+TESTED_ELSEWHERE: dict[str, str] = {
+    "S1": "tests/test_sources_sinks.py", "S2": "tests/test_sources_sinks.py", "S5": "tests/test_sources_sinks.py",
+    "S6": "tests/test_sources_sinks.py", "K1": "tests/test_sources_sinks.py", "K2": "tests/test_sources_sinks.py",
+    "K3": "tests/test_sources_sinks.py", "K4": "tests/test_sources_sinks.py", "K5": "tests/test_cli.py",
+    "K6": "tests/test_sources_sinks.py", "P2": "tests/test_sources_sinks.py", "O1": "tests/test_sources_sinks.py",
+    "R18": "tests/test_cli.py", "R19": "tests/test_cli.py",
+}

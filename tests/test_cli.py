@@ -43,7 +43,15 @@ def test_cli_passes(spark, scratch):
               "--cache-dir", f"{d}/var/cache", "--issue-csv", f"{d}/issues/issue.csv",
               "--column-field-csv", f"{d}/column-field/column-field.csv"]
     registry, performance = ["--out", f"{d}/dataset/registry"], ["--out", f"{d}/dataset/performance"]
-    assert main(["build-registry", *common, *registry]) == 0
+    _write(f"{d}/specification/specification.csv", "specification,name\nbrownfield,Brownfield land\n")
+    _write(f"{d}/performance/operational_issue/operational-issue.csv",
+           "dataset,resource,line-number,entry-number,field,issue-type,value,message,entry-date\n"
+           "tree,abc1,3,3,reference,missing,,,2021-01-01\n")
+    assert main(["build-registry", *common, *registry,
+                 "--operational-issue-csv", f"{d}/performance/operational_issue/operational-issue.csv"]) == 0
+    oi = spark.read.parquet(f"{d}/dataset/registry/operational_issue.parquet")
+    assert dict(oi.dtypes)["line-number"] == "int"          # typed on load, kebab names kept
+    assert rows(spark.read.parquet(f"{d}/dataset/registry/specification.parquet")) == [("brownfield", "Brownfield land")]
     assert main(["build-performance", *common, *performance]) == 0
     assert main(["check-performance", *common, *performance]) == 1   # reporting tables not built yet
     assert main(["build-reports", *common, *performance]) == 0
