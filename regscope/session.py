@@ -70,3 +70,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="regscope-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def size_for(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20,
+             min_partitions: int = 200) -> int:
+    """Size shuffles for a run over ``input_bytes`` of input: enough shuffle
+    partitions that each holds about ``partition_bytes`` before AQE coalesces
+    the small ones, scans split at the same size, and AQE's target partition
+    size set to match. Returns the shuffle partition count."""
+    partitions = max(min_partitions, -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    return partitions

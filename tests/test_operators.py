@@ -104,3 +104,17 @@ def test_empty_inputs_are_clear_errors(spark):
                  lambda: slug_inventory(), lambda: column_expectations({}, {"t": ["x"]})):
         with pytest.raises(ValueError):
             call()
+
+
+def test_size_for(spark):
+    from regscope.session import size_for
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        assert size_for(spark, 100 * (1 << 40)) == 819200          # 100 TiB at 128 MiB per partition
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "819200"
+        assert size_for(spark, 1 << 20) == 200
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
