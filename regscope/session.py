@@ -28,17 +28,24 @@ RUNTIME_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "regscope", extra_conf: dict | None = None) -> SparkSession:
+    """Build (or join) the session. ``master`` and the shuffle partition count
+    are set only when given — under ``spark-submit`` the cluster's settings
+    stay in force; a plain ``python`` run defaults to ``local[*]``."""
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("REGSCOPE_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if master:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver is the whole cluster
+            builder = builder.config("spark.driver.memory", os.environ.get("REGSCOPE_DRIVER_MEMORY", "16g"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**RUNTIME_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
