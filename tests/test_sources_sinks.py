@@ -246,3 +246,18 @@ def test_consolidate_checks_undeclared_date_columns(spark):
         consolidate(df, "endpoint", ["endpoint", "start-date"]).collect()
     ok = consolidate(df.where("endpoint = 'e1'"), "endpoint", ["endpoint", "start-date"])
     assert rows(ok) == [("e1", "2020-01-01")]
+
+
+def test_concat_operational_issues_and_single_file_tables(spark, scratch):
+    from regscope.plans.build import OPERATIONAL_ISSUE_FIELDS
+    from regscope.sources.registry import load_table
+    _write(f"{scratch}/oi/tree/operational-issue.csv", "dataset,resource,line-number,issue-type\ntree,r1,1,missing\n")
+    _write(f"{scratch}/oi/area/operational-issue.csv", "issue-type,dataset,resource\ninvalid,area,r2\n")
+    out = build.concat_operational_issues(spark, f"{scratch}/oi", f"{scratch}/oi-out")
+    df = C.read_csv_text(spark, out)
+    assert df.columns == OPERATIONAL_ISSUE_FIELDS
+    assert rows(df, "dataset", "resource", "line-number", "issue-type") == [("area", "r2", "", "invalid"),
+                                                                          ("tree", "r1", "1", "missing")]
+    _write(f"{scratch}/spec/issue-type.csv", "issue-type,severity\nmissing,error\n")
+    t = load_table(spark, f"{scratch}/spec", "issue-type")
+    assert rows(t) == [("missing", "error")]
