@@ -132,7 +132,23 @@ def _report_dims(tables: Tables, source_columns, active_endpoints_only: bool = F
 
 
 # -- R2 / R4 -------------------------------------------------------------------------
-def historic_endpoints(tables: Tables, variant: str = "registry") -> DataFrame:
+def historic_log_aggregate(log: DataFrame) -> DataFrame:
+    """The log reduced for the historic reports: latest entry per
+    (endpoint, status, exception, resource). Mergeable (a max), so it can also
+    be maintained incrementally (``regscope.streaming.log_state``)."""
+    return log.groupBy("endpoint", "status", "exception", "resource").agg(F.max("entry_date").alias("latest"))
+
+
+def latest_log_aggregate(log: DataFrame) -> DataFrame:
+    """The log reduced for the latest reports: per (endpoint, status, exception)
+    the latest entry and its resource (greatest (entry_date, resource)); mergeable."""
+    return (log.groupBy("endpoint", "status", "exception")
+            .agg(F.max(F.struct("entry_date", "resource")).alias("__m"))
+            .select("endpoint", "status", "exception",
+                    F.col("__m.entry_date").alias("latest"), F.col("__m.resource").alias("resource")))
+
+
+def historic_endpoints(tables: Tables, variant: str = "registry", log_aggregate: DataFrame | None = None) -> DataFrame:
     """R2 (``variant='registry'``) / R4 (``variant='reporting'``).
 
     Grain: organisation, name, dataset, collection, pipeline, endpoint,
@@ -142,9 +158,7 @@ def historic_endpoints(tables: Tables, variant: str = "registry") -> DataFrame:
     ``documentation_url``, renames status/exception and cuts dates to 10 chars.
     """
     reporting = variant == "reporting"
-    log = tables["log"]
-    logagg = log.groupBy("endpoint", "status", "exception", "resource").agg(
-        F.max("entry_date").alias("latest"))
+    logagg = log_aggregate if log_aggregate is not None else historic_log_aggregate(tables["log"])
     source_columns = ["organisation", "name", "collection", "pipeline", "licence"] + \
         (["documentation_url"] if reporting else ["org_dataset"])
     es, e, r = _report_dims(tables, source_columns)
@@ -171,7 +185,8 @@ def historic_endpoints(tables: Tables, variant: str = "registry") -> DataFrame:
 
 
 # -- R3 / R5 -------------------------------------------------------------------------
-def latest_endpoints(tables: Tables, variant: str = "registry", as_of: str = DEFAULT_AS_OF) -> DataFrame:
+def latest_endpoints(tables: Tables, variant: str = "registry", as_of: str = DEFAULT_AS_OF,
+                     log_aggregate: DataFrame | None = None) -> DataFrame:
     """R3 / R5: per (organisation, pipeline) the group with the latest active
     endpoint (``endpoint.end_date = ''``), then latest log entry.
 
@@ -180,11 +195,7 @@ def latest_endpoints(tables: Tables, variant: str = "registry", as_of: str = DEF
     *uncut* texts, then the remaining group columns.
     """
     reporting = variant == "reporting"
-    log = tables["log"]
-    logagg = (log.groupBy("endpoint", "status", "exception")
-              .agg(F.max(F.struct("entry_date", "resource")).alias("__m"))
-              .select("endpoint", "status", "exception",
-                      F.col("__m.entry_date").alias("latest"), F.col("__m.resource").alias("resource")))
+    logagg = log_aggregate if log_aggregate is not None else latest_log_aggregate(tables["log"])
     source_columns = ["organisation", "name", "collection", "pipeline", "licence"] + \
         ([] if reporting else ["org_dataset"])
     es, e, r = _report_dims(tables, source_columns, active_endpoints_only=True)

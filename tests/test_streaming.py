@@ -23,3 +23,26 @@ def test_append_landed_processes_each_file_once(spark, scratch):
     append_landed(spark, src, out, ISSUE_FIELDS, "pipeline", ck).awaitTermination()
     got = rows(spark.read.parquet(out), "pipeline", "resource", "row-number", "value")
     assert got == [("area", "bb", "2", "v"), ("tree", "aa", "1", ""), ("tree", "cc", "3", "")]
+
+
+def test_log_aggregates_maintained_incrementally(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from regscope.fixtures import Fixtures
+    from regscope.plans import registry as reg
+    from regscope.streaming.log_state import maintain_log_aggregates, read_log_aggregates
+    fx = Fixtures.of(spark, "/root/testdata/sf0.001")
+    tables = dict(fx.registry_tables())
+    log_dir, state, ck = f"{scratch}/log", f"{scratch}/state", f"{scratch}/ck"
+    first, second = fx.log.where(F.col("status") == "200"), fx.log.where(F.col("status") != "200")
+    first.write.mode("append").parquet(log_dir)
+    maintain_log_aggregates(spark, log_dir, state, checkpoint=ck).awaitTermination()
+    second.write.mode("append").parquet(log_dir)
+    maintain_log_aggregates(spark, log_dir, state, checkpoint=ck).awaitTermination()
+    maintain_log_aggregates(spark, log_dir, state, checkpoint=ck).awaitTermination()   # nothing new: no change
+    agg = read_log_aggregates(spark, state)
+    for variant in ("reporting", "registry"):
+        full = rows(reg.historic_endpoints(tables, variant))
+        assert rows(reg.historic_endpoints(tables, variant, log_aggregate=agg["historic"])) == full
+        full = rows(reg.latest_endpoints(tables, variant))
+        assert rows(reg.latest_endpoints(tables, variant, log_aggregate=agg["latest"])) == full
