@@ -75,6 +75,11 @@ def main(argv=None) -> int:
     c.add_argument("--input-dir", default="collection/")
     c.add_argument("--output", default="resources.csv")
 
+    c = sub.add_parser("update-log-state", help="fold newly landed log files into the log aggregates state")
+    c.add_argument("--log-dir", required=True)
+    c.add_argument("--state-dir", required=True)
+    c.add_argument("--format", default="parquet")
+
     for name in ("build-registry", "build-reports", "build-performance", "check-performance"):
         c = sub.add_parser(name)
         c.add_argument("--collection-dir", default="collection/")
@@ -84,6 +89,7 @@ def main(argv=None) -> int:
         c.add_argument("--column-field-csv", default="column-field/column-field.csv")
         c.add_argument("--operational-issue-csv", default=None)
         c.add_argument("--as-of", default=None, help="report date, ISO (default: fixed 2003-01-01)")
+        c.add_argument("--log-state", default=None, help="read the maintained log aggregates from this state")
         c.add_argument("--out", default="dataset/")
 
     a = ap.parse_args(argv)
@@ -147,6 +153,10 @@ def main(argv=None) -> int:
         from regscope.sinks import write_csv
         from regscope.sources.csv import sniff_files
         write_csv(sniff_files(spark, a.pattern), ["path", "filetype"], a.output)
+    elif a.cmd == "update-log-state":
+        from regscope.streaming.log_state import maintain_log_aggregates
+        opts = {"header": "true"} if a.format == "csv" else None
+        maintain_log_aggregates(spark, a.log_dir, a.state_dir, fmt=a.format, options=opts).awaitTermination()
     elif a.cmd == "resources":
         from regscope.sinks import write_csv
         cat = build.catalogue_from_collection(spark, a.input_dir)
@@ -155,6 +165,9 @@ def main(argv=None) -> int:
         tables = build.load_registry(spark, a.collection_dir, a.specification_dir, a.cache_dir,
                                      a.issue_csv, a.column_field_csv)
         kw = {"as_of": a.as_of} if a.as_of else {}
+        if a.log_state and a.cmd != "check-performance":
+            from regscope.streaming.log_state import read_log_aggregates
+            kw["log_aggregates"] = read_log_aggregates(spark, a.log_state)
         if a.cmd == "build-registry":
             from regscope.sources.csv import files_exist, read_csv_text
             spec_csv = f"{a.specification_dir.rstrip('/')}/specification.csv"

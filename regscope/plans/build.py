@@ -140,17 +140,18 @@ def concat_converted_resources(spark: SparkSession, input_dir: str, out_dir: str
 
 def build_registry(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
                    operational_issue_csv: str | None = None, as_of: str = DEFAULT_AS_OF,
-                   specification: DataFrame | None = None) -> dict[str, str]:
+                   specification: DataFrame | None = None,
+                   log_aggregates: Mapping[str, DataFrame] | None = None) -> dict[str, str]:
     """Second pass: most recent log, historic and latest endpoints (registry
     variants), the typed operational-issue table and the specification table,
     as Parquet."""
     out = {
         "reporting_most_recent_log": write_parquet(reg.most_recent_log(tables["log"]),
                                                    "reporting_most_recent_log", out_dir),
-        "reporting_historic_endpoints": write_parquet(reg.historic_endpoints(tables, "registry"),
+        "reporting_historic_endpoints": write_parquet(reg.historic_endpoints(tables, "registry", _agg(log_aggregates, "historic")),
                                                       "reporting_historic_endpoints", out_dir,
                                                       sort_by=REPORT_ORDER["reporting_historic_endpoints"]),
-        "reporting_latest_endpoints": write_parquet(reg.latest_endpoints(tables, "registry", as_of),
+        "reporting_latest_endpoints": write_parquet(reg.latest_endpoints(tables, "registry", as_of, _agg(log_aggregates, "latest")),
                                                     "reporting_latest_endpoints", out_dir,
                                                     sort_by=REPORT_ORDER["reporting_latest_endpoints"]),
     }
@@ -162,23 +163,31 @@ def build_registry(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir
     return out
 
 
-def build_reports(tables: Mapping[str, DataFrame], out_dir: str, as_of: str = DEFAULT_AS_OF) -> dict[str, str]:
+def _agg(log_aggregates, name):
+    """The maintained log aggregate ``name`` if given (see ``streaming.log_state``)."""
+    return None if log_aggregates is None else log_aggregates[name]
+
+
+def build_reports(tables: Mapping[str, DataFrame], out_dir: str, as_of: str = DEFAULT_AS_OF,
+                  log_aggregates: Mapping[str, DataFrame] | None = None) -> dict[str, str]:
     """Third pass, part one: the reporting variants of historic/latest endpoints."""
     return {
-        "reporting_historic_endpoints": write_parquet(reg.historic_endpoints(tables, "reporting"),
+        "reporting_historic_endpoints": write_parquet(reg.historic_endpoints(tables, "reporting", _agg(log_aggregates, "historic")),
                                                       "reporting_historic_endpoints", out_dir,
                                                       sort_by=REPORT_ORDER["reporting_historic_endpoints"]),
-        "reporting_latest_endpoints": write_parquet(reg.latest_endpoints(tables, "reporting", as_of),
+        "reporting_latest_endpoints": write_parquet(reg.latest_endpoints(tables, "reporting", as_of, _agg(log_aggregates, "latest")),
                                                     "reporting_latest_endpoints", out_dir,
                                                     sort_by=REPORT_ORDER["reporting_latest_endpoints"]),
     }
 
 
 def build_performance_tables(tables: Mapping[str, DataFrame], out_dir: str,
-                             as_of: str = DEFAULT_AS_OF) -> dict[str, str]:
+                             as_of: str = DEFAULT_AS_OF,
+                             log_aggregates: Mapping[str, DataFrame] | None = None) -> dict[str, str]:
     """Third pass, part two: the four performance tables. The historic
     endpoints report they share is computed once and materialised."""
-    historic = materialize(reg.historic_endpoints(tables, "reporting"), "reporting_historic_endpoints")
+    historic = materialize(reg.historic_endpoints(tables, "reporting", _agg(log_aggregates, "historic")),
+                           "reporting_historic_endpoints")
     provisions = perf.provision_data(tables["provision"], tables["organisation"])
     prov_rep = materialize(perf.provision_reporting(provisions, perf.reporting_data(historic)),
                            "provision_reporting")

@@ -92,3 +92,27 @@ def test_cli_scripts(spark, scratch):
     assert main(["slugs", "--cache-dir", f"{d}/var/cache", "--output", f"{d}/slugs.csv"]) == 0
     assert rows(read_csv_text(spark, f"{d}/slugs.csv")) == [("/area/1", "geography"),
                                                             ("/organisation/local-authority/E1", "organisation")]
+
+
+def test_cli_log_state_matches_full_log(spark, scratch):
+    d = scratch
+    log_rows = [("e1", "2021-01-01T10:00:00Z", "200", "", "r1"), ("e1", "2021-01-02T10:00:00Z", "404", "", ""),
+                ("e2", "2021-02-01T00:00:00Z", "200", "", "r1")]
+    _write(f"{d}/collection/log.csv", "endpoint,entry-date,status,exception,resource\n" +
+           "".join(",".join(r) + "\n" for r in log_rows))
+    _write(f"{d}/collection/source.csv", "source,organisation,collection,endpoint,licence,documentation-url,pipelines\n"
+                                         "s1,local-authority-eng:A,c1,e1,ogl,doc,tree\ns2,local-authority:A,c1,e2,,d2,tree\n")
+    _write(f"{d}/collection/endpoint.csv", "endpoint,endpoint-url,entry-date,end-date\n"
+                                           "e1,u1,2020-01-01T00:00:00Z,\ne2,u2,2020-02-01T00:00:00Z,\n")
+    _write(f"{d}/collection/resource.csv", "resource,start-date,end-date,endpoints\nr1,2020-01-01,,e1\n")
+    _write(f"{d}/var/cache/organisation.csv", "organisation,name,dataset\nlocal-authority:A,Alpha,ds\n")
+    spark.createDataFrame(log_rows, "endpoint string, entry_date string, status string, exception string, "
+                                    "resource string").write.parquet(f"{d}/landed-log")
+    assert main(["update-log-state", "--log-dir", f"{d}/landed-log", "--state-dir", f"{d}/state"]) == 0
+    common = ["--collection-dir", f"{d}/collection", "--specification-dir", f"{d}/specification",
+              "--cache-dir", f"{d}/var/cache"]
+    assert main(["build-reports", *common, "--out", f"{d}/full"]) == 0
+    assert main(["build-reports", *common, "--log-state", f"{d}/state", "--out", f"{d}/incremental"]) == 0
+    for t in ("reporting_historic_endpoints", "reporting_latest_endpoints"):
+        full = rows(spark.read.parquet(f"{d}/full/{t}.parquet"))
+        assert full and rows(spark.read.parquet(f"{d}/incremental/{t}.parquet")) == full
