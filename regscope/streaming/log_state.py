@@ -49,10 +49,23 @@ def maintain_log_aggregates(spark: SparkSession, log_dir: str, state_dir: str, f
     state = state_dir.rstrip("/")
     if checkpoint is None:
         checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/regscope-log-state/{state.strip('/').replace('/', '_')}"
+    options = dict(options or {})
+    if fmt == "csv":
+        # CSV columns are matched by header name: the schema is the landed header
+        # itself (all text), and enforceSchema=false makes Spark check every file's
+        # header against it instead of assigning columns by position
+        options.setdefault("header", "true")
+        header = spark.read.options(**options).csv(log_dir).columns
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        options["enforceSchema"] = "false"
     reader = spark.readStream.schema(schema).format(fmt)
-    for k, v in (options or {}).items():
+    for k, v in options.items():
         reader = reader.option(k, v)
-    stream = reader.load(log_dir).select(*[f.name for f in LOG_SCHEMA.fields])
+    raw = reader.load(log_dir)
+    raw = raw.withColumnsRenamed({c: c.replace("-", "_") for c in raw.columns if "-" in c})
+    if fmt == "csv":
+        raw = raw.fillna("", subset=list(raw.columns))   # a blank CSV cell is '', as in the batch readers
+    stream = raw.select(*[f.name for f in LOG_SCHEMA.fields])
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         for name, (aggregate, combine) in _PARTS.items():

@@ -46,3 +46,14 @@ def test_log_aggregates_maintained_incrementally(spark, scratch):
         assert rows(reg.historic_endpoints(tables, variant, log_aggregate=agg["historic"])) == full
         full = rows(reg.latest_endpoints(tables, variant))
         assert rows(reg.latest_endpoints(tables, variant, log_aggregate=agg["latest"])) == full
+
+
+def test_log_state_from_csv_with_other_header_order(spark, scratch):
+    from regscope.streaming.log_state import maintain_log_aggregates, read_log_aggregates
+    _write(f"{scratch}/log/a.csv", "endpoint,resource,status,exception,entry-date\n"
+                                   "e1,r1,200,,2021-01-01T00:00:00Z\ne1,r2,200,,2021-02-01T00:00:00Z\n")
+    maintain_log_aggregates(spark, f"{scratch}/log", f"{scratch}/state", fmt="csv",
+                            checkpoint=f"{scratch}/ck").awaitTermination()
+    latest = read_log_aggregates(spark, f"{scratch}/state")["latest"]
+    assert rows(latest, "endpoint", "status", "exception", "latest", "resource") == [
+        ("e1", "200", "", "2021-02-01T00:00:00Z", "r2")]
