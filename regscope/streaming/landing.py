@@ -27,7 +27,13 @@ from regscope.session import ensure_checkpoint_dir
 
 def landed_csv_stream(spark: SparkSession, input_dir: str, fields: Sequence[str], key_column: str) -> DataFrame:
     """Streaming DataFrame over ``input_dir/<key>/<hash>.csv`` files (all text
-    columns ``fields``; blanks are ``''``), with path keys applied."""
+    columns ``fields``; blanks are ``''``), with path keys applied.
+
+    A streaming source has one schema, so landed files must carry the header
+    ``fields`` (as one pipeline tool writes them); ``enforceSchema=false`` makes
+    Spark reject a file with another header instead of assigning columns by
+    position. Files with differing headers go through the batch passes
+    (``plans.build.concat_issues``), which match columns by name."""
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     raw = (spark.readStream.schema(schema).option("header", True).option("multiLine", True)
            .option("escape", '"').option("enforceSchema", False)
