@@ -6,8 +6,9 @@ associatively. So instead of re-aggregating the whole log on every run, a
 Structured Streaming file source reads only the log files landed since the
 last run (the checkpoint records which), and ``foreachBatch`` merges the
 batch's aggregates into a versioned state table: version ``v=N`` is version
-``v=N-1`` merged with batch ``N``. A re-run of a failed batch rewrites the same
-version from the same inputs, so the state is exactly-once. The reports then
+``v=N-1`` merged with batch ``N``, published by a commit marker once both
+parts are written. A re-run of a failed batch rewrites the same version from
+the same inputs, so the state is exactly-once and readers see whole versions. The reports then
 take the state as their ``log_aggregate``; the state grows with the number of
 (endpoint, status, exception, resource) combinations, not with the log.
 """
@@ -73,16 +74,18 @@ def maintain_log_aggregates(spark: SparkSession, log_dir: str, state_dir: str, f
             if batch_id > 0:
                 new = combine(batch.sparkSession.read.parquet(f"{state}/{name}/v={batch_id - 1}"), new)
             new.write.mode("overwrite").parquet(f"{state}/{name}/v={batch_id}")
+        # both parts of this version are complete: publish it
+        batch.sparkSession.createDataFrame([(batch_id,)], "batch long") \
+            .write.mode("overwrite").parquet(f"{state}/commits/v={batch_id}")
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def read_log_aggregates(spark: SparkSession, state_dir: str) -> dict[str, DataFrame]:
-    """The current (highest) version of each aggregate: ``{"historic": ..., "latest": ...}``."""
-    out = {}
-    for name in _PARTS:
-        versions = spark.read.parquet(f"{state_dir.rstrip('/')}/{name}")
-        current = versions.agg(F.max("v")).first()[0]
-        out[name] = versions.where(F.col("v") == current).drop("v")
-    return out
+    """The latest *committed* version of the aggregates:
+    ``{"historic": ..., "latest": ...}``. A version is committed only after both
+    parts are written, so readers never mix versions of an interrupted batch."""
+    state = state_dir.rstrip("/")
+    current = spark.read.parquet(f"{state}/commits").agg(F.max("v")).first()[0]
+    return {name: spark.read.parquet(f"{state}/{name}/v={current}") for name in _PARTS}
