@@ -146,3 +146,29 @@ def test_provision_summary_matches_model(spark, prov_rows, issue_rows):
             counts.append(sum(i[3] for _, i in active if i and i[1] == s and i[2] == r))
         expect[org] = tuple(counts)
     assert got == expect
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.datetimes(min_value=__import__("datetime").datetime(1900, 1, 1),
+                                       max_value=__import__("datetime").datetime(2099, 12, 31)),
+                          st.sampled_from(["Z", ".5Z", ".123+01:00", "-05:30", "", "date", "month", "year"])),
+                min_size=1, max_size=15))
+def test_normalise_timestamp_matches_model(spark, data):
+    from regscope.functions.dates import normalise_timestamp
+    texts = []
+    for dt, suffix in data:
+        base = dt.strftime("%Y-%m-%dT%H:%M:%S")
+        texts.append({"date": base[:10], "month": base[:7], "year": base[:4]}.get(suffix, base + suffix))
+    texts = [t for t in texts if len(t) != 19]       # 19 characters (no zone marker) is an error shape
+    if not texts:
+        return
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = [r[0] for r in df.select(normalise_timestamp("v")).collect()]
+    expect = []
+    for t in texts:
+        if len(t) >= 20:
+            expect.append(t[:19] + "Z")
+        else:
+            y, m, d = (t.split("-") + ["01", "01"])[:3]
+            expect.append(f"{y}-{m}-{d}T00:00:00Z")
+    assert got == expect
