@@ -172,3 +172,22 @@ def test_normalise_timestamp_matches_model(spark, data):
             y, m, d = (t.split("-") + ["01", "01"])[:3]
             expect.append(f"{y}-{m}-{d}T00:00:00Z")
     assert got == expect
+
+
+@SETTINGS
+@given(st.lists(st.tuples(maybe(st.sampled_from(["Start_Date", "start date", "WKT", "ref no", "Name", "x_y z"])),
+                          maybe(st.sampled_from(["start-date", "geometry", "point", "name", "x-y-z", "ref-no"]))),
+                min_size=1, max_size=20))
+def test_mapping_fields_match_model(spark, data):
+    from regscope.functions.keys import mapping_field, non_mapping_field
+    df = spark.createDataFrame(data, "column string, field string")
+    got = [tuple(r) for r in df.select(mapping_field(), non_mapping_field()).collect()]
+
+    def model(column, field):
+        special = field in ("geometry", "point") if field is not None else None
+        same = None if column is None or field is None else \
+            field.upper() == column.replace(" ", "-").replace("_", "-").upper()
+        maps = True if (same is True or special is True) else None if (same is None or special is None) else False
+        non = (None if same is None or special is None else (not same and not special))
+        return (field if maps is True else None, field if non is True else None)
+    assert got == [model(c, f) for c, f in data]
