@@ -191,3 +191,17 @@ def test_mapping_fields_match_model(spark, data):
         non = (None if same is None or special is None else (not same and not special))
         return (field if maps is True else None, field if non is True else None)
     assert got == [model(c, f) for c, f in data]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(maybe(st.sampled_from(["", "s1", "s 2"])), maybe(st.text(alphabet="abc-:", max_size=5)),
+                          maybe(st.text(alphabet="xyz|", max_size=4)), maybe(st.text(alphabet="0f", max_size=4))),
+                min_size=1, max_size=15))
+def test_source_key_matches_md5(spark, data):
+    import hashlib
+
+    from regscope.functions.keys import source_key
+    df = spark.createDataFrame(data, "source string, collection string, organisation string, endpoint string")
+    got = [r[0] for r in df.select(source_key()).collect()]
+    expect = [hashlib.md5(f"{c or ''}|{o or ''}|{e or ''}".encode()).hexdigest() if s else s for s, c, o, e in data]
+    assert got == expect
