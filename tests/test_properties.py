@@ -205,3 +205,22 @@ def test_source_key_matches_md5(spark, data):
     got = [r[0] for r in df.select(source_key()).collect()]
     expect = [hashlib.md5(f"{c or ''}|{o or ''}|{e or ''}".encode()).hexdigest() if s else s for s, c, o, e in data]
     assert got == expect
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.booleans(), st.integers(1, 5_000_000)), min_size=1, max_size=30),
+       st.sampled_from([1, 1000, 1 << 20]))
+def test_blank_groups_with_sparse_positions(spark, items, width):
+    pos, data = 0, []
+    for blank, gap in items:                       # strictly increasing, gappy positions
+        pos += gap
+        data.append((pos, "" if blank else f"/s/{pos}", "" if blank else "n"))
+    df = spark.createDataFrame(data, "pos long, slug string, name string")
+    got = rows(blank_delimited_groups(df, "pos", ["slug", "name"], bucket_width=width), "pos", "group_id")
+    n, expect = 0, []
+    for p, slug, _ in data:
+        if slug == "":
+            n += 1
+        else:
+            expect.append((p, n))
+    assert got == expect
