@@ -153,3 +153,16 @@ def test_planning_authorities_and_indexes(t):
     assert rows(cat.organisation_datasets(t["source"])) == [
         ("local-authority-eng:A", "area;tree", 2), ("local-authority-eng:B", ";tree", 2),
         ("local-authority:A", "tree", 1)]
+
+
+def test_unmapped_resource_reasons(spark):
+    from regscope.plans.catalogue import unmapped_resources
+    endpoint = spark.createDataFrame([("e1",), ("e2",), ("e3",)], "endpoint string")
+    source = spark.createDataFrame([("s1", "c1", "e1", "tree", 0), ("s3", "c3", "e3", "tree;", 1)],
+                                   "source string, collection string, endpoint string, pipelines string, pos int")
+    resource = spark.createDataFrame([("r1", "e1", 0), ("r2", "e9", 1), ("r3", "e2", 2), ("r4", "e3", 3)],
+                                     "resource string, endpoints string, pos int")
+    old = spark.createDataFrame([], "old_resource string, resource string")
+    got = sorted(tuple(r) for r in unmapped_resources(endpoint, source, resource, old).collect())
+    # r1 fine; r2 lists no known endpoint; r3's endpoint has no source; r4's source lists a blank pipeline
+    assert got == [("r2", None, "no-endpoint"), ("r3", "", "no-pipeline"), ("r4", "c3", "blank-pipeline")]
