@@ -191,8 +191,9 @@ def _byte_check(hits: DataFrame, own: DataFrame, texts: DataFrame) -> DataFrame:
     norm = F.regexp_replace(F.coalesce("_text", F.lit("")), BLANKS, " ")
 
     def one(ids: str, source: DataFrame, name: str) -> DataFrame:
+        # a sort-merge join at every size: few hits would be broadcast, many not
         wanted = hits.select(*KEY, F.col(ids).alias("_want"))
-        found = wanted.join(source, F.expr("_want <=> _id")).select(*KEY, norm.alias(name)).filter(F.sha2(name, 256) == F.col("sha"))
+        found = wanted.hint("merge").join(source, F.expr("_want <=> _id")).select(*KEY, norm.alias(name)).filter(F.sha2(name, 256) == F.col("sha"))
         return found.groupBy(*KEY).agg(F.min(name).alias(name), F.max(name).alias(f"{name}_max"))
 
     both = hits.select(*KEY).join(one("own_id", own, "a"), KEY).join(one("old_id", texts, "b"), KEY)
