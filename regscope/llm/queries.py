@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regscope.llm import chat, exact_dedup, mixing, sharding
+from regscope.llm import chat, exact_dedup, mixing, packing, quality, sharding, simhash, toxicity
 from regscope.llm.common import read_table
 
 
@@ -18,10 +18,26 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.with_probe(spark, read_table(spark, sf_dir, "conversations"))
     return chat.digest(chat.format_conversations(rows))
@@ -30,6 +46,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
+    "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
+    "op6_toxicity": op6_toxicity,
+    "op7_simhash": op7_simhash,
+    "op9_quality_rules": op9_quality_rules,
     "op10_chat_format": op10_chat_format,
 }
