@@ -5,10 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regscope.llm import chat, exact_dedup, mixing, packing, quality, sharding, simhash, toxicity
+from regscope.llm import chat, exact_dedup, mixing, packing, quality, sharding, simhash, substring, toxicity
 from regscope.llm.common import read_table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.exact_dedup(spark, exact_dedup.split_batches(docs))
@@ -44,6 +48,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
     "op4_packing": op4_packing,
