@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regscope.llm import chat, exact_dedup, mixing, packing, quality, sharding, simhash, substring, toxicity
+from regscope.llm import chat, exact_dedup, mixing, packing, quality, sharding, simhash, substring, suffix, toxicity
 from regscope.llm.common import read_table
 
 
@@ -38,6 +38,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.suffix_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(spark, read_table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_chat_format": op10_chat_format,
 }
