@@ -61,3 +61,14 @@ def batch_plan(total_bytes: int, unit: int = 4 << 20) -> tuple[int, int]:
 def with_batch(docs: DataFrame, n: int, columns: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``pid`` (0 to n-1, from the row's own values) and the given columns."""
     return docs.select(F.pmod(F.xxhash64(row_key(id_col, text_col)), F.lit(n)).cast("int").alias("pid"), *columns)
+
+
+def row_id(id_col: str = "doc_id", text: Column | str = "text") -> Column:
+    """A row's id and a hash of its text, as one key without nulls."""
+    return F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.xxhash64(text).cast("string"))
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, key: Column) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is among ``kept``'s distinct ``__llm_row``
+    values, one for each; all columns stay as they are."""
+    return docs.withColumn("__llm_row", key).join(kept, "__llm_row", "left_semi").dropDuplicates(["__llm_row"]).drop("__llm_row")

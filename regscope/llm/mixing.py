@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from regscope.llm.common import WORD, stage
+from regscope.llm.common import WORD, row_id, stage
 
 # Fixed values of the default mix.
 WEIGHTS = (3, 1, 2)
@@ -132,14 +132,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     takes words comes once or twice, the one at a quota's end with the first
     words of its text only. Rows that repeat both id and text are one document
     that comes as often as the mix takes all of them."""
-    taken = mix(docs, **options).groupBy("doc_id", "text_key", "size").agg(F.sum("taken").alias("_taken"))
-    taken = taken.filter("_taken > 0").withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "size": "_size"})
-    own = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_key", F.xxhash64("text")).dropDuplicates(["_id", "_key"])
-    d = own.join(taken.withColumnsRenamed({"_id": "_i", "_key": "_k"}), F.expr("_id <=> _i and _key = _k"))
-    parts = F.transform(F.sequence(F.lit(0).cast("long"), F.expr("(_taken - 1) div _size")), lambda i: F.least(F.col("_size"), F.col("_taken") - i * F.col("_size")))
-    d = d.withColumn("_part", F.explode(parts))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), 1, F.col("_part").cast("int")), " ")
-    d = d.withColumn("text", F.when(F.col("_part") == F.col("_size"), F.col("text")).otherwise(cut))
+    taken = mix(docs, **options).withColumn("__llm_row", F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.col("text_key").cast("string")))
+    taken = taken.groupBy("__llm_row", F.col("size").alias("__llm_size")).agg(F.sum("taken").alias("__llm_taken")).filter("__llm_taken > 0")
+    d = docs.withColumn("__llm_row", row_id()).dropDuplicates(["__llm_row"]).join(taken, "__llm_row")
+    parts = F.transform(F.sequence(F.lit(0).cast("long"), F.expr("(__llm_taken - 1) div __llm_size")), lambda i: F.least(F.col("__llm_size"), F.col("__llm_taken") - i * F.col("__llm_size")))
+    d = d.withColumn("__llm_part", F.explode(parts))
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), 1, F.col("__llm_part").cast("int")), " ")
+    d = d.withColumn("text", F.when(F.col("__llm_part") == F.col("__llm_size"), F.col("text")).otherwise(cut))
     if "n_chars" in docs.columns:
         d = d.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return d.select(*docs.columns)

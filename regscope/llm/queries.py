@@ -35,7 +35,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(spark, read_table(spark, sf_dir, "documents"))
+    found = simhash.near_duplicates(spark, read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

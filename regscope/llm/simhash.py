@@ -84,16 +84,16 @@ def fingerprints_of(held: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long)."""
+    """(doc_id, text_key, fp long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             held = texts(b.column("text"))
             fp = np.concatenate([fingerprints_of(held[i:j], shingle) for i, j in chunks(map(len, held))] or [np.empty(0, np.uint64)])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_key"), pa.array(fp.view(np.int64))], ["doc_id", "text_key", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(text_col).alias("text_key"))
+    return rows.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def _syndrome(x: int) -> int:
@@ -187,11 +187,20 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, fingerprint, component_id."""
+    """One row per document: doc_id, fingerprint, component_id; and component (a
+    fingerprint that names the component), text_key."""
     marked = stage(spark, fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     nodes = stage(spark, marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     found = connected_components(spark, links(nodes, distance))
-    joined = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
-    names = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = joined.select("fp", "root").join(names, "root").select("fp", "component_id")
-    return marked.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    joined = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    names = joined.groupBy("component").agg(F.min("least").alias("component_id"))
+    of = joined.select("fp", "component").join(names, "component")
+    return marked.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component", "text_key")
+
+
+def representatives(found: DataFrame) -> DataFrame:
+    """The row that stays of each component of ``near_duplicates``: that of
+    smallest id (null last), as ``__llm_row``."""
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first")
+    f = found.groupBy("component").agg(first)
+    return f.select(F.concat_ws("|", F.coalesce(F.col("first.doc_id").cast("string"), F.lit("-")), F.col("first.text_key").cast("string")).alias("__llm_row")).distinct()

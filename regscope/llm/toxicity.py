@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regscope.llm.common import stage
 from regscope.llm.words import CACHE_WORDS, texts
@@ -182,8 +183,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int
                                 np.frombuffer(model["factor"]).reshape(-1, factors))
 
 
-def score(spark: SparkSession, docs: DataFrame, model: FactorizationMachine) -> DataFrame:
-    """``docs`` (any columns, with text) plus ``score``."""
+def score(spark: SparkSession, docs: DataFrame, model: FactorizationMachine, name: str = "score") -> DataFrame:
+    """``docs`` (any columns, with text) plus the score under ``name``."""
     shared = spark.sparkContext.broadcast((model.chosen, model.bias, model.weight, model.factor))
     text_at = docs.columns.index("text")
 
@@ -192,10 +193,9 @@ def score(spark: SparkSession, docs: DataFrame, model: FactorizationMachine) ->
         held = WordTerms({int(t): i for i, t in enumerate(m.chosen)})
         for b in batches:
             s = m.scores([held.of(t) for t in texts(b.column(text_at))])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*b.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*b.schema.names, name])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, score double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def training_fold(id_col: str = "doc_id"):
