@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 
 from regscope.llm.common import batch_plan, text_bytes, with_batch
 from regscope.llm.exchange import ANSWER, SENT, answer, answered, ids, ranges, send, sorted_rows
-from regscope.llm.words import rolling, texts
+from regscope.llm.words import mix, rolling, texts
 
 LENGTH = 50
 GRAM = 24
@@ -56,7 +56,8 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
     rest = span - width
     at = (np.minimum(low[:n], low[rest:rest + n]) & _LOWER).astype(np.int64)
     start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return h[at[start]], start
+    # least hashes are small numbers: mixed again, they fall evenly into the key ranges
+    return mix(h[at[start]] + np.uint64(1)), start
 
 
 class BlindTrie:
