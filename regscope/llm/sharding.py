@@ -6,7 +6,7 @@ two partial partitions of largest spread (largest minus smallest shard) and join
 them oppositely ordered, largest shard with smallest, until one is left. Buckets
 of groups are differenced in parallel, each down to one partial partition; then
 buckets of those in turn, ``fan_in`` at a time, until one is left: no task holds
-more than ``fan_in`` of them.
+more than ``fan_in`` of them, and the last one the large groups besides.
 
 Size of a row: UTF-8 bytes of its text (null: none) plus 1. Null and empty text
 are one group. A group larger than a fair share fills its shard alone; it is not
@@ -28,6 +28,7 @@ from regscope.llm.common import stage
 
 SHARDS = 8
 FAN_IN = 20_000
+HEAVY = 1_000
 RANK_ROWS = 20_000
 
 
@@ -88,26 +89,32 @@ def _join_level(parts: DataFrame, buckets: int, k: int) -> DataFrame:
     return parts.select(b, "id", "sums").groupBy("bucket").applyInPandas(join, "bucket long, id long, places array<int>, sums array<long>")
 
 
-def assign_groups(spark: SparkSession, groups: DataFrame, shards: int = SHARDS, fan_in: int = FAN_IN) -> DataFrame:
-    """groups: (id long, size long), ids distinct. Returns (id, shard int)."""
-    n = groups.count()
-    zeros = F.array(*[F.lit(0).cast("long")] * (shards - 1))
-    parts = groups.select("id", F.concat(F.array("size"), zeros).alias("sums"))
-    levels = []
+def assign_groups(spark: SparkSession, groups: DataFrame, shards: int = SHARDS, fan_in: int = FAN_IN, heavy: int = HEAVY) -> DataFrame:
+    """groups: (id long, size long), ids distinct and not negative. Returns (id,
+    shard int). Groups above a ``heavy``-th of a fair share, of which there can be
+    ``shards * heavy`` at most, wait for the last join, where they balance best."""
+    total, count = groups.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    sums = F.concat(F.array("size"), F.array(*[F.lit(0).cast("long")] * (shards - 1))).alias("sums")
+    large = F.col("size") > max(1, total // (shards * heavy))
+    parts, last = groups.filter(~large).select("id", sums), groups.filter(large).select((-1 - F.col("id")).alias("id"), sums)
+    levels, n = [], count
     while True:
         buckets = -(-n // fan_in) or 1
+        if buckets == 1:
+            parts = parts.unionByName(last)
         level = stage(spark, _join_level(parts, buckets, shards), f"shards{len(levels)}")
         levels.append(level.filter("id is not null").select("bucket", "id", "places"))
         if buckets == 1:
             break
         parts, n = level.filter("id is null").select(F.col("bucket").alias("id"), "sums"), buckets
-    # from the top down: where each bucket's k parts ended
+    # from the top down: where each bucket's parts ended
     top = levels.pop()
+    done = top.filter("id < 0").select((-1 - F.col("id")).alias("id"), "places")
+    top = top.filter("id >= 0").select("id", "places")
     while levels:
         up = top.select(F.col("id").alias("bucket"), F.col("places").alias("_up"))
-        low = levels.pop()
-        top = low.join(up, "bucket").select("id", F.transform("places", lambda i: F.element_at("_up", i + 1)).alias("places"))
-    return top.select("id", F.element_at("places", 1).cast("int").alias("shard"))
+        top = levels.pop().join(up, "bucket").select("id", F.transform("places", lambda i: F.element_at("_up", i + 1)).alias("places"))
+    return top.unionByName(done).select("id", F.element_at("places", 1).cast("int").alias("shard"))
 
 
 def shard_by_bytes(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, fan_in: int = FAN_IN,
