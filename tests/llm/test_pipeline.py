@@ -1,0 +1,85 @@
+import importlib.util
+import re
+import sys
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+import models as M  # noqa: E402
+from test_operators import SCHEMA, corpus, frame, toxic_rows  # noqa: E402
+
+import corpus_pipeline  # noqa: E402
+from regscope.llm import mixing, packing, simhash, toxicity  # noqa: E402
+from regscope.llm.queries import QUERIES  # noqa: E402
+
+ROOT = Path(__file__).parents[2]
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("pipeline"))
+    plain = [(10_000 + i, t) for i, (_, t) in enumerate(corpus(5, 60))] + [(None, "null id " * 40), (None, "null id " * 40), (10_003, "x y z")]
+    rows, labels = toxic_rows(300)
+    frame(spark, rows + plain).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([(1, 0, "user", "x"), (1, 1, "assistant", "y")], "conv_id long, turn long, role string, text string").write.parquet(f"{d}/conversations.parquet")
+    return d
+
+
+def test_pipeline_matches_brute_force(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    seen, at = {}, docs
+    for name, step in corpus_pipeline.STAGES:
+        out = step(spark, at, tables)
+        rows = out.collect()
+        seen[name] = rows
+        if name != "packing":
+            assert out.columns == docs.columns
+            at = spark.createDataFrame(rows, docs.schema)
+    everything = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    model = toxicity.train(spark, docs, spark.read.parquet(f"{tables}/labels.parquet").filter(toxicity.training_fold()))
+    terms = toxicity.WordTerms({int(t): i for i, t in enumerate(model.chosen)})
+    clean = [(d, t) for d, t in everything if model.scores([terms.of((t or "").encode())])[0] < toxicity.THRESHOLD]
+    assert Counter((r["doc_id"], r["text"]) for r in seen["toxicity"]) == Counter(clean) and 20 < len(everything) - len(clean) < 100
+
+    first = {}
+    for d, t in M.in_order(clean):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), (d, t))
+    unique = list(first.values())
+    assert Counter(r["doc_id"] for r in seen["exact_dedup"]) == Counter(d for d, _ in unique)
+    unique = [(r["doc_id"], r["text"]) for r in seen["exact_dedup"]]
+
+    want, groups = M.components(unique)
+    near = [(r["doc_id"], r["text"]) for r in seen["simhash_near_dedup"]]
+    assert len(near) == groups and all(d is None or (d, f"{M.fingerprint(t):016x}", d) in want for d, t in near)
+
+    taken = {(r["doc_id"], r["size"]): r["taken"] for r in mixing.mix(spark.createDataFrame(seen["simhash_near_dedup"], docs.schema)).collect()}
+    got = Counter()
+    for r in seen["mixing"]:
+        got[r["doc_id"]] += len(M.words(r["text"]))
+    need = Counter()
+    for (d, _), n in taken.items():
+        need[d] += n
+    assert got == +need
+
+    ids = packing.word_ids(None)
+    tokens = sum(len(ids.encode((r["text"] or "").encode().split())) // 4 + 1 for r in seen["mixing"])
+    assert sum(r["length"] for r in seen["packing"]) == tokens
+
+
+def test_run_and_queries(spark, tables):
+    out = corpus_pipeline.run(spark, tables)
+    assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and out.count() > 50
+    for name, q in QUERIES.items():
+        assert q(spark, tables).count() > 0, name
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+
+
+def test_library_does_without_the_corpus_part():
+    own = {p.relative_to(ROOT) for p in (ROOT / "regscope").rglob("*.py") if "llm" not in p.parts}
+    for p in own:
+        assert "regscope.llm" not in (ROOT / p).read_text() and "corpus_pipeline" not in (ROOT / p).read_text(), p
+    assert importlib.util.find_spec("corpus_pipeline") and SCHEMA and np and simhash
