@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ END_ID = 2
 MAX_TOKENS = 4096
 MAX_SEGMENTS = 512
 MIN_CUT = 16
+#: Words tokenized at a time as one text.
+JOINED = 4_000
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -41,7 +44,9 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 class WordIds(dict):
     """word (bytes) to its token ids (little-endian unsigned 32-bit). The
     tokenizer never joins characters across ASCII blanks and drops them, so a
-    text's ids are its words' ids, one after the other."""
+    text's ids are its words' ids, one after the other; letters and the full stops
+    or commas behind them are taken apart as well, and ASCII case does not count.
+    New words are learned for a whole batch at once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -49,14 +54,53 @@ class WordIds(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def encode(self, words: list[bytes]) -> bytes:
-        if len(self) > CACHE_WORDS:
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters
+        for token, i in vocabulary.items():
+            self.ends[i] = token.endswith("</w>")
+
+    def _ids(self, words: list[bytes]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Runs of letters are tokenized many at a time: each ends with an end-of-word id."""
+        letters, others = [], []
+        for w in words:
+            (letters if w.decode().isalpha() else others).append(w)
+        for i in range(0, len(letters), JOINED):
+            part = letters[i:i + JOINED]
+            ids = self._ids([b" ".join(part)])[0]
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(ends) != len(part) or ends[-1] != 4 * len(ids):
+                others += part
+                continue
+            data, at = ids.tobytes(), 0
+            for w, end in zip(part, ends.tolist(), strict=True):
+                self[w] = data[at:end]
+                at = end
+        for w, ids in zip(others, self._ids(others), strict=True):
+            self[w] = ids.tobytes()
+
+    def encode(self, texts: list[list[bytes]]) -> list[bytes]:
+        """The ids of each list of words."""
+        if len(self) > 2 * CACHE_WORDS:
             self.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self]
-        for w, e in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False), strict=True):
-            self[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join(map(self.__getitem__, words))
+        apart: dict[bytes, tuple[bytes, bytes]] = {}
+        todo: set[bytes] = set()
+        for w in set(chain.from_iterable(texts)):
+            if w in self:
+                continue
+            low = w.lower()
+            core = low.rstrip(b".,")
+            if core and core.decode().isalpha():
+                apart[w] = core, low[len(core):]
+                todo.update(x for x in apart[w] if x)
+            else:
+                todo.add(w)
+        self._learn([w for w in todo if w not in self])
+        for w, (core, tail) in apart.items():
+            self[w] = self[core] + (self[tail] if tail else b"")
+        return [b"".join(map(self.__getitem__, t)) for t in texts]
 
 
 _IDS: dict[str, WordIds] = {}
@@ -175,7 +219,7 @@ def packer(path: str | None, max_tokens: int, max_segments: int, max_loss: int,
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         ids, end = word_ids(path), np.array([END_ID], "<u4").tobytes()
-        held = [ids.encode(t.split()) + end for t in texts(table["text"])]
+        held = [i + end for i in ids.encode([t.split() for t in texts(table["text"])])]
         tokens = np.array([len(h) // 4 for h in held], np.int64)
         rows: list[tuple[int, int, int, int, int, int]] = []
         for seq, pieces in enumerate(pack(tokens, tokens, max_tokens, max_segments, max_loss, min_cut)):

@@ -479,3 +479,12 @@ def test_rolling_hash_equals_its_definition():
         want = [sum(int(x) * pow(base, n - 1 - k, 1 << 64) for k, x in enumerate(h[i:i + n])) % (1 << 64) for i in range(len(h) - n + 1)]
         assert words.rolling(h, n).tolist() == words.mix(np.array(want, np.uint64)).tolist()
     assert len(words.rolling(h[:3], 4)) == 0
+
+
+def test_word_ids_equal_the_tokenizers():
+    ids = packing.word_ids(None)
+    texts = ["Hello, WORLD.. it's I'LL a!. x., 12.5, ...", "Σας ΣΑΣ. café, <|endoftext|>x   ǅ. İstanbul ß\u0085q \x1cẛ̣. ét日本,語.", "", " \n ", "a" * 3000 + ".",
+             "don't. can't, 's. ,a .b ..c.. ñandú, ŉ. ﬁn."]
+    got = ids.encode([t.encode().split() for t in texts])
+    for t, g in zip(texts, got, strict=True):
+        assert np.frombuffer(g, "<u4").tolist() == ids.tokenizer.encode(t, add_special_tokens=False).ids
