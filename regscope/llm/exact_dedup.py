@@ -177,7 +177,9 @@ def exact_dedup(spark: SparkSession, batches: list[DataFrame], id_col: str = "do
     for r, g in zip(rows[1:], groups_seen[1:], strict=True):
         every, seen = every.unionByName(r), seen.unionByName(g)
     sizes = seen.groupBy(*KEY).agg(F.sum("n").alias("group_size"))
-    return every.join(snapshot.join(sizes, KEY), KEY).select(
+    # written first: a join of two plain shuffles, of which Spark splits a very large group
+    known = stage(spark, snapshot.join(sizes, KEY), "known")
+    return every.join(known, KEY).select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
         ((F.col("uid") == F.col("first.uid")) & (F.col("batch") == F.col("first.batch"))).alias("kept"),
         F.col("sha").alias("text_sha256"))
