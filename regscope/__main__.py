@@ -9,6 +9,7 @@ from __future__ import annotations
 import argparse
 import sys
 
+from regscope.functions.dates import now
 from regscope.plans import build
 from regscope.session import build_session
 
@@ -75,10 +76,24 @@ def main(argv=None) -> int:
     c.add_argument("--input-dir", default="collection/")
     c.add_argument("--output", default="resources.csv")
 
-    c = sub.add_parser("update-log-state", help="fold newly landed log files into the log aggregates state")
-    c.add_argument("--log-dir", required=True)
-    c.add_argument("--state-dir", required=True)
-    c.add_argument("--format", default="parquet")
+    c = sub.add_parser("consolidate-all", help="consolidate every collection or pipeline table of all collections")
+    c.add_argument("kind", choices=["collection", "pipeline"])
+    c.add_argument("--var-dir", default=None, help="default: var/<kind>/")
+    c.add_argument("--out-dir", default=None, help="default: <kind>/")
+    c.add_argument("--schema-field", default="specification/schema-field.csv")
+
+    c = sub.add_parser("manifest", help="what to download, as CSV (url, output_path)")
+    c.add_argument("kind", choices=["issue", "column-field", "converted-resource", "resource", "collection-files", "pipeline-files"])
+    c.add_argument("--input-dir", default="collection/")
+    c.add_argument("--landed", default=None, help="CSV of output paths that are there already: they are left out")
+    c.add_argument("--output", default="manifest.csv")
+    c.add_argument("--as-of", default=None)
+
+    c = sub.add_parser("load-registry", help="write every registry and link table as a managed table")
+    c.add_argument("--collection-dir", default="collection/")
+    c.add_argument("--specification-dir", default="specification/")
+    c.add_argument("--pipeline-dir", default="pipeline/")
+    c.add_argument("--cache-dir", default="var/cache/")
 
     for name in ("build-registry", "build-reports", "build-performance", "check-performance"):
         c = sub.add_parser(name)
@@ -88,9 +103,10 @@ def main(argv=None) -> int:
         c.add_argument("--issue-csv", default="issues/issue.csv")
         c.add_argument("--column-field-csv", default="column-field/column-field.csv")
         c.add_argument("--operational-issue-csv", default=None)
-        c.add_argument("--as-of", default=None, help="report date, ISO (default: fixed 2003-01-01)")
-        c.add_argument("--log-state", default=None, help="read the maintained log aggregates from this state")
-        c.add_argument("--out", default="dataset/")
+        c.add_argument("--as-of", default=None, help="report date, ISO (default: now, UTC)")
+        c.add_argument("--database", action="store_true", help="write managed tables as well")
+        # the registry and the reporting variants share table names: folders of their own
+        c.add_argument("--out", default="registry/" if name == "build-registry" else "dataset/")
 
     a = ap.parse_args(argv)
     spark = build_session()
@@ -114,9 +130,8 @@ def main(argv=None) -> int:
         from regscope.sources.csv import files_exist, read_csv_text
         from regscope.sources.parquet import read_parquet_union
         out = a.output_dir.rstrip("/")
-        kw = {"as_of": a.as_of} if a.as_of else {}
         datasets = read_csv_text(spark, f"{a.spec_dir.rstrip('/')}/dataset.csv").select("dataset", "collection")
-        manifest = dataset_manifest(datasets, kinds=("expectation",), **kw)
+        manifest = dataset_manifest(datasets, a.as_of or now(), kinds=("expectation",))
         write_csv(manifest, manifest.columns, f"{out}/manifest.csv")
         pattern = f"{a.cache_dir.rstrip('/')}/*.parquet"
         if files_exist(spark, pattern):
@@ -153,10 +168,30 @@ def main(argv=None) -> int:
         from regscope.sinks import write_csv
         from regscope.sources.csv import sniff_files
         write_csv(sniff_files(spark, a.pattern), ["path", "filetype"], a.output)
-    elif a.cmd == "update-log-state":
-        from regscope.streaming.log_state import maintain_log_aggregates
-        opts = {"header": "true"} if a.format == "csv" else None
-        maintain_log_aggregates(spark, a.log_dir, a.state_dir, fmt=a.format, options=opts).awaitTermination()
+    elif a.cmd == "consolidate-all":
+        from regscope.sources.registry import COLLECTION_TABLES, PIPELINE_TABLES
+        names = COLLECTION_TABLES if a.kind == "collection" else PIPELINE_TABLES
+        fields = {t: _fields_for(spark, a.schema_field, t) for t in names}
+        run = build.consolidate_collection if a.kind == "collection" else build.consolidate_pipeline
+        run(spark, a.var_dir or f"var/{a.kind}/", (a.out_dir or f"{a.kind}/").rstrip("/"), fields)
+    elif a.cmd == "manifest":
+        from pyspark.sql import functions as F
+
+        from regscope.plans import catalogue as cat
+        from regscope.sinks import write_csv
+        from regscope.sources.csv import read_csv_text
+        if a.kind.endswith("-files"):
+            source = read_csv_text(spark, f"{a.input_dir.rstrip('/')}/source.csv")
+            manifest = cat.collection_file_manifest(source.where(F.col("collection") != ""), folder=a.kind.removesuffix("-files"))
+        else:
+            manifest = cat.artifact_manifest(build.catalogue_from_collection(spark, a.input_dir), a.as_of or now(), kinds=(a.kind,))
+        if a.landed:
+            manifest = cat.pending_manifest(manifest, read_csv_text(spark, a.landed))
+        write_csv(manifest, ["url", "output_path"], a.output)
+    elif a.cmd == "load-registry":
+        from regscope.sources.registry import registry_locations, save_registry
+        for name in save_registry(spark, registry_locations(a.collection_dir, a.specification_dir, a.pipeline_dir, a.cache_dir)):
+            print(name)
     elif a.cmd == "resources":
         from regscope.sinks import write_csv
         cat = build.catalogue_from_collection(spark, a.input_dir)
@@ -164,30 +199,27 @@ def main(argv=None) -> int:
     else:
         tables = build.load_registry(spark, a.collection_dir, a.specification_dir, a.cache_dir,
                                      a.issue_csv, a.column_field_csv)
-        kw = {"as_of": a.as_of} if a.as_of else {}
-        if a.log_state and a.cmd != "check-performance":
-            from regscope.streaming.log_state import read_log_aggregates
-            kw["log_aggregates"] = read_log_aggregates(spark, a.log_state)
+        as_of = a.as_of or now()
         if a.cmd == "build-registry":
             from regscope.sources.csv import files_exist, read_csv_text
             spec_csv = f"{a.specification_dir.rstrip('/')}/specification.csv"
             spec = read_csv_text(spark, spec_csv) if files_exist(spark, spec_csv) else None
-            build.build_registry(spark, tables, a.out, a.operational_issue_csv, specification=spec, **kw)
+            build.build_registry(spark, tables, a.out, as_of, a.operational_issue_csv, specification=spec, database=a.database)
         elif a.cmd == "build-reports":
-            build.build_reports(tables, a.out, **kw)
+            build.build_reports(tables, a.out, as_of, database=a.database)
         elif a.cmd == "build-performance":
-            build.build_performance_tables(tables, a.out, **kw)
+            from regscope.sources.csv import files_exist
+            report = f"{a.out.rstrip('/')}/reporting_historic_endpoints.parquet"
+            historic = spark.read.parquet(report) if files_exist(spark, report) else None
+            build.build_performance_tables(tables, a.out, as_of, historic=historic, database=a.database)
         else:
             from regscope.operators.quality import check_columns
             from regscope.plans.performance import EXPECTED_COLUMNS
-            reports = {}
-            for name in EXPECTED_COLUMNS:
-                try:
-                    reports[name] = spark.read.parquet(f"{a.out.rstrip('/')}/{name}.parquet")
-                except Exception:  # noqa: BLE001 - a missing table is reported as missing columns
-                    reports[name] = spark.createDataFrame([], "missing string")
+            from regscope.sources.csv import files_exist
+            paths = {name: f"{a.out.rstrip('/')}/{name}.parquet" for name in EXPECTED_COLUMNS}
+            reports = {name: spark.read.parquet(p) for name, p in paths.items() if files_exist(spark, p)}
             try:
-                check_columns(reports, EXPECTED_COLUMNS)
+                check_columns(spark, reports, EXPECTED_COLUMNS)
             except ValueError as e:
                 print(e, file=sys.stderr)
                 return 1

@@ -19,12 +19,17 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
+# How files of each kind begin (old workbook, new workbook, zip,
+# SQLite, web page, XML, JSON); documents of no kind here are CSV.
+FILE_HEADS = ("\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1", "PK\x03\x04" + "0" * 26 + "[Content_Types].xml", "PK\x03\x04" + "0" * 26 + "data/a.shp",
+              "SQLite format 3\x00", "<!DOCTYPE html>", "<?xml version", "{")
+
+
 def _s(c):
     return c.cast("string")
 
@@ -84,9 +89,10 @@ class Fixtures:
         j = s.join(o, s.s_nationkey == o.n_nationkey)
         return j.select(
             F.when(k % 20 == 0, "").otherwise(F.concat(F.lit("source-"), _s(k))).alias("source"),
-            F.replace(o.organisation, F.lit(":"), F.lit("-eng:")).alias("organisation"),
-            F.concat(F.lit("collection-"), _s(k % 5)).alias("collection"),
-            F.when(k % 15 == 7, "").otherwise(_md5("e", k - k % 2)).alias("endpoint"),
+            F.replace(o.organisation, F.lit(":"), F.when(k % 30 == 4, "-eng-eng:").otherwise("-eng:")).alias("organisation"),
+            F.when(k % 25 == 3, "").when(k % 25 == 9, F.lit(None).cast("string"))
+            .otherwise(F.concat(F.lit("collection-"), _s(k % 5))).alias("collection"),
+            F.when((k % 15 == 7) | ((k - k % 2) % 22 == 0), "").otherwise(_md5("e", k - k % 2)).alias("endpoint"),
             F.when(k % 3 == 0, "ogl3").otherwise("").alias("licence"),
             F.concat(F.lit("https://docs.example.com/"), _s(k)).alias("documentation_url"),
             (F.when(k % 4 == 0, "tree").when(k % 4 == 1, "tree;tree-zone")
@@ -96,26 +102,38 @@ class Fixtures:
 
     @cached_property
     def endpoint(self) -> DataFrame:
+        # some endpoints come twice, the second time with an earlier entry and a later end
         s = self.table("supplier")
-        k = s.s_suppkey
-        return s.where(k % 2 == 0).select(
+        s = s.where(s.s_suppkey % 2 == 0).select("*", F.explode(
+            F.when(s.s_suppkey % 18 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("again"))
+        k, again = s.s_suppkey, F.col("again")
+        return s.select(
             _md5("e", k).alias("endpoint"),
             F.concat(F.lit("https://data.example.com/"), _s(k)).alias("endpoint_url"),
-            F.concat(_s(F.date_add(F.lit("2019-01-01").cast("date"), (k % 90).cast("int"))),
+            F.concat(_s(F.date_add(F.lit("2019-01-01").cast("date"), ((k % 90) - again * 5).cast("int"))),
                      F.lit("T00:00:00Z")).alias("entry_date"),
-            F.when(k % 14 == 0, "2021-06-01").otherwise("").alias("end_date"),
+            F.when(again == 1, "2021-06-15").when(k % 14 == 0, "2021-06-01").otherwise("").alias("end_date"),
+            F.when(k % 22 == 0, "collection-own").otherwise("").alias("collection"),
+            (k * 2 + again).alias("pos"),
         )
 
     @cached_property
     def resource(self) -> DataFrame:
+        # twenty parts a supplier; some resources come twice, some name an unknown
+        # endpoint, some one that no source has
         p = self.table("part")
-        k = p.p_partkey
+        p = p.select("*", F.explode(
+            F.when(p.p_partkey % 40 == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("again"))
+        k, again = p.p_partkey, F.col("again")
+        j = F.floor(k / 20).cast("bigint")
+        first, second = j - j % 2, j + 6 - (j + 6) % 2
         return p.select(
             _md5("r", k).alias("resource"),
-            F.concat(F.lit("2020-01-"), F.lpad(_s(k % 28 + 1), 2, "0")).alias("start_date"),
-            F.when(p.p_size % 10 == 0, "2022-01-01").otherwise("").alias("end_date"),
-            F.concat(_md5("e", (k * 2) % 60), F.lit(";"), _md5("e", (k * 6) % 140)).alias("endpoints"),
-            k.alias("pos"),
+            F.when(again == 1, "2019-12-01").otherwise(F.concat(F.lit("2020-01-"), F.lpad(_s(k % 28 + 1), 2, "0"))).alias("start_date"),
+            F.when(again == 1, "2023-01-01").when(p.p_size % 10 == 0, "2022-01-01").otherwise("").alias("end_date"),
+            F.when(k % 50 == 9, _md5("x", k)).when(k % 50 == 10, _md5("e", F.lit(22)))
+            .otherwise(F.concat(_md5("e", first), F.lit(";"), _md5("e", second))).alias("endpoints"),
+            (k * 2 + again).alias("pos"),
         )
 
     @cached_property
@@ -127,33 +145,32 @@ class Fixtures:
 
     @cached_property
     def log(self) -> DataFrame:
+        # every row; some endpoints never answered 200, some have unreadable dates
         li = self.table("lineitem")
         ln = li.l_linenumber
         rf = li.l_returnflag
-        return li.where(li.l_suppkey % 2 == 0).select(
-            _md5("e", li.l_suppkey).alias("endpoint"),
-            F.concat(_day_text(li.l_shipdate), F.lit("T0"), _s(ln), F.lit(":00:00Z")).alias("entry_date"),
-            F.when(rf != "R", "200").when(ln % 2 == 0, "404").otherwise("").alias("status"),
+        e = li.l_suppkey - li.l_suppkey % 2
+        return li.select(
+            _md5("e", e).alias("endpoint"),
+            F.when((e % 34 == 0) & (li.l_orderkey % 97 == 5), "not-a-date")
+            .otherwise(F.concat(_day_text(li.l_shipdate), F.lit("T0"), _s(ln), F.lit(":00:00Z"))).alias("entry_date"),
+            F.when((rf != "R") & (e % 26 != 0), "200").when(ln % 2 == 0, "404").otherwise("").alias("status"),
             F.when((rf == "R") & (ln % 2 == 1), "ConnectionError").otherwise("").alias("exception"),
-            F.when(rf != "R", _md5("r", li.l_partkey % 100)).otherwise("").alias("resource"),
+            F.when(rf != "R", _md5("r", li.l_partkey)).otherwise("").alias("resource"),
         )
 
     @cached_property
     def issue_type(self) -> DataFrame:
-        # The issue-type specification stand-in (5 rows).
-        rows = [("1-URGENT", "error", "internal"), ("2-HIGH", "error", "external"),
-                ("3-MEDIUM", "warning", "internal"), ("4-NOT SPECIFIED", "warning", "external"),
-                ("5-LOW", "notice", "external")]
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in
-                               ("issue_type", "severity", "responsibility")])
-        return self.spark.createDataFrame(rows, schema)
+        # The issue-type specification stand-in.
+        # One type comes twice. As VALUES the planner knows its size.
+        return self.spark.sql(_ISSUE_TYPES)
 
     @cached_property
     def issue(self) -> DataFrame:
         o = self.table("orders")
         k = o.o_orderkey
         return o.select(
-            _md5("r", o.o_custkey % 100).alias("resource"),
+            _md5("r", o.o_custkey).alias("resource"),
             F.when(k % 3 == 0, "tree").when(k % 3 == 1, "area").otherwise("tree-zone").alias("dataset"),
             _s(k % 7).alias("row_number"),
             F.when(o.o_orderstatus == "F", "geometry").when(o.o_orderstatus == "O", "start-date")
@@ -271,7 +288,7 @@ class Fixtures:
         k = o.o_orderkey
         return o.select(
             F.when(k % 3 == 0, "tree").when(k % 3 == 1, "area").otherwise("tree-zone").alias("dataset"),
-            _md5("r", o.o_custkey % 100).alias("resource"),
+            _md5("r", o.o_custkey).alias("resource"),
             k.alias("line_number"),
             k.alias("entry_number"),
             F.lit("reference").alias("field"),
@@ -291,6 +308,25 @@ class Fixtures:
         """``column_field`` under its registry column name (``column``)."""
         return self.column_field.withColumnRenamed("column_name", "column")
 
+    @cached_property
+    def cell(self) -> DataFrame:
+        """Texts that a CSV file must bring back as they are: blanks at their ends,
+        separators, quotes and line breaks."""
+        p = self.table("part")
+        k = p.p_partkey
+        return p.select(
+            _s(k).alias("key"), F.concat(F.lit("  "), p.p_name).alias("lead"), F.concat(p.p_name, F.lit(" \t")).alias("trail"),
+            F.concat(F.lit('say "'), p.p_name, F.lit('", or\nnot')).alias("quoted"), F.when(k % 3 == 0, "").otherwise(" ").alias("blank"))
+
+    @cached_property
+    def file(self) -> DataFrame:
+        """Landed files of every kind: the documents behind each kind's first characters."""
+        d = self.table("documents")
+        heads = F.lit("")
+        for i, head in enumerate(FILE_HEADS):
+            heads = F.when(d.doc_id % 9 == i, F.lit(head)).otherwise(heads)
+        return d.select("doc_id", F.concat(heads, F.coalesce(d.text, F.lit(""))).alias("content"))
+
     def registry_tables(self) -> "RegistryTables":
         """The tables the registry reports read, keyed by registry name (built on first use)."""
         return RegistryTables(self)
@@ -319,6 +355,10 @@ class RegistryTables(Mapping):
 
 _INSTANCES: dict = {}
 
+_ISSUE_TYPES = ("SELECT * FROM VALUES ('1-URGENT','error','internal'), ('2-HIGH','error','external'), ('3-MEDIUM','warning','internal'), "
+                "('4-NOT SPECIFIED','warning','external'), ('4-NOT SPECIFIED','notice','internal'), ('5-LOW','notice','external') "
+                "AS t(issue_type, severity, responsibility)")
+
 
 # --------------------------------------------------------------------------
 # The same views as SQL text for the DuckDB oracle, in dependency order.
@@ -330,9 +370,9 @@ SELECT concat(CASE n_regionkey % 4 WHEN 0 THEN 'local-authority' WHEN 1 THEN 'de
 FROM nation""",
     "fx_source": """
 SELECT CASE WHEN s_suppkey % 20 = 0 THEN '' ELSE concat('source-', CAST(s_suppkey AS STRING)) END AS source,
-       replace(o.organisation, ':', '-eng:') AS organisation,
-       concat('collection-', CAST(s_suppkey % 5 AS STRING)) AS collection,
-       CASE WHEN s_suppkey % 15 = 7 THEN '' ELSE md5(concat('e', CAST(s_suppkey - s_suppkey % 2 AS STRING))) END AS endpoint,
+       replace(o.organisation, ':', CASE WHEN s_suppkey % 30 = 4 THEN '-eng-eng:' ELSE '-eng:' END) AS organisation,
+       CASE s_suppkey % 25 WHEN 3 THEN '' WHEN 9 THEN NULL ELSE concat('collection-', CAST(s_suppkey % 5 AS STRING)) END AS collection,
+       CASE WHEN s_suppkey % 15 = 7 OR (s_suppkey - s_suppkey % 2) % 22 = 0 THEN '' ELSE md5(concat('e', CAST(s_suppkey - s_suppkey % 2 AS STRING))) END AS endpoint,
        CASE WHEN s_suppkey % 3 = 0 THEN 'ogl3' ELSE '' END AS licence,
        concat('https://docs.example.com/', CAST(s_suppkey AS STRING)) AS documentation_url,
        CASE s_suppkey % 4 WHEN 0 THEN 'tree' WHEN 1 THEN 'tree;tree-zone' WHEN 2 THEN 'area;tree' ELSE '' END AS pipelines,
@@ -341,30 +381,33 @@ FROM supplier JOIN fx_organisation o ON s_nationkey = o.n_nationkey""",
     "fx_endpoint": """
 SELECT md5(concat('e', CAST(s_suppkey AS STRING))) AS endpoint,
        concat('https://data.example.com/', CAST(s_suppkey AS STRING)) AS endpoint_url,
-       concat(CAST(DATE '2019-01-01' + CAST(s_suppkey % 90 AS INT) AS STRING), 'T00:00:00Z') AS entry_date,
-       CASE WHEN s_suppkey % 14 = 0 THEN '2021-06-01' ELSE '' END AS end_date
-FROM supplier WHERE s_suppkey % 2 = 0""",
+       concat(CAST(DATE '2019-01-01' + CAST(s_suppkey % 90 - again * 5 AS INT) AS STRING), 'T00:00:00Z') AS entry_date,
+       CASE WHEN again = 1 THEN '2021-06-15' WHEN s_suppkey % 14 = 0 THEN '2021-06-01' ELSE '' END AS end_date,
+       CASE WHEN s_suppkey % 22 = 0 THEN 'collection-own' ELSE '' END AS collection, s_suppkey * 2 + again AS pos
+FROM (SELECT *, unnest(CASE WHEN s_suppkey % 18 = 0 THEN [0, 1] ELSE [0] END) AS again FROM supplier) WHERE s_suppkey % 2 = 0""",
     "fx_resource": """
 SELECT md5(concat('r', CAST(p_partkey AS STRING))) AS resource,
-       concat('2020-01-', lpad(CAST(p_partkey % 28 + 1 AS STRING), 2, '0')) AS start_date,
-       CASE WHEN p_size % 10 = 0 THEN '2022-01-01' ELSE '' END AS end_date,
-       concat(md5(concat('e', CAST((p_partkey * 2) % 60 AS STRING))), ';', md5(concat('e', CAST((p_partkey * 6) % 140 AS STRING)))) AS endpoints,
-       p_partkey AS pos
-FROM part""",
+       CASE again WHEN 1 THEN '2019-12-01' ELSE concat('2020-01-', lpad(CAST(p_partkey % 28 + 1 AS STRING), 2, '0')) END AS start_date,
+       CASE WHEN again = 1 THEN '2023-01-01' WHEN p_size % 10 = 0 THEN '2022-01-01' ELSE '' END AS end_date,
+       CASE p_partkey % 50 WHEN 9 THEN md5(concat('x', CAST(p_partkey AS STRING))) WHEN 10 THEN md5('e22')
+         ELSE concat(md5(concat('e', CAST(j - j % 2 AS STRING))), ';', md5(concat('e', CAST(j + 6 - (j + 6) % 2 AS STRING)))) END AS endpoints,
+       p_partkey * 2 + again AS pos
+FROM (SELECT *, p_partkey // 20 AS j, unnest(CASE WHEN p_partkey % 40 = 5 THEN [0, 1] ELSE [0] END) AS again FROM part)""",
     "fx_old_resource": """
 SELECT md5(concat('r', CAST(p_partkey AS STRING))) AS old_resource, md5(concat('r', CAST(p_partkey + 1 AS STRING))) AS resource
 FROM part WHERE p_partkey % 25 = 3""",
     "fx_log": """
-SELECT md5(concat('e', CAST(l_suppkey AS STRING))) AS endpoint,
-       concat(CAST(CAST(l_shipdate AS DATE) AS STRING), 'T0', CAST(l_linenumber AS STRING), ':00:00Z') AS entry_date,
-       CASE WHEN l_returnflag <> 'R' THEN '200' WHEN l_linenumber % 2 = 0 THEN '404' ELSE '' END AS status,
+SELECT md5(concat('e', CAST(l_suppkey - l_suppkey % 2 AS STRING))) AS endpoint,
+       CASE WHEN (l_suppkey - l_suppkey % 2) % 34 = 0 AND l_orderkey % 97 = 5 THEN 'not-a-date'
+            ELSE concat(CAST(CAST(l_shipdate AS DATE) AS STRING), 'T0', CAST(l_linenumber AS STRING), ':00:00Z') END AS entry_date,
+       CASE WHEN l_returnflag <> 'R' AND (l_suppkey - l_suppkey % 2) % 26 <> 0 THEN '200' WHEN l_linenumber % 2 = 0 THEN '404' ELSE '' END AS status,
        CASE WHEN l_returnflag = 'R' AND l_linenumber % 2 = 1 THEN 'ConnectionError' ELSE '' END AS exception,
-       CASE WHEN l_returnflag <> 'R' THEN md5(concat('r', CAST(l_partkey % 100 AS STRING))) ELSE '' END AS resource
-FROM lineitem WHERE l_suppkey % 2 = 0""",
+       CASE WHEN l_returnflag <> 'R' THEN md5(concat('r', CAST(l_partkey AS STRING))) ELSE '' END AS resource
+FROM lineitem""",
     "fx_issue_type": """
-SELECT * FROM (VALUES ('1-URGENT','error','internal'),('2-HIGH','error','external'),('3-MEDIUM','warning','internal'),('4-NOT SPECIFIED','warning','external'),('5-LOW','notice','external')) AS t(issue_type, severity, responsibility)""",
+SELECT * FROM (VALUES ('1-URGENT','error','internal'),('2-HIGH','error','external'),('3-MEDIUM','warning','internal'),('4-NOT SPECIFIED','warning','external'),('4-NOT SPECIFIED','notice','internal'),('5-LOW','notice','external')) AS t(issue_type, severity, responsibility)""",
     "fx_issue": """
-SELECT md5(concat('r', CAST(o_custkey % 100 AS STRING))) AS resource, CASE o_orderkey % 3 WHEN 0 THEN 'tree' WHEN 1 THEN 'area' ELSE 'tree-zone' END AS dataset,
+SELECT md5(concat('r', CAST(o_custkey AS STRING))) AS resource, CASE o_orderkey % 3 WHEN 0 THEN 'tree' WHEN 1 THEN 'area' ELSE 'tree-zone' END AS dataset,
        CAST(o_orderkey % 7 AS STRING) AS row_number, CASE o_orderstatus WHEN 'F' THEN 'geometry' WHEN 'O' THEN 'start-date' ELSE 'reference' END AS field,
        o_orderpriority AS issue_type, CAST(o_totalprice AS STRING) AS value, o_orderkey AS line_number
 FROM orders""",
@@ -403,11 +446,19 @@ SELECT doc_id, quality AS passed, 'quality' AS operation FROM labels""",
     "fx_expectation_b": """
 SELECT doc_id, toxic AS failed, 'toxic' AS operation, CAST(doc_id AS DOUBLE) / 2 AS score FROM labels""",
     "fx_operational_issue": """
-SELECT CASE o_orderkey % 3 WHEN 0 THEN 'tree' WHEN 1 THEN 'area' ELSE 'tree-zone' END AS dataset, md5(concat('r', CAST(o_custkey % 100 AS STRING))) AS resource, o_orderkey AS line_number, o_orderkey AS entry_number,
+SELECT CASE o_orderkey % 3 WHEN 0 THEN 'tree' WHEN 1 THEN 'area' ELSE 'tree-zone' END AS dataset, md5(concat('r', CAST(o_custkey AS STRING))) AS resource, o_orderkey AS line_number, o_orderkey AS entry_number,
        'reference' AS field, o_orderpriority AS issue_type, CAST(o_totalprice AS STRING) AS value, '' AS message, CAST(CAST(o_orderdate AS DATE) AS STRING) AS entry_date
 FROM orders""",
 }
 
+FX_SQL["fx_cell"] = """
+SELECT CAST(p_partkey AS STRING) AS "key", concat('  ', p_name) AS lead, concat(p_name, ' ', chr(9)) AS trail,
+       concat('say "', p_name, '", or', chr(10), 'not') AS quoted, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE ' ' END AS blank
+FROM part"""
+FX_SQL["fx_file"] = "SELECT doc_id, concat(CASE doc_id % 9 " + " ".join(
+    f"WHEN {i} THEN concat('', " + ", ".join(f"chr({ord(c)})" for c in head) + ")" for i, head in enumerate(FILE_HEADS)) \
+    + " ELSE '' END, coalesce(text, '')) AS content FROM documents"
+
 # Derived views the oracle statements share (also in dependency order).
 FX_SQL.update({
     "fx_source_pipeline": """

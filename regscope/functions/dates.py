@@ -20,7 +20,6 @@ DATE_SHAPES = {10: "yyyy-MM-dd", 7: "yyyy-MM", 4: "yyyy"}
 DATE_PADDING = {10: "", 7: "-01", 4: "-01-01"}
 TIME_SHAPE = "yyyy-MM-dd'T'HH:mm:ss"
 SECONDS_PER_DAY = 86400
-DEFAULT_AS_OF = "2003-01-01T00:00:00Z"
 
 # A time string SQL date() accepts after the day part.
 _SQL_TIME_SUFFIX = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}:\d{2})?$"
@@ -51,12 +50,9 @@ def _normalised_day(c: Column) -> Column:
 
 
 def _finish(c: Column, out: Column, strict: bool) -> Column:
-    result = F.when(_blank(c), F.lit("")).otherwise(out)
     if strict:
-        return F.when(~_blank(c) & out.isNull(),
-                      F.raise_error(F.concat(F.lit("unknown date format "), c)).cast("string")
-                      ).otherwise(result)
-    return result
+        out = F.coalesce(out, F.raise_error(F.concat(F.lit("not a date this column can hold: "), c)).cast("string"))
+    return F.when(_blank(c), F.lit("")).otherwise(out)
 
 
 def normalise_date(c, strict: bool = True) -> Column:
@@ -112,6 +108,12 @@ def epoch_seconds(c) -> Column:
     return F.unix_date(day).cast("bigint") * SECONDS_PER_DAY + seconds_of_day
 
 
+def now() -> str:
+    """The current UTC time as ``as_of`` text (the command line's default; the
+    library itself has no clock)."""
+    return datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
 def _as_of(as_of: str) -> datetime:
     """``as_of`` ISO text (date or date-time, optional ``Z``) as a UTC datetime."""
     text = as_of.rstrip("Z").replace(" ", "T")
@@ -119,13 +121,13 @@ def _as_of(as_of: str) -> datetime:
     return dt.replace(tzinfo=timezone.utc) if dt.tzinfo is None else dt.astimezone(timezone.utc)
 
 
-def elapsed_days(c, as_of: str = DEFAULT_AS_OF) -> Column:
+def elapsed_days(c, as_of: str) -> Column:
     """Whole days from an ISO timestamp text to ``as_of``, truncated toward zero."""
     secs = F.lit(int(_as_of(as_of).timestamp())) - epoch_seconds(c)
     return (secs / F.lit(SECONDS_PER_DAY)).cast("int")
 
 
-def report_date(as_of: str = DEFAULT_AS_OF) -> Column:
+def report_date(as_of: str) -> Column:
     """The report stamp ``dd-mm-yyyy`` of ``as_of``."""
     return F.lit(_as_of(as_of).strftime("%d-%m-%Y"))
 
@@ -137,6 +139,6 @@ def hour_version(ts) -> Column:
     return F.unix_date(F.to_date(ts)).cast("bigint") * SECONDS_PER_DAY + F.hour(ts).cast("bigint") * 3600
 
 
-def hour_version_of(as_of: str = DEFAULT_AS_OF) -> Column:
+def hour_version_of(as_of: str) -> Column:
     t = int(_as_of(as_of).timestamp())
     return F.lit(t - t % 3600)

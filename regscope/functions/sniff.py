@@ -1,7 +1,7 @@
 """Content sniffing: classify a landed file by its leading bytes/characters.
 
 Classification only (no conversion). The binary signatures are tested first
-(Excel, zip, SQLite), then the text prefix of the first ten characters,
+(Excel, old and new, before zip, then SQLite), then the text prefix of the first ten characters,
 case-insensitively.
 """
 
@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 # File signatures and text prefixes.
 EXCEL_MAGIC = "\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1"   # legacy (OLE2) workbook
-ZIP_MAGIC = "PK\x03\x04"                            # zip, also xlsx/ods
+ZIP_MAGIC = "PK\x03\x04"                            # zip archive
+WORKBOOK_ENTRIES = ("[Content_Types].xml", "_rels/.rels", "docProps/", "xl/")  # first entry of an xlsx workbook
+ENTRY_NAME_AT = 31                                  # where a zip's first entry is named (from 1)
 SQLITE_MAGIC = "SQLite format 3\x00"                # SQLite / GeoPackage
 HTML_PREFIX = "<!doctype "
 XML_PREFIXES = ("<?xml ", "<wfs:")
@@ -24,7 +26,11 @@ def filetype(content) -> Column:
     ``xml``, ``json`` or ``csv`` (anything else)."""
     c = F.col(content) if isinstance(content, str) else content
     head = F.lower(F.substring(c, 1, 10))
-    return (F.when(c.startswith(EXCEL_MAGIC), "excel")
+    entry = F.substring(c, ENTRY_NAME_AT, 20)
+    workbook = F.lit(False)
+    for name in WORKBOOK_ENTRIES:
+        workbook = workbook | entry.startswith(name)
+    return (F.when(c.startswith(EXCEL_MAGIC) | (c.startswith(ZIP_MAGIC) & workbook), "excel")
             .when(c.startswith(ZIP_MAGIC), "zip")
             .when(c.startswith(SQLITE_MAGIC), "sqlite")
             .when(head.startswith(HTML_PREFIX), "html")
@@ -36,4 +42,4 @@ def filetype(content) -> Column:
 def filetype_of_bytes(content) -> Column:
     """The same classification for a BINARY column (e.g. the ``binaryFile`` source)."""
     c = F.col(content) if isinstance(content, str) else content
-    return filetype(F.decode(F.substring(c, 1, 16), "ISO-8859-1"))
+    return filetype(F.decode(F.substring(c, 1, 64), "ISO-8859-1"))

@@ -1,8 +1,7 @@
 """DuckDB oracle statements, one per ``queries()`` key.
 
-Each statement is written independently of the Spark code (plain joins,
-``GROUP BY``, ``row_number()`` windows) over the ``fx_*`` views; ``fx_with``
-prefixes the views it needs. Tie orders for arg-max picks are spelled out
+Each statement says what its key returns in plain SQL over the ``fx_*`` views;
+``fx_with`` prefixes the views it needs. Tie orders for arg-max picks are spelled out
 with ``NULLS LAST`` to match the Spark side's "greatest tuple" rule.
 """
 
@@ -14,79 +13,66 @@ AS_OF_SQL = "TIMESTAMP '2003-01-01 00:00:00'"
 
 
 def _days_since(expr: str) -> str:
-    return (f"CAST(trunc((epoch({AS_OF_SQL}) - epoch(CAST(substring({expr}, 1, 19) AS TIMESTAMP))) / 86400)"
+    return (f"CAST(trunc((epoch({AS_OF_SQL}) - epoch(TRY_CAST(substring({expr}, 1, 19) AS TIMESTAMP))) / 86400)"
             f" AS INTEGER)")
 
 
-# One row per joined (log row, source, pipeline, organisation, endpoint, resource) combination.
-_STAR_CTE = """star AS (
-  SELECT lg.endpoint, lg.entry_date AS log_date, lg.status, lg.exception, lg.resource,
-         src.organisation, src.collection, src.licence, src.documentation_url, srcp.pipeline,
-         org.name, org.dataset AS org_dataset,
-         ep.endpoint_url, ep.entry_date AS ep_entry, ep.end_date AS ep_end,
-         res.start_date AS res_start, res.end_date AS res_end
-  FROM fx_endpoint ep
-  JOIN fx_log lg ON lg.endpoint = ep.endpoint
-  JOIN fx_source src ON src.endpoint = ep.endpoint
-  JOIN fx_source_pipeline srcp ON srcp.source = src.source
-  JOIN fx_organisation org ON org.organisation = replace(src.organisation, '-eng', '')
-  LEFT JOIN fx_resource res ON res.resource = lg.resource)"""
+# The log in brief: its latest entry per outcome of an endpoint.
+_BRIEF = "brief AS (SELECT endpoint, status, exception, resource, max(entry_date) AS log_date FROM fx_log GROUP BY ALL)"
 
 _T2 = f"""t2 AS (SELECT endpoint, {_days_since('max(entry_date)')} AS days_since_200
 FROM fx_log WHERE status = '200' GROUP BY endpoint)"""
 
 
+def _lookups(columns: str, active: bool) -> str:
+    """What a source offers for its endpoint (``columns``, each combination once), and
+    the greatest pair of dates of each endpoint and of each resource."""
+    where = "WHERE end_date = ''" if active else ""
+    return f"""pipes AS (SELECT source, list_distinct(flatten(list(string_split(pipelines, ';')))) AS ps FROM fx_source GROUP BY source),
+offer AS (
+  SELECT DISTINCT endpoint, {columns}
+  FROM (SELECT s.*, o.name, o.dataset AS org_dataset, unnest(ps) AS pipeline
+        FROM fx_source s, pipes, fx_organisation o WHERE pipes.source = s.source AND o.organisation = replace(s.organisation, '-eng', ''))),
+place AS (SELECT endpoint, endpoint_url, list_reverse_sort(list([entry_date, end_date]))[1] AS e FROM fx_endpoint {where} GROUP BY ALL),
+span AS (SELECT resource, list_reverse_sort(list([start_date, end_date]))[1] AS r FROM fx_resource GROUP BY ALL)"""
+
+
 def _historic(reporting: bool) -> str:
-    dataset = "pipeline" if reporting else "org_dataset"
-    doc = "documentation_url," if reporting else ""
-    st = "status AS latest_status, exception AS latest_exception," if reporting else "status, exception,"
-    cut = (lambda x: f"substring({x}, 1, 10)") if reporting else (lambda x: x)
+    own = "documentation_url" if reporting else "org_dataset"
+    def cut(x):
+        return f"substring({x}, 1, 10)" if reporting else x
+    outcome = "status AS latest_status, exception AS latest_exception" if reporting else "status, exception"
     return f"""
-WITH {_STAR_CTE}
-SELECT organisation, name, name AS organisation_name, {dataset} AS dataset, collection, pipeline,
-       endpoint, endpoint_url, {doc} licence, {st} resource,
-       {cut('max(log_date)')} AS latest_log_entry_date,
-       {cut('max(ep_entry)')} AS endpoint_entry_date,
-       {cut('max(ep_end)')} AS endpoint_end_date,
-       {cut('max(res_start)')} AS resource_start_date,
-       {cut('max(res_end)')} AS resource_end_date
-FROM star
-GROUP BY ALL"""
+WITH {_BRIEF},
+{_lookups(f"organisation, name, collection, pipeline, licence, {own}", False)}
+SELECT organisation, name, name AS organisation_name, {"pipeline" if reporting else "org_dataset"} AS dataset, collection, pipeline,
+       endpoint, endpoint_url, {"documentation_url, " if reporting else ""}licence, {outcome}, resource,
+       {cut("log_date")} AS latest_log_entry_date, {cut("e[1]")} AS endpoint_entry_date, {cut("e[2]")} AS endpoint_end_date,
+       {cut("r[1]")} AS resource_start_date, {cut("r[2]")} AS resource_end_date
+FROM brief JOIN place USING (endpoint) JOIN offer USING (endpoint) LEFT JOIN span USING (resource)"""
 
 
 def _latest(reporting: bool) -> str:
-    dataset = "pipeline" if reporting else "org_dataset"
-    cut = (lambda x: f"substring({x}, 1, 10)") if reporting else (lambda x: x)
-    st, ex = ("latest_status", "latest_exception") if reporting else ("status", "exception")
-    keys = "organisation, name, dataset, collection, pipeline, endpoint, endpoint_url, " \
-           "licence, status, days_since_200, exception"
+    def cut(x):
+        return f"substring({x}, 1, 10)" if reporting else x
+    names = ("latest_status", "latest_exception") if reporting else ("status", "exception")
+    order = ["e[1]", "log_date", "endpoint", "status", "exception", "collection", "licence", "name", "dataset", "endpoint_url",
+             "days_since_200", "resource", "e[2]", "r[1]", "r[2]"]
     return f"""
-WITH {_T2},
-{_STAR_CTE},
-j AS (
-  SELECT star.*, {dataset} AS dataset, t2.days_since_200
-  FROM star LEFT JOIN t2 ON t2.endpoint = star.endpoint
-  WHERE ep_end = ''),
-g AS (
-  SELECT *, row_number() OVER (PARTITION BY {keys}
-      ORDER BY log_date DESC NULLS LAST, resource DESC NULLS LAST, ep_entry DESC NULLS LAST,
-               ep_end DESC NULLS LAST, res_start DESC NULLS LAST, res_end DESC NULLS LAST) AS k
-  FROM j),
-h AS (SELECT * FROM g WHERE k = 1),
-w AS (
-  SELECT *, row_number() OVER (PARTITION BY organisation, pipeline
-      ORDER BY ep_entry DESC NULLS LAST, log_date DESC NULLS LAST, endpoint DESC NULLS LAST,
-               status DESC NULLS LAST, exception DESC NULLS LAST, collection DESC NULLS LAST,
-               licence DESC NULLS LAST, name DESC NULLS LAST, dataset DESC NULLS LAST,
-               endpoint_url DESC NULLS LAST, days_since_200 DESC NULLS LAST, resource DESC NULLS LAST,
-               ep_end DESC NULLS LAST, res_start DESC NULLS LAST, res_end DESC NULLS LAST) AS rn
-  FROM h)
-SELECT organisation, name, name AS organisation_name, dataset, collection, pipeline, endpoint, endpoint_url,
-       licence, status AS {st}, days_since_200, exception AS {ex}, resource,
-       {cut('log_date')} AS latest_log_entry_date, {cut('ep_entry')} AS endpoint_entry_date,
-       {cut('ep_end')} AS endpoint_end_date, {cut('res_start')} AS resource_start_date,
-       {cut('res_end')} AS resource_end_date, CAST(rn AS BIGINT) AS rn
-FROM w WHERE rn = 1"""
+WITH {_BRIEF},
+{_T2},
+{_lookups("organisation, name, collection, pipeline, licence" + ("" if reporting else ", org_dataset"), True)},
+newest AS (SELECT endpoint, status, exception, list_reverse_sort(list([log_date, resource]))[1] AS n FROM brief GROUP BY ALL),
+row_ AS (
+  SELECT offer.*, {"pipeline" if reporting else "org_dataset"} AS dataset, endpoint_url, e, status, exception, n[1] AS log_date, n[2] AS resource,
+         days_since_200, r
+  FROM newest JOIN place USING (endpoint) JOIN offer USING (endpoint) LEFT JOIN t2 USING (endpoint) LEFT JOIN span ON span.resource = n[2])
+SELECT organisation, name, name AS organisation_name, dataset, collection, pipeline, endpoint, endpoint_url, licence,
+       status AS {names[0]}, days_since_200, exception AS {names[1]}, resource, {cut("log_date")} AS latest_log_entry_date,
+       {cut("e[1]")} AS endpoint_entry_date, {cut("e[2]")} AS endpoint_end_date, {cut("r[1]")} AS resource_start_date,
+       {cut("r[2]")} AS resource_end_date, CAST(1 AS BIGINT) AS rn
+FROM row_
+QUALIFY row_number() OVER (PARTITION BY organisation, pipeline ORDER BY {", ".join(x + " DESC NULLS LAST" for x in order)}) = 1"""
 
 
 _R4 = _historic(True)
@@ -110,15 +96,12 @@ JOIN (SELECT endpoint, max(TRY_CAST(substring(entry_date, 1, 10) AS DATE)) AS d
     "latest_endpoints_registry": _latest(False),
     "reporting_latest_endpoints": _latest(True),
     "log_star": """
-SELECT l.endpoint, l.entry_date, l.status, l.exception, l.resource, d.organisation, d.name,
-       d.dataset AS org_dataset, d.collection, d.pipeline, d.licence, d.documentation_url, e.endpoint_url,
-       e.entry_date AS endpoint_entry_date, e.end_date AS endpoint_end_date
-FROM fx_log l
-JOIN (SELECT DISTINCT s.endpoint, s.organisation, s.collection, s.licence, s.documentation_url, sp.pipeline,
-                      o.name, o.dataset
-      FROM fx_source s JOIN fx_source_pipeline sp ON s.source = sp.source
-      JOIN fx_organisation o ON o.organisation = replace(s.organisation, '-eng', '')) d ON l.endpoint = d.endpoint
-JOIN fx_endpoint e ON l.endpoint = e.endpoint""",
+SELECT fx_log.*, offer.* EXCLUDE (at_), endpoint_url, ep.entry_date AS endpoint_entry_date, ep.end_date AS endpoint_end_date
+FROM fx_log, fx_endpoint ep, (
+  SELECT s.endpoint AS at_, s.organisation, o.name, o.dataset AS org_dataset, s.collection, pipeline, licence, documentation_url
+  FROM fx_source s, fx_source_pipeline p, fx_organisation o
+  WHERE p.source = s.source AND o.organisation = replace(s.organisation, '-eng', '')) offer
+WHERE ep.endpoint = fx_log.endpoint AND offer.at_ = fx_log.endpoint""",
     "days_since_200": f"""
 WITH {_T2}
 SELECT e.endpoint, e.endpoint_url, t2.days_since_200 FROM fx_endpoint e LEFT JOIN t2 ON e.endpoint = t2.endpoint""",
@@ -161,10 +144,10 @@ _CTE = {
                       AND pd.dataset IS NOT DISTINCT FROM rd.pipeline)""",
     "ic": """ic AS (
   SELECT count(*) AS count_issues, strftime(TIMESTAMP '2003-01-01 00:00:00', '%d-%m-%Y') AS date,
-         i.issue_type, max(it.severity) AS severity, max(it.responsibility) AS responsibility,
+         i.issue_type, any_value(it.pair[1]) AS severity, any_value(it.pair[2]) AS responsibility,
          i.dataset, i.resource, i.field
   FROM fx_issue i JOIN fx_resource r ON i.resource = r.resource
-  JOIN fx_issue_type it ON i.issue_type = it.issue_type
+  JOIN (SELECT issue_type, max([severity, responsibility]) OVER (PARTITION BY issue_type) AS pair FROM fx_issue_type) it ON i.issue_type = it.issue_type
   WHERE r.end_date = ''
   GROUP BY i.dataset, i.resource, i.issue_type, i.field)""",
     "cfs": """cft AS (
@@ -256,8 +239,9 @@ def oracle_sql() -> dict[str, str]:
 # -- catalogue ------------------------------------------------------------------------
 _CAT = """ep AS (SELECT DISTINCT endpoint FROM fx_endpoint),
 src AS (SELECT * FROM fx_source WHERE coalesce(endpoint, '') <> '' AND endpoint IN (SELECT endpoint FROM ep)),
-epc AS (SELECT ep.endpoint, coalesce(c.collection, '') AS collection
-        FROM ep LEFT JOIN (SELECT endpoint, arg_max(collection, pos) AS collection FROM src GROUP BY endpoint) c
+epc AS (SELECT ep.endpoint, coalesce(c.collection, ep.own) AS collection
+        FROM (SELECT endpoint, arg_max(collection, pos) AS own FROM fx_endpoint GROUP BY endpoint) ep
+        LEFT JOIN (SELECT endpoint, arg_max(coalesce(collection, ''), pos) AS collection FROM src GROUP BY endpoint) c
         ON ep.endpoint = c.endpoint),
 epp AS (SELECT DISTINCT endpoint, pipeline FROM (SELECT endpoint, unnest(string_split(pipelines, ';')) AS pipeline
                                                 FROM src)),
@@ -288,7 +272,7 @@ def _norm_date_sql(c: str) -> str:
             f"WHEN length({c}) = 10 THEN strftime(strptime({c}, '%Y-%m-%d'), '%Y-%m-%d') "
             f"WHEN length({c}) = 7 THEN strftime(strptime({c} || '-01', '%Y-%m-%d'), '%Y-%m-%d') "
             f"WHEN length({c}) = 4 THEN strftime(strptime({c} || '-01-01', '%Y-%m-%d'), '%Y-%m-%d') "
-            f"ELSE error('unknown date format ' || {c}) END")
+            f"ELSE error('bad date: ' || {c}) END")
 
 
 def _norm_ts_sql(c: str) -> str:
@@ -298,13 +282,15 @@ def _norm_ts_sql(c: str) -> str:
             f"WHEN length({c}) = 10 THEN strftime(strptime({c}, '%Y-%m-%d'), {out}) "
             f"WHEN length({c}) = 7 THEN strftime(strptime({c} || '-01', '%Y-%m-%d'), {out}) "
             f"WHEN length({c}) = 4 THEN strftime(strptime({c} || '-01-01', '%Y-%m-%d'), {out}) "
-            f"ELSE error('unknown date format ' || {c}) END")
+            f"ELSE error('bad date: ' || {c}) END")
 
 
 def _filetype_sql(c: str) -> str:
     head = f"lower(substring({c}, 1, 10))"
     excel = "chr(208) || chr(207) || chr(17) || chr(224) || chr(161) || chr(177) || chr(26) || chr(225)"
+    workbook = " OR ".join(f"starts_with(substring({c}, 31, 20), '{n}')" for n in ("[Content_Types].xml", "_rels/.rels", "docProps/", "xl/"))
     return (f"CASE WHEN starts_with({c}, {excel}) THEN 'excel' "
+            f"WHEN starts_with({c}, 'PK' || chr(3) || chr(4)) AND ({workbook}) THEN 'excel' "
             f"WHEN starts_with({c}, 'PK' || chr(3) || chr(4)) THEN 'zip' "
             f"WHEN starts_with({c}, 'SQLite format 3' || chr(0)) THEN 'sqlite' "
             f"WHEN starts_with({head}, '<!doctype ') THEN 'html' "
@@ -317,10 +303,6 @@ _MAP = ("CASE WHEN upper(field) = upper(replace(replace(column_name, ' ', '-'),
 _NONMAP = ("CASE WHEN upper(field) <> upper(replace(replace(column_name, ' ', '-'), '_', '-')) "
            "AND field NOT IN ('geometry', 'point') THEN field END")
 
-_FIXTURE_VIEWS = ("organisation source endpoint resource old_resource log issue_type issue provision column_field "
-                  "raw_source converted landed geography blank_list expectation_a expectation_b "
-                  "operational_issue").split()
-
 _SQL.update({
     "resource_catalogue": f"WITH {_CAT}\nSELECT * FROM cat",
     "unmapped_resources": f"""WITH {_CAT},
@@ -390,7 +372,7 @@ SELECT 'operational-issue', '{_HOST}performance/operational_issue/' || dataset |
     "collection_file_manifest": f"""
 SELECT c.collection, f.file, '{_HOST}' || c.collection || '-collection/collection/' || f.file AS url,
        'var/collection/' || c.collection || '/' || f.file AS output_path
-FROM (SELECT DISTINCT collection FROM fx_source) c
+FROM (SELECT DISTINCT collection FROM fx_source WHERE coalesce(collection, '') <> '') c
 CROSS JOIN (VALUES ('endpoint.csv'), ('source.csv'), ('log.csv'), ('resource.csv'), ('old-resource.csv')) f(file)""",
     "pending_manifest": f"""WITH {_CAT}
 SELECT * FROM ({_manifest('issue', 'issue')}) m
@@ -440,7 +422,7 @@ WHERE regexp_extract(path, {_P}, 2) IS DISTINCT FROM resource""",
     "sniff_filetype": f"""
 SELECT 'pages' AS source_table, page_id AS id, {_filetype_sql('html')} AS filetype FROM pages
 UNION ALL
-SELECT 'documents' AS source_table, doc_id AS id, {_filetype_sql('text')} AS filetype FROM documents""",
+SELECT 'documents' AS source_table, doc_id AS id, {_filetype_sql('content')} AS filetype FROM fx_file""",
     "duplicate_issues": """
 SELECT resource, dataset, row_number, field, issue_type, value, line_number FROM (
   SELECT *, row_number() OVER (PARTITION BY dataset, resource, row_number, field ORDER BY line_number) AS k
@@ -463,25 +445,54 @@ UNION ALL
 SELECT dataset, resource, line_number, CAST(NULL AS BIGINT) AS entry_number, field, issue_type, value,
        '' AS message, '' AS entry_date, row_number FROM fx_issue""",
     "table_inventory": "\nUNION ALL\n".join(
-        f"SELECT 'fx_{n}' AS table_name, count(*) AS row_count FROM fx_{n}" for n in _FIXTURE_VIEWS),
+        f"SELECT '{n}' AS table_name, count(*) AS row_count FROM fx_{n}" for n in (
+            "source", "endpoint", "resource", "old_resource", "log", "organisation", "provision", "issue_type", "issue", "column_field",
+            "source_pipeline")) + """
+UNION ALL SELECT 'resource_endpoint', count(*) FROM (SELECT DISTINCT resource, unnest(string_split(endpoints, ';')) FROM fx_resource)
+UNION ALL SELECT 'resource_organisation', count(*) FROM (
+  SELECT DISTINCT r.resource, s.organisation FROM fx_source s JOIN (SELECT resource, unnest(string_split(endpoints, ';')) AS e FROM fx_resource) r
+  ON s.endpoint = r.e WHERE s.endpoint <> '')
+UNION ALL SELECT 'resource_dataset', count(*) FROM (
+  SELECT DISTINCT r.resource, unnest(string_split(s.pipelines, ';')) FROM fx_source s
+  JOIN (SELECT resource, unnest(string_split(endpoints, ';')) AS e FROM fx_resource) r ON s.endpoint = r.e WHERE s.endpoint <> '')""",
+    "csv_round_trip": "SELECT * FROM fx_cell",
+    "csv_union": """
+SELECT resource, dataset, row_number, field, issue_type, CAST(line_number AS VARCHAR) AS line_number, '' AS entry_number, '' AS value, '' AS entry_date FROM fx_issue
+UNION ALL BY NAME
+SELECT resource, dataset, '' AS row_number, field, issue_type, CAST(line_number AS VARCHAR) AS line_number, CAST(entry_number AS VARCHAR) AS entry_number,
+       value, entry_date FROM fx_operational_issue""",
+    "csv_positions": """
+SELECT CAST(pos AS VARCHAR) AS pos, slug, name, group_id FROM (
+  SELECT *, CAST(count(*) FILTER (slug = '' AND name = '') OVER (ORDER BY pos) AS BIGINT) AS group_id FROM fx_blank_list) WHERE slug <> '' OR name <> ''""",
+    "csv_typed": """
+SELECT dataset, resource, CAST(line_number AS INTEGER) AS line_number, CAST(entry_number AS INTEGER) AS entry_number, field, issue_type,
+       CAST(value AS DOUBLE) AS value, CAST(entry_date AS DATE) AS entry_date FROM fx_operational_issue""",
+    "parquet_union": """
+SELECT doc_id, CAST(quality AS BIGINT) AS n, CAST(NULL AS TIMESTAMP) AS "at", CAST(NULL AS BOOLEAN) AS flag FROM labels
+UNION ALL SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP), NULL FROM orders
+UNION ALL SELECT o_orderkey, NULL, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP), o_orderkey > 100 FROM orders""",
 })
 
 
-def _column_expectations() -> str:
-    from regscope.plans.performance import EXPECTED_COLUMNS
-    sources = {
-        "endpoint_dataset_issue_type_summary": _SQL["issue_type_summary"],
-        "endpoint_dataset_resource_summary": _SQL["resource_summary"],
-        "endpoint_dataset_summary": _SQL["endpoint_summary"],
-        "provision_summary": _SQL["provision_summary"],
-        "reporting_historic_endpoints": _SQL["reporting_historic_endpoints"],
-        "reporting_latest_endpoints": _SQL["reporting_latest_endpoints"],
-    }
-    parts = []
-    for t, cols in EXPECTED_COLUMNS.items():
-        parts.append(f"SELECT '{t}' AS table_name, true AS success, '' AS missing, '{';'.join(cols)}' AS actual, "
-                     f"(SELECT count(*) FROM ({sources[t]})) AS row_count")
-    return "\nUNION ALL\n".join(parts)
-
-
-_SQL["column_expectations"] = _column_expectations()
+# Stated here, not taken from the implementation: the reports' columns.
+_COLUMNS = {
+    "endpoint_dataset_issue_type_summary": "organisation;organisation_name;cohort;dataset;collection;pipeline;endpoint;endpoint_url;resource;"
+                                           "resource_start_date;resource_end_date;latest_log_entry_date;count_issues;date;issue_type;severity;"
+                                           "responsibility;field",
+    "endpoint_dataset_summary": "organisation;dataset;endpoint;endpoint_url;documentation_url;resource;latest_status;latest_exception;"
+                                "latest_log_entry_date;entry_date;end_date;latest_resource_start_date;resource_end_date",
+    "provision_summary": "organisation;organisation_name;dataset;provision_reason;provision_end_date;active_endpoint_count;error_endpoint_count;"
+                         "count_issue_error_internal;count_issue_error_external;count_issue_warning_internal;count_issue_warning_external;"
+                         "count_issue_notice_internal;count_issue_notice_external",
+    "reporting_latest_endpoints": "organisation;name;organisation_name;dataset;collection;pipeline;endpoint;endpoint_url;licence;latest_status;"
+                                  "days_since_200;latest_exception;resource;latest_log_entry_date;endpoint_entry_date;endpoint_end_date;"
+                                  "resource_start_date;resource_end_date;rn;extra",
+}
+_SQL["column_expectations"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, true AS present, true AS success, '' AS missing, '{c}' AS actual" for t, c in _COLUMNS.items()) + """
+UNION ALL
+SELECT 'endpoint_dataset_resource_summary', false, false, 'organisation;organisation_name;cohort;dataset;collection;pipeline;endpoint;endpoint_url;\
+resource;resource_start_date;resource_end_date;latest_log_entry_date;mapping_field;non_mapping_field', ''
+UNION ALL
+SELECT 'reporting_historic_endpoints', true, false, 'licence', 'organisation;name;organisation_name;dataset;collection;pipeline;endpoint;endpoint_url;\
+documentation_url;latest_status;latest_exception;resource;latest_log_entry_date;endpoint_entry_date;endpoint_end_date;resource_start_date;resource_end_date'"""

@@ -17,12 +17,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regscope.functions.dates import DEFAULT_AS_OF
-from regscope.operators.quality import assert_no_extra_columns
 from regscope.plans import performance as perf
 from regscope.plans import registry as reg
 from regscope.plans.consolidate import consolidate, path_mismatches
-from regscope.sinks import materialize, write_csv, write_parquet
+from regscope.sinks import materialize, save_replace, write_csv, write_parquet, write_strict
 from regscope.sources.csv import (PATH_COLUMN, read_collection_table, read_csv_typed, read_csv_union,
                                   read_partitioned_csv)
 from regscope.sources.registry import COLLECTION_TABLES, PIPELINE_TABLES
@@ -57,7 +55,15 @@ def consolidate_files(spark: SparkSession, table: str, fields: Sequence[str], pa
     df = read_csv_union(spark, list(paths))
     if df is None:
         return None
-    return write_csv(consolidate(df, table, fields), fields, output_path)
+    return _write_table(consolidate(df, table, fields), fields, output_path)
+
+
+def _write_table(df: DataFrame, fields: Sequence[str], csv_path: str) -> str:
+    """The consolidated CSV, and the same rows as Parquet beside it: later passes
+    read that, which is split among tasks where quoted CSV is not."""
+    rows = materialize(df, "consolidated")
+    rows.select(*fields).write.mode("overwrite").parquet(csv_path.removesuffix(".csv") + ".parquet")
+    return write_csv(rows, fields, csv_path)
 
 
 def catalogue_from_collection(spark: SparkSession, input_dir: str) -> DataFrame:
@@ -66,14 +72,12 @@ def catalogue_from_collection(spark: SparkSession, input_dir: str) -> DataFrame:
     (collection, pipeline, resource). File order is the position for
     "last row wins"."""
     from regscope.plans.catalogue import resource_catalogue
-    from regscope.sources.csv import files_exist, read_csv_text, snake_case_columns
+    from regscope.sources.csv import files_exist, read_positioned_csv, snake_case_columns
 
     base = input_dir.rstrip("/")
 
     def table(name):
-        df = snake_case_columns(read_csv_text(spark, f"{base}/{name}.csv"))
-        from pyspark.sql import functions as F
-        return df.withColumn("pos", F.monotonically_increasing_id())
+        return snake_case_columns(read_positioned_csv(spark, f"{base}/{name}.csv"))
 
     if files_exist(spark, f"{base}/old-resource.csv"):
         old = table("old-resource")
@@ -91,7 +95,7 @@ def consolidate_collection(spark: SparkSession, var_dir: str, out_dir: str,
         df = read_collection_table(spark, var_dir, f"{t}")
         if df is None:
             continue
-        written[t] = write_csv(consolidate(df, t, schema_fields[t]), schema_fields[t], f"{out_dir}/{t}.csv")
+        written[t] = _write_table(consolidate(df, t, schema_fields[t]), schema_fields[t], f"{out_dir}/{t}.csv")
     return written
 
 
@@ -108,99 +112,96 @@ def concat_issues(spark: SparkSession, input_dir: str, out_dir: str) -> str | No
     df = read_partitioned_csv(spark, input_dir, "pipeline")
     if df is None:
         return None
-    assert_no_extra_columns(df, ISSUE_FIELDS, "issue")
-    return write_csv(df, ISSUE_FIELDS, f"{out_dir}/issue.csv")
+    return write_strict(df, ISSUE_FIELDS, f"{out_dir}/issue.csv", "issue")
 
 
 def concat_operational_issues(spark: SparkSession, operational_dir: str, out_dir: str) -> str | None:
     df = read_csv_union(spark, f"{operational_dir.rstrip('/')}/*/operational-issue.csv")
     if df is None:
         return None
-    assert_no_extra_columns(df, OPERATIONAL_ISSUE_FIELDS, "operational-issue")
-    return write_csv(df, OPERATIONAL_ISSUE_FIELDS, f"{out_dir}/operational-issue.csv")
+    return write_strict(df, OPERATIONAL_ISSUE_FIELDS, f"{out_dir}/operational-issue.csv", "operational-issue")
 
 
 def concat_column_fields(spark: SparkSession, input_dir: str, out_dir: str) -> str | None:
-    """``input_dir/<dataset>/<resource>.csv`` -> column-field table; path keys win."""
+    """``input_dir/<dataset>/<resource>.csv`` -> column-field table; path keys win;
+    an undeclared column is an error."""
     df = read_partitioned_csv(spark, input_dir, "dataset")
     if df is None:
         return None
-    return write_csv(df, COLUMN_FIELD_FIELDS, f"{out_dir}/column-field.csv")
+    return write_strict(df, COLUMN_FIELD_FIELDS, f"{out_dir}/column-field.csv", "column-field")
 
 
 def concat_converted_resources(spark: SparkSession, input_dir: str, out_dir: str):
     """``input_dir/<dataset>/<resource>.csv`` -> converted-resource table (rows as
-    written) and the path/content mismatch report."""
+    written; an undeclared column is an error) and the path/content mismatch report."""
     df = read_csv_union(spark, f"{input_dir.rstrip('/')}/*/*.csv", with_path=True)
     if df is None:
         return None, None
-    table = write_csv(df, CONVERTED_RESOURCE_FIELDS, f"{out_dir}/converted-resource.csv")
+    table = write_strict(df.drop(PATH_COLUMN), CONVERTED_RESOURCE_FIELDS, f"{out_dir}/converted-resource.csv", "converted-resource")
     return table, path_mismatches(df, "dataset", PATH_COLUMN)
 
 
-def build_registry(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
-                   operational_issue_csv: str | None = None, as_of: str = DEFAULT_AS_OF,
-                   specification: DataFrame | None = None,
-                   log_aggregates: Mapping[str, DataFrame] | None = None) -> dict[str, str]:
+def log_summary_once(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The log summary every report of a pass reads, computed once."""
+    return materialize(reg.log_summary(tables["log"]), "log_summary")
+
+
+def _write_reports(frames: Mapping[str, DataFrame], out_dir: str, database: bool) -> dict[str, str]:
+    out = {name: write_parquet(df, name, out_dir, sort_by=REPORT_ORDER.get(name)) for name, df in frames.items()}
+    if database:
+        for name, path in out.items():
+            spark = frames[name].sparkSession
+            save_replace(spark.read.parquet(path), name)
+    return out
+
+
+def build_registry(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str, as_of: str,
+                   operational_issue_csv: str | None = None, specification: DataFrame | None = None,
+                   database: bool = False) -> dict[str, str]:
     """Second pass: most recent log, historic and latest endpoints (registry
     variants), the typed operational-issue table and the specification table,
-    as Parquet."""
-    out = {
-        "reporting_most_recent_log": write_parquet(reg.most_recent_log(tables["log"]),
-                                                   "reporting_most_recent_log", out_dir),
-        "reporting_historic_endpoints": write_parquet(reg.historic_endpoints(tables, "registry", _agg(log_aggregates, "historic")),
-                                                      "reporting_historic_endpoints", out_dir,
-                                                      sort_by=REPORT_ORDER["reporting_historic_endpoints"]),
-        "reporting_latest_endpoints": write_parquet(reg.latest_endpoints(tables, "registry", as_of, _agg(log_aggregates, "latest")),
-                                                    "reporting_latest_endpoints", out_dir,
-                                                    sort_by=REPORT_ORDER["reporting_latest_endpoints"]),
+    as Parquet, and with ``database`` as managed tables too."""
+    summary = log_summary_once(tables)
+    frames = {
+        "reporting_most_recent_log": reg.most_recent_log(tables["log"], summary),
+        "reporting_historic_endpoints": reg.historic_endpoints(tables, "registry", summary),
+        "reporting_latest_endpoints": reg.latest_endpoints(tables, "registry", as_of=as_of, log_aggregate=summary),
     }
     if specification is not None:
-        out["specification"] = write_parquet(specification, "specification", out_dir)
+        frames["specification"] = specification
     if operational_issue_csv:
-        out["operational_issue"] = write_parquet(read_csv_typed(spark, operational_issue_csv),
-                                                 "operational_issue", out_dir)
-    return out
-
+        frames["operational_issue"] = read_csv_typed(spark, operational_issue_csv)
+    return _write_reports(frames, out_dir, database)
 
-def _agg(log_aggregates, name):
-    """The maintained log aggregate ``name`` if given (see ``streaming.log_state``)."""
-    return None if log_aggregates is None else log_aggregates[name]
 
-
-def build_reports(tables: Mapping[str, DataFrame], out_dir: str, as_of: str = DEFAULT_AS_OF,
-                  log_aggregates: Mapping[str, DataFrame] | None = None) -> dict[str, str]:
+def build_reports(tables: Mapping[str, DataFrame], out_dir: str, as_of: str, database: bool = False) -> dict[str, str]:
     """Third pass, part one: the reporting variants of historic/latest endpoints."""
-    return {
-        "reporting_historic_endpoints": write_parquet(reg.historic_endpoints(tables, "reporting", _agg(log_aggregates, "historic")),
-                                                      "reporting_historic_endpoints", out_dir,
-                                                      sort_by=REPORT_ORDER["reporting_historic_endpoints"]),
-        "reporting_latest_endpoints": write_parquet(reg.latest_endpoints(tables, "reporting", as_of, _agg(log_aggregates, "latest")),
-                                                    "reporting_latest_endpoints", out_dir,
-                                                    sort_by=REPORT_ORDER["reporting_latest_endpoints"]),
-    }
-
-
-def build_performance_tables(tables: Mapping[str, DataFrame], out_dir: str,
-                             as_of: str = DEFAULT_AS_OF,
-                             log_aggregates: Mapping[str, DataFrame] | None = None) -> dict[str, str]:
-    """Third pass, part two: the four performance tables. The historic
-    endpoints report they share is computed once and materialised."""
-    historic = materialize(reg.historic_endpoints(tables, "reporting", _agg(log_aggregates, "historic")),
-                           "reporting_historic_endpoints")
+    summary = log_summary_once(tables)
+    return _write_reports({
+        "reporting_historic_endpoints": reg.historic_endpoints(tables, "reporting", summary),
+        "reporting_latest_endpoints": reg.latest_endpoints(tables, "reporting", as_of=as_of, log_aggregate=summary),
+    }, out_dir, database)
+
+
+def build_performance_tables(tables: Mapping[str, DataFrame], out_dir: str, as_of: str, historic: DataFrame | None = None,
+                             database: bool = False) -> dict[str, str]:
+    """Third pass, part two: the four performance tables. ``historic`` is the
+    reporting historic endpoints table of part one, read back; without it that
+    report is computed here, once."""
+    if historic is None:
+        historic = materialize(reg.historic_endpoints(tables, "reporting", log_summary_once(tables)), "reporting_historic_endpoints")
     provisions = perf.provision_data(tables["provision"], tables["organisation"])
     prov_rep = materialize(perf.provision_reporting(provisions, perf.reporting_data(historic)),
                            "provision_reporting")
     issues = materialize(perf.issue_counts(tables["issue"], tables["resource"], tables["issue_type"], as_of,
                                            restrict_to=prov_rep), "issue_counts")
     cf = perf.column_field_summary(tables["column_field"], tables["resource"], restrict_to=prov_rep)
-    frames = {
+    return _write_reports({
         "endpoint_dataset_summary": perf.endpoint_summary(historic),
         "endpoint_dataset_resource_summary": perf.resource_summary(prov_rep, cf),
         "endpoint_dataset_issue_type_summary": perf.issue_type_summary(prov_rep, issues),
         "provision_summary": perf.provision_summary(prov_rep, issues),
-    }
-    return {name: write_parquet(df, name, out_dir, sort_by=REPORT_ORDER.get(name)) for name, df in frames.items()}
+    }, out_dir, database)
 
 
 def load_registry(spark: SparkSession, collection_dir: str, specification_dir: str, cache_dir: str,
@@ -211,6 +212,9 @@ def load_registry(spark: SparkSession, collection_dir: str, specification_dir: s
     from regscope.sources.csv import files_exist, read_csv_text, snake_case_columns
 
     def csv(path):
+        columnar = path.removesuffix(".csv") + ".parquet"  # written beside the CSV by the first pass
+        if files_exist(spark, columnar):
+            return snake_case_columns(spark.read.parquet(columnar))
         return snake_case_columns(read_csv_text(spark, path)) if files_exist(spark, path) else None
 
     base = {name: csv(f"{collection_dir.rstrip('/')}/{name}.csv")

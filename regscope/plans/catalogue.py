@@ -15,9 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regscope.functions.dates import DEFAULT_AS_OF, hour_version_of
+from regscope.functions.dates import hour_version_of
 from regscope.functions.keys import (ARTIFACT_TEMPLATES, COLLECTION_FILES, DATASET_TEMPLATES, DEFAULT_FILE_HOST,
-                                     canonical_organisation, explode_list, fill_template,
+                                     PIPELINE_FILES, canonical_organisation, explode_list, fill_template,
                                      is_planning_authority)
 from regscope.operators.aggregates import inverted_index
 from regscope.operators.joins import anti_join
@@ -36,13 +36,17 @@ def live_resources(resource: DataFrame, old_resource: DataFrame) -> DataFrame:
 
 # -- building blocks of R14 -----------------------------------------------------------
 def endpoint_index(endpoint: DataFrame, source: DataFrame, position: str = "pos"):
-    """Per known endpoint: its collection (from the last source row naming it,
-    ``''`` when none) and the distinct pipelines its sources list."""
-    keys = endpoint.select("endpoint").distinct()
+    """Per known endpoint: its collection (from the last source row naming it; when
+    none does, that of its own last row, ``''`` if the table has no such column)
+    and the distinct pipelines its sources list."""
+    if "collection" in endpoint.columns:
+        keys = endpoint.groupBy("endpoint").agg(F.max_by(F.coalesce("collection", F.lit("")), position).alias("__own"))
+    else:
+        keys = endpoint.select("endpoint", F.lit("").alias("__own")).distinct()
     src = source.where(F.coalesce(F.col("endpoint"), F.lit("")) != "").join(keys, "endpoint", "left_semi")
-    last = src.groupBy("endpoint").agg(F.max_by("collection", position).alias("collection"))
+    last = src.groupBy("endpoint").agg(F.max_by(F.coalesce("collection", F.lit("")), position).alias("collection"))
     collections = keys.join(last, "endpoint", "left").select(
-        "endpoint", F.coalesce(F.col("collection"), F.lit("")).alias("collection"))
+        "endpoint", F.coalesce("collection", "__own").alias("collection"))
     pipelines = explode_list(src, "pipelines", "pipeline", keep=["endpoint"]).distinct()
     return collections, pipelines
 
@@ -158,8 +162,8 @@ def _manifest_rows(df: DataFrame, templates, host: str, as_of: str, **cols) -> D
     return df.select(F.explode(F.array(*entries)).alias("__m")).select("__m.*").distinct()
 
 
-def artifact_manifest(catalogue: DataFrame, kinds: Sequence[str] = ("issue",),
-                      host: str = DEFAULT_FILE_HOST, as_of: str = DEFAULT_AS_OF) -> DataFrame:
+def artifact_manifest(catalogue: DataFrame, as_of: str, kinds: Sequence[str] = ("issue",),
+                      host: str = DEFAULT_FILE_HOST) -> DataFrame:
     """Download manifest per (collection, pipeline, resource): url -> output path.
 
     Rows with a blank pipeline cannot be fetched and are left out (reported by
@@ -171,8 +175,8 @@ def artifact_manifest(catalogue: DataFrame, kinds: Sequence[str] = ("issue",),
                           pipeline=F.col("pipeline"), resource=F.col("resource"))
 
 
-def dataset_manifest(datasets: DataFrame, kinds: Sequence[str] = tuple(DATASET_TEMPLATES),
-                     host: str = DEFAULT_FILE_HOST, as_of: str = DEFAULT_AS_OF) -> DataFrame:
+def dataset_manifest(datasets: DataFrame, as_of: str, kinds: Sequence[str] = tuple(DATASET_TEMPLATES),
+                     host: str = DEFAULT_FILE_HOST) -> DataFrame:
     """Download manifest per dataset that belongs to a collection (expectation
     logs and results, operational issue logs)."""
     usable = datasets_with_collection(datasets)
@@ -181,16 +185,19 @@ def dataset_manifest(datasets: DataFrame, kinds: Sequence[str] = tuple(DATASET_T
                           collection=F.col("collection"))
 
 
-def collection_file_manifest(collections: DataFrame, files: Sequence[str] = COLLECTION_FILES,
-                             host: str = DEFAULT_FILE_HOST) -> DataFrame:
-    """Every collection x every collection file (the list is fixed, so it is an
-    ``explode`` of literals, not a join)."""
-    c = collections.select("collection").distinct()
+def collection_file_manifest(collections: DataFrame, files: Sequence[str] | None = None,
+                             host: str = DEFAULT_FILE_HOST, folder: str = "collection") -> DataFrame:
+    """Every collection x every file of its ``folder`` (``collection`` or
+    ``pipeline``; the lists are fixed, so this is an ``explode`` of literals, not
+    a join)."""
+    if files is None:
+        files = {"collection": COLLECTION_FILES, "pipeline": PIPELINE_FILES}[folder]
+    c = collections.select("collection").where(F.coalesce("collection", F.lit("")) != "").distinct()
     per = c.select("collection", F.explode(F.array(*[F.lit(f) for f in files])).alias("file"))
     return per.select(
         "collection", "file",
-        F.concat(F.lit(host), F.col("collection"), F.lit("-collection/collection/"), F.col("file")).alias("url"),
-        F.concat(F.lit("var/collection/"), F.col("collection"), F.lit("/"), F.col("file")).alias("output_path"))
+        F.concat(F.lit(host), F.col("collection"), F.lit(f"-collection/{folder}/"), F.col("file")).alias("url"),
+        F.concat(F.lit(f"var/{folder}/"), F.col("collection"), F.lit("/"), F.col("file")).alias("output_path"))
 
 
 def pending_manifest(manifest: DataFrame, landed: DataFrame) -> DataFrame:
@@ -239,3 +246,8 @@ def resource_dataset(resource: DataFrame, source: DataFrame) -> DataFrame:
     pipes = explode_list(source.where(F.coalesce(F.col("endpoint"), F.lit("")) != ""),
                          "pipelines", "dataset", keep=["endpoint"]).distinct()
     return resource_endpoint(resource).join(pipes, "endpoint").select("resource", "dataset").distinct()
+
+
+def specification_dataset(specification: DataFrame) -> DataFrame:
+    """One (specification, dataset) row per item of the specification's datasets list."""
+    return explode_list(specification, "datasets", "dataset", keep=["specification"]).distinct()

@@ -31,7 +31,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regscope.functions.dates import DEFAULT_AS_OF, report_date
+from regscope.functions.dates import report_date
 from regscope.functions.keys import canonical_organisation, mapping_field, non_mapping_field
 from regscope.operators.aggregates import distinct_list, drop_null_keys, top_by
 from regscope.operators.joins import null_safe_left_join, null_safe_semi_join
@@ -100,7 +100,7 @@ def provision_data(provision: DataFrame, organisation: DataFrame) -> DataFrame:
 
 # -- R7 -----------------------------------------------------------------------
 def issue_counts(issue: DataFrame, resource: DataFrame, issue_type: DataFrame,
-                 as_of: str = DEFAULT_AS_OF, restrict_to: DataFrame | None = None) -> DataFrame:
+                 as_of: str, restrict_to: DataFrame | None = None) -> DataFrame:
     """Issues of active resources per (dataset, resource, issue_type, field).
 
     ``restrict_to`` (frames with ``resource`` and ``dataset``, e.g. the
@@ -111,9 +111,10 @@ def issue_counts(issue: DataFrame, resource: DataFrame, issue_type: DataFrame,
         issue = null_safe_semi_join(issue, restrict_to, _RESOURCE_DATASET)
     counted = issue.groupBy("dataset", "resource", "issue_type", "field").agg(F.count(F.lit(1)).alias("__n"))
     active = resource.where(F.col("end_date") == "").groupBy("resource").agg(F.count(F.lit(1)).alias("__rm"))
-    types = issue_type.groupBy("issue_type").agg(F.count(F.lit(1)).alias("__tm"),
-                                                 F.max("severity").alias("severity"),
-                                                 F.max("responsibility").alias("responsibility"))
+    # one row of a repeated key gives both values: the greatest (severity, responsibility)
+    types = (issue_type.groupBy("issue_type").agg(F.count(F.lit(1)).alias("__tm"),
+                                                  F.max(F.struct("severity", "responsibility")).alias("__t"))
+             .select("issue_type", "__tm", "__t.severity", "__t.responsibility"))
     return (counted.join(active, "resource").join(types, "issue_type")
             .select((F.col("__n") * F.col("__rm") * F.col("__tm")).alias("count_issues"),
                     report_date(as_of).alias("date"), "issue_type", "severity", "responsibility",
@@ -214,7 +215,7 @@ def provision_summary(prov_rep: DataFrame, issues: DataFrame) -> DataFrame:
 
 
 # -- the whole third pass -----------------------------------------------------------------
-def build_performance(tables: Tables, as_of: str = DEFAULT_AS_OF) -> dict[str, DataFrame]:
+def build_performance(tables: Tables, as_of: str) -> dict[str, DataFrame]:
     """All performance tables from the registry tables, sharing intermediate plans."""
     historic = historic_endpoints(tables, "reporting")
     provisions = provision_data(tables["provision"], tables["organisation"])

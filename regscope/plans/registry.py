@@ -35,7 +35,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regscope.functions.dates import DEFAULT_AS_OF, date_part, elapsed_days, sql_day
+from regscope.functions.dates import date_part, elapsed_days, sql_day
 from regscope.functions.keys import canonical_organisation
 from regscope.operators.aggregates import top_by
 
@@ -43,17 +43,18 @@ Tables = Mapping[str, DataFrame]
 
 
 # -- R1 ------------------------------------------------------------------------
-def most_recent_log(log: DataFrame) -> DataFrame:
+def most_recent_log(log: DataFrame, log_aggregate: DataFrame | None = None) -> DataFrame:
     """All log rows of each endpoint's latest *day* (``date(entry_date)``).
 
-    A partial ``max`` per endpoint, then an equi-join back on
-    (endpoint, day): the join key carries the day, and AQE splits a skewed
-    endpoint's partition; no window gathers an endpoint into one task.
+    The latest day per endpoint comes from the log summary if there is one, else
+    from a partial ``max``; then an equi-join back on (endpoint, day): the join
+    key carries the day, and AQE splits a skewed endpoint's partition; no window
+    gathers an endpoint into one task.
     """
     cols = log.columns
     with_day = log.withColumn("__day", sql_day("entry_date"))
-    latest = (with_day.groupBy("endpoint").agg(F.max("__day").alias("__day"))
-              .where(F.col("__day").isNotNull()))
+    days = with_day if log_aggregate is None else log_aggregate.withColumnRenamed("latest_day", "__day")
+    latest = days.groupBy("endpoint").agg(F.max("__day").alias("__day")).where(F.col("__day").isNotNull())
     return with_day.join(latest, ["endpoint", "__day"], "inner").select(*cols)
 
 
@@ -78,9 +79,14 @@ def endpoint_sources(source: DataFrame, source_pipeline: DataFrame, organisation
 
 
 def log_star(tables: Tables) -> DataFrame:
-    """J1: every log row with its source, pipeline, endpoint and organisation (inner star)."""
+    """J1: every log row with its source, pipeline, endpoint and organisation: plain
+    inner joins, so a row comes as often as its dimensions repeat."""
     log = tables["log"]
-    es = endpoint_sources(tables["source"], tables["source_pipeline"], tables["organisation"])
+    s, sp, o = tables["source"], tables["source_pipeline"], tables["organisation"]
+    s = s.select("source", "endpoint", "organisation", "collection", "licence", "documentation_url")
+    o = o.select(F.col("organisation").alias("__org"), "name", F.col("dataset").alias("org_dataset"))
+    es = (s.join(sp.select("source", "pipeline"), "source")
+          .join(o, canonical_organisation(s["organisation"]) == o["__org"]).drop("source", "__org"))
     e = tables["endpoint"].select("endpoint", "endpoint_url",
                                   F.col("entry_date").alias("endpoint_entry_date"),
                                   F.col("end_date").alias("endpoint_end_date"))
@@ -90,7 +96,7 @@ def log_star(tables: Tables) -> DataFrame:
                     "documentation_url", "endpoint_url", "endpoint_entry_date", "endpoint_end_date"))
 
 
-def days_since_200(log: DataFrame, as_of: str = DEFAULT_AS_OF) -> DataFrame:
+def days_since_200(log: DataFrame, as_of: str) -> DataFrame:
     """Per endpoint: whole days from its latest ``status = '200'`` entry to ``as_of``.
 
     ``status`` is compared as text (``'200.0'`` or ``''`` never match).
@@ -100,7 +106,7 @@ def days_since_200(log: DataFrame, as_of: str = DEFAULT_AS_OF) -> DataFrame:
             .select("endpoint", elapsed_days("__last200", as_of).alias("days_since_200")))
 
 
-def endpoint_days_since_200(endpoint: DataFrame, log: DataFrame, as_of: str = DEFAULT_AS_OF) -> DataFrame:
+def endpoint_days_since_200(endpoint: DataFrame, log: DataFrame, as_of: str) -> DataFrame:
     """J4: every endpoint with its days since the last 200 (NULL if never)."""
     return (endpoint.select("endpoint", "endpoint_url")
             .join(days_since_200(log, as_of), "endpoint", "left"))
@@ -132,20 +138,19 @@ def _report_dims(tables: Tables, source_columns, active_endpoints_only: bool = F
 
 
 # -- R2 / R4 -------------------------------------------------------------------------
-def historic_log_aggregate(log: DataFrame) -> DataFrame:
-    """The log reduced for the historic reports: latest entry per
-    (endpoint, status, exception, resource). Mergeable (a max), so it can also
-    be maintained incrementally (``regscope.streaming.log_state``)."""
-    return log.groupBy("endpoint", "status", "exception", "resource").agg(F.max("entry_date").alias("latest"))
+def log_summary(log: DataFrame) -> DataFrame:
+    """The log reduced for all reports: per (endpoint, status, exception, resource)
+    the latest entry text and the latest valid day. A build computes it once."""
+    return log.groupBy("endpoint", "status", "exception", "resource").agg(
+        F.max("entry_date").alias("latest"), F.max(sql_day("entry_date")).alias("latest_day"))
 
 
-def latest_log_aggregate(log: DataFrame) -> DataFrame:
-    """The log reduced for the latest reports: per (endpoint, status, exception)
-    the latest entry and its resource (greatest (entry_date, resource)); mergeable."""
-    return (log.groupBy("endpoint", "status", "exception")
-            .agg(F.max(F.struct("entry_date", "resource")).alias("__m"))
-            .select("endpoint", "status", "exception",
-                    F.col("__m.entry_date").alias("latest"), F.col("__m.resource").alias("resource")))
+def latest_log_aggregate(summary: DataFrame) -> DataFrame:
+    """The summary reduced for the latest reports: per (endpoint, status, exception)
+    the latest entry and its resource (greatest (entry_date, resource))."""
+    return (summary.groupBy("endpoint", "status", "exception")
+            .agg(F.max(F.struct("latest", "resource")).alias("__m"))
+            .select("endpoint", "status", "exception", "__m.latest", "__m.resource"))
 
 
 def historic_endpoints(tables: Tables, variant: str = "registry", log_aggregate: DataFrame | None = None) -> DataFrame:
@@ -158,7 +163,7 @@ def historic_endpoints(tables: Tables, variant: str = "registry", log_aggregate:
     ``documentation_url``, renames status/exception and cuts dates to 10 chars.
     """
     reporting = variant == "reporting"
-    logagg = log_aggregate if log_aggregate is not None else historic_log_aggregate(tables["log"])
+    logagg = log_aggregate if log_aggregate is not None else log_summary(tables["log"])
     source_columns = ["organisation", "name", "collection", "pipeline", "licence"] + \
         (["documentation_url"] if reporting else ["org_dataset"])
     es, e, r = _report_dims(tables, source_columns)
@@ -185,7 +190,7 @@ def historic_endpoints(tables: Tables, variant: str = "registry", log_aggregate:
 
 
 # -- R3 / R5 -------------------------------------------------------------------------
-def latest_endpoints(tables: Tables, variant: str = "registry", as_of: str = DEFAULT_AS_OF,
+def latest_endpoints(tables: Tables, variant: str = "registry", *, as_of: str,
                      log_aggregate: DataFrame | None = None) -> DataFrame:
     """R3 / R5: per (organisation, pipeline) the group with the latest active
     endpoint (``endpoint.end_date = ''``), then latest log entry.
@@ -195,7 +200,8 @@ def latest_endpoints(tables: Tables, variant: str = "registry", as_of: str = DEF
     *uncut* texts, then the remaining group columns.
     """
     reporting = variant == "reporting"
-    logagg = log_aggregate if log_aggregate is not None else latest_log_aggregate(tables["log"])
+    whole = log_aggregate if log_aggregate is not None else log_summary(tables["log"])
+    logagg = latest_log_aggregate(whole)
     source_columns = ["organisation", "name", "collection", "pipeline", "licence"] + \
         ([] if reporting else ["org_dataset"])
     es, e, r = _report_dims(tables, source_columns, active_endpoints_only=True)

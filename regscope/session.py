@@ -28,6 +28,10 @@ RUNTIME_CONF = {
 }
 
 
+# Of these, what results depend on.
+RESULT_CONF = ("spark.sql.session.timeZone", "spark.sql.legacy.timeParserPolicy")
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "regscope", extra_conf: dict | None = None) -> SparkSession:
     """Build (or join) the session. ``master`` and the shuffle partition count
@@ -55,9 +59,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
-    for k, v in RUNTIME_CONF.items():
-        spark.conf.set(k, v)
+    """Set on a session handed to us what results depend on, and nothing else:
+    its join and partition settings stay its owner's."""
+    for k in RESULT_CONF:
+        spark.conf.set(k, RUNTIME_CONF[k])
     return spark
 
 
@@ -74,19 +79,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="regscope-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def size_for(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20,
-             min_partitions: int = 200) -> int:
-    """Size shuffles for a run over ``input_bytes`` of input: enough shuffle
-    partitions that each holds about ``partition_bytes`` before AQE coalesces
-    the small ones, scans split at the same size, and AQE's target partition
-    size set to match. Returns the shuffle partition count."""
-    partitions = max(min_partitions, -(-input_bytes // partition_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
-    return partitions

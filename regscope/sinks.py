@@ -45,7 +45,8 @@ def write_csv(df: DataFrame, columns: Sequence[str], path: str, mode: str = "ove
     from regscope.plans.consolidate import project_declared
 
     out = ordered(project_declared(df, columns), sort_by)
-    out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    (out.write.mode(mode).option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 

@@ -2,25 +2,31 @@
 
 Registry CSVs are all text: header row, RFC-4180 quoting (embedded newlines
 allowed), an empty cell means ``''``. Spark's CSV reader turns empty cells
-into NULL, so every reader here ends with ``fillna('')`` on string columns.
-
-Files of one table may disagree on header order or width. A single multi-file
-``spark.read.csv`` assigns columns by *position* from the first header, which
-is silently wrong for such files, so ``read_csv_union`` first finds each
-file's header line (a small Spark job over the first split of every file),
-then reads each group of files sharing a header with one ``read.csv`` and
-unions the groups by column name.
+into NULL, so every reader here ends with blanks for NULL in string columns.
+
+A row with more cells than its header is an error (``surplus="raise"``) or is
+left to the caller (``surplus="quarantine"``, see ``surplus_rows``): its extra
+cells are never dropped without a word. Short rows are filled with blanks.
+
+Files of one table may disagree on header order or width. ``read_csv_union``
+reads all of them once, without a header and by position, writes the cells to
+the shared folder, takes every file's first row as its header there, and matches
+cells to columns by name with a join on the file. Only the distinct header names
+reach the driver, however many files there are.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PATH_COLUMN = "__path"
+#: Cells a row may have in a by-name union; a wider row is an error. And room
+#: beyond the first file's width that costs no second reading.
+MAX_CELLS = 4096
+SPARE_CELLS = 8
+_CORRUPT = "__corrupt"
 
 
 def _paths(paths) -> list[str]:
@@ -38,16 +44,47 @@ def blank_for_null(df: DataFrame) -> DataFrame:
     return df.fillna("", subset=strings) if strings else df
 
 
-def read_csv_text(spark: SparkSession, paths, with_path: bool = False) -> DataFrame:
+def _is_surplus(record: str, width: int):
+    """Does a raw record hold more than ``width`` cells? (commas outside quotes)"""
+    bare = F.regexp_replace(F.col(record), r'"(?:[^"]|"")*+"', "")
+    return F.coalesce(F.regexp_count(bare, F.lit(",")) >= width, F.lit(False))
+
+
+def _with_record(spark: SparkSession, paths) -> DataFrame:
+    """Rows with their raw record where it does not have as many cells as the header."""
+    names = _csv_reader(spark).csv(_paths(paths)).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _CORRUPT]])
+    return _csv_reader(spark).schema(schema).option("columnNameOfCorruptRecord", _CORRUPT).csv(_paths(paths))
+
+
+def read_csv_text(spark: SparkSession, paths, with_path: bool = False, surplus: str = "raise") -> DataFrame:
     """S1: header CSV, every column text, ``''`` for blanks.
 
     All ``paths`` must share one header (see ``read_csv_union`` otherwise).
     ``with_path`` adds the source file as ``__path``.
     """
-    df = _csv_reader(spark).csv(_paths(paths))
-    if with_path:
-        df = df.select("*", F.col("_metadata.file_path").alias(PATH_COLUMN))
-    return blank_for_null(df)
+    df = _with_record(spark, paths)
+    width = len(df.columns) - 1
+    # a query may not refer to the record column alone: always true, but of a cell
+    cell = F.length(F.coalesce(F.col(f"`{df.columns[0]}`"), F.lit(""))) >= 0
+    over = _is_surplus(_CORRUPT, width)
+    if surplus == "raise":
+        df = df.where(F.when(over, F.raise_error(F.concat(F.lit("row wider than its header: "), F.substring(_CORRUPT, 1, 200))).cast("boolean"))
+                      .otherwise(cell))
+    elif surplus == "quarantine":
+        df = df.where(~over & cell)
+    else:
+        raise ValueError("surplus is 'raise' or 'quarantine'")
+    path = [F.col("_metadata.file_path").alias(PATH_COLUMN)] if with_path else []
+    return blank_for_null(df.select(*[F.col(f"`{c}`") for c in df.columns if c != _CORRUPT], *path))
+
+
+def surplus_rows(spark: SparkSession, paths) -> DataFrame:
+    """The rows that ``surplus="quarantine"`` leaves out: (path, record)."""
+    df = _with_record(spark, paths)
+    cell = F.length(F.coalesce(F.col(f"`{df.columns[0]}`"), F.lit(""))) >= 0
+    return df.where(_is_surplus(_CORRUPT, len(df.columns) - 1) & cell).select(
+        F.col("_metadata.file_path").alias("path"), F.col(_CORRUPT).alias("record"))
 
 
 def read_csv_typed(spark: SparkSession, path, schema: T.StructType | str | None = None) -> DataFrame:
@@ -57,53 +94,65 @@ def read_csv_typed(spark: SparkSession, path, schema: T.StructType | str | None
     return r.csv(_paths(path))
 
 
-def csv_headers(spark: SparkSession, paths) -> dict[str, str]:
-    """File path -> its header line, for every non-empty file.
+def _cells(spark: SparkSession, paths) -> DataFrame | None:
+    """(file, rid, cells) of every record of every file, headers included. Room is
+    made for a few cells more than the first file has; only if some row needs still
+    more are the files read again, with more room."""
+    from regscope.sinks import materialize
 
-    Runs as one Spark job over the first split of each file; only one short
-    line per file reaches the driver (the same listing Spark itself holds).
-    """
-    from pyspark.errors import AnalysisException
-
-    try:
-        text = spark.read.text(_paths(paths))
-    except AnalysisException as e:  # nothing landed under the pattern
-        if "PATH_NOT_FOUND" in str(e):
-            return {}
-        raise
-    lines = (text
-             .select("value", F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_block_start").alias("start"))
-             .where(F.col("start") == 0)
-             .withColumn("rid", F.monotonically_increasing_id()))
-    first = lines.groupBy("file").agg(F.min_by("value", "rid").alias("header"))
-    return {r["file"]: r["header"] for r in first.collect()}
-
-
-def read_csv_union(spark: SparkSession, paths, with_path: bool = False,
-                   uniform: bool = False) -> DataFrame | None:
+    if not files_exist_any(spark, paths):
+        return None
+    reader = spark.read.option("header", False).option("multiLine", True).option("escape", '"').option("quote", '"')
+    room = len(reader.csv(_paths(paths)).columns) + SPARE_CELLS
+    while True:
+        names = [f"c{i}" for i in range(room)]
+        raw = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in [*names, "over"]])).csv(_paths(paths))
+        used = F.greatest(F.lit(0), *[F.when(F.col(c).isNotNull(), i + 1) for i, c in enumerate(names)])
+        cells = materialize(raw.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("rid"),
+                                       F.slice(F.array(*names), F.lit(1), used).alias("cells"), F.col("over").isNotNull().alias("over")), "csv-cells")
+        if cells.where("over").isEmpty():
+            return cells.drop("over")
+        if room >= MAX_CELLS:
+            raise ValueError(f"a row has more than {room} cells")
+        room = min(MAX_CELLS, room * 4)
+
+
+def read_csv_union(spark: SparkSession, paths, with_path: bool = False, uniform: bool = False,
+                   surplus: str = "raise", position: str | None = None) -> DataFrame | None:
     """S2: files of one table whose headers differ, matched by column *name*.
 
-    Zero-byte files contribute nothing. Columns absent from a file are
-    ``''`` there. Returns ``None`` when no file has a header.
-
-    Finding each file's header is a text scan of the files (Spark does not
-    prune a scan to the first split of a file), i.e. one extra pass over the
-    landed CSVs. ``uniform=True`` skips it when the caller knows every file
-    has the same header (one read).
+    Zero-byte files contribute nothing. Columns absent from a file are ``''``
+    there. Returns ``None`` when no file has a header. ``uniform=True`` says that
+    every file has the same header (one plain read). ``position`` adds a row
+    number that ascends in file path order, and in row order within a file.
     """
-    from regscope.operators.setops import union_by_name
-
-    if uniform:
-        return read_csv_text(spark, paths, with_path=with_path) if files_exist_any(spark, paths) else None
-
-    groups: dict[str, list[str]] = defaultdict(list)
-    for path, header in sorted(csv_headers(spark, paths).items()):
-        groups[header].append(path)
-    if not groups:
+    if surplus not in ("raise", "quarantine"):
+        raise ValueError("surplus is 'raise' or 'quarantine'")
+    if uniform and position is None:
+        return read_csv_text(spark, paths, with_path=with_path, surplus=surplus) if files_exist_any(spark, paths) else None
+    cells = _cells(spark, paths)
+    if cells is None:
+        return None
+    per_file = cells.groupBy("file").agg(F.min_by("cells", "rid").alias("header"), F.min("rid").alias("first"), F.count("*").alias("rows"))
+    # a small aggregate: one row per distinct header, not per file
+    names = [r["name"] for r in per_file.groupBy("header").agg(F.min("file").alias("file"))
+             .select("file", F.posexplode("header").alias("at", "name")).where(F.coalesce("name", F.lit("")) != "")
+             .groupBy("name").agg(F.min(F.struct("file", "at")).alias("seen")).orderBy("seen").select("name").collect()]
+    if not names:
         return None
-    frames = [read_csv_text(spark, files, with_path=with_path) for _, files in sorted(groups.items())]
-    return union_by_name(frames, fill_strings="")
+    if position is not None:
+        # one row per file: rows of the files before it
+        before = F.sum(F.col("rows")).over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+        per_file = per_file.withColumn("before", F.coalesce(before, F.lit(0)))
+    rows = cells.join(per_file, "file").where(F.col("rid") > F.col("first"))
+    over = F.size("cells") > F.size("header")
+    rows = rows.where(~over) if surplus == "quarantine" else rows.where(
+        F.when(over, F.raise_error(F.concat(F.lit("row wider than its header in "), F.col("file"))).cast("boolean")).otherwise(F.lit(True)))
+    columns = [F.coalesce(F.get("cells", F.coalesce(F.array_position("header", n), F.lit(0)).cast("int") - 1), F.lit("")).alias(n) for n in names]
+    extra = [F.col("file").alias(PATH_COLUMN)] if with_path else []
+    if position is not None:
+        extra.append((F.col("before") + F.col("rid") - F.col("first")).cast("bigint").alias(position))
+    return rows.select(*columns, *extra)
 
 
 def read_collection_table(spark: SparkSession, root: str, table: str, with_path: bool = False) -> DataFrame | None:
@@ -114,7 +163,8 @@ def read_collection_table(spark: SparkSession, root: str, table: str, with_path:
 def read_partitioned_csv(spark: SparkSession, root: str, key_column: str,
                          strict: bool = True) -> DataFrame | None:
     """S3: ``root/<key>/<hex hash>.csv`` files; the directory names ``key_column``
-    and the file stem names ``resource``, both taken from the path (Q3)."""
+    and the file stem names ``resource``, both taken from the path (Q3).
+    ``strict=False`` leaves the rows as written, with the path as ``__path``."""
     from regscope.plans.consolidate import override_from_path
 
     df = read_csv_union(spark, f"{root.rstrip('/')}/*/*.csv", with_path=True)
@@ -124,10 +174,13 @@ def read_partitioned_csv(spark: SparkSession, root: str, key_column: str,
 
 
 def read_positioned_csv(spark: SparkSession, path: str, position: str = "pos") -> DataFrame:
-    """S1 plus the row's position in its file (ascending in file order; ids of
-    different files do not interleave). For lists whose meaning depends on
-    order, e.g. groups separated by blank rows."""
-    return read_csv_text(spark, path).withColumn(position, F.monotonically_increasing_id())
+    """S1 plus the row's position: file by file in path order, then row by row. For
+    lists whose meaning depends on order, e.g. groups separated by blank rows, and
+    for tables whose last row wins."""
+    df = read_csv_union(spark, path, position=position)
+    if df is None:
+        raise ValueError(f"no CSV file with a header under {path}")
+    return df
 
 
 def read_blank_delimited_groups(spark: SparkSession, path: str) -> DataFrame:
@@ -152,8 +205,10 @@ def files_exist(spark: SparkSession, pattern: str) -> bool:
     try:
         spark.read.text(pattern).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:  # anything but an absent path is an error of its own
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def files_exist_any(spark: SparkSession, paths) -> bool:

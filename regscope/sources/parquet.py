@@ -28,22 +28,20 @@ def read_parquet_union(spark: SparkSession, paths) -> DataFrame:
         merged.schema  # schema merge happens here
         return merged
     except Exception as e:  # noqa: BLE001 - the JVM error may arrive unconverted
-        if "CANNOT_MERGE_SCHEMAS" not in str(e):
+        # UNABLE_TO_INFER_SCHEMA: the files lie in folders below
+        if "CANNOT_MERGE_SCHEMAS" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
     files: list[str] = []
     for p in paths:
-        if _is_pattern(p):
-            # file listing only (the binaryFile source does not read content that is not selected)
-            listing = spark.read.format("binaryFile").load(p).select("path")
-            files.extend(sorted(r["path"] for r in listing.collect()))
-        else:
-            files.append(p)
+        # file listing only (the binaryFile source does not read content that is not
+        # selected); a folder is listed as well: its files may differ among themselves
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(p)
+        files.extend(sorted(r["path"] for r in listing.select("path").collect()))
+    if not files:
+        raise FileNotFoundError(f"no Parquet file under {paths}")
     groups: dict[str, list[str]] = defaultdict(list)
     for f in files:
         groups[spark.read.parquet(f).schema.json()].append(f)
     frames = [spark.read.parquet(*fs) for _, fs in sorted(groups.items())]
     return union_by_name(frames)
 
-
-def _is_pattern(p: str) -> bool:
-    return any(ch in p for ch in "*?[")

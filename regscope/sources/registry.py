@@ -21,14 +21,18 @@ SPECIFICATION_TABLES = ("award", "collection", "theme", "typology", "dataset", "
 
 
 CACHE_TABLES = ("organisation",)
+# Tables the earlier passes write, each under a folder of its own.
+RESULT_TABLES = {"expectation": "expectation/", "issue": "issues/", "column-field": "column-field/",
+                 "converted-resource": "converted-resource/"}
 
 
-def registry_locations(collection_dir: str, specification_dir: str, pipeline_dir: str,
-                       cache_dir: str) -> dict[str, str]:
-    """Every registry table -> the folder it is landed under."""
+def registry_locations(collection_dir: str = "collection/", specification_dir: str = "specification/",
+                       pipeline_dir: str = "pipeline/", cache_dir: str = "var/cache/",
+                       results: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Every registry table (49) -> the folder it is landed under."""
     groups = ((COLLECTION_TABLES, collection_dir), (SPECIFICATION_TABLES, specification_dir),
               (PIPELINE_TABLES, pipeline_dir), (CACHE_TABLES, cache_dir))
-    return {t: d for tables, d in groups for t in tables}
+    return {t: d for tables, d in groups for t in tables} | RESULT_TABLES | dict(results or {})
 
 
 def view_name(table: str) -> str:
@@ -61,7 +65,8 @@ def register_tables(spark: SparkSession, registry: Mapping[str, str | DataFrame]
 
 def register_link_tables(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Register the link tables derived from ``;`` lists (source -> pipelines,
-    resource -> endpoints, and through them resource -> organisations / datasets)."""
+    resource -> endpoints, and through them resource -> organisations / datasets,
+    specification -> datasets)."""
     from regscope.plans import catalogue as cat
 
     links: dict[str, DataFrame] = {}
@@ -72,6 +77,18 @@ def register_link_tables(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame
         if "source" in tables:
             links["resource_organisation"] = cat.resource_organisation(tables["resource"], tables["source"])
             links["resource_dataset"] = cat.resource_dataset(tables["resource"], tables["source"])
+    if "specification" in tables and "datasets" in tables["specification"].columns:
+        links["specification_dataset"] = cat.specification_dataset(tables["specification"])
     for name, df in links.items():
         df.createOrReplaceTempView(name)
     return links
+
+
+def save_registry(spark: SparkSession, registry: Mapping[str, str | DataFrame]) -> list[str]:
+    """The registry database: every landed table and link table as a managed table
+    (replaced as a whole). Returns the names written."""
+    from regscope.sinks import save_replace
+
+    tables = register_tables(spark, registry)
+    tables |= register_link_tables(tables)
+    return [save_replace(df, name) for name, df in tables.items()]

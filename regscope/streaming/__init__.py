@@ -1,10 +1,2 @@
-"""Incremental (streaming) jobs.
-
-The reference has no stream processing (no windows, watermarks or state).
-Two incremental forms of what it recomputes from scratch:
-
-* ``landing.append_landed``: append only the partition files landed since the
-  last run (file source + checkpoint, ``availableNow``);
-* ``log_state.maintain_log_aggregates``: keep the log aggregates the endpoint
-  reports start from, merging only newly landed log files into a versioned state.
-"""
+"""Incremental consolidation: ``landing.append_landed`` appends the partition files
+landed since the last run (file source, checkpoint beside the table)."""

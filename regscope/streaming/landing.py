@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from regscope.plans.consolidate import override_from_path
-from regscope.session import ensure_checkpoint_dir
 
 
 def landed_csv_stream(spark: SparkSession, input_dir: str, fields: Sequence[str], key_column: str) -> DataFrame:
@@ -48,12 +47,11 @@ def append_landed(spark: SparkSession, input_dir: str, out_dir: str, fields: Seq
     """Append the rows of every file landed since the previous run to the
     Parquet table at ``out_dir`` and stop when caught up.
 
-    The checkpoint defaults to a folder under ``spark.checkpoint.dir`` (shared
-    storage on a cluster), named after the output folder.
+    The checkpoint belongs to the table: it lies beside it unless given, so any
+    later run, in any process, goes on where the last one stopped.
     """
     if checkpoint is None:
-        base = ensure_checkpoint_dir(spark).rstrip("/")
-        checkpoint = f"{base}/regscope-stream/{out_dir.strip('/').replace('/', '_')}"
+        checkpoint = f"{out_dir.rstrip('/')}.checkpoint"
     stream = landed_csv_stream(spark, input_dir, fields, key_column)
     return (stream.writeStream.format("parquet").option("path", out_dir)
             .option("checkpointLocation", checkpoint).outputMode("append")

@@ -94,25 +94,48 @@ def test_cli_scripts(spark, scratch):
                                                             ("/organisation/local-authority/E1", "organisation")]
 
 
-def test_cli_log_state_matches_full_log(spark, scratch):
-    d = scratch
-    log_rows = [("e1", "2021-01-01T10:00:00Z", "200", "", "r1"), ("e1", "2021-01-02T10:00:00Z", "404", "", ""),
-                ("e2", "2021-02-01T00:00:00Z", "200", "", "r1")]
-    _write(f"{d}/collection/log.csv", "endpoint,entry-date,status,exception,resource\n" +
-           "".join(",".join(r) + "\n" for r in log_rows))
+def _registry(d):
     _write(f"{d}/collection/source.csv", "source,organisation,collection,endpoint,licence,documentation-url,pipelines\n"
-                                         "s1,local-authority-eng:A,c1,e1,ogl,doc,tree\ns2,local-authority:A,c1,e2,,d2,tree\n")
+                                         "s1,local-authority-eng:A,c1,e1,ogl,doc,tree\ns2,local-authority:A,c1,e2,,d2,tree;area\n")
     _write(f"{d}/collection/endpoint.csv", "endpoint,endpoint-url,entry-date,end-date\n"
                                            "e1,u1,2020-01-01T00:00:00Z,\ne2,u2,2020-02-01T00:00:00Z,\n")
     _write(f"{d}/collection/resource.csv", "resource,start-date,end-date,endpoints\nr1,2020-01-01,,e1\n")
+    _write(f"{d}/collection/log.csv", "endpoint,entry-date,status,exception,resource\ne1,2021-01-01T10:00:00Z,200,,r1\n")
     _write(f"{d}/var/cache/organisation.csv", "organisation,name,dataset\nlocal-authority:A,Alpha,ds\n")
-    spark.createDataFrame(log_rows, "endpoint string, entry_date string, status string, exception string, "
-                                    "resource string").write.parquet(f"{d}/landed-log")
-    assert main(["update-log-state", "--log-dir", f"{d}/landed-log", "--state-dir", f"{d}/state"]) == 0
-    common = ["--collection-dir", f"{d}/collection", "--specification-dir", f"{d}/specification",
-              "--cache-dir", f"{d}/var/cache"]
-    assert main(["build-reports", *common, "--out", f"{d}/full"]) == 0
-    assert main(["build-reports", *common, "--log-state", f"{d}/state", "--out", f"{d}/incremental"]) == 0
-    for t in ("reporting_historic_endpoints", "reporting_latest_endpoints"):
-        full = rows(spark.read.parquet(f"{d}/full/{t}.parquet"))
-        assert full and rows(spark.read.parquet(f"{d}/incremental/{t}.parquet")) == full
+
+
+def test_cli_reports_use_the_clock(spark, scratch):
+    from datetime import datetime, timezone
+
+    d = scratch
+    _registry(d)
+    common = ["--collection-dir", f"{d}/collection", "--specification-dir", f"{d}/specification", "--cache-dir", f"{d}/var/cache"]
+    before = datetime.now(timezone.utc)
+    assert main(["build-reports", *common, "--out", f"{d}/now"]) == 0
+    assert main(["build-reports", *common, "--out", f"{d}/then", "--as-of", "2021-01-05"]) == 0
+    def days(x):
+        return spark.read.parquet(f"{x}/reporting_latest_endpoints.parquet").where("endpoint = 'e1'").first()["days_since_200"]
+    assert days(f"{d}/then") == 3
+    assert days(f"{d}/now") - (before - datetime(2021, 1, 1, 10, tzinfo=timezone.utc)).days in (0, 1)
+
+
+def test_cli_consolidate_all_manifest_and_database(spark, scratch):
+    d = scratch
+    _registry(d)
+    _write(f"{d}/specification/schema-field.csv", "schema,field\nendpoint,endpoint\nendpoint,endpoint-url\nlookup,prefix\nlookup,entity\n")
+    _write(f"{d}/var/pipeline/tree/lookup.csv", "prefix,entity\np,1\n")
+    _write(f"{d}/var/pipeline/area/lookup.csv", "entity,prefix\n2,q\n")
+    assert main(["consolidate-all", "pipeline", "--var-dir", f"{d}/var/pipeline", "--out-dir", f"{d}/pipeline",
+                 "--schema-field", f"{d}/specification/schema-field.csv"]) == 0
+    assert rows(read_csv_text(spark, f"{d}/pipeline/lookup.csv"), "prefix", "entity") == [("p", "1"), ("q", "2")]
+    assert rows(spark.read.parquet(f"{d}/pipeline/lookup.parquet"), "prefix", "entity") == [("p", "1"), ("q", "2")]
+    assert main(["manifest", "issue", "--input-dir", f"{d}/collection", "--output", f"{d}/m.csv", "--as-of", "2021-01-05"]) == 0
+    assert rows(read_csv_text(spark, f"{d}/m.csv"), "output_path") == [("var/issue/tree/r1.csv",)]
+    assert main(["manifest", "issue", "--input-dir", f"{d}/collection", "--output", f"{d}/p.csv", "--landed", f"{d}/m.csv"]) == 0
+    assert read_csv_text(spark, f"{d}/p.csv").count() == 0
+    assert main(["manifest", "pipeline-files", "--input-dir", f"{d}/collection", "--output", f"{d}/f.csv"]) == 0
+    assert read_csv_text(spark, f"{d}/f.csv").count() == 12
+    assert main(["load-registry", "--collection-dir", f"{d}/collection", "--specification-dir", f"{d}/specification",
+                 "--pipeline-dir", f"{d}/pipeline", "--cache-dir", f"{d}/var/cache"]) == 0
+    assert rows(spark.table("source_pipeline")) == [("s1", "tree"), ("s2", "area"), ("s2", "tree")]
+    assert spark.table("lookup").count() == 2 and spark.table("resource_dataset").count() == 1

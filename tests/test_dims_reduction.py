@@ -83,7 +83,7 @@ def test_latest_reporting_matches_direct(t):
     top = top_by(g, ["organisation", "pipeline"], order=order, payload=["organisation_name"])
     direct = top.select("organisation", "pipeline", "endpoint", "endpoint_url", F.col("status"), "resource",
                         date_part("e_entry_date").alias("endpoint_entry_date"), "days_since_200")
-    got = reg.latest_endpoints(t, "reporting", AS_OF).select(
+    got = reg.latest_endpoints(t, "reporting", as_of=AS_OF).select(
         "organisation", "pipeline", "endpoint", "endpoint_url", F.col("latest_status").alias("status"), "resource",
         "endpoint_entry_date", "days_since_200")
     assert rows(got) == rows(direct)

@@ -29,7 +29,7 @@ def test_normalise_timestamp(spark, raw, out):
 
 @pytest.mark.parametrize("bad", ["2020-03-04T09:30:00", "20-3-4", "yesterday"])
 def test_normalise_timestamp_strict_aborts(spark, bad):
-    with pytest.raises(Exception, match="unknown date format"):
+    with pytest.raises(Exception, match="not a date"):
         one(spark, D.normalise_timestamp("v"), bad)
 
 

@@ -5,7 +5,7 @@ from regscope.operators import aggregates as A
 from regscope.operators import joins as J
 from regscope.operators import setops as U
 from regscope.operators import windows as W
-from regscope.operators.quality import assert_columns, assert_no_extra_columns, column_expectations
+from regscope.operators.quality import assert_columns, assert_no_extra_columns, check_columns, column_expectations
 
 
 def test_top_by_ties_and_nulls(spark):
@@ -89,9 +89,12 @@ def test_concat_tables_common_columns(spark):
 
 def test_column_checks(spark):
     df = spark.createDataFrame([("a", "b")], "x string, y string")
-    res = column_expectations({"t": df}, {"t": ["x", "z"]}).first()
-    assert (res["success"], res["missing"], res["actual"], res["row_count"]) == (False, "z", "x;y", 1)
-    with pytest.raises(ValueError, match="Missing columns"):
+    res = {r["table_name"]: r for r in column_expectations(spark, {"t": df, "u": df}, {"t": ["x", "z"], "u": ["y"], "absent": ["x"]}).collect()}
+    assert (res["t"]["present"], res["t"]["success"], res["t"]["missing"], res["t"]["actual"]) == (True, False, "z", "x;y")
+    assert res["u"]["success"] and (res["absent"]["present"], res["absent"]["success"]) == (False, False)
+    with pytest.raises(ValueError, match="absent: not found"):
+        check_columns(spark, {"u": df}, {"u": ["y"], "absent": ["x"]})
+    with pytest.raises(ValueError, match="lacks declared"):
         assert_columns(df, ["x", "z"], "t")
     with pytest.raises(ValueError, match="undeclared"):
         assert_no_extra_columns(df, ["x"], "t")
@@ -101,20 +104,25 @@ def test_empty_inputs_are_clear_errors(spark):
     from regscope.operators.quality import table_inventory
     from regscope.plans.catalogue import slug_inventory
     for call in (lambda: U.union_by_name([]), lambda: U.concat_tables([]), lambda: table_inventory({}),
-                 lambda: slug_inventory(), lambda: column_expectations({}, {"t": ["x"]})):
+                 lambda: slug_inventory(), lambda: column_expectations(spark, {}, {})):
         with pytest.raises(ValueError):
             call()
 
 
-def test_size_for(spark):
-    from regscope.session import size_for
-    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
-    old = {k: spark.conf.get(k) for k in keys}
+def test_widening_follows_the_value_types(spark):
+    from pyspark.sql import types as T
+    w = U._wider
+    assert w(T.DateType(), T.TimestampNTZType()) == T.TimestampNTZType() and w(T.BooleanType(), T.IntegerType()) == T.IntegerType()
+    assert w(T.DecimalType(10, 2), T.IntegerType()) == T.DecimalType(12, 2) and w(T.DecimalType(5, 3), T.DecimalType(9, 1)) == T.DecimalType(11, 3)
+    assert w(T.DecimalType(5, 3), T.DoubleType()) == T.DoubleType() and w(T.LongType(), T.StringType()) == T.StringType()
+    assert w(T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())) == T.ArrayType(T.LongType())
+
+
+def test_configure_leaves_the_callers_join_settings(spark):
+    from regscope.session import configure
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
-        assert size_for(spark, 100 * (1 << 40)) == 819200          # 100 TiB at 128 MiB per partition
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "819200"
-        assert size_for(spark, 1 << 20) == 200
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "12345")
+        assert configure(spark).conf.get("spark.sql.autoBroadcastJoinThreshold") == "12345"
     finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -7,6 +7,7 @@ from conftest import rows
 from regscope import sinks
 from regscope.plans import build
 from regscope.sources import csv as C
+from regscope.sources import parquet as P
 from regscope.sources.parquet import read_parquet_union
 from regscope.sources.registry import register_tables
 
@@ -120,16 +121,16 @@ def test_build_performance_tables_match_queries(spark, scratch):
     from regscope.fixtures import Fixtures
     from regscope.operators.quality import check_columns
     from regscope.plans.performance import EXPECTED_COLUMNS
-    from regscope.queries import QUERIES
+    from regscope.queries import AS_OF, QUERIES
     sf = "/root/testdata/sf0.001"
-    out = build.build_performance_tables(Fixtures.of(spark, sf).registry_tables(), scratch)
+    out = build.build_performance_tables(Fixtures.of(spark, sf).registry_tables(), scratch, AS_OF)
     written = {k: spark.read.parquet(v) for k, v in out.items()}
     assert rows(written["provision_summary"]) == rows(QUERIES["provision_summary"](spark, sf))
     assert rows(written["endpoint_dataset_summary"]) == rows(QUERIES["endpoint_summary"](spark, sf))
     expected = {k: v for k, v in EXPECTED_COLUMNS.items() if k in written}
-    assert check_columns(written, expected).count() == 4
-    with pytest.raises(ValueError, match="Missing columns"):
-        check_columns({"provision_summary": written["provision_summary"].drop("dataset")},
+    assert check_columns(spark, written, expected).count() == 4
+    with pytest.raises(ValueError, match="lacks dataset"):
+        check_columns(spark, {"provision_summary": written["provision_summary"].drop("dataset")},
                       {"provision_summary": EXPECTED_COLUMNS["provision_summary"]})
 
 
@@ -178,12 +179,14 @@ def test_registry_locations_and_links(spark, scratch):
                              f"{scratch}/cache")
     assert loc["log"].endswith("/collection") and loc["issue-type"].endswith("/specification")
     assert loc["default-value"].endswith("/pipeline") and loc["organisation"].endswith("/cache")
-    assert len(loc) == 45
+    assert len(loc) == 49 and loc["converted-resource"] == "converted-resource/"
     _write(f"{scratch}/collection/source.csv", "source,organisation,endpoint,pipelines\ns1,o1,e1,tree;area\n")
     _write(f"{scratch}/collection/resource.csv", "resource,endpoints\nr1,e1;e2\n")
     tables = register_tables(spark, {"source": f"{scratch}/collection", "resource": f"{scratch}/collection"})
+    tables["specification"] = spark.createDataFrame([("brownfield", "tree;area")], "specification string, datasets string")
     links = register_link_tables(tables)
-    assert sorted(links) == ["resource_dataset", "resource_endpoint", "resource_organisation", "source_pipeline"]
+    assert sorted(links) == ["resource_dataset", "resource_endpoint", "resource_organisation", "source_pipeline", "specification_dataset"]
+    assert links["specification_dataset"].count() == 2
     got = spark.sql("SELECT resource, dataset FROM resource_dataset ORDER BY dataset").collect()
     assert [tuple(r) for r in got] == [("r1", "area"), ("r1", "tree")]
 
@@ -242,7 +245,7 @@ def test_consolidate_checks_undeclared_date_columns(spark):
     from regscope.plans.consolidate import consolidate
     df = spark.createDataFrame([("e1", "2020-01-01", "2021"), ("e2", "2020-02-02", "garbage")],
                                "endpoint string, `start-date` string, `foo-date` string")
-    with pytest.raises(Exception, match="unknown date format"):
+    with pytest.raises(Exception, match="not a date"):
         consolidate(df, "endpoint", ["endpoint", "start-date"]).collect()
     ok = consolidate(df.where("endpoint = 'e1'"), "endpoint", ["endpoint", "start-date"])
     assert rows(ok) == [("e1", "2020-01-01")]
@@ -261,3 +264,62 @@ def test_concat_operational_issues_and_single_file_tables(spark, scratch):
     _write(f"{scratch}/spec/issue-type.csv", "issue-type,severity\nmissing,error\n")
     t = load_table(spark, f"{scratch}/spec", "issue-type")
     assert rows(t) == [("missing", "error")]
+
+
+def test_csv_keeps_blanks_at_the_ends_of_cells(spark, scratch):
+    df = spark.createDataFrame([("  lead", "trail  ", " "), ("\ttab", "a,b", 'q"q')], "a string, b string, c string")
+    path = sinks.write_csv(df, ["a", "b", "c"], f"{scratch}/blanks.csv")
+    assert rows(C.read_csv_text(spark, path)) == rows(df)
+
+
+def test_surplus_cells_are_an_error_or_are_set_aside(spark, scratch):
+    _write(f"{scratch}/s.csv", 'a,b\n1,2\n1,2,3\nx\n"q,q",y\n1,2,,4\n')
+    with pytest.raises(Exception, match="wider than its header"):
+        C.read_csv_text(spark, f"{scratch}/s.csv").collect()
+    with pytest.raises(Exception, match="wider than its header"):
+        C.read_csv_text(spark, f"{scratch}/s.csv").select("a").count()
+    assert rows(C.read_csv_text(spark, f"{scratch}/s.csv", surplus="quarantine")) == [("1", "2"), ("q,q", "y"), ("x", "")]
+    assert sorted(r["record"].strip() for r in C.surplus_rows(spark, f"{scratch}/s.csv").collect()) == ["1,2,,4", "1,2,3"]
+    with pytest.raises(Exception, match="wider than its header"):
+        C.read_csv_union(spark, f"{scratch}/s.csv").collect()
+    assert rows(C.read_csv_union(spark, f"{scratch}/s.csv", surplus="quarantine")) == [("1", "2"), ("q,q", "y"), ("x", "")]
+
+
+def test_undeclared_columns_are_an_error_in_every_concatenation(spark, scratch):
+    _write(f"{scratch}/cf/tree/aa.csv", "column,field,extra\nWKT,geometry,x\n")
+    _write(f"{scratch}/cr/tree/aa.csv", "dataset,resource,elapsed,extra\ntree,aa,1,x\n")
+    for run, folder in ((build.concat_column_fields, "cf"), (build.concat_converted_resources, "cr")):
+        with pytest.raises(ValueError, match="undeclared"):
+            run(spark, f"{scratch}/{folder}", f"{scratch}/out")
+
+
+def test_union_by_name_over_many_files_and_wide_rows(spark, scratch):
+    for i in range(60):
+        _write(f"{scratch}/many/c{i}/t.csv", ("a,b\n" if i % 2 else "b,a\n") + f"{i},{i + 100}\n")
+    _write(f"{scratch}/many/wide/t.csv", ",".join(f"w{i}" for i in range(40)) + "\n" + ",".join(str(i) for i in range(40)) + "\n")
+    df = C.read_collection_table(spark, f"{scratch}/many", "t")
+    assert df.count() == 61 and len(df.columns) == 42
+    assert {(r["a"], r["b"]) for r in df.where("w0 = ''").collect()} == {(str(i), str(i + 100)) if i % 2 else (str(i + 100), str(i)) for i in range(60)}
+
+
+def test_last_row_wins_over_part_files(spark, scratch):
+    base = f"{scratch}/collection"
+    _write(f"{base}/endpoint.csv/part-0.csv", "endpoint,collection\ne1,own1\ne2,own2\n")
+    _write(f"{base}/endpoint.csv/part-1.csv", "endpoint,collection\ne2,own3\n")
+    _write(f"{base}/source.csv/part-0.csv", "endpoint,collection,pipelines\ne1,c1,p1\n" + "e1,c1,p1\n" * 30)
+    _write(f"{base}/source.csv/part-1.csv", "endpoint,collection,pipelines\ne1,c2,p2\n")
+    _write(f"{base}/resource.csv", "resource,endpoints\nr1,e1\nr2,e2\n")
+    assert rows(build.catalogue_from_collection(spark, base)) == [("c2", "p1", "r1"), ("c2", "p2", "r1")]
+    from regscope.plans.catalogue import endpoint_index
+    from regscope.sources.csv import read_positioned_csv
+    collections, _ = endpoint_index(read_positioned_csv(spark, f"{base}/endpoint.csv"), read_positioned_csv(spark, f"{base}/source.csv"))
+    assert rows(collections) == [("e1", "c2"), ("e2", "own3")]
+
+
+def test_parquet_union_of_a_folder_with_drifting_types(spark, scratch):
+    from datetime import date
+    spark.createDataFrame([(1, date(2020, 1, 2))], "n int, at date").write.parquet(f"{scratch}/f/a")
+    spark.sql("SELECT 2L n, TIMESTAMP_NTZ'2020-01-03 04:05:06' at").write.parquet(f"{scratch}/f/b")
+    for paths in (f"{scratch}/f", f"{scratch}/f/*", [f"{scratch}/f/a", f"{scratch}/f/b"]):
+        df = P.read_parquet_union(spark, paths)
+        assert dict(df.dtypes) == {"n": "bigint", "at": "timestamp_ntz"} and df.count() == 2

@@ -25,35 +25,11 @@ def test_append_landed_processes_each_file_once(spark, scratch):
     assert got == [("area", "bb", "2", "v"), ("tree", "aa", "1", ""), ("tree", "cc", "3", "")]
 
 
-def test_log_aggregates_maintained_incrementally(spark, scratch):
-    from pyspark.sql import functions as F
-
-    from regscope.fixtures import Fixtures
-    from regscope.plans import registry as reg
-    from regscope.streaming.log_state import maintain_log_aggregates, read_log_aggregates
-    fx = Fixtures.of(spark, "/root/testdata/sf0.001")
-    tables = dict(fx.registry_tables())
-    log_dir, state, ck = f"{scratch}/log", f"{scratch}/state", f"{scratch}/ck"
-    first, second = fx.log.where(F.col("status") == "200"), fx.log.where(F.col("status") != "200")
-    first.write.mode("append").parquet(log_dir)
-    maintain_log_aggregates(spark, log_dir, state, checkpoint=ck).awaitTermination()
-    second.write.mode("append").parquet(log_dir)
-    maintain_log_aggregates(spark, log_dir, state, checkpoint=ck).awaitTermination()
-    maintain_log_aggregates(spark, log_dir, state, checkpoint=ck).awaitTermination()   # nothing new: no change
-    agg = read_log_aggregates(spark, state)
-    for variant in ("reporting", "registry"):
-        full = rows(reg.historic_endpoints(tables, variant))
-        assert rows(reg.historic_endpoints(tables, variant, log_aggregate=agg["historic"])) == full
-        full = rows(reg.latest_endpoints(tables, variant))
-        assert rows(reg.latest_endpoints(tables, variant, log_aggregate=agg["latest"])) == full
-
-
-def test_log_state_from_csv_with_other_header_order(spark, scratch):
-    from regscope.streaming.log_state import maintain_log_aggregates, read_log_aggregates
-    _write(f"{scratch}/log/a.csv", "endpoint,resource,status,exception,entry-date\n"
-                                   "e1,r1,200,,2021-01-01T00:00:00Z\ne1,r2,200,,2021-02-01T00:00:00Z\n")
-    maintain_log_aggregates(spark, f"{scratch}/log", f"{scratch}/state", fmt="csv",
-                            checkpoint=f"{scratch}/ck").awaitTermination()
-    latest = read_log_aggregates(spark, f"{scratch}/state")["latest"]
-    assert rows(latest, "endpoint", "status", "exception", "latest", "resource") == [
-        ("e1", "200", "", "2021-02-01T00:00:00Z", "r2")]
+def test_a_later_run_without_a_checkpoint_argument_goes_on(spark, scratch):
+    src, out = f"{scratch}/var/issue", f"{scratch}/issue"
+    header = ",".join(ISSUE_FIELDS) + "\n"
+    _write(f"{src}/tree/aa.csv", header + "x,y,1,geometry,missing,,,tree,,1,\n")
+    append_landed(spark, src, out, ISSUE_FIELDS, "pipeline").awaitTermination()
+    _write(f"{src}/tree/cc.csv", header + ",,3,reference,missing,,,tree,,3,\n")
+    append_landed(spark, src, out, ISSUE_FIELDS, "pipeline").awaitTermination()
+    assert rows(spark.read.parquet(out), "resource", "row-number") == [("aa", "1"), ("cc", "3")]
