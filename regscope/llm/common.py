@@ -39,11 +39,6 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """What a row is dealt by: its id, or its text where the id is null."""
-    return F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-
-
 def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
 
@@ -59,8 +54,9 @@ def batch_plan(total_bytes: int, unit: int = 4 << 20) -> tuple[int, int]:
 
 
 def with_batch(docs: DataFrame, n: int, columns: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``pid`` (0 to n-1, from the row's own values) and the given columns."""
-    return docs.select(F.pmod(F.xxhash64(row_key(id_col, text_col)), F.lit(n)).cast("int").alias("pid"), *columns)
+    """``pid`` (0 to n-1) and the given columns. Id and text together decide: neither
+    an id (or null) nor a text that very many rows have makes a batch large."""
+    return docs.select(F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)), F.lit(n)).cast("int").alias("pid"), *columns)
 
 
 def row_id(id_col: str = "doc_id", text: Column | str = "text") -> Column:

@@ -38,7 +38,7 @@ SEED = "mix-1"
 def with_sizes(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
     size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"),
-                       F.xxhash64(F.col(text_col)).alias("text_key"))
+                       F.xxhash64(F.col(text_col)).alias("text_key"), F.md5(F.col(text_col).cast("binary")).alias("_text"))
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
@@ -95,7 +95,7 @@ def plan(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int =
     src = src.withColumn("_cap", F.ceil(F.col("source_size") * epochs / block).cast("long"))
     src = apportion(src, "_seats", "target", "_cap", "source_quota", ["_all"], ["source"])
     n = stats.select(F.col("source").alias("_s"), shards.alias("_shards"))
-    order = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    order = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("_text", F.lit("-"))))
     rows = sized.join(n, F.expr("source <=> _s")).withColumn("_order", order)
     rows = rows.withColumn("shard", F.pmod(F.conv(F.substring("_order", 1, 8), 16, 10).cast("long"), F.col("_shards"))) \
         .select("doc_id", "source", "size", "text_key", "shard", "_order")

@@ -29,7 +29,7 @@ FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN runs U
 """,
     "op3_mixing": r"""
 WITH RECURSIVE doc AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5('mix-1|' || coalesce(doc_id::VARCHAR, '-')) AS o
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5('mix-1|' || coalesce(doc_id::VARCHAR, '-') || '|' || coalesce(md5(text), '-')) AS o
   FROM documents
 ),
 src AS (

@@ -132,7 +132,7 @@ def shard_by_bytes(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, f
     # a rank in each shard without one task per shard: counts of slices, then ranks within
     total = max(1, groups.count())
     slices = max(1, -(-total // rank_rows)) * 4
-    rows = rows.withColumn("_slice", F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("sha"))), F.lit(slices)).cast("int"))
+    rows = rows.withColumn("_slice", F.pmod(F.xxhash64("doc_id", "sha"), F.lit(slices)).cast("int"))
     rows = stage(spark, rows, "placed")
     counts = rows.groupBy("shard", "_slice").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("shard").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -48,6 +48,8 @@ SEED = 42
 GENERATOR = 0b110001110101
 SHINGLE = 3
 DISTANCE = 3
+#: Words above which a text is counted in pieces.
+LONG = 200_000
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 
 
@@ -60,12 +62,27 @@ def _shingles(words: list[bytes], shingle: int) -> list[bytes]:
     return list(map(b" ".join, zip(*(words[i:] for i in range(shingle)))))  # noqa: B905 - ends with the last window
 
 
+def _long(words: list[bytes], shingle: int) -> np.uint64:
+    """A very long text's fingerprint, counted piece by piece."""
+    n, ones = len(words) - shingle + 1, np.zeros(64, np.int64)
+    for i in range(0, n, LONG):
+        part = _shingles(words[i:min(i + LONG, n) + shingle - 1], shingle)
+        h = np.fromiter(map(xxhash.xxh64_intdigest, part, repeat(SEED)), dtype=np.uint64, count=len(part))
+        ones += np.array([int((h >> np.uint64(b) & np.uint64(1)).sum()) for b in range(64)])
+    return np.uint64(sum(1 << b for b in range(64) if 2 * ones[b] > n))
+
+
 def fingerprints_of(held: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
     """Fingerprints of texts. Bits are counted eight at a time: one bit of each of
     a hash's bytes, summed in byte lanes over at most 255 hashes, then as numbers."""
-    parts = [_shingles(t.lower().split(), shingle) for t in held]
-    counts = np.array([len(p) for p in parts], np.int64)
+    words = [t.lower().split() for t in held]
     out = np.zeros(len(held), np.uint64)
+    for i, w in enumerate(words):
+        if len(w) > LONG:
+            out[i] = _long(w, shingle)
+            words[i] = []
+    parts = [_shingles(w, shingle) for w in words]
+    counts = np.array([len(p) for p in parts], np.int64)
     full = np.flatnonzero(counts)
     if not len(full):
         return out

@@ -14,7 +14,8 @@ hashes of windows around anchors and gets which are first occurrences. Window
 hashes have 96 bits.
 
 Words are split at ASCII blanks alone. Null text has no words. Rows of null id
-come last; of rows that repeat an id, the order is that of their texts. An empty
+come last; rows that repeat an id have a fixed order among themselves (by batch,
+then text), in which the first is the earlier one. An empty
 table gives an empty result. Other columns are not read.
 """
 

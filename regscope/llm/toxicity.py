@@ -12,8 +12,8 @@ It is trained on at most ``max_rows`` labelled rows (those of smallest id hash),
 in one task of bounded size; the model, a bounded array, goes to all tasks. A
 score needs a document's text only. Documents of any length are read whole. Null
 and empty text score as a document without features. Without labelled rows the
-score is a constant. Label rows of null id or null label are not used; rows that
-repeat an id are used once each. An empty table gives an empty result.
+score is a constant. Label rows of null id or null label are not used; of rows that
+repeat an id the one of smallest text hash is used. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -161,20 +161,21 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int
     ``max_rows`` ids is broadcast to the documents; their terms meet in one task."""
     wanted = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic")) \
         .filter("id is not null and toxic is not null").orderBy(F.xxhash64("id"), "id", "toxic").limit(max_rows)
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(F.broadcast(wanted), "id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("key")).join(F.broadcast(wanted), "id")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = WordTerms()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("toxic"), pa.array([held.of(t).astype("<u4").tobytes() for t in texts(b.column("text"))], pa.binary())],
-                                             ["id", "toxic", "terms"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("toxic"), b.column("key"), pa.array([held.of(t).astype("<u4").tobytes() for t in texts(b.column("text"))], pa.binary())],
+                                             ["id", "toxic", "key", "terms"])
 
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("id", "ascending"), ("toxic", "ascending"), ("terms", "ascending")])
         m = FactorizationMachine.train([np.frombuffer(t, "<u4").astype(np.int64) for t in table["terms"].to_pylist()], table["toxic"].to_numpy(), features, factors, epochs)
         return pa.table({"chosen": [m.chosen.astype("<i8").tobytes()], "bias": [m.bias], "weight": [m.weight.tobytes()], "factor": [m.factor.tobytes()]})
 
-    sample = stage(spark, rows.select("id", "toxic", "text").mapInArrow(extract, "id long, toxic int, terms binary"), "toxic-sample")
+    found = rows.select("id", "toxic", "key", "text").mapInArrow(extract, "id long, toxic int, key long, terms binary")
+    sample = stage(spark, found.groupBy("id", "toxic").agg(F.min_by("terms", "key").alias("terms")), "toxic-sample")
     fitted = sample.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(fit, "chosen binary, bias double, weight binary, factor binary")
     model = stage(spark, fitted, "toxic-model").first()
     if model is None:

@@ -488,3 +488,20 @@ def test_word_ids_equal_the_tokenizers():
     got = ids.encode([t.encode().split() for t in texts])
     for t, g in zip(texts, got, strict=True):
         assert np.frombuffer(g, "<u4").tolist() == ids.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_long_texts_are_counted_in_pieces(monkeypatch):
+    rng = random.Random(4)
+    held = [b" ".join(rng.choice([b"a", b"Bb", b"c"]) + str(rng.randint(0, 20)).encode() for _ in range(n)) for n in (3, 40, 41, 42, 43, 44, 500)]
+    want = simhash.fingerprints_of(held).tolist()
+    monkeypatch.setattr(simhash, "LONG", 40)
+    assert simhash.fingerprints_of(held).tolist() == want == [M.fingerprint(t.decode()) for t in held]
+
+
+def test_a_repeated_labelled_id_counts_once(spark):
+    rows, labels = toxic_rows(300)
+    labelled = next(d for d, y in labels if y and zlib.crc32(str(d).encode()) % 4 != 2)
+    again = frame(spark, [*rows, *[(labelled, f"other text {i}") for i in range(50)]])
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    one, two = toxicity.train(spark, again, lab), toxicity.train(spark, again.repartition(7), lab)
+    assert one.bias == two.bias and (one.weight == two.weight).all()
