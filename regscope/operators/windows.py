@@ -3,10 +3,10 @@ delimited groups.
 
 Neither gathers a whole group (or the whole table) into one task:
 
-* ``repeated_rows`` finds each key's first position with a partial ``min``
-  and removes exactly that row with an anti join on (key, position) — the
-  join key includes the position, so even a key holding a third of the rows
-  spreads over all partitions.
+* ``repeated_rows`` finds the first position of each key that occurs more than
+  once with a partial aggregate; only those keys, few as a rule, meet the rows
+  again, in a semi join (one row per key on that side: Spark splits the other
+  side of a key that very many rows have).
 * ``blank_delimited_groups`` is a running count of blank rows in position
   order, computed as a two-level prefix sum: per position bucket (bounded
   size), then over the small bucket table.
@@ -26,13 +26,12 @@ def repeated_rows(df: DataFrame, file_keys: Sequence[str], row_keys: Sequence[st
     """Rows whose ``row_keys`` already occurred earlier (lower ``position``) in
     the same file (``file_keys``). Positions are unique within a file."""
     keys = list(file_keys) + list(row_keys)
-    first = df.groupBy(*keys).agg(F.min(position).alias("__first"))
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(first[k])
-        cond = c if cond is None else (cond & c)
-    cond = cond & (df[position] == first["__first"])
-    return df.join(first, cond, "left_anti")
+    first = (df.groupBy(*keys).agg(F.min(position).alias("__first"), F.count(F.lit(1)).alias("__n"))
+             .where(F.col("__n") > 1).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__first"))
+    cond = F.col(f"`{position}`") > F.col("__first")
+    for i, k in enumerate(keys):
+        cond = cond & F.col(f"`{k}`").eqNullSafe(F.col(f"__k{i}"))
+    return df.join(first, cond, "left_semi")
 
 
 def blank_delimited_groups(df: DataFrame, position: str, columns: Sequence[str],
