@@ -77,7 +77,9 @@ def apportion(claims: DataFrame, seats: str, claim: str, cap: str, out: str, by:
     room = F.when((F.col("_gap") > 0) & (F.col("_base") < F.col(cap)) & (F.col(claim) > 0), wins) \
         .when((F.col("_gap") < 0) & (F.col("_base") > 0), lost).otherwise(F.array().cast("array<double>"))
     contest = c.select(*by, *[t for t in tie if t not in by], "_gap", F.posexplode(room).alias("_i", "_q"))
-    rank = Window.partitionBy(*by).orderBy(F.desc("_q"), *[F.col(t).asc_nulls_last() for t in tie], "_i")
+    # of equal quotients the first by ``tie`` wins a seat, and the last loses one
+    ties = [k for t in tie for k in (F.when(F.col("_gap") > 0, F.col(t)).asc_nulls_last(), F.when(F.col("_gap") < 0, F.col(t)).desc_nulls_first())]
+    rank = Window.partitionBy(*by).orderBy(F.desc("_q"), *ties, "_i")
     won = contest.withColumn("_r", F.row_number().over(rank)).filter(F.col("_r") <= F.abs("_gap"))
     keys = list(dict.fromkeys([*by, *tie]))
     won = won.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.sum(F.signum(F.col("_gap").cast("double"))).cast("long").alias("_change"))

@@ -195,6 +195,15 @@ def test_apportion_is_highest_quotients(spark):
         assert all(out[n] <= k for n, _, k in claims)
 
 
+@pytest.mark.parametrize("seats", range(0, 14))
+def test_apportion_resolves_ties_by_name(spark, seats):
+    claims = {"a": 5.0, "b": 5.0, "c": 5.0, "d": 15.0, None: 5.0}
+    df = spark.createDataFrame([("x", n, c, 99, seats) for n, c in claims.items()], "g string, n string, c double, k long, s long")
+    out = {r["n"]: r["won"] for r in mixing.apportion(df, "s", "c", "k", "won", ["g"], ["n"]).collect()}
+    listed = sorted((-c / (2 * i + 1), n is None, n or "", i) for n, c in claims.items() for i in range(20))[:seats]
+    assert out == {n: sum(1 for _, no, x, _ in listed if (None if no else x) == n) for n in claims}
+
+
 def test_mixed_documents_take_effect(spark, docs):
     rows, df = docs
     taken = mixing.mix(df).agg(F.sum("taken")).first()[0]
