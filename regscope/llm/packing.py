@@ -46,13 +46,15 @@ class WordIds(dict):
     tokenizer never joins characters across ASCII blanks and drops them, so a
     text's ids are its words' ids, one after the other; letters and the full stops
     or commas behind them are taken apart as well, and ASCII case does not count.
-    New words are learned for a whole batch at once."""
+    New words are learned for a whole batch at once; when the cache is full, words
+    not met since it last was are forgotten."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         super().__init__()
+        self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters
@@ -83,13 +85,18 @@ class WordIds(dict):
 
     def encode(self, texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each list of words."""
-        if len(self) > 2 * CACHE_WORDS:
+        if len(self) > CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
         apart: dict[bytes, tuple[bytes, bytes]] = {}
         todo: set[bytes] = set()
         for w in set(chain.from_iterable(texts)):
             if w in self:
                 continue
+            known = self.older.get(w)
+            if known is not None:
+                self[w] = known
+                continue
             low = w.lower()
             core = low.rstrip(b".,")
             if core and core.decode().isalpha():
@@ -97,6 +104,8 @@ class WordIds(dict):
                 todo.update(x for x in apart[w] if x)
             else:
                 todo.add(w)
+        for w in todo & self.older.keys():
+            self[w] = self.older[w]
         self._learn([w for w in todo if w not in self])
         for w, (core, tail) in apart.items():
             self[w] = self[core] + (self[tail] if tail else b"")
@@ -149,18 +158,23 @@ def pack(tokens: np.ndarray, loss: np.ndarray, max_tokens: int = MAX_TOKENS, max
     count = np.array([len(s) for s in stacks])
     mean = (need * count[:, None]).sum(axis=0) / count.sum() / limit
     score = need / limit * (mean / limit)  # times the free room gives the weighted dot product
+    need, score = [c.copy() for c in need.T], [c.copy() for c in score.T]
     room, current = limit.copy(), []
-    while count.any():
-        fits = (count > 0) & (need <= room).all(axis=1)
-        if fits.any():
-            k = int(np.argmax(np.where(fits, score @ room, -1.0)))
+    waiting = int(count.sum())
+    while waiting:
+        dot = score[0] * room[0] + score[1] * room[1] + score[2] * room[2]
+        dot[(count == 0) | (need[0] > room[0]) | (need[1] > room[1]) | (need[2] > room[2])] = -1.0
+        k = int(dot.argmax())
+        if dot[k] >= 0:
             i = stacks[k].pop()
+            waiting -= 1
             count[k] -= 1
             current.append((i, int(start[i]), int(tokens[i] - start[i])))
-            room -= need[k]
+            room -= [c[k] for c in need]
             continue
         if room[0] >= min_cut and room[1] >= 1:
-            k = int(np.argmax(np.where(count > 0, score @ room, -1.0)))
+            dot = score[0] * room[0] + score[1] * room[1] + score[2] * room[2]
+            k = int(np.where(count > 0, dot, -1.0).argmax())
             i = stacks[k][-1]
             n = int(min(room[0], tokens[i] - start[i]))
             n -= max(0, loss_of(i, int(start[i]), n) - int(room[2]))
@@ -170,15 +184,15 @@ def pack(tokens: np.ndarray, loss: np.ndarray, max_tokens: int = MAX_TOKENS, max
                 current.append((i, int(start[i]), n))
                 start[i] += n
                 rest = np.array([tokens[i] - start[i], 1, min(loss[i], tokens[i] - start[i])], float)
-                same = np.flatnonzero((need == rest).all(axis=1))
+                same = np.flatnonzero((need[0] == rest[0]) & (need[2] == rest[2]))
                 if len(same):
                     j = int(same[0])
                     stacks[j].append(i)
                     count[j] += 1
                 else:
                     stacks.append([i])
-                    need, count = np.vstack([need, rest]), np.append(count, 1)
-                    score = np.vstack([score, rest / limit * (mean / limit)])
+                    need, count = [np.append(c, x) for c, x in zip(need, rest, strict=True)], np.append(count, 1)
+                    score = [np.append(c, x) for c, x in zip(score, rest / limit * (mean / limit), strict=True)]
         sequences.append(current)
         room, current = limit.copy(), []
     if current:
