@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from regscope.llm.common import batch_plan, text_bytes, with_batch
-from regscope.llm.words import CACHE_WORDS, texts
+from regscope.llm.words import texts
 
 # Fixed values of the contract.
 TOKENIZER = "word_bpe_49k.json"
@@ -37,6 +37,8 @@ MAX_SEGMENTS = 512
 MIN_CUT = 16
 #: Words tokenized at a time as one text.
 JOINED = 4_000
+#: Words a task's cache holds before it forgets those not met of late.
+KEPT_WORDS = 450_000
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -85,7 +87,7 @@ class WordIds(dict):
 
     def encode(self, texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each list of words."""
-        if len(self) > CACHE_WORDS:
+        if len(self) > KEPT_WORDS:
             self.older = dict(self)
             self.clear()
         apart: dict[bytes, tuple[bytes, bytes]] = {}
@@ -221,7 +223,7 @@ def _tail(pieces: list[tuple[int, int, int]], max_tokens: int, min_cut: int) ->
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS,
-                   max_loss: int = MAX_TOKENS, min_cut: int = MIN_CUT, unit: int = 4 << 20) -> DataFrame:
+                   max_loss: int = MAX_TOKENS, min_cut: int = MIN_CUT, unit: int = 8 << 20) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset. All tokens of a document bear loss."""
     n, _ = batch_plan(text_bytes(docs), unit)
