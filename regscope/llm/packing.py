@@ -18,6 +18,7 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Callable
 from itertools import chain
@@ -41,11 +42,20 @@ JOINED = 4_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def _letters(word: bytes) -> bool:
+    """Whether a word is one run of letters, as it is and as the tokenizer sees it:
+    NFC and lower case turn 60 letters into a letter and a mark, which would join
+    the full stops and commas behind it."""
+    text = word.decode()
+    return text.isalpha() and (text.isascii() or unicodedata.normalize("NFC", text).lower().isalpha())
+
+
 class WordIds(dict):
     """word (bytes) to its token ids (little-endian unsigned 32-bit). The
     tokenizer never joins characters across ASCII blanks and drops them, so a
     text's ids are its words' ids, one after the other; letters and the full stops
-    or commas behind them are taken apart as well, and ASCII case does not count.
+    or commas behind them are taken apart as well, if they are letters still as the
+    tokenizer normalizes them, and ASCII case does not count.
     New words are learned for a whole batch at once; when the cache is full, words
     not met since it last was are forgotten."""
 
@@ -68,7 +78,7 @@ class WordIds(dict):
         """Runs of letters are tokenized many at a time: each ends with an end-of-word id."""
         letters, others = [], []
         for w in words:
-            (letters if w.decode().isalpha() else others).append(w)
+            (letters if _letters(w) else others).append(w)
         for i in range(0, len(letters), JOINED):
             part = letters[i:i + JOINED]
             ids = self._ids([b" ".join(part)])[0]
@@ -99,7 +109,7 @@ class WordIds(dict):
                 continue
             low = w.lower()
             core = low.rstrip(b".,")
-            if core and core.decode().isalpha():
+            if _letters(core):
                 apart[w] = core, low[len(core):]
                 todo.update(x for x in apart[w] if x)
             else:

@@ -1,6 +1,7 @@
 import random
 import string
 import sys
+import unicodedata
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -499,6 +500,16 @@ def test_word_ids_equal_the_tokenizers():
         assert np.frombuffer(g, "<u4").tolist() == ids.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_word_ids_of_letters_that_normalize_to_a_mark():
+    ids = packing.word_ids(None)
+    alone = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()]
+    marked = [c for c in alone if not unicodedata.normalize("NFC", c).lower().isalpha()]
+    assert {"\u0130", "\u0958", "\u09df", "\u0a33", "\ufb1d", "\ufb4e"} <= set(marked)
+    texts = ["EV\u0130. \u0130. \u09df, x\u09df. \u0130 \u0130,."] + [f"{c}. a{c}., {c}" for c in marked]
+    for t, g in zip(texts, ids.encode([t.encode().split() for t in texts]), strict=True):
+        assert np.frombuffer(g, "<u4").tolist() == ids.tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def test_long_texts_are_counted_in_pieces(monkeypatch):
     rng = random.Random(4)
     held = [b" ".join(rng.choice([b"a", b"Bb", b"c"]) + str(rng.randint(0, 20)).encode() for _ in range(n)) for n in (3, 40, 41, 42, 43, 44, 500)]
