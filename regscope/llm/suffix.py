@@ -15,6 +15,12 @@ document of smaller id. Only strings that can repeat are sorted:
    group that still shares its prefix goes through a blind trie. Suffixes equal to
    the full depth are neighbours: the smallest id among them stays.
 
+At both edges of a frequent phrase each document has a segment of its own, all of
+one anchor. In round 1 batches also tell how many kinds of segment their frequent
+anchors have. An anchor with more than ``hot`` of them (or four a batch, if that is
+more) is hot: each of its strings, distinct in a batch, is a segment of its own and
+goes to the range of its own hash, so that they spread and equal ones still meet.
+
 Matches lie within documents by construction. Texts are UTF-8 bytes; null is
 empty. A null id ranks last, equal to other null ids; rows that repeat an id do
 not remove each other's bytes. An empty table gives an empty result. Other
@@ -27,6 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 from regscope.llm.common import batch_plan, text_bytes, with_batch
@@ -36,6 +43,10 @@ from regscope.llm.words import mix, rolling, texts
 LENGTH = 50
 GRAM = 24
 SHALLOW = 32
+#: Kinds of segment of one anchor that one range may receive, about 2 MB.
+HOT = 20_000
+#: Kinds of segment up to which a batch does not count them.
+FEW = 4
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 _UPPER = np.uint64(0xFFFFFFFF00000000)
@@ -167,28 +178,51 @@ class Batch:
         last[self.of] = self.doc  # documents ascend: the last one wins
         self.several = last != self.doc[first]
 
-    def anchors_blob(self, i: int, j: int) -> bytes:
-        low = (self.keys[i:j] & np.uint64(0x7FFFFFFF)).astype(np.uint32)
-        return (low << 1 | self.several[i:j]).astype("<u4").tobytes()
-
-    def segments(self, live: np.ndarray) -> None:
-        """Distinct segments of live anchors, in the order of their hashes."""
-        held = np.flatnonzero(live[self.of])
-        held = held[np.argsort(self.h[held], kind="stable")]
+    def kinds(self) -> tuple[np.ndarray, np.ndarray]:
+        """(anchor, kinds of segment) where there are more than ``FEW``."""
+        often = np.flatnonzero((np.bincount(self.of, minlength=len(self.keys)) > FEW)[self.of])
+        seen: dict[int, set[bytes]] = {}
+        for k, i, s, e in zip(self.of[often].tolist(), self.doc[often].tolist(), self.start[often].tolist(), self.end[often].tolist(), strict=True):
+            seen.setdefault(k, set()).add(self.texts[i][s:e + self.length - 1])
+        found = sorted((k, len(v)) for k, v in seen.items() if len(v) > FEW)
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pairs[:, 0], pairs[:, 1]
+
+    def anchors_blob(self, kinds: tuple[np.ndarray, np.ndarray]):
+        def blob(i: int, j: int) -> bytes:
+            low = (self.keys[i:j] & np.uint64(0x7FFFFFFF)).astype(np.uint32)
+            a, b = np.searchsorted(kinds[0], [i, j]).tolist()
+            return np.int64(j - i).tobytes() + (low << 1 | self.several[i:j]).astype("<u4").tobytes() \
+                + np.column_stack([kinds[0][a:b] - i, kinds[1][a:b]]).astype("<u4").tobytes()
+
+        return blob
+
+    def segments(self, live: np.ndarray, hot: np.ndarray) -> None:
+        """Distinct segments of live anchors, in the order of their hashes; those of
+        hot anchors cut into single strings."""
+        live, hot = live[self.of], hot[self.of]
+        held, cut = np.flatnonzero(live & ~hot), np.flatnonzero(live & hot)
+        n = self.end[cut] - self.start[cut]
+        doc = np.repeat(self.doc[cut], n)
+        start = np.repeat(self.start[cut], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        own = np.array([xxhash.xxh64_intdigest(self.texts[i][s:s + self.length]) for i, s in zip(doc.tolist(), start.tolist(), strict=True)], np.uint64)
+        h = np.concatenate([self.h[held], own])
+        by = np.argsort(h, kind="stable")
+        h, doc, end = h[by], np.concatenate([self.doc[held], doc])[by], np.concatenate([self.end[held], start + 1])[by]
+        start = np.concatenate([self.start[held], start])[by]
         seen: dict[bytes, int] = {}
-        which, firsts = np.empty(len(held), np.int64), []
+        which, firsts = np.empty(len(h), np.int64), []
         more = self.length - 1
-        for n, (i, s, e) in enumerate(zip(self.doc[held].tolist(), self.start[held].tolist(), self.end[held].tolist(), strict=True)):
+        for n, (i, s, e) in enumerate(zip(doc.tolist(), start.tolist(), end.tolist(), strict=True)):
             seg = self.texts[i][s:e + more]
             number = seen.get(seg)
             if number is None:
                 number = seen[seg] = len(seen)
                 firsts.append(n)
             which[n] = number
-        self.held, self.which, self.parts = held, which, list(seen)
-        one = held[firsts]
-        self.seg_hash, self.seg_doc = self.h[one], self.ids[self.doc[one]]
-        self.seg_starts = self.end[one] - self.start[one]
+        self.held_doc, self.held_start, self.which, self.parts = doc, start, which, list(seen)
+        self.seg_hash, self.seg_doc = h[firsts], self.ids[doc[firsts]]
+        self.seg_starts = end[firsts] - start[firsts]
         self.seg_at = np.concatenate([[0], np.cumsum(self.seg_starts)])
 
     def segments_blob(self, i: int, j: int) -> bytes:
@@ -200,9 +234,9 @@ class Batch:
         base = np.cumsum(self.sizes) - self.sizes
         n = self.seg_starts[self.which]
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        later = self.ids[self.doc[self.held]] > self.seg_doc[self.which]
+        later = self.ids[self.held_doc] > self.seg_doc[self.which]
         gone = np.repeat(later, n) | ~first[np.repeat(self.seg_at[self.which], n) + step]
-        at = (np.repeat(base[self.doc[self.held]] + self.start[self.held], n) + step)[gone]
+        at = (np.repeat(base[self.held_doc] + self.held_start, n) + step)[gone]
         total = int(self.sizes.sum())
         edge = np.bincount(at, minlength=total + 1)[:total + 1] - np.bincount(at + self.length, minlength=total + 1)[:total + 1]
         removed = np.cumsum(edge[:total]) > 0
@@ -217,12 +251,27 @@ class Batch:
                          "n_spans": pa.array(spans, pa.int64()), "kept_sha256": digests})
 
 
-def _live(table: pa.Table) -> pa.Table:
-    parts = [np.frombuffer(b, "<u4") for b in table["blob"].to_pylist()]
-    every = np.concatenate(parts)
-    keys, of = np.unique(every >> 1, return_inverse=True)
-    seen = np.bincount(of, weights=1 + (every & 1).astype(np.int64), minlength=len(keys)) > 1
-    return answer(table, 1, seen[of], np.array([len(p) for p in parts]))
+def _live(hot: int):
+    def run(table: pa.Table) -> pa.Table:
+        parts, weights = [], []
+        for blob in table["blob"].to_pylist():
+            n = int(np.frombuffer(blob, "<i8", 1)[0])
+            parts.append(np.frombuffer(blob, "<u4", n, 8))
+            pairs = np.frombuffer(blob, "<u4", -1, 8 + 4 * n).reshape(-1, 2)
+            weight = np.full(n, FEW, np.int64)
+            weight[pairs[:, 0]] = pairs[:, 1]
+            weights.append(weight)
+        every, counts = np.concatenate(parts), np.array([len(p) for p in parts])
+        keys, of = np.unique(every >> 1, return_inverse=True)
+        seen = np.bincount(of, weights=1 + (every & 1).astype(np.int64), minlength=len(keys)) > 1
+        many = seen & (np.bincount(of, weights=np.concatenate(weights), minlength=len(keys)) > hot)
+        live = answer(table, 1, seen[of], counts)
+        if not many.any():
+            return live
+        some = np.array([w.any() for w in np.split(many[of], np.cumsum(counts)[:-1])])  # no bit set: nothing to answer
+        return pa.concat_tables([live, answer(table, 3, many[of], counts).filter(pa.array(some))])
+
+    return run
 
 
 def _sort_range(length: int, shallow: int):
@@ -274,7 +323,8 @@ def _sort_range(length: int, shallow: int):
     return run
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallow: int = SHALLOW, unit: int = 4 << 20) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallow: int = SHALLOW, unit: int = 4 << 20,
+                 hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     if not 1 <= gram <= length or length > 60_000:
         raise ValueError("1 <= gram <= length <= 60000")
@@ -284,22 +334,26 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shallo
     def bounds(b: Batch) -> np.ndarray:
         return ranges(b.seg_hash, ranges_n)
 
+    def cut(b: Batch, answers: pa.Table) -> None:
+        asked = ranges(b.keys, ranges_n)
+        b.segments(answered(answers, 1, asked), answered(answers, 3, asked))
+
     def offer(table: pa.Table) -> pa.Table:
         b = Batch(table, length, gram)
-        return send(table["pid"][0].as_py(), ranges(b.keys, ranges_n), b.anchors_blob)
+        return send(table["pid"][0].as_py(), ranges(b.keys, ranges_n), b.anchors_blob(b.kinds()))
 
     def extend(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({"p": pa.array([], pa.int32()), "pid": pa.array([], pa.int32()), "blob": pa.array([], pa.binary())})
         b = Batch(table, length, gram)
-        b.segments(answered(answers, 1, ranges(b.keys, ranges_n)))
+        cut(b, answers)
         return send(table["pid"][0].as_py(), bounds(b), b.segments_blob)
 
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
         b = Batch(table, length, gram)
-        b.segments(answered(answers, 1, ranges(b.keys, ranges_n)))
+        cut(b, answers)
         return b.result(answered(answers, 2, b.seg_at[bounds(b)]))
 
-    live = batches.groupBy("pid").applyInArrow(offer, SENT).groupBy("p").applyInArrow(_live, ANSWER)
+    live = batches.groupBy("pid").applyInArrow(offer, SENT).groupBy("p").applyInArrow(_live(max(hot, FEW * n)), ANSWER)
     firsts = batches.groupBy("pid").cogroup(live.groupBy("pid")).applyInArrow(extend, SENT).groupBy("p").applyInArrow(_sort_range(length, shallow), ANSWER)
     return batches.groupBy("pid").cogroup(live.unionByName(firsts).groupBy("pid")).applyInArrow(remove, RESULT)

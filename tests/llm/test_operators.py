@@ -7,6 +7,8 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +99,32 @@ def test_suffix_other_depths(spark, length, gram, shallow):
     assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == Counter(M.suffix(rows, length))
 
 
+@pytest.mark.parametrize("hot", [0, 30])
+def test_suffix_of_hot_anchors_matches_brute_force(spark, hot):
+    rng = random.Random(8)
+    phrase = "a phrase that a third of all of the documents have, with its end of line"
+    rows = corpus(4, 40) + [(3000 + i // 2, "".join(rng.choice("abc ") for _ in range(rng.randint(0, 9))) + phrase + rng.choice("xy") * rng.randint(0, 40)) for i in range(150)]
+    out = suffix.suffix_dedup(frame(spark, rows), unit=60_000, hot=hot)
+    assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == Counter(M.suffix(rows))
+
+
+def test_suffix_segments_of_a_hot_anchor_spread():
+    rng = random.Random(6)
+    phrase = "a phrase that all of the documents have, each of them with other words about it"
+    def text():
+        return "".join(rng.choice(string.ascii_letters) for _ in range(60))
+    batches = [suffix.Batch(pa.table({"pid": [p] * 100, "doc_id": list(range(100 * p, 100 * p + 100)), "text": [text() + phrase + text() for _ in range(100)]}), 50, 24) for p in range(4)]
+    sent = pa.table({"p": pa.array([0] * 4, pa.int32()), "pid": pa.array(range(4), pa.int32()), "blob": pa.array([b.anchors_blob(b.kinds())(0, len(b.keys)) for b in batches], pa.binary())})
+    received, whole = Counter(), 0
+    for p, b in enumerate(batches):
+        answers = suffix._live(40)(sent)
+        answers = answers.filter(pa.compute.equal(answers["pid"], p))
+        b.segments(*[suffix.answered(answers, r, np.array([0, len(b.keys)])) for r in (1, 3)])
+        received.update(b.seg_hash.tolist())
+        whole += int(b.seg_starts.sum())
+    assert max(received.values()) <= 40 and whole > 400 * 10
+
+
 def test_suffix_periodic_texts(spark):
     rows = [(1, "ab" * 60), (2, "ab" * 40 + "x"), (3, "c" * 49), (4, "c" * 49), (5, "c" * 50), (6, "c" * 51)]
     out = suffix.suffix_dedup(frame(spark, rows))
