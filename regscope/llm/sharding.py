@@ -124,13 +124,13 @@ def shard_by_bytes(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, f
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"), F.sha2(text, 256).alias("sha"))
     rows = stage(spark, rows, "sizes")
-    groups = rows.groupBy("sha").agg(F.sum("size").alias("size"))
+    groups = rows.groupBy("sha").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
     groups = stage(spark, groups.withColumn("id", F.monotonically_increasing_id()), "groups")
     placed = assign_groups(spark, groups.select("id", "size"), shards, fan_in)
     where = groups.join(placed, "id").select("sha", "shard")
     rows = rows.join(where, "sha")
     # a rank in each shard without one task per shard: counts of slices, then ranks within
-    total = max(1, groups.count())
+    total = groups.agg(F.sum("n")).first()[0] or 1  # rows, not texts: one text may have most of them
     slices = max(1, -(-total // rank_rows)) * 4
     rows = rows.withColumn("_slice", F.pmod(F.xxhash64("doc_id", "sha"), F.lit(slices)).cast("int"))
     rows = stage(spark, rows, "placed")

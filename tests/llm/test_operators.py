@@ -339,6 +339,14 @@ def test_sharding(spark, docs, fan_in):
 # -- SimHash --------------------------------------------------------------------------
 
 
+def test_copies_of_one_text_are_ranked_in_slices(spark):
+    out = sharding.shard_by_bytes(spark, frame(spark, [(i, "the same text") for i in range(400)]), rank_rows=20).collect()
+    at = [r["doc_id"] for r in sorted(out, key=lambda r: r["slot"])]
+    assert sorted(r["slot"] for r in out) == list(range(400)) and sorted(at) == list(range(400))
+    runs = np.diff(np.flatnonzero([True, *[a > b for a, b in zip(at, at[1:])], True]))  # ids ascend within a slice
+    assert runs.max() <= 40
+
+
 def test_golay_keys_cover_three_errors():
     rng = random.Random(11)
     _, errors, count = simhash.golay_tables()
