@@ -11,7 +11,8 @@ document of smaller id. Only strings that can repeat are sorted:
    one stretch of text. Batches send each distinct segment to its anchor's range.
    There, equal segments are joined, and for anchors with more than one kind of
    segment all suffixes that start a string are sorted, ``length`` bytes deep:
-   multikey quicksort, eight bytes a step, down to a shallow depth; then each
+   by library sorts on (group, next eight bytes), a radix refinement in place of
+   a multikey quicksort, down to a shallow depth; then each
    group that still shares its prefix goes through a blind trie. Suffixes equal to
    the full depth are neighbours: the smallest id among them stays.
 
