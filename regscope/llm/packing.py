@@ -231,22 +231,32 @@ def _tail(pieces: list[tuple[int, int, int]], max_tokens: int, min_cut: int) ->
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS,
-                   max_loss: int = MAX_TOKENS, min_cut: int = MIN_CUT, unit: int = 4 << 20) -> DataFrame:
+                   max_loss: int = MAX_TOKENS, min_cut: int = MIN_CUT, unit: int = 4 << 20,
+                   loss_col: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
-    sequence_id, offset. All tokens of a document bear loss."""
+    sequence_id, offset. ``loss_col``: how many of a document's last tokens, its
+    end id among them, bear loss; without it, or where it is null, all do."""
     n, _ = batch_plan(text_bytes(docs), unit)
-    return with_batch(docs, n, ["doc_id", "text"]).groupBy("pid").applyInArrow(
+    columns = ["doc_id", "text"]
+    if loss_col is not None:
+        columns.append(docs[loss_col].cast("long").alias("loss"))
+    return with_batch(docs, n, columns).groupBy("pid").applyInArrow(
         packer(path, max_tokens, max_segments, max_loss, min_cut), SCHEMA)
 
 
 def packer(path: str | None, max_tokens: int, max_segments: int, max_loss: int, min_cut: int) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        own = "loss" in table.column_names
+        table = table.sort_by([(c, "ascending") for c in ("doc_id", "text", *["loss"] * own)])
         ids, end = word_ids(path), np.array([END_ID], "<u4").tobytes()
         held = [i + end for i in ids.encode([t.split() for t in texts(table["text"])])]
         tokens = np.array([len(h) // 4 for h in held], np.int64)
+        loss = tokens
+        if own:
+            given = table["loss"].combine_chunks().fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
+            loss = np.clip(given, 0, tokens)
         rows: list[tuple[int, int, int, int, int, int]] = []
-        for seq, pieces in enumerate(pack(tokens, tokens, max_tokens, max_segments, max_loss, min_cut)):
+        for seq, pieces in enumerate(pack(tokens, loss, max_tokens, max_segments, max_loss, min_cut)):
             at = 0
             for i, s, k in pieces:
                 rows.append((i, s, k, zlib.crc32(memoryview(held[i])[4 * s:4 * (s + k)]), seq, at))

@@ -304,6 +304,24 @@ def test_pack_documents(spark, docs):
     assert padding <= 0.01 * sum(r["length"] for r in out)
 
 
+def test_pack_documents_under_a_loss_limit(spark):
+    rows = [(i, "word " * (20 + i % 30)) for i in range(300)]
+    df = frame(spark, rows).withColumn("answer", F.when(F.col("doc_id") % 7 != 0, F.col("doc_id") % 12))
+    out = packing.pack_documents(df, max_tokens=256, max_loss=40, unit=4_000, loss_col="answer").collect()
+    lost, pieces = Counter(), {}
+    for r in out:
+        loss = min(r["doc_tokens"], r["doc_id"] % 12) if r["doc_id"] % 7 else r["doc_tokens"]
+        lost[r["sequence_id"]] += max(0, r["start"] + r["length"] - max(r["start"], r["doc_tokens"] - loss))
+        pieces.setdefault((r["doc_id"], r["doc_tokens"]), []).append((r["start"], r["length"]))
+    assert max(lost.values()) <= 40 and len(pieces) == 300
+    for (_, tokens), parts in pieces.items():
+        at = 0
+        for start, length in sorted(parts):
+            assert start == at
+            at += length
+        assert at == tokens
+
+
 # -- sharding ------------------------------------------------------------------------
 
 
