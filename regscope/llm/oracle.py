@@ -133,5 +133,40 @@ SELECT conv_id, count(*) AS n_turns,
   bool_and(step IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'user>tool', 'assistant>user', 'assistant>tool', 'tool>assistant'))
     AND bool_or(is_last AND role = 'assistant') AS valid
 FROM t GROUP BY conv_id
+""",
+    "op11_source_divergence": r"""
+WITH doc AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+one AS (SELECT r, lang, source, t, count(*) AS n FROM (SELECT r, lang, source, unnest(w) AS t FROM doc) GROUP BY r, lang, source, t),
+known AS (SELECT lang, t, sum(n)::HUGEINT AS lang_n FROM one GROUP BY lang, t HAVING count(*) >= 10),
+held AS (SELECT lang, source, t, sum(n)::HUGEINT AS n FROM one SEMI JOIN known USING (lang, t) GROUP BY lang, source, t),
+total AS (SELECT lang, source, sum(n) AS total FROM held GROUP BY lang, source),
+lang AS (SELECT lang, count(*)::HUGEINT AS v, sum(lang_n)::HUGEINT AS lang_total FROM known GROUP BY lang),
+grp AS (SELECT g.lang, g.source, coalesce(total, 0)::HUGEINT AS total, v, lang_total FROM (SELECT DISTINCT lang, source FROM doc) g
+  LEFT JOIN total ON total.lang = g.lang AND total.source = g.source LEFT JOIN lang ON lang.lang = g.lang),
+every AS (SELECT grp.lang, grp.source, known.t, coalesce(held.n, 0) AS n, 1 + (1000000000 * (coalesce(held.n, 0) + 2)) // (total + 2 * v) AS p,
+  1 + (1000000000 * (lang_n + 2)) // (lang_total + 2 * v) AS q FROM grp JOIN known ON known.lang = grp.lang
+  LEFT JOIN held ON held.lang = grp.lang AND held.source = grp.source AND held.t = known.t),
+priced AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM every a JOIN every b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN priced ON priced.lang = a.lang AND priced.source = a.source AND priced.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, t AS item, ((p - q) * (p - q)) // (p + q) AS value FROM every WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+""",
+    "op13_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS w,
+  [('0x' || substr(h, 1, 8))::UBIGINT, ('0x' || substr(h, 9, 8))::UBIGINT, ('0x' || substr(h, 17, 8))::UBIGINT, ('0x' || substr(h, 25, 8))::UBIGINT] AS r FROM d),
+cut AS (SELECT *, len(w) AS n, least(r[1] % (len(w) + 1)::UBIGINT, r[2] % (len(w) + 1)::UBIGINT)::BIGINT AS a,
+  greatest(r[1] % (len(w) + 1)::UBIGINT, r[2] % (len(w) + 1)::UBIGINT)::BIGINT AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 100 THEN 'plain'
+    WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+part AS (SELECT doc_id, text, n, form, array_to_string(w[1:a], '') AS p, array_to_string(w[a + 1:b], '') AS m, array_to_string(w[b + 1:], '') AS s FROM cut)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM part
 """,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regscope.llm import chat, exact_dedup, mixing, packing, quality, sharding, simhash, substring, suffix, toxicity
+from regscope.llm import bytecnn, chat, divergence, exact_dedup, fim, mixing, packing, quality, sharding, simhash, substring, suffix, toxicity
 from regscope.llm.common import read_table
 
 
@@ -52,6 +52,19 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = divergence.divergence(spark, read_table(spark, sf_dir, "documents"))
+    return found.select("lang", "source", "part", "item", "value", "rank")
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytecnn.quality(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(fim.fill_in_middle(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -63,4 +76,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_chat_format": op10_chat_format,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }

@@ -126,3 +126,77 @@ def mix_targets(sizes, weights=(3, 1, 2), share=1.5, epochs=2):
         if not more:
             return {s: epochs * sizes[s] if s in full else level * weight[s] for s in order}
         full |= more
+
+
+LETTERS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def divergence(docs, min_docs=10, top=10):
+    """docs: (text, lang, source). Rows (lang, source, part, item, value, rank)."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    counts, seen = {}, {}
+    for text, lang, source in docs:
+        lang, source = lang or "", source or ""
+        own = Counter(LETTERS.findall((text or "").translate(lower)))
+        counts.setdefault(lang, {}).setdefault(source, Counter()).update(own)
+        seen.setdefault(lang, Counter()).update(own.keys())
+    out = []
+    for lang, groups in counts.items():
+        kept = [t for t, n in seen[lang].items() if n >= min_docs]
+
+        def prices(c, kept=kept):
+            total = sum(c[t] for t in kept)
+            return {t: 1 + 1_000_000_000 * (c[t] + 2) // (total + 2 * len(kept)) for t in kept}
+
+        whole = prices(sum(groups.values(), Counter()))
+        own = {s: prices(c) for s, c in groups.items()}
+        for s in groups:
+            pairs = [(o, sum((own[s][t] - own[o][t]) ** 2 // (own[s][t] + own[o][t]) for t in kept)) for o in groups if o != s]
+            terms = [(t, (own[s][t] - whole[t]) ** 2 // (own[s][t] + whole[t])) for t in kept if groups[s][t] and own[s][t] > whole[t]]
+            for part, items, limit in (("pair", pairs, None), ("term", terms, top)):
+                items.sort(key=lambda x: (-x[1], x[0].encode()))
+                out += [(lang, s, part, t, v, r) for r, (t, v) in enumerate(items[:limit], 1)]
+    return out
+
+
+UNIT = re.compile(r"[^\n]*\n|[^\n]+")
+
+
+def fill_in_middle(docs, salt="7:", fim_rate=100, spm_rate=50):
+    """docs: (doc_id, text). Rows (doc_id, n, form, prefix_chars, middle_chars, output, text)."""
+    out = []
+    for doc_id, text in docs:
+        text = text or ""
+        unit = UNIT.findall(text)
+        digest = sha(salt + ("" if doc_id is None else str(doc_id)))
+        h = [int(digest[8 * i:8 * i + 8], 16) for i in range(4)]
+        a, b = sorted(x % (len(unit) + 1) for x in h[:2])
+        p, m, s = "".join(unit[:a]), "".join(unit[a:b]), "".join(unit[b:])
+        if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= fim_rate:
+            out.append((doc_id, len(unit), "plain", None, None, text, text))
+        elif h[3] % 100 < spm_rate:
+            out.append((doc_id, len(unit), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}", text))
+        else:
+            out.append((doc_id, len(unit), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}", text))
+    return out
+
+
+def convolve(model, text, chunk, step, width, stride):
+    """A network's probability by plain loops over chunks, windows and filters."""
+    data = list(text) + [256] * (chunk - len(text))
+    at = [min(i, len(data) - chunk) for i in range(0, len(data) - chunk + step, step)] if len(text) > chunk else [0]
+    pooled = []
+    for s in at:
+        best = []
+        for f in range(model.filters.shape[1]):
+            sums = []
+            for w in range(s, s + chunk - width + 1, stride):
+                sums.append(sum(float(model.embedding[data[w + k], e]) * float(model.filters[k * model.embedding.shape[1] + e, f])
+                                for k in range(width) for e in range(model.embedding.shape[1])))
+            best.append(max(0.0, max(sums) + float(model.filter_bias[f])))
+        pooled.append(best)
+    columns = list(zip(*pooled, strict=True))
+    u = [max(c) for c in columns] + [sum(c) / len(c) for c in columns]
+    h = [max(0.0, sum(x * float(w) for x, w in zip(u, model.hidden[:, j], strict=True)) + float(model.hidden_bias[j])) for j in range(model.hidden.shape[1])]
+    z = sum(x * float(w) for x, w in zip(h, model.out, strict=True)) + float(model.out_bias[0])
+    return 1 / (1 + np.exp(-z))

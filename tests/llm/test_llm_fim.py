@@ -1,0 +1,55 @@
+"""Fill-in-the-middle: against brute force and as an exact round trip."""
+
+import random
+import sys
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).parent))
+import models as M  # noqa: E402
+
+from regscope.llm import fim  # noqa: E402
+
+SCHEMA = "doc_id long, text string, n long, form string, output string, a long, h1 long"
+
+
+def rows(seed=5, n=400):
+    rng = random.Random(seed)
+    pieces = ["line one\n", "\n", "\n\n", "é日本𝒳\n", "<\n", "<P\n", "P>", "$1 \\2 {3}\n", "(a|b)*+\n", "tail", "\r\n", " x\n", "\x0b\x0c\n", "<S", ">", "M>"]
+    out = [(i - 40, "".join(rng.choice(pieces) for _ in range(rng.choice([0, 1, 2, 5, 40])))) for i in range(n)]
+    out += [(1, None), (2, ""), (None, "a\nb\nc\n"), (None, None), (3, "has <P> mark\nx"), (4, "x\n<S>"), (5, "<M>"), (6, "\n" * 5), (6, "\n" * 5), (6, "no break")]
+    out += [(7 + i, "x" * 50 + "\n") for i in range(20)]
+    return out
+
+
+def frame(spark, data):
+    return spark.createDataFrame([(d, t, 1, "f", "o", 2, 3) for d, t in data], SCHEMA)
+
+
+@pytest.mark.parametrize(("fim_rate", "spm_rate"), [(100, 50), (100, 0), (100, 100), (60, 30), (0, 50)])
+def test_equals_brute_force_and_restores(spark, fim_rate, spm_rate):
+    data = rows()
+    cut = fim.fill_in_middle(frame(spark, data).repartition(4), fim_rate=fim_rate, spm_rate=spm_rate)
+    prefix, middle = fim.lengths(F.col("output"), F.col("form"))
+    back = fim.restore(F.col("output"), F.col("form"))
+    found = Counter(tuple(r) for r in cut.select("doc_id", "n", "form", prefix, middle, "output", back).collect())
+    assert found == Counter(M.fill_in_middle(data, fim_rate=fim_rate, spm_rate=spm_rate))
+
+
+def test_very_long_texts(spark):
+    data = [(i, t) for i in range(4) for t in ("y" * 4_000_000, "z\n" * 400_000, "w" * 1_000_000 + "\n" + "v" * 1_000_000, "\n" * 300_000 + "end")]
+    cut = fim.digest(fim.fill_in_middle(frame(spark, data).repartition(4)))
+    want = Counter((d, n, f, p, m, M.sha(o), M.sha(t)) for d, n, f, p, m, o, t in M.fill_in_middle(data))
+    assert Counter(tuple(r) for r in cut.collect()) == want
+
+
+def test_empty_table(spark):
+    assert fim.digest(fim.fill_in_middle(frame(spark, []))).count() == 0
+
+
+def test_one_stage_without_python(spark):
+    plan = fim.digest(fim.fill_in_middle(frame(spark, rows(n=3))))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan

@@ -9,7 +9,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 import models as M  # noqa: E402
-from test_operators import SCHEMA, corpus, frame, toxic_rows  # noqa: E402
+from test_llm_operators import SCHEMA, corpus, frame, toxic_rows  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from regscope.llm import mixing, packing, simhash, toxicity  # noqa: E402
