@@ -104,7 +104,7 @@ def test_edges(spark):
     by_id = {}
     for r in found:
         by_id.setdefault(r["doc_id"], []).append(r)
-    assert len(by_id[3]) == 2 and all(r["held_out"] is False for r in by_id[None])
+    assert len(by_id[3]) == 3 and all(r["held_out"] is False for r in by_id[None])
     right = [r["predicted"] == r["doc_id"] % 2 for r in found if r["doc_id"] is not None and r["doc_id"] < 80 and r["doc_id"] != 3]
     assert np.mean(right) > 0.95
 
