@@ -68,7 +68,7 @@ won AS (
   ) WHERE r <= (SELECT round(sum(target) / 16) FROM target) GROUP BY source
 ),
 sharded AS (
-  SELECT doc.*, target, source_size, quota, ('0x' || o[1:8])::BIGINT % least(4096, ceil(n_rows / 1000.0))::BIGINT AS shard
+  SELECT doc.*, target, source_size, quota, ('0x' || o[1:8])::BIGINT % ceil(n_rows / 1000.0)::BIGINT AS shard
   FROM doc JOIN target ON doc.source IS NOT DISTINCT FROM target.source LEFT JOIN won ON doc.source IS NOT DISTINCT FROM won.source
 ),
 part AS (SELECT source, shard, sum(size)::BIGINT AS shard_size, any_value(quota) AS quota FROM sharded GROUP BY source, shard),
@@ -101,9 +101,8 @@ line AS (
   FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]')
 ),
 dup AS (SELECT doc_id, count(*) FILTER (again) AS n_dup_lines FROM line GROUP BY doc_id),
-host AS (SELECT source, count(DISTINCT text) AS n FROM d GROUP BY source),
 freq AS (SELECT source, xw, count(DISTINCT text) AS n_docs FROM line GROUP BY source, xw),
-bad AS (SELECT freq.source, xw FROM freq JOIN host ON freq.source IS NOT DISTINCT FROM host.source WHERE n_docs > 20 AND n_docs > 0.001 * n),
+bad AS (SELECT source, xw FROM freq WHERE n_docs > 20),
 cut AS (SELECT doc_id, sum(len(line.xw))::BIGINT AS removed_words FROM line JOIN bad ON line.source IS NOT DISTINCT FROM bad.source AND line.xw = bad.xw GROUP BY doc_id),
 c AS (
   SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(length(array_to_string(w, '')), 0)::BIGINT AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,

@@ -3,9 +3,9 @@
 A line's normal form has A-Z lower-cased and blanks collapsed; lines without a
 word do not count. For each host, a line's frequency is the number of distinct
 documents that have it; documents of equal text are one document here, so that
-copies do not make a text boilerplate (deduplication deals with them). A line is
-boilerplate above both limits, ``max_docs`` documents and ``max_share`` of the
-host's. Boilerplate lines are removed; a document left with fewer than
+copies do not make a text boilerplate (deduplication deals with them). A line in more
+than ``max_docs`` of them is boilerplate; what else its host holds, and how much, does
+not matter. Boilerplate lines are removed; a document left with fewer than
 ``min_words`` words or less than ``min_left`` of its words is depleted, and
 rejected. The base rules reject short and repetitive documents before that.
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regscope.llm.common import stage
-from regscope.llm.words import chunks, hashes, rolling, texts
+from regscope.llm.words import chunks, fresh, hashes, rolling, texts
 
 # Fixed values of the contract's base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -34,7 +34,6 @@ MAX_REPEAT_PERCENT = 50
 WINDOW = 3
 #: Limits of the line rule.
 MAX_DOCS = 20
-MAX_SHARE = 0.001
 MIN_LEFT = 0.5
 
 _BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -88,6 +87,7 @@ def measure(docs: DataFrame, host_col: str = "source", id_col: str = "doc_id", t
     with the number of their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         for b in batches:
             held = texts(b.column("text"))
             for i, j in chunks(map(len, held)):
@@ -110,21 +110,18 @@ def measure(docs: DataFrame, host_col: str = "source", id_col: str = "doc_id", t
     return rows.mapInArrow(run, SCHEMA)
 
 
-def boilerplate(measured: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """(host, h, n_docs) of the lines above both limits."""
+def boilerplate(measured: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+    """(host, h, n_docs) of the lines above the limit."""
     copies = measured.groupBy("host", "text_hash").agg(F.min("uid").alias("uid"))
-    own = copies.groupBy("host").agg(F.count("*").alias("host_docs"))
     one = measured.select("uid", "host", "lines").join(copies.select("uid"), "uid", "left_semi")
-    counts = one.select("host", F.explode("lines.h").alias("h")).groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > max_docs)
-    own = own.withColumnRenamed("host", "_host")
-    return counts.join(own, F.expr("host <=> _host")).filter(F.col("n_docs") > max_share * F.col("host_docs")).select("host", "h", "n_docs")
+    return one.select("host", F.explode("lines.h").alias("h")).groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > max_docs)
 
 
-def quality_rules(spark: SparkSession, docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, min_words: int = MIN_WORDS,
+def quality_rules(spark: SparkSession, docs: DataFrame, max_docs: int = MAX_DOCS, min_words: int = MIN_WORDS,
                   min_left: float = MIN_LEFT, host_col: str = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, the base counts, base_failed, removed_words, kept."""
     measured = stage(spark, measure(docs, host_col, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()), "lines")
-    bad = stage(spark, boilerplate(measured, max_docs, max_share), "boilerplate")
+    bad = stage(spark, boilerplate(measured, max_docs), "boilerplate")
     bad = bad.select(F.col("host").alias("_host"), F.col("h").alias("_h"))
     lines = measured.select("uid", "host", F.inline("lines"))
     removed = lines.join(bad, F.expr("h = _h and host <=> _host")).groupBy("uid").agg(F.sum("n").alias("removed_words"))
