@@ -31,7 +31,6 @@ SHARE = 1.5
 EPOCHS = 2
 BLOCK = 16
 SHARD_ROWS = 1_000
-MAX_SHARDS = 4_096
 SEED = "mix-1"
 
 
@@ -68,11 +67,19 @@ def apportion(claims: DataFrame, seats: str, claim: str, cap: str, out: str, by:
     w = Window.partitionBy(*by)
     total = F.sum(claim).over(w)
     base = F.when(total > 0, F.least(F.col(cap), F.round(F.col(claim) * F.col(seats) / total).cast("long"))).otherwise(F.lit(0))
-    c = claims.withColumn("_base", base.cast("long")).withColumn("_gap", F.col(seats) - F.sum("_base").over(w))
+    due = F.when(total > 0, F.round(F.col(claim) * F.col(seats) / total))
+    capped = F.sum(F.when(due > F.col(cap), 1).otherwise(0)).over(w)
+    # Rounding leaves at most half a seat a claimant to contest, so in the end the divisor
+    # has moved by n / (2 total) at most, and a claimant's seats by that times its claim, and
+    # one. Twice that, and some, are listed: as many quotients as claimants, not their square.
+    # Where caps took seats the divisor can move further: then every quotient is listed that
+    # the caps leave room for.
+    most = F.when(capped == 0, F.ceil(F.col(claim) * F.count(F.lit(1)).over(w) / F.greatest(total, F.lit(1))) + 4).otherwise(F.lit(1 << 62)).cast("long")
+    c = claims.withColumn("_base", base.cast("long")).withColumn("_most", most).withColumn("_gap", F.col(seats) - F.sum("_base").over(w))
     # a gap above 0: the highest next quotients win a seat; below 0: the lowest last ones lose one
-    wins = F.transform(F.sequence(F.lit(1).cast("long"), F.least(F.col("_gap"), F.col(cap) - F.col("_base"))),
+    wins = F.transform(F.sequence(F.lit(1).cast("long"), F.least(F.col("_gap"), F.col(cap) - F.col("_base"), F.col("_most"))),
                        lambda i: F.col(claim) / (2 * (F.col("_base") + i) - 1))
-    lost = F.transform(F.sequence(F.lit(1).cast("long"), F.least(-F.col("_gap"), F.col("_base"))),
+    lost = F.transform(F.sequence(F.lit(1).cast("long"), F.least(-F.col("_gap"), F.col("_base"), F.col("_most"))),
                        lambda i: -F.col(claim) / (2 * (F.col("_base") - i) + 1))
     room = F.when((F.col("_gap") > 0) & (F.col("_base") < F.col(cap)) & (F.col(claim) > 0), wins) \
         .when((F.col("_gap") < 0) & (F.col("_base") > 0), lost).otherwise(F.array().cast("array<double>"))
@@ -88,10 +95,10 @@ def apportion(claims: DataFrame, seats: str, claim: str, cap: str, out: str, by:
 
 
 def plan(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, block: int = BLOCK,
-         shard_rows: int = SHARD_ROWS, max_shards: int = MAX_SHARDS, seed: str = SEED) -> tuple[DataFrame, DataFrame]:
+         shard_rows: int = SHARD_ROWS, seed: str = SEED) -> tuple[DataFrame, DataFrame]:
     """(rows with their shard and seeded order, quotas per shard)."""
     stats = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows"))
-    shards = F.least(F.lit(max_shards), F.ceil(F.col("_rows") / shard_rows)).cast("long")
+    shards = F.ceil(F.col("_rows") / shard_rows).cast("long")
     src = targets(stats, weights, share, epochs)
     src = src.withColumn("_all", F.lit(1)).withColumn("_seats", F.round(F.sum("target").over(Window.partitionBy("_all")) / block).cast("long"))
     src = src.withColumn("_cap", F.ceil(F.col("source_size") * epochs / block).cast("long"))
@@ -110,14 +117,14 @@ def plan(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int =
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, block: int = BLOCK,
-        shard_rows: int = SHARD_ROWS, max_shards: int = MAX_SHARDS, seed: str = SEED,
+        shard_rows: int = SHARD_ROWS, seed: str = SEED,
         id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, and the
     shard and block quota behind it. ``taken`` counts words, repeats included."""
     if epochs != 2:
         raise ValueError("a shard's stream is two passes over its documents")
     sized = stage(docs.sparkSession, with_sizes(docs, id_col, source_col, text_col), "mix-sizes")
-    rows, per = plan(sized, weights, share, epochs, block, shard_rows, max_shards, seed)
+    rows, per = plan(sized, weights, share, epochs, block, shard_rows, seed)
     p = per.select(F.col("source").alias("_s"), F.col("shard").alias("_h"), "source_size", "target", "shard_size", "quota")
     w = Window.partitionBy("source", "shard").orderBy("_order", "doc_id", "size", "text_key").rowsBetween(Window.unboundedPreceding, -1)
     r = rows.withColumn("_at", F.coalesce(F.sum("size").over(w), F.lit(0)))
