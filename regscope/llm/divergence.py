@@ -44,10 +44,12 @@ TOP = 10
 #: Terms of a block, about; bounds every array and every numbering task.
 BLOCK = 1 << 16
 #: Text (bytes) and entries that a counting task holds before it sends them on.
-HELD_BYTES = 16 << 20
-HELD_TERMS = 200_000
-#: A longer text is counted in pieces of this size.
+HELD_BYTES = 64 << 20
+HELD_TERMS = 400_000
+#: A longer text is counted in pieces of this size; entries are looked at as often.
 PIECE = 1 << 20
+#: Parts that a language's terms are dealt to where they meet its number of blocks.
+PARTS = 256
 
 #: Bytes that end a term become blanks, A-Z become a-z; bytes of other characters stay.
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -72,17 +74,17 @@ def terms(text: bytes) -> Iterator[list[bytes]]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, term) with its occurrences and documents, a slice of text at a time."""
     held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-    size = 0
+    size = looked = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal size
+        nonlocal size, looked
         for (lang, source), (n, docs) in held.items():
             rows = len(n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * rows, pa.string()), pa.array([source] * rows, pa.string()), pa.array(list(n), pa.binary()).cast(pa.string()),
                  pa.array(list(n.values()), pa.int64()), pa.array([docs[t] for t in n], pa.int64())], ["lang", "source", "term", "n", "docs"])
         held.clear()
-        size = 0
+        size = looked = 0
 
     for b in batches:
         text, lang, source = (b.column(i) for i in range(3))
@@ -97,8 +99,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own.update(part)
             docs.update(own)
             size += value.size
-            if size >= HELD_BYTES or sum(len(c) for c, _ in held.values()) >= HELD_TERMS:
-                yield from flush()
+            if size - looked >= PIECE:
+                looked = size
+                if size >= HELD_BYTES or sum(len(c) for c, _ in held.values()) >= HELD_TERMS:
+                    yield from flush()
     yield from flush()
 
 
@@ -116,7 +120,9 @@ def vocabulary(counts: DataFrame, min_docs: int = MIN_DOCS, block: int = BLOCK)
     """(lang, term, block, id, lang_n) of the kept terms; ids are dense within a block."""
     kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).filter(F.col("docs") >= min_docs)
     blocks = kept.groupBy("lang").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
-    dealt = kept.join(blocks, "lang").select("lang", "term", "lang_n", F.pmod(F.xxhash64("term"), "blocks").alias("block"))
+    # a language may hold most terms: they meet its one row of ``blocks`` in many parts
+    parts = blocks.select("lang", "blocks", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    dealt = kept.withColumn("part", F.pmod(F.hash("term"), F.lit(PARTS))).join(parts, ["lang", "part"]).select("lang", "term", "lang_n", F.pmod(F.xxhash64("term"), "blocks").alias("block"))
     number = F.row_number().over(Window.partitionBy("lang", "block").orderBy("term"))
     return dealt.select("lang", "term", "block", (number - 1).alias("id"), "lang_n")
 
