@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from regscope.llm.common import stage
 from regscope.llm.words import chunks as slices
+from regscope.llm.words import fresh
 
 MAX_ROWS = 6_000
 MAX_CHUNKS = 48
@@ -228,6 +229,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, label_col: st
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").cast("binary").alias("text"), F.xxhash64("text").alias("key")).join(F.broadcast(wanted), "id")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         for b in batches:
             for i in range(b.num_rows):
                 text = b.column("text")[i].as_py() or b""
@@ -251,6 +253,7 @@ def score(spark: SparkSession, docs: DataFrame, model: ByteCnn, name: str = "sco
     text_at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         m = ByteCnn.from_bytes(shared.value)
         for b in batches:
             text = b.column(text_at).cast(pa.binary())

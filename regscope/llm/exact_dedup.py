@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regscope.llm.common import BLANKS, stage
+from regscope.llm.words import fresh
 
 _M = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Digests in one filter; a bucket is one task's work.
@@ -119,6 +120,7 @@ def build_filters(snapshot: DataFrame, buckets: int) -> DataFrame:
     """One filter row per bucket of the snapshot's digests ``h``."""
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        fresh()
         f = BinaryFuse.build(pdf["h"].to_numpy().astype(np.int64).view(np.uint64))
         return pd.DataFrame({"bucket": [int(pdf["bucket"].iloc[0])], "seed": [f.seed], "segment": [f.segment],
                              "segments": [f.segments], "cells": [f.cells.tobytes()]})
@@ -133,6 +135,7 @@ def screen(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
     columns = incoming.columns
 
     def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        fresh()
         if not len(left) or not len(right):
             return left.iloc[:0][columns]
         r = right.iloc[0]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from regscope.llm.common import batch_plan, text_bytes, with_batch
-from regscope.llm.words import CACHE_WORDS, texts
+from regscope.llm.words import CACHE_WORDS, CACHES, fresh, texts
 
 # Fixed values of the contract.
 TOKENIZER = "word_bpe_49k.json"
@@ -36,6 +36,8 @@ END_ID = 2
 MAX_TOKENS = 4096
 MAX_SEGMENTS = 512
 MIN_CUT = 16
+#: Bytes of words and ids that a cache holds, besides its number of words.
+CACHE_BYTES = 16 << 20
 #: Words tokenized at a time as one text.
 JOINED = 4_000
 
@@ -65,6 +67,7 @@ class WordIds(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         super().__init__()
         self.older: dict[bytes, bytes] = {}
+        self.held = 0
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters
@@ -95,9 +98,11 @@ class WordIds(dict):
 
     def encode(self, texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each list of words."""
-        if len(self) > CACHE_WORDS:
-            self.older = dict(self)
+        if len(self) > CACHE_WORDS or self.held > CACHE_BYTES:
+            # one batch's words can be far more than the bound: those are not kept
+            self.older = dict(self) if self.held <= 2 * CACHE_BYTES else {}
             self.clear()
+            self.held = 0
         apart: dict[bytes, tuple[bytes, bytes]] = {}
         todo: set[bytes] = set()
         for w in set(chain.from_iterable(texts)):
@@ -119,10 +124,12 @@ class WordIds(dict):
         self._learn([w for w in todo if w not in self])
         for w, (core, tail) in apart.items():
             self[w] = self[core] + (self[tail] if tail else b"")
+        self.held += sum(len(w) + len(self[w]) for w in chain(todo, apart))
         return [b"".join(map(self.__getitem__, t)) for t in texts]
 
 
 _IDS: dict[str, WordIds] = {}
+CACHES.append(_IDS)
 
 
 def word_ids(path: str | None) -> WordIds:
@@ -246,6 +253,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, max_tokens: int = M
 
 def packer(path: str | None, max_tokens: int, max_segments: int, max_loss: int, min_cut: int) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
+        fresh()
         own = "loss" in table.column_names
         table = table.sort_by([(c, "ascending") for c in ("doc_id", "text", *["loss"] * own)])
         ids, end = word_ids(path), np.array([END_ID], "<u4").tobytes()

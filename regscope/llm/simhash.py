@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from regscope.llm.common import stage
 from regscope.llm.components import connected_components
-from regscope.llm.words import chunks, texts
+from regscope.llm.words import chunks, fresh, texts
 
 # The contract's hash seed, and the code's generator polynomial.
 SEED = 42
@@ -104,6 +104,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
     """(doc_id, text_key, fp long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         for b in batches:
             held = texts(b.column("text"))
             fp = np.concatenate([fingerprints_of(held[i:j], shingle) for i, j in chunks(map(len, held))] or [np.empty(0, np.uint64)])
@@ -183,6 +184,7 @@ def keys(fp: np.ndarray, probe: bool) -> tuple[np.ndarray, np.ndarray]:
 
 def _filed(fps: DataFrame, probe: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         for b in batches:
             fp = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for i in range(0, len(fp), 2000):

@@ -24,12 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regscope.llm.common import stage
-from regscope.llm.words import CACHE_WORDS, texts
+from regscope.llm.words import CACHE_LENGTH, CACHE_WORDS, chunks, fresh, texts
 
 MAX_ROWS = 20_000
 FEATURES = 4_096
@@ -55,24 +56,25 @@ def terms(word: str) -> set[int]:
 
 
 class WordTerms(dict):
-    """word (bytes) to its terms, or to those in ``chosen`` alone (as their numbers)."""
+    """word (bytes) to its terms, or to those in ``chosen`` alone (as their numbers),
+    as unsigned 32-bit numbers."""
 
     def __init__(self, chosen: dict[int, int] | None = None):
         super().__init__()
         self.chosen = chosen
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
+    def __missing__(self, word: bytes) -> bytes:
         found = terms(word.decode())
-        value = self[word] = tuple(found if self.chosen is None else (self.chosen[t] for t in found if t in self.chosen))
+        kept = found if self.chosen is None else [self.chosen[t] for t in found if t in self.chosen]
+        value = np.fromiter(kept, dtype="<u4", count=len(kept)).tobytes()
+        if len(word) <= CACHE_LENGTH:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = value
         return value
 
     def of(self, text: bytes) -> np.ndarray:
-        held: set[int] = set()
-        for value in filter(None, map(self.__getitem__, set(text.split()))):
-            held.update(value)
-        return np.fromiter(held, dtype=np.int64, count=len(held))
+        return np.unique(np.frombuffer(b"".join(map(self.__getitem__, set(text.split()))), "<u4")).astype(np.int64)
 
 
 class FactorizationMachine:
@@ -82,16 +84,12 @@ class FactorizationMachine:
         self.chosen, self.bias, self.weight, self.factor = chosen, bias, weight, factor
 
     @staticmethod
-    def choose(rows: list[np.ndarray], label: np.ndarray, features: int) -> np.ndarray:
-        size = 1 << BITS
-        n = np.array([max(1, (label == c).sum()) for c in (0, 1)], float)
-        seen = np.zeros((2, size))
-        for c in (0, 1):
-            held = [r for r, y in zip(rows, label, strict=True) if y == c]
-            if held:
-                seen[c] = np.bincount(np.concatenate(held), minlength=size)
+    def choose(seen: np.ndarray, documents: np.ndarray, features: int) -> np.ndarray:
+        """The terms most associated with the label. ``seen[c, t]``: documents of
+        label c that have term t; ``documents[c]``: documents of label c."""
+        n = np.maximum(documents, 1).astype(float)
         both = seen.sum(axis=0)
-        gain = np.zeros(size)
+        gain = np.zeros(seen.shape[1])
         for count, total in ((seen, n), (n[:, None] - seen, n)):
             expected = count.sum(axis=0)[None, :] * total[:, None] / total.sum()
             with np.errstate(divide="ignore", invalid="ignore"):
@@ -101,19 +99,17 @@ class FactorizationMachine:
         return np.sort(best[2 * gain[best] > MIN_RATIO])
 
     @classmethod
-    def train(cls, rows: list[np.ndarray], label: np.ndarray, features: int = FEATURES, factors: int = FACTORS, epochs: int = EPOCHS,
+    def train(cls, chosen: np.ndarray, own: list[np.ndarray], label: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS,
               rate: float = 0.1, decay: float = 1e-4, batch: int = 128, drop: float = 0.2, seed: int = 7) -> FactorizationMachine:
+        """own: numbers of the chosen terms each document has."""
         label = np.asarray(label, np.int64)
         share = (label.sum() + 0.5) / (len(label) + 10.0)
         bias = float(np.log(share / (1 - share)))
-        chosen = cls.choose(rows, label, features) if len(rows) else np.empty(0, np.int64)
         rng = np.random.default_rng(seed)
         w, v = np.zeros(len(chosen)), rng.normal(0, 0.01, (len(chosen), factors))
         model = cls(chosen, bias, w, v)
         if not len(chosen) or label.min() == label.max():
             return model
-        number = {int(t): i for i, t in enumerate(chosen)}
-        own = [np.array([number[t] for t in r.tolist() if t in number], np.int64) for r in rows]
         gw, gv, gb = np.full(w.shape, 1e-6), np.full(v.shape, 1e-6), 1e-6
         for _ in range(epochs):
             order = rng.permutation(len(own))
@@ -158,30 +154,68 @@ class FactorizationMachine:
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, features: int = FEATURES,
           factors: int = FACTORS, epochs: int = EPOCHS) -> FactorizationMachine:
     """docs (doc_id, text), labels (doc_id, toxic). The sample of at most
-    ``max_rows`` ids is broadcast to the documents; their terms meet in one task."""
+    ``max_rows`` ids is broadcast to the documents; counts of hashed terms, and then
+    each document's chosen terms, meet in one task: neither grows with the texts."""
     wanted = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic")) \
         .filter("id is not null and toxic is not null").orderBy(F.xxhash64("id"), "id", "toxic").limit(max_rows)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("key")).join(F.broadcast(wanted), "id")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         held = WordTerms()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("toxic"), b.column("key"), pa.array([held.of(t).astype("<u4").tobytes() for t in texts(b.column("text"))], pa.binary())],
-                                             ["id", "toxic", "key", "terms"])
+            text = b.column("text")
+            for i, j in chunks(_sizes(text)):
+                found = pa.array([held.of(t).astype("<u4").tobytes() for t in texts(text.slice(i, j - i))], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in ("id", "toxic", "key")), found], ["id", "toxic", "key", "terms"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of a slice of the sample, how many documents of each label have each term."""
+        seen = np.zeros((2, (1 << BITS) + 1), np.int64)  # the last place counts documents
+        for b in batches:
+            for toxic, held in zip(b.column("toxic").to_pylist(), b.column("terms").to_pylist(), strict=True):
+                seen[int(toxic != 0), np.frombuffer(held, "<u4")] += 1
+                seen[int(toxic != 0), -1] += 1
+        label, term = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(term, pa.int64()), pa.array(label, pa.int64()), pa.array(seen[label, term])], ["term", "label", "n"])
+
+    def pick(table: pa.Table) -> pa.Table:
+        seen = np.zeros((2, (1 << BITS) + 1))
+        seen[table["label"].to_numpy(), table["term"].to_numpy()] = table["n"].to_numpy()
+        chosen = FactorizationMachine.choose(seen[:, :-1], seen[:, -1], features)
+        return pa.table({"chosen": pa.array([chosen.astype("<i8").tobytes()], pa.binary())})
+
+    found = rows.select("id", "toxic", "key", "text").mapInArrow(extract, "id long, toxic int, key long, terms binary")
+    sample = stage(spark, found.groupBy("id", "toxic").agg(F.min_by("terms", "key").alias("terms")), "toxic-sample")
+    # at most two rows for each hashed term, however long the sample's texts are
+    counts = sample.select("toxic", "terms").mapInArrow(count, "term long, label long, n long").groupBy("term", "label").agg(F.sum("n").alias("n"))
+    picked = stage(spark, counts.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(pick, "chosen binary"), "toxic-terms").first()
+    if picked is None:
+        return FactorizationMachine.train(np.empty(0, np.int64), [], np.empty(0, np.int64), factors, epochs)
+    chosen = np.frombuffer(picked["chosen"], "<i8")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each document only the chosen terms, by number."""
+        for b in batches:
+            own = []
+            for held in b.column("terms").to_pylist():
+                term = np.frombuffer(held, "<u4").astype(np.int64)
+                own.append(np.flatnonzero(np.isin(chosen, term)).astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("toxic"), pa.array(own, pa.binary())], ["id", "toxic", "terms"])
 
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("id", "ascending"), ("toxic", "ascending"), ("terms", "ascending")])
-        m = FactorizationMachine.train([np.frombuffer(t, "<u4").astype(np.int64) for t in table["terms"].to_pylist()], table["toxic"].to_numpy(), features, factors, epochs)
-        return pa.table({"chosen": [m.chosen.astype("<i8").tobytes()], "bias": [m.bias], "weight": [m.weight.tobytes()], "factor": [m.factor.tobytes()]})
+        m = FactorizationMachine.train(chosen, [np.frombuffer(t, "<u4").astype(np.int64) for t in table["terms"].to_pylist()], table["toxic"].to_numpy(), factors, epochs)
+        return pa.table({"bias": [m.bias], "weight": [m.weight.tobytes()], "factor": [m.factor.tobytes()]})
 
-    found = rows.select("id", "toxic", "key", "text").mapInArrow(extract, "id long, toxic int, key long, terms binary")
-    sample = stage(spark, found.groupBy("id", "toxic").agg(F.min_by("terms", "key").alias("terms")), "toxic-sample")
-    fitted = sample.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(fit, "chosen binary, bias double, weight binary, factor binary")
-    model = stage(spark, fitted, "toxic-model").first()
-    if model is None:
-        return FactorizationMachine.train([], np.empty(0, np.int64), features, factors, epochs)
-    return FactorizationMachine(np.frombuffer(model["chosen"], "<i8"), model["bias"], np.frombuffer(model["weight"]),
-                                np.frombuffer(model["factor"]).reshape(-1, factors))
+    kept = sample.mapInArrow(keep, "id long, toxic int, terms binary").withColumn("one", F.lit(1))
+    model = stage(spark, kept.groupBy("one").applyInArrow(fit, "bias double, weight binary, factor binary"), "toxic-model").first()
+    return FactorizationMachine(chosen, model["bias"], np.frombuffer(model["weight"]), np.frombuffer(model["factor"]).reshape(-1, factors))
+
+
+def _sizes(text: pa.Array) -> list[int]:
+    """Bytes of each text, without making texts of them."""
+    return pc.fill_null(pc.binary_length(text.cast(pa.binary())), 0).to_pylist()
 
 
 def score(spark: SparkSession, docs: DataFrame, model: FactorizationMachine, name: str = "score") -> DataFrame:
@@ -190,11 +224,14 @@ def score(spark: SparkSession, docs: DataFrame, model: FactorizationMachine, nam
     text_at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         m = FactorizationMachine(*shared.value)
         held = WordTerms({int(t): i for i, t in enumerate(m.chosen)})
         for b in batches:
-            s = m.scores([held.of(t) for t in texts(b.column(text_at))])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*b.schema.names, name])
+            for i, j in chunks(_sizes(b.column(text_at))):
+                part = b.slice(i, j - i)
+                s = m.scores([held.of(t) for t in texts(part.column(text_at))])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s)], [*b.schema.names, name])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 

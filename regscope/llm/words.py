@@ -7,9 +7,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 
-#: Distinct words kept by a task's hash cache before it starts anew.
+#: Distinct words kept by a task's cache before it starts anew, and the longest (bytes)
+#: that is kept at all: together they bound a cache in bytes.
 CACHE_WORDS = 300_000
+CACHE_LENGTH = 64
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -17,13 +20,29 @@ class WordHashes(dict):
     """word (bytes) to 64-bit hash, computed once per distinct word."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= CACHE_LENGTH:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = value
         return value
 
 
 _HASHES = WordHashes()
+#: What Python workers hold beyond a task, all of it, and the Spark stage it is of.
+CACHES: list[dict] = [_HASHES]
+_STAGE: list[int | None] = [None]
+
+
+def fresh() -> None:
+    """Every task begins with this. A Python worker outlives its stage: what tasks of
+    an earlier stage cached is dropped, so that stages do not add up."""
+    context = TaskContext.get()
+    now = context.stageId() if context else None
+    if now != _STAGE[0]:
+        _STAGE[0] = now
+        for cache in CACHES:
+            cache.clear()
 
 
 def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:

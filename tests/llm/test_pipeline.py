@@ -24,7 +24,7 @@ def tables(spark, tmp_path_factory):
     plain = [(10_000 + i, t) for i, (_, t) in enumerate(corpus(5, 60))] + [(None, "null id " * 40), (None, "null id " * 40), (10_003, "x y z")]
     rows, labels = toxic_rows(300)
     frame(spark, rows + plain).write.parquet(f"{d}/documents.parquet")
-    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([(i, t, 1 - t) for i, t in labels], "doc_id long, toxic int, quality int").write.parquet(f"{d}/labels.parquet")
     spark.createDataFrame([(1, 0, "user", "x"), (1, 1, "assistant", "y")], "conv_id long, turn long, role string, text string").write.parquet(f"{d}/conversations.parquet")
     return d
 
@@ -75,7 +75,7 @@ def test_run_and_queries(spark, tables):
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and out.count() > 50
     for name, q in QUERIES.items():
         assert q(spark, tables).count() > 0, name
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_library_does_without_the_corpus_part():
