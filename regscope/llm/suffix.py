@@ -11,10 +11,10 @@ document of smaller id. Only strings that can repeat are sorted:
    one stretch of text. Batches send each distinct segment to its anchor's range.
    There, equal segments are joined, and for anchors with more than one kind of
    segment all suffixes that start a string are sorted, ``length`` bytes deep:
-   by library sorts on (group, next eight bytes), a radix refinement in place of
-   a multikey quicksort, down to a shallow depth; then each
-   group that still shares its prefix goes through a blind trie. Suffixes equal to
-   the full depth are neighbours: the smallest id among them stays.
+   by multikey quicksort down to a shallow depth, eight bytes a key and all groups
+   of one level at a time; then each group that still shares its prefix goes
+   through a blind trie. Suffixes equal to the full depth are neighbours: the
+   smallest id among them stays.
 
 At both edges of a frequent phrase each document has a segment of its own, all of
 one anchor. In round 1 batches also tell how many kinds of segment their frequent
@@ -122,6 +122,48 @@ class BlindTrie:
         return out
 
 
+def multikey_quicksort(words: np.ndarray, at: np.ndarray, shallow: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sort suffixes that begin at ``at`` by their first ``shallow`` bytes. ``words``:
+    the eight bytes that begin at each place. Each group of suffixes is partitioned
+    around a pivot key (the median of its first, middle and last) into less, equal and
+    greater: the outer parts go on with the same key, the middle one with the next
+    eight bytes. Returns (order, group in that order) of suffixes that share all
+    ``shallow`` bytes with another."""
+    order, place = np.arange(len(at)), np.arange(len(at))  # place: where in ``order`` the suffixes at work are
+    group, depth = np.zeros(len(at), np.int64), np.zeros(1, np.int64)
+    if not shallow:
+        return order, group
+    shared: list[np.ndarray] = []
+    begins = np.zeros(1, np.int64)  # of each group, among the suffixes at work
+    while len(place):
+        key = np.ascontiguousarray(words[at[order[place]] + depth[group]]).view(">u8").ravel().astype(np.uint64)
+        size = np.diff(np.append(begins, len(place)))
+        x, y, z = key[begins], key[begins + size // 2], key[begins + size - 1]
+        pivot = np.maximum(np.minimum(x, y), np.minimum(np.maximum(x, y), z))[group]
+        side = (key > pivot).astype(np.int64) + (key >= pivot)
+        count = np.bincount(group * 3 + side, minlength=3 * len(begins))
+        start = np.cumsum(count) - count
+        old = order[place]
+        for c in range(3):  # members of a part keep their order
+            own = np.flatnonzero(side == c)
+            n = count[c::3]
+            rank = np.arange(len(own)) - (np.cumsum(n) - n)[group[own]]
+            order[place[start[3 * group[own] + c] + rank]] = old[own]
+        part = np.arange(len(count))
+        deeper = depth[part // 3] + 8 * (part % 3 == 1)
+        done = (deeper == shallow) & (count > 1)
+        todo = (count > 1) & ~done
+        of = np.repeat(part, count)
+        shared += np.split(place[done[of]], np.cumsum(count[done])[:-1]) if done.any() else []
+        place, number = place[todo[of]], np.cumsum(todo) - 1
+        group, depth, size = number[of[todo[of]]], deeper[todo], count[todo]
+        begins = np.cumsum(size) - size
+    shared.sort(key=lambda p: p[0])
+    if not shared:
+        return order[:0], order[:0]
+    return order[np.concatenate(shared)], np.repeat(np.arange(len(shared)), [len(p) for p in shared])
+
+
 def equal_suffixes(text: bytes, at: np.ndarray, length: int = LENGTH, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """Sort the suffixes of ``text`` at ``at``, ``length`` bytes deep. Returns
     (order, group of each in that order) of those that are not alone; equal
@@ -129,16 +171,7 @@ def equal_suffixes(text: bytes, at: np.ndarray, length: int = LENGTH, shallow: i
     data = np.frombuffer(text + bytes(8), np.uint8)
     words = np.lib.stride_tricks.sliding_window_view(data, 8)
     shallow = min(shallow, length) // 8 * 8
-    order, group = np.arange(len(at)), np.zeros(len(at), np.int64)
-    for depth in range(0, shallow, 8):
-        key = np.ascontiguousarray(words[at[order] + depth]).view(">u8").ravel().astype(np.uint64)
-        by = np.lexsort((key, group))
-        order, group, key = order[by], group[by], key[by]
-        new = np.ones(len(order), bool)
-        new[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
-        group = np.cumsum(new) - 1
-        alone = new & np.append(new[1:], True)
-        order, group = order[~alone], group[~alone]
+    order, group = multikey_quicksort(words, at, shallow)
     if shallow == length or not len(order):
         return order, group
     out, out_group, number = [], [], 0

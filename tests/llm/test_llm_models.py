@@ -136,3 +136,22 @@ def test_token_cache_is_bounded_in_bytes(monkeypatch):
         want = [b"".join(np.array(ids.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes() for w in batch[0])]
         assert ids.encode(batch) == want
     assert sum(len(k) + len(v) for k, v in [*ids.items(), *ids.older.items()]) < 60_000
+
+
+def test_multikey_quicksort_equals_a_sort():
+    from regscope.llm import suffix
+
+    rng = random.Random(6)
+    for alphabet, n in ((b"ab", 3_000), (b"abcdefgh", 2_000), (b"a", 300), (bytes(range(256)), 1_000), (b"xy", 1), (b"xy", 0)):
+        text = bytes(rng.choice(alphabet) for _ in range(n + 60)) + b"the same phrase again and again and again " * 20 + bytes(60)
+        at = np.array(rng.sample(range(len(text) - 60), min(n, len(text) - 60)), np.int64)
+        words = np.lib.stride_tricks.sliding_window_view(np.frombuffer(text, np.uint8), 8)
+        for shallow in (8, 16, 32, 48):
+            order, group = suffix.multikey_quicksort(words, at, shallow)
+            by = sorted(range(len(at)), key=lambda i: (text[at[i]:at[i] + shallow], i))
+            held = {}
+            for i in by:
+                held.setdefault(text[at[i]:at[i] + shallow], []).append(i)
+            want = [sorted(v) for v in held.values() if len(v) > 1]
+            got = [sorted(order[group == g].tolist()) for g in range(int(group[-1]) + 1 if len(group) else 0)]
+            assert got == want
