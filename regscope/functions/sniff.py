@@ -19,6 +19,8 @@ SQLITE_MAGIC = "SQLite format 3\x00"                # SQLite / GeoPackage
 HTML_PREFIX = "<!doctype "
 XML_PREFIXES = ("<?xml ", "<wfs:")
 JSON_PREFIX = "{"
+#: As much of a file as any of these needs.
+LEADING_BYTES = 64
 
 
 def filetype(content) -> Column:
@@ -42,4 +44,4 @@ def filetype(content) -> Column:
 def filetype_of_bytes(content) -> Column:
     """The same classification for a BINARY column (e.g. the ``binaryFile`` source)."""
     c = F.col(content) if isinstance(content, str) else content
-    return filetype(F.decode(F.substring(c, 1, 64), "ISO-8859-1"))
+    return filetype(F.decode(F.substring(c, 1, LEADING_BYTES), "ISO-8859-1"))

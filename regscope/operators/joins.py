@@ -37,15 +37,6 @@ def null_safe_left_join(left: DataFrame, right: DataFrame,
     return left.join(r, cond, "left").select(*[left[c] if c in left.columns else r[c] for c in out])
 
 
-def last_by_position(df: DataFrame, key: str, position: str, columns: Sequence[str]) -> DataFrame:
-    """Dictionary-load semantics: for a repeated key the row with the highest
-    position (the last one read) wins. A partial aggregate (``max_by``)."""
-    cols = [c for c in columns if c not in (key,)]
-    picked = df.groupBy(key).agg(*[F.max_by(F.col(c), F.col(position)).alias(c) for c in cols],
-                                 F.max(position).alias(position))
-    return picked
-
-
 def anti_join(df: DataFrame, other: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Rows of ``df`` whose key is not listed in ``other`` (NOT IN without NULL traps)."""
     keys = other.select(F.col(right_key).alias("__k")).where(F.col("__k").isNotNull())

@@ -8,18 +8,17 @@ Neither gathers a whole group (or the whole table) into one task:
   again, in a semi join (one row per key on that side: Spark splits the other
   side of a key that very many rows have).
 * ``blank_delimited_groups`` is a running count of blank rows in position
-  order, computed as a two-level prefix sum: per position bucket (bounded
-  size), then over the small bucket table.
+  order, a blocked prefix sum of any depth (``operators.scan``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_WIDTH = 1 << 20
+from regscope.operators.scan import WIDTH, running_sum
 
 
 def repeated_rows(df: DataFrame, file_keys: Sequence[str], row_keys: Sequence[str], position: str) -> DataFrame:
@@ -35,7 +34,7 @@ def repeated_rows(df: DataFrame, file_keys: Sequence[str], row_keys: Sequence[st
 
 
 def blank_delimited_groups(df: DataFrame, position: str, columns: Sequence[str],
-                           bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                           bucket_width: int = WIDTH) -> DataFrame:
     """Number the groups of a list separated by all-blank rows.
 
     ``group_id`` = number of blank rows before the row (so consecutive blank
@@ -46,16 +45,6 @@ def blank_delimited_groups(df: DataFrame, position: str, columns: Sequence[str],
     for c in columns:
         b = F.coalesce(F.col(c).cast("string"), F.lit("")) == ""
         blank = b if blank is None else (blank & b)
-    marked = df.withColumn("__blank", blank.cast("long")) \
-               .withColumn("__bucket", F.floor(F.col(position) / F.lit(bucket_width)))
-    per_bucket = marked.groupBy("__bucket").agg(F.sum("__blank").alias("__n"))
-    # small table: one row per bucket; prefix sum over buckets
-    offsets = per_bucket.select(
-        "__bucket",
-        (F.sum("__n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("__offset"))
-    w = Window.partitionBy("__bucket").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
-    within = marked.withColumn("__run", F.sum("__blank").over(w))
-    out = within.join(offsets, "__bucket").where(F.col("__blank") == 0)
-    gid = (F.coalesce(F.col("__offset"), F.lit(0)) + F.col("__run")).cast("bigint")
-    return out.select(*df.columns, gid.alias("group_id"))
+    marked = df.withColumn("__blank", blank.cast("long"))
+    out = running_sum(marked, position, "__blank", "group_id", bucket_width)
+    return out.where(F.col("__blank") == 0).select(*df.columns, "group_id")

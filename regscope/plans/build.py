@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from regscope.plans import performance as perf
 from regscope.plans import registry as reg
-from regscope.plans.consolidate import consolidate, path_mismatches
+from regscope.plans.consolidate import consolidate, consolidate_quarantine, path_mismatches
 from regscope.sinks import materialize, save_replace, write_csv, write_parquet, write_strict
-from regscope.sources.csv import (PATH_COLUMN, read_collection_table, read_csv_typed, read_csv_union,
-                                  read_partitioned_csv)
+from regscope.sources.csv import (PATH_COLUMN, files_exist, read_collection_table, read_csv_typed, read_csv_union,
+                                  read_partitioned_csv, surplus_cells, undeclared_columns)
 from regscope.sources.registry import COLLECTION_TABLES, PIPELINE_TABLES
 
 # Declared columns of the concatenated partition tables.
@@ -49,13 +49,23 @@ REPORT_ORDER = {
 
 
 def consolidate_files(spark: SparkSession, table: str, fields: Sequence[str], paths: Sequence[str],
-                      output_path: str) -> str | None:
+                      output_path: str, quarantine: str | None = None) -> str | None:
     """R16 for an explicit file list: ``paths`` of one table (headers may differ)
-    -> one consolidated CSV with the declared ``fields``."""
-    df = read_csv_union(spark, list(paths))
+    -> one consolidated CSV with the declared ``fields``. A row with an unknown date or
+    more cells than its header stops the pass, unless ``quarantine`` names a folder:
+    then such rows go there (``dates.csv``, ``surplus.csv``), and the others on."""
+    if quarantine is None:
+        df = read_csv_union(spark, list(paths))
+        return None if df is None else _write_table(consolidate(df, table, fields), fields, output_path)
+    df = read_csv_union(spark, list(paths), surplus="quarantine")
     if df is None:
         return None
-    return _write_table(consolidate(df, table, fields), fields, output_path)
+    good, bad = consolidate_quarantine(df, table, fields)
+    base = quarantine.rstrip("/")
+    write_csv(bad, bad.columns, f"{base}/dates.csv")
+    wide = surplus_cells(spark, list(paths))
+    write_csv(wide, wide.columns, f"{base}/surplus.csv")
+    return _write_table(good, fields, output_path)
 
 
 def _write_table(df: DataFrame, fields: Sequence[str], csv_path: str) -> str:
@@ -72,7 +82,7 @@ def catalogue_from_collection(spark: SparkSession, input_dir: str) -> DataFrame:
     (collection, pipeline, resource). File order is the position for
     "last row wins"."""
     from regscope.plans.catalogue import resource_catalogue
-    from regscope.sources.csv import files_exist, read_positioned_csv, snake_case_columns
+    from regscope.sources.csv import read_positioned_csv, snake_case_columns
 
     base = input_dir.rstrip("/")
 
@@ -106,9 +116,20 @@ def consolidate_pipeline(spark: SparkSession, var_dir: str, out_dir: str,
     return consolidate_collection(spark, var_dir, out_dir, schema_fields, tables)
 
 
+def require_declared(spark: SparkSession, pattern: str, declared: Sequence[str], table: str) -> None:
+    """K6: stop before anything is read or written if a landed file has a column that
+    ``table`` does not declare; the error names some of the files and columns."""
+    if not files_exist(spark, pattern):
+        return
+    found = undeclared_columns(spark, pattern, declared).limit(5).collect()
+    if found:
+        raise ValueError(f"{table} has undeclared columns: " + "; ".join(f"{r['column']} in {r['path']}" for r in found))
+
+
 def concat_issues(spark: SparkSession, input_dir: str, out_dir: str) -> str | None:
     """``input_dir/<pipeline>/<resource>.csv`` -> issue table; path keys win;
     an undeclared column is an error."""
+    require_declared(spark, f"{input_dir.rstrip('/')}/*/*.csv", ISSUE_FIELDS, "issue")
     df = read_partitioned_csv(spark, input_dir, "pipeline")
     if df is None:
         return None
@@ -116,7 +137,9 @@ def concat_issues(spark: SparkSession, input_dir: str, out_dir: str) -> str | No
 
 
 def concat_operational_issues(spark: SparkSession, operational_dir: str, out_dir: str) -> str | None:
-    df = read_csv_union(spark, f"{operational_dir.rstrip('/')}/*/operational-issue.csv")
+    pattern = f"{operational_dir.rstrip('/')}/*/operational-issue.csv"
+    require_declared(spark, pattern, OPERATIONAL_ISSUE_FIELDS, "operational-issue")
+    df = read_csv_union(spark, pattern)
     if df is None:
         return None
     return write_strict(df, OPERATIONAL_ISSUE_FIELDS, f"{out_dir}/operational-issue.csv", "operational-issue")
@@ -125,6 +148,7 @@ def concat_operational_issues(spark: SparkSession, operational_dir: str, out_dir
 def concat_column_fields(spark: SparkSession, input_dir: str, out_dir: str) -> str | None:
     """``input_dir/<dataset>/<resource>.csv`` -> column-field table; path keys win;
     an undeclared column is an error."""
+    require_declared(spark, f"{input_dir.rstrip('/')}/*/*.csv", COLUMN_FIELD_FIELDS, "column-field")
     df = read_partitioned_csv(spark, input_dir, "dataset")
     if df is None:
         return None
@@ -134,6 +158,7 @@ def concat_column_fields(spark: SparkSession, input_dir: str, out_dir: str) -> s
 def concat_converted_resources(spark: SparkSession, input_dir: str, out_dir: str):
     """``input_dir/<dataset>/<resource>.csv`` -> converted-resource table (rows as
     written; an undeclared column is an error) and the path/content mismatch report."""
+    require_declared(spark, f"{input_dir.rstrip('/')}/*/*.csv", CONVERTED_RESOURCE_FIELDS, "converted-resource")
     df = read_csv_union(spark, f"{input_dir.rstrip('/')}/*/*.csv", with_path=True)
     if df is None:
         return None, None
@@ -209,7 +234,7 @@ def load_registry(spark: SparkSession, collection_dir: str, specification_dir: s
     """The registry tables from consolidated CSV folders, with snake_case
     column names (``source_pipeline`` is derived from ``source.pipelines``)."""
     from regscope.functions.keys import explode_list
-    from regscope.sources.csv import files_exist, read_csv_text, snake_case_columns
+    from regscope.sources.csv import read_csv_text, snake_case_columns
 
     def csv(path):
         columnar = path.removesuffix(".csv") + ".parquet"  # written beside the CSV by the first pass

@@ -23,6 +23,10 @@ from regscope.operators.aggregates import inverted_index
 from regscope.operators.joins import anti_join
 
 
+#: Kinds of manifest that do not need a dataset's collection.
+FOR_EVERY_DATASET = ("operational-issue",)
+
+
 # -- F1 / J8 ------------------------------------------------------------------------
 def active_resources(resource: DataFrame) -> DataFrame:
     """Resources without an end date (``end_date = ''``; NULL is not active)."""
@@ -177,12 +181,17 @@ def artifact_manifest(catalogue: DataFrame, as_of: str, kinds: Sequence[str] = (
 
 def dataset_manifest(datasets: DataFrame, as_of: str, kinds: Sequence[str] = tuple(DATASET_TEMPLATES),
                      host: str = DEFAULT_FILE_HOST) -> DataFrame:
-    """Download manifest per dataset that belongs to a collection (expectation
-    logs and results, operational issue logs)."""
-    usable = datasets_with_collection(datasets)
-    templates = [(k, u, p) for k in kinds for u, p in DATASET_TEMPLATES[k]]
-    return _manifest_rows(usable, templates, host, as_of, dataset=F.col("dataset"),
-                          collection=F.col("collection"))
+    """Download manifest per dataset: expectation logs and results of datasets that
+    belong to a collection, operational issue logs of every dataset."""
+    parts = []
+    for rows, own in ((datasets_with_collection(datasets), [k for k in kinds if k not in FOR_EVERY_DATASET]),
+                      (datasets, [k for k in kinds if k in FOR_EVERY_DATASET])):
+        if own:
+            templates = [(k, u, p) for k in own for u, p in DATASET_TEMPLATES[k]]
+            parts.append(_manifest_rows(rows, templates, host, as_of, dataset=F.col("dataset"), collection=F.coalesce("collection", F.lit(""))))
+    if not parts:
+        raise ValueError("no kind of manifest is asked for")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def collection_file_manifest(collections: DataFrame, files: Sequence[str] | None = None,

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from regscope.functions.dates import normalise_date, normalise_timestamp
 from regscope.functions.keys import default_dataset, source_key
 
-# Fixed value: the partition path pattern ``.../<dir key>/<hex hash>.csv``.
-PATH_PATTERN = r"/([a-zA-Z0-9_-]+)/([a-f0-9]+).csv$"
+# Fixed value: the partition path pattern ``.../<dir key>/<hex hash>.csv``; a table that
+# Spark wrote is a folder of that name, with parts in it.
+PATH_PATTERN = r"/([a-zA-Z0-9_-]+)/([a-f0-9]+)\.csv(?:/[^/]+)?$"
 
 
 def is_timestamp_column(name: str) -> bool:

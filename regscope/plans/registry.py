@@ -58,6 +58,24 @@ def most_recent_log(log: DataFrame, log_aggregate: DataFrame | None = None) -> D
     return with_day.join(latest, ["endpoint", "__day"], "inner").select(*cols)
 
 
+def log_by_month(log: DataFrame) -> DataFrame:
+    """The log as it is stored: with its entry's ``day`` and, to partition by, ``month``."""
+    day = sql_day("entry_date")
+    return log.select("*", day.alias("day"), F.date_format(day, "yyyy-MM").alias("month"))
+
+
+def most_recent_log_by_month(stored: DataFrame) -> DataFrame:
+    """R1 over a log stored by month (``sinks.write_by``): the first read takes two
+    columns; the second reads only the months in which some endpoint has its latest
+    day. Those are few whatever the log's size, so they are always broadcast, and
+    become a dynamic partition filter; then rows meet their endpoint's latest day."""
+    latest = (stored.groupBy("endpoint").agg(F.max("day").alias("day"))
+              .select("endpoint", "day", F.date_format("day", "yyyy-MM").alias("month")).where(F.col("month") > ""))
+    months = latest.select("month").distinct()
+    columns = [c for c in stored.columns if c not in ("day", "month")]
+    return stored.join(months, "month", "left_semi").join(latest.drop("month"), ["endpoint", "day"]).select(*columns)
+
+
 # -- J1 / J3 building blocks ------------------------------------------------------
 def endpoint_sources(source: DataFrame, source_pipeline: DataFrame, organisation: DataFrame,
                      columns=None) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from regscope.operators.quality import assert_no_extra_columns
 from regscope.session import ensure_checkpoint_dir
@@ -40,12 +40,13 @@ def write_parquet(df: DataFrame, name: str, out_dir: str, mode: str = "overwrite
 
 
 def write_csv(df: DataFrame, columns: Sequence[str], path: str, mode: str = "overwrite",
-              sort_by: Sequence | None = None) -> str:
-    """K2: header CSV with the declared column order (absent columns blank)."""
+              sort_by: Sequence | None = None, rows_per_file: int = 0) -> str:
+    """K2: header CSV with the declared column order (absent columns blank).
+    ``rows_per_file`` limits a part's rows (0: no limit)."""
     from regscope.plans.consolidate import project_declared
 
     out = ordered(project_declared(df, columns), sort_by)
-    (out.write.mode(mode).option("header", True).option("escape", '"')
+    (out.write.mode(mode).option("header", True).option("escape", '"').option("maxRecordsPerFile", rows_per_file)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
@@ -57,11 +58,28 @@ def save_replace(df: DataFrame, name: str) -> str:
     return name
 
 
+def write_by(df: DataFrame, keys: Sequence[str], path: str, mode: str = "overwrite") -> str:
+    """Parquet in a folder per value of ``keys``, so that readers skip folders. Rows of a
+    folder come together first (few files), and a large folder's are split among tasks."""
+    df.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).parquet(path)
+    return path
+
+
+def create_table_as(spark: SparkSession, name: str, select: str) -> str:
+    """K5: ``CREATE TABLE name AS select``; a table of that name is an error."""
+    spark.sql(f"CREATE TABLE {name} USING parquet AS {select}")
+    return name
+
+
 def save_append(df: DataFrame, name: str) -> str:
-    """K4: create the managed table if absent, else append to it (by column name)."""
+    """K4: create the managed table if absent, else append to it, by column name. Rows
+    whose columns are not the table's are refused: none is dropped or left NULL."""
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
-        df.select(*spark.table(name).columns).write.mode("append").saveAsTable(name)
+        have = spark.table(name).columns
+        if set(have) != set(df.columns):
+            raise ValueError(f"{name} has columns {sorted(have)}, the rows {sorted(df.columns)}")
+        df.select(*have).write.mode("append").saveAsTable(name)
     else:
         df.write.mode("errorifexists").saveAsTable(name)
     return name

@@ -4,6 +4,7 @@ and registered as temporary views (the registry's "database")."""
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,13 +49,19 @@ def load_table(spark: SparkSession, location: str, table: str) -> DataFrame | No
     return df
 
 
-def register_tables(spark: SparkSession, registry: Mapping[str, str | DataFrame]) -> dict[str, DataFrame]:
+def register_tables(spark: SparkSession, registry: Mapping[str, str | DataFrame], at_once: int = 8) -> dict[str, DataFrame]:
     """Load every registry entry, rename kebab-case columns to snake_case and
     register it as a temporary view named after the table (snake_case).
-    Entries whose location holds no file are skipped."""
+    Entries whose location holds no file are skipped. Most tables are small, so
+    ``at_once`` of them are loaded side by side."""
+    def load(entry):
+        table, where = entry
+        return table, where if isinstance(where, DataFrame) else load_table(spark, where, table)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        loaded = list(pool.map(load, registry.items()))
     out: dict[str, DataFrame] = {}
-    for table, where in registry.items():
-        df = where if isinstance(where, DataFrame) else load_table(spark, where, table)
+    for table, df in loaded:
         if df is None:
             continue
         df = snake_case_columns(df)
