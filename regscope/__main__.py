@@ -36,6 +36,7 @@ def main(argv=None) -> int:
     c.add_argument("output_path")
     c.add_argument("paths", nargs="+")
     c.add_argument("--schema-field", default="specification/schema-field.csv")
+    c.add_argument("--quarantine", default=None, help="folder for rows with unknown dates or surplus cells, instead of stopping at the first")
 
     c = sub.add_parser("concat-issues")
     c.add_argument("--issues-dir", default="issues/")
@@ -60,6 +61,15 @@ def main(argv=None) -> int:
     c.add_argument("--input-dir", default="var/issue/")
     c.add_argument("--output", default="duplicate-issue.csv")
 
+    c = sub.add_parser("groups", help="number the groups of a curated list whose groups are set apart by blank rows")
+    c.add_argument("input")
+    c.add_argument("output")
+
+    c = sub.add_parser("append-landed", help="append path-keyed files that landed since the last run to a Parquet table")
+    c.add_argument("table", choices=["issue", "column-field"])
+    c.add_argument("--input-dir", default=None, help="default: var/<table>/")
+    c.add_argument("--output", default=None, help="default: <table>.parquet")
+
     c = sub.add_parser("planning-authorities", help="organisations with a planning-authority prefix")
     c.add_argument("--source", default="collection/source.csv")
     c.add_argument("--output", default="planning-authorities.csv")
@@ -83,8 +93,10 @@ def main(argv=None) -> int:
     c.add_argument("--schema-field", default="specification/schema-field.csv")
 
     c = sub.add_parser("manifest", help="what to download, as CSV (url, output_path)")
-    c.add_argument("kind", choices=["issue", "column-field", "converted-resource", "resource", "collection-files", "pipeline-files"])
+    c.add_argument("kind", choices=["issue", "column-field", "converted-resource", "resource", "collection-files", "pipeline-files",
+                                    "expectation", "expectation-csv", "operational-issue"])
     c.add_argument("--input-dir", default="collection/")
+    c.add_argument("--spec-dir", default="specification", help="where dataset.csv is, for the kinds that are by dataset")
     c.add_argument("--landed", default=None, help="CSV of output paths that are there already: they are left out")
     c.add_argument("--output", default="manifest.csv")
     c.add_argument("--as-of", default=None)
@@ -113,7 +125,7 @@ def main(argv=None) -> int:
 
     if a.cmd == "consolidate":
         fields = _fields_for(spark, a.schema_field, a.table)
-        build.consolidate_files(spark, a.table, fields, a.paths, a.output_path)
+        build.consolidate_files(spark, a.table, fields, a.paths, a.output_path, a.quarantine)
     elif a.cmd == "concat-issues":
         build.concat_issues(spark, a.input_dir, a.issues_dir)
         build.concat_operational_issues(spark, a.operational_issue_dir, a.operational_issue_dir)
@@ -127,28 +139,37 @@ def main(argv=None) -> int:
     elif a.cmd == "expectations":
         from regscope.plans.catalogue import dataset_manifest
         from regscope.sinks import write_csv
-        from regscope.sources.csv import files_exist, read_csv_text
+        from regscope.sources.csv import files_exist, read_csv_text, read_csv_union
         from regscope.sources.parquet import read_parquet_union
         out = a.output_dir.rstrip("/")
         datasets = read_csv_text(spark, f"{a.spec_dir.rstrip('/')}/dataset.csv").select("dataset", "collection")
-        manifest = dataset_manifest(datasets, a.as_of or now(), kinds=("expectation",))
+        manifest = dataset_manifest(datasets, a.as_of or now(), kinds=("expectation", "expectation-csv"))
         write_csv(manifest, manifest.columns, f"{out}/manifest.csv")
         pattern = f"{a.cache_dir.rstrip('/')}/*.parquet"
         if files_exist(spark, pattern):
             union = read_parquet_union(spark, pattern)
             write_csv(union, union.columns, f"{out}/expectation.csv")
+        for part in ("result", "issue"):
+            rows = read_csv_union(spark, f"{a.cache_dir.rstrip('/')}/*-expectation-{part}.csv")
+            if rows is not None:
+                write_csv(rows, rows.columns, f"{out}/expectation-{part}.csv")
     elif a.cmd == "duplicate-issues":
-        from pyspark.sql import functions as F
-
         from regscope.operators.windows import repeated_rows
         from regscope.sinks import write_csv
         from regscope.sources.csv import read_partitioned_csv
-        issues = read_partitioned_csv(spark, a.input_dir, "pipeline")
+        issues = read_partitioned_csv(spark, a.input_dir, "pipeline", position="__pos")
         if issues is not None:
-            # file order: each CSV file is read by one task, rows in order
-            issues = issues.withColumn("__pos", F.monotonically_increasing_id())
             dup = repeated_rows(issues, ["pipeline", "resource"], ["row-number", "field"], "__pos").drop("__pos")
             write_csv(dup, dup.columns, a.output)
+    elif a.cmd == "groups":
+        from regscope.sinks import write_csv
+        from regscope.sources.csv import read_blank_delimited_groups
+        groups = read_blank_delimited_groups(spark, a.input)
+        write_csv(groups, [c for c in groups.columns if c != "pos"], a.output, sort_by=["pos"])
+    elif a.cmd == "append-landed":
+        from regscope.streaming.landing import append_landed
+        fields, key = {"issue": (build.ISSUE_FIELDS, "pipeline"), "column-field": (build.COLUMN_FIELD_FIELDS, "dataset")}[a.table]
+        append_landed(spark, a.input_dir or f"var/{a.table}/", a.output or f"{a.table}.parquet", fields, key).awaitTermination()
     elif a.cmd == "planning-authorities":
         from regscope.plans.catalogue import planning_authorities
         from regscope.sinks import write_csv
@@ -183,6 +204,9 @@ def main(argv=None) -> int:
         if a.kind.endswith("-files"):
             source = read_csv_text(spark, f"{a.input_dir.rstrip('/')}/source.csv")
             manifest = cat.collection_file_manifest(source.where(F.col("collection") != ""), folder=a.kind.removesuffix("-files"))
+        elif a.kind in cat.DATASET_TEMPLATES:
+            datasets = read_csv_text(spark, f"{a.spec_dir.rstrip('/')}/dataset.csv").select("dataset", "collection")
+            manifest = cat.dataset_manifest(datasets, a.as_of or now(), kinds=(a.kind,))
         else:
             manifest = cat.artifact_manifest(build.catalogue_from_collection(spark, a.input_dir), a.as_of or now(), kinds=(a.kind,))
         if a.landed:

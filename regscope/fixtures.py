@@ -20,10 +20,18 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regscope.sources.ranged import list_files
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
+#: Bytes a core below which a table's rows are dealt out.
+SPREAD_BYTES = 16 << 20
+
+# Fixed value: the report date of the keys (the tables' dates end in 1998 to 2002).
+AS_OF = "2003-01-01T00:00:00Z"
+
 # How files of each kind begin (old workbook, new workbook, zip,
 # SQLite, web page, XML, JSON); documents of no kind here are CSV.
 FILE_HEADS = ("\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1", "PK\x03\x04" + "0" * 26 + "[Content_Types].xml", "PK\x03\x04" + "0" * 26 + "data/a.shp",
@@ -49,6 +57,7 @@ class Fixtures:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
+        self._small: dict[str, bool] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Fixtures":
@@ -57,6 +66,9 @@ class Fixtures:
         key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
         fx = _INSTANCES.get(key)
         if fx is None:
+            # of one session only: frames of a stopped one are of no use
+            for old in [k for k in _INSTANCES if k[:2] != key[:2]]:
+                del _INSTANCES[old]
             fx = _INSTANCES[key] = cls(spark, sf_dir)
         return fx
 
@@ -66,6 +78,18 @@ class Fixtures:
             df = self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return df
 
+    def spread(self, name: str, key: str, columns: list[str]) -> DataFrame:
+        """``columns`` of a table whose views compute much of each row. A file of one row
+        group is read by one task, whatever the cores: if the table is small enough for
+        that, its rows are dealt out before anything is computed of them. Larger tables
+        have row groups enough."""
+        df = self.table(name).select(*columns)
+        cores = self.spark.sparkContext.defaultParallelism
+        if name not in self._small:
+            size = list_files(self.spark, f"{self.sf_dir}/{name}.parquet").agg(F.sum("length")).first()[0] or 0
+            self._small[name] = size < cores * SPREAD_BYTES
+        return df.repartition(cores, key) if self._small[name] else df
+
     # -- registry roles -------------------------------------------------------
     @cached_property
     def organisation(self) -> DataFrame:
@@ -146,7 +170,7 @@ class Fixtures:
     @cached_property
     def log(self) -> DataFrame:
         # every row; some endpoints never answered 200, some have unreadable dates
-        li = self.table("lineitem")
+        li = self.spread("lineitem", "l_orderkey", ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_shipdate", "l_returnflag"])
         ln = li.l_linenumber
         rf = li.l_returnflag
         e = li.l_suppkey - li.l_suppkey % 2
@@ -327,6 +351,37 @@ class Fixtures:
             heads = F.when(d.doc_id % 9 == i, F.lit(head)).otherwise(heads)
         return d.select("doc_id", F.concat(heads, F.coalesce(d.text, F.lit(""))).alias("content"))
 
+    @cached_property
+    def line_cell(self) -> DataFrame:
+        """Rows of a table whose cells hold line breaks, quotes and separators."""
+        li = self.table("lineitem")
+        k = li.l_orderkey
+        note = (F.when(k % 5 == 0, F.concat(F.lit("first line\nsecond, \""), li.l_returnflag, F.lit('"')))
+                .when(k % 5 == 1, F.concat(li.l_linestatus, F.lit("\n\n\n"))).when(k % 5 == 2, "").when(k % 5 == 3, '5" pipe').otherwise(li.l_returnflag))
+        return li.select(_s(k).alias("order"), _s(li.l_linenumber).alias("line"), note.alias("note"), _day_text(li.l_shipdate).alias("day"),
+                         F.concat(F.lit("part "), _s(li.l_partkey)).alias("part"))
+
+    @cached_property
+    def dataset(self) -> DataFrame:
+        """The specification's datasets; some belong to no collection at all."""
+        p = self.table("part")
+        k = p.p_partkey
+        return p.select(F.concat(F.lit("dataset-"), _s(k)).alias("dataset"),
+                        F.when(k % 7 == 3, "").when(k % 7 == 5, F.lit(None).cast("string"))
+                        .otherwise(F.concat(F.lit("collection-"), _s(k % 5))).alias("collection"))
+
+    def raw_table(self, i: int, of: int) -> DataFrame:
+        """The i-th of some raw tables, its columns named as in landed files."""
+        o = self.table("orders")
+        k = o.o_orderkey
+        day = _day_text(o.o_orderdate)
+        return o.where(k % of == i).select(
+            _s(k).alias("source"), F.concat(F.lit("collection-"), _s(o.o_custkey % 5)).alias("collection"),
+            F.concat(F.lit("local-authority-eng:"), _s(o.o_custkey % 25)).alias("organisation"), _md5("e", o.o_custkey).alias("endpoint"),
+            F.when(k % 3 == 0, "tree").otherwise("").alias("dataset"), F.lit("area").alias("pipeline"),
+            F.when(k % 2 == 0, F.substring(day, 1, 7)).otherwise(F.concat(day, F.lit("T09:30:00.5Z"))).alias("entry-date"),
+            F.when(o.o_custkey % 2 == 0, F.substring(day, 1, 4)).otherwise(day).alias("start-date"), o.o_orderstatus.alias("undeclared"))
+
     def registry_tables(self) -> "RegistryTables":
         """The tables the registry reports read, keyed by registry name (built on first use)."""
         return RegistryTables(self)
@@ -459,6 +514,15 @@ FX_SQL["fx_file"] = "SELECT doc_id, concat(CASE doc_id % 9 " + " ".join(
     f"WHEN {i} THEN concat('', " + ", ".join(f"chr({ord(c)})" for c in head) + ")" for i, head in enumerate(FILE_HEADS)) \
     + " ELSE '' END, coalesce(text, '')) AS content FROM documents"
 
+FX_SQL["fx_line_cell"] = """
+SELECT CAST(l_orderkey AS STRING) AS "order", CAST(l_linenumber AS STRING) AS line,
+       CASE l_orderkey % 5 WHEN 0 THEN concat('first line', chr(10), 'second, "', l_returnflag, '"') WHEN 1 THEN concat(l_linestatus, chr(10), chr(10), chr(10))
+         WHEN 2 THEN '' WHEN 3 THEN '5" pipe' ELSE l_returnflag END AS note,
+       CAST(CAST(l_shipdate AS DATE) AS STRING) AS "day", concat('part ', CAST(l_partkey AS STRING)) AS part FROM lineitem"""
+FX_SQL["fx_dataset"] = """
+SELECT concat('dataset-', CAST(p_partkey AS STRING)) AS dataset,
+       CASE p_partkey % 7 WHEN 3 THEN '' WHEN 5 THEN NULL ELSE concat('collection-', CAST(p_partkey % 5 AS STRING)) END AS collection FROM part"""
+
 # Derived views the oracle statements share (also in dependency order).
 FX_SQL.update({
     "fx_source_pipeline": """

@@ -7,7 +7,7 @@ with ``NULLS LAST`` to match the Spark side's "greatest tuple" rule.
 
 from __future__ import annotations
 
-from regscope.fixtures import fx_with
+from regscope.fixtures import FILE_HEADS, fx_with
 
 AS_OF_SQL = "TIMESTAMP '2003-01-01 00:00:00'"
 
@@ -87,10 +87,8 @@ _R4_ORDER = ("latest_log_entry_date DESC NULLS LAST, resource DESC NULLS LAST, l
 
 _SQL: dict[str, str] = {
     "most_recent_log": """
-SELECT l.endpoint, l.entry_date, l.status, l.exception, l.resource
-FROM fx_log l
-JOIN (SELECT endpoint, max(TRY_CAST(substring(entry_date, 1, 10) AS DATE)) AS d FROM fx_log GROUP BY endpoint) t
-  ON l.endpoint = t.endpoint AND TRY_CAST(substring(l.entry_date, 1, 10) AS DATE) = t.d""",
+SELECT * EXCLUDE (d) FROM (SELECT *, TRY_CAST(left(entry_date, 10) AS DATE) AS d FROM fx_log)
+QUALIFY d = max(d) OVER (PARTITION BY endpoint)""",
     "historic_endpoints_registry": _historic(False),
     "reporting_historic_endpoints": _R4,
     "latest_endpoints_registry": _latest(False),
@@ -142,26 +140,25 @@ _CTE = {
          rd.resource_start_date, rd.resource_end_date, rd.latest_log_entry_date
   FROM pd LEFT JOIN rd ON pd.organisation IS NOT DISTINCT FROM rd.organisation
                       AND pd.dataset IS NOT DISTINCT FROM rd.pipeline)""",
-    "ic": """ic AS (
-  SELECT count(*) AS count_issues, strftime(TIMESTAMP '2003-01-01 00:00:00', '%d-%m-%Y') AS date,
-         i.issue_type, any_value(it.pair[1]) AS severity, any_value(it.pair[2]) AS responsibility,
-         i.dataset, i.resource, i.field
-  FROM fx_issue i JOIN fx_resource r ON i.resource = r.resource
-  JOIN (SELECT issue_type, max([severity, responsibility]) OVER (PARTITION BY issue_type) AS pair FROM fx_issue_type) it ON i.issue_type = it.issue_type
-  WHERE r.end_date = ''
-  GROUP BY i.dataset, i.resource, i.issue_type, i.field)""",
-    "cfs": """cft AS (
-  SELECT cf.resource, cf.dataset,
-         CASE WHEN upper(cf.field) = upper(replace(replace(cf.column_name, ' ', '-'), '_', '-'))
-                   OR cf.field IN ('geometry', 'point') THEN cf.field END AS m,
-         CASE WHEN upper(cf.field) <> upper(replace(replace(cf.column_name, ' ', '-'), '_', '-'))
-                   AND cf.field NOT IN ('geometry', 'point') THEN cf.field END AS n
-  FROM fx_column_field cf JOIN fx_resource r ON cf.resource = r.resource
-  WHERE r.end_date = ''),
+    # issues counted first; then each count is taken as often as its resource is active,
+    # with what its type is known for
+    "ic": """seen AS (SELECT resource, dataset, issue_type, field, count(*) AS n FROM fx_issue GROUP BY ALL),
+active AS (SELECT resource, count(*) AS times FROM fx_resource WHERE end_date = '' GROUP BY resource),
+known AS (SELECT issue_type, max([severity, responsibility]) AS pair, count(*) AS times FROM fx_issue_type GROUP BY issue_type),
+ic AS (
+  SELECT CAST(seen.n * active.times * known.times AS BIGINT) AS count_issues, '01-01-2003' AS date, issue_type,
+         pair[1] AS severity, pair[2] AS responsibility, dataset, resource, field
+  FROM seen JOIN active USING (resource) JOIN known USING (issue_type))""",
+    # a header in its canonical form decides what its field is; lists are sorted
+    "cfs": """header AS (
+  SELECT DISTINCT resource, dataset, field,
+         list_contains(['geometry', 'point'], field) OR upper(field) = translate(upper(column_name), ' _', '--') AS mapped
+  FROM fx_column_field SEMI JOIN (SELECT resource FROM fx_resource WHERE end_date = '') USING (resource)),
 cfs AS (
-  SELECT resource, dataset, replace(string_agg(DISTINCT m, ',' ORDER BY m), ',', ';') AS mapping_field,
-         replace(string_agg(DISTINCT n, ',' ORDER BY n), ',', ';') AS non_mapping_field
-  FROM cft GROUP BY resource, dataset)""",
+  SELECT resource, dataset,
+         nullif(array_to_string(list_sort(list(field) FILTER (mapped)), ';'), '') AS mapping_field,
+         nullif(array_to_string(list_sort(list(field) FILTER (NOT mapped)), ';'), '') AS non_mapping_field
+  FROM header GROUP BY resource, dataset)""",
 }
 _CTE_DEPS = {"rd": ["rhe"], "pr": ["pd", "rd"]}
 
@@ -354,9 +351,9 @@ UNION
 UNION
 {_manifest('converted-resource', 'var/converted-resource')}""",
     "dataset_manifest": f"""
-WITH d AS (SELECT DISTINCT dataset, collection FROM (
-             SELECT collection, unnest(string_split(pipelines, ';')) AS dataset FROM fx_source)
-           WHERE coalesce(collection, '') <> '')
+WITH listed AS (SELECT DISTINCT dataset, collection FROM (
+             SELECT collection, unnest(string_split(pipelines, ';')) AS dataset FROM fx_source)),
+d AS (SELECT * FROM listed WHERE coalesce(collection, '') <> '')
 SELECT DISTINCT 'expectation' AS kind,
        '{_HOST}log/expectation/dataset=' || dataset || '/' || dataset || '.parquet?version=' || {_VERSION} AS url,
        'var/expectations/' || dataset || '.parquet' AS output_path FROM d
@@ -368,7 +365,7 @@ SELECT 'expectation-csv', '{_HOST}' || collection || '-collection/dataset/' || d
        || '-expectation-issue.csv?version=' || {_VERSION}, 'var/expectations/' || dataset || '-expectation-issue.csv' FROM d
 UNION
 SELECT 'operational-issue', '{_HOST}performance/operational_issue/' || dataset || '/operational-issue.csv?version='
-       || {_VERSION}, 'performance/operational_issue/' || dataset || '/operational-issue.csv' FROM d""",
+       || {_VERSION}, 'performance/operational_issue/' || dataset || '/operational-issue.csv' FROM listed""",
     "collection_file_manifest": f"""
 SELECT c.collection, f.file, '{_HOST}' || c.collection || '-collection/collection/' || f.file AS url,
        'var/collection/' || c.collection || '/' || f.file AS output_path
@@ -434,9 +431,9 @@ SELECT pos, slug, name, group_id FROM (
          (coalesce(slug, '') = '' AND coalesce(name, '') = '') AS b
   FROM fx_blank_list) WHERE NOT b""",
     "concat_tables": """
-SELECT resource, dataset, field, issue_type, value, line_number FROM fx_issue
-UNION ALL
-SELECT resource, dataset, field, issue_type, value, line_number FROM fx_operational_issue""",
+SELECT resource, dataset, row_number, field, issue_type, value, line_number, CAST(NULL AS BIGINT) AS entry_number, '' AS message, '' AS entry_date FROM fx_issue
+UNION ALL BY NAME
+SELECT *, '' AS row_number FROM fx_operational_issue""",
     "expectation_union": "SELECT * FROM fx_expectation_a UNION ALL BY NAME SELECT * FROM fx_expectation_b",
     "append_issues": """
 SELECT dataset, resource, line_number, entry_number, field, issue_type, value, message, entry_date,
@@ -488,11 +485,74 @@ _COLUMNS = {
                                   "days_since_200;latest_exception;resource;latest_log_entry_date;endpoint_entry_date;endpoint_end_date;"
                                   "resource_start_date;resource_end_date;rn;extra",
 }
-_SQL["column_expectations"] = "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, true AS present, true AS success, '' AS missing, '{c}' AS actual" for t, c in _COLUMNS.items()) + """
+_COLUMNS["reporting_historic_endpoints"] = ("organisation;name;organisation_name;dataset;collection;pipeline;endpoint;endpoint_url;documentation_url;"
+                                            "latest_status;latest_exception;resource;latest_log_entry_date;endpoint_entry_date;endpoint_end_date;"
+                                            "resource_start_date;resource_end_date")
+_FROM = {"endpoint_dataset_issue_type_summary": "issue_type_summary", "endpoint_dataset_summary": "endpoint_summary", "provision_summary": "provision_summary",
+         "reporting_latest_endpoints": "reporting_latest_endpoints", "reporting_historic_endpoints": "reporting_historic_endpoints"}
+
+
+def _expectation(table: str, columns: str) -> str:
+    """A report's columns, rows, and expected columns that hold nothing."""
+    lost = "licence" if table == "reporting_historic_endpoints" else ""
+    checked = [c for c in columns.split(";") if c != "extra"]
+    empty = ", ".join(f"CASE WHEN bool_or(coalesce(CAST({c} AS VARCHAR), '') <> '') THEN NULL ELSE '{c}' END" for c in checked)
+    return (f"SELECT '{table}' AS table_name, true AS present, {not lost} AS success, '{lost}' AS missing, '{columns}' AS actual, count(*) AS row_count, "
+            f"concat_ws(';', {empty}) AS empty FROM ({_SQL[_FROM[table]]})")
+
+
+_SQL["column_expectations"] = "\nUNION ALL\n".join(_expectation(t, c) for t, c in _COLUMNS.items()) + """
 UNION ALL
 SELECT 'endpoint_dataset_resource_summary', false, false, 'organisation;organisation_name;cohort;dataset;collection;pipeline;endpoint;endpoint_url;\
-resource;resource_start_date;resource_end_date;latest_log_entry_date;mapping_field;non_mapping_field', ''
-UNION ALL
-SELECT 'reporting_historic_endpoints', true, false, 'licence', 'organisation;name;organisation_name;dataset;collection;pipeline;endpoint;endpoint_url;\
-documentation_url;latest_status;latest_exception;resource;latest_log_entry_date;endpoint_entry_date;endpoint_end_date;resource_start_date;resource_end_date'"""
+resource;resource_start_date;resource_end_date;latest_log_entry_date;mapping_field;non_mapping_field', '', 0, ''"""
+
+# Files and managed tables: what was written is what is read back.
+_TABLES = ("source", "endpoint", "resource", "old-resource", "log", "column", "combine", "concat", "convert", "default", "default-value", "patch", "skip",
+           "transform", "filter", "lookup")
+_EVERY_TABLE = ("attribution award cohort collection column column-field combine concat convert converted-resource dataset dataset-field datatype default "
+                "default-value endpoint expectation field filter fund include-exclude issue issue-type licence log lookup old-resource organisation patch "
+                "prefix project project-organisation project-status provision provision-reason provision-rule quality resource role role-organisation "
+                "role-organisation-rule severity skip source specification specification-status theme transform typology").split()
+_DAY = "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)"
+_SQL.update({
+    "csv_blocks": "SELECT * FROM fx_line_cell",
+    "sniff_landed": f"""
+WITH first AS (SELECT doc_id % 360 AS file, min(doc_id) AS doc_id FROM documents GROUP BY ALL),
+begins AS (SELECT file, concat(CASE file % 9 {" ".join(
+    f"WHEN {i} THEN concat('', " + ", ".join(f"chr({ord(c)})" for c in head) + ")" for i, head in enumerate(FILE_HEADS))} ELSE '' END, coalesce(text, '')) AS content
+  FROM first JOIN documents USING (doc_id))
+SELECT file, {_filetype_sql('content')} AS filetype FROM begins""",
+    "most_recent_log_by_month": _SQL["most_recent_log"],
+    "managed_tables": """
+SELECT 'issue' AS table_name, dataset, field, count(*) AS n, CAST(sum(line_number) AS BIGINT) AS checksum FROM fx_issue GROUP BY ALL
+UNION ALL SELECT 'issue_by_field', dataset, field, count(*), CAST(sum(line_number) AS BIGINT) FROM fx_issue GROUP BY ALL
+UNION ALL SELECT 'operational_issue', dataset, issue_type, count(*), CAST(sum(entry_number * 3 + line_number) AS BIGINT) FROM fx_operational_issue GROUP BY ALL
+UNION ALL SELECT 'specification', dataset, collection, 1, length(dataset) FROM fx_dataset""",
+    "report_by_name": _R4,
+    "issue_partitions": """
+SELECT ['0a', '1b', '2c', '3d'][line_number % 4 + 1] AS resource, dataset, row_number, field, issue_type,
+       CASE line_number % 4 WHEN 1 THEN '' ELSE value END AS value, CAST(line_number AS VARCHAR) AS line_number, dataset AS pipeline
+FROM fx_issue""",
+    "undeclared_by_file": "SELECT DISTINCT dataset, '2c' AS resource, 'note' AS \"column\" FROM fx_issue WHERE line_number % 4 = 2",
+    "consolidated_tables": "\nUNION ALL\n".join(f"""
+SELECT '{t}' AS table_name, {"md5(concat('collection-', o_custkey % 5, '|local-authority-eng:', o_custkey % 25, '|', md5(concat('e', o_custkey))))" if t == "source" else "CAST(o_orderkey AS VARCHAR)"} AS source,
+       concat('collection-', o_custkey % 5) AS collection, {"NULL" if t == "log" else "CASE o_orderkey % 3 WHEN 0 THEN 'tree' ELSE 'area' END"} AS dataset,
+       CASE o_orderkey % 2 WHEN 0 THEN left({_DAY}, 7) || '-01T00:00:00Z' ELSE {_DAY} || 'T09:30:00Z' END AS entry_date,
+       CASE o_custkey % 2 WHEN 0 THEN left({_DAY}, 4) || '-01-01' ELSE {_DAY} END AS start_date, '' AS end_date
+FROM orders WHERE o_orderkey % 16 = {i}""" for i, t in enumerate(_TABLES)),
+    "registered_tables": "\nUNION ALL\n".join(
+        f"SELECT '{t.replace('-', '_')}' AS table_name, count(*) AS row_count, CAST(coalesce(sum(p_partkey), 0) AS BIGINT) AS checksum FROM part WHERE p_partkey % 49 = {i}"
+        for i, t in enumerate(_EVERY_TABLE)),
+    "sorted_report": """
+SELECT dataset, issue_type, CAST(line_number AS VARCHAR) AS line_number,
+       row_number() OVER (ORDER BY dataset, issue_type DESC, line_number DESC) - 1 AS "at" FROM fx_operational_issue""",
+    "sorted_listing": "SELECT organisation, row_number() OVER (ORDER BY organisation) - 1 AS \"at\" FROM (" + _SQL["planning_authorities"] + ")",
+    "specification_manifest": f"""
+WITH d AS (SELECT * FROM fx_dataset WHERE coalesce(collection, '') <> '')
+SELECT 'expectation' AS kind, '{_HOST}log/expectation/dataset=' || dataset || '/' || dataset || '.parquet?version=' || {_VERSION} AS url,
+       'var/expectations/' || dataset || '.parquet' AS output_path FROM d
+UNION ALL SELECT 'expectation-csv', '{_HOST}' || collection || '-collection/dataset/' || dataset || '-expectation-' || part || '.csv?version=' || {_VERSION},
+       'var/expectations/' || dataset || '-expectation-' || part || '.csv' FROM d, (VALUES ('result'), ('issue')) AS v(part)
+UNION ALL SELECT 'operational-issue', '{_HOST}performance/operational_issue/' || dataset || '/operational-issue.csv?version=' || {_VERSION},
+       'performance/operational_issue/' || dataset || '/operational-issue.csv' FROM fx_dataset""",
+})

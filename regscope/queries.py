@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regscope.fixtures import Fixtures
+from regscope import landed
+from regscope.fixtures import AS_OF, Fixtures
 from regscope.functions import keys as K
 from regscope.functions.dates import hour_version as _hour_version
 from regscope.functions.dates import normalise_date as _norm_date
@@ -28,9 +29,6 @@ from regscope.sources.csv import read_csv_text, read_csv_typed, read_csv_union,
 from regscope.sources.parquet import read_parquet_union
 from regscope.sources.registry import register_link_tables, register_tables
 
-# Fixed value: the report date of the keys (the tables' dates end in 1998 to 2002).
-AS_OF = "2003-01-01T00:00:00Z"
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -331,7 +329,7 @@ def column_expectations(spark, sf_dir):
     reports["reporting_historic_endpoints"] = historic.drop("licence")  # a column is missing
     del reports["endpoint_dataset_resource_summary"]  # a table is missing
     reports["reporting_latest_endpoints"] = reg.latest_endpoints(t, "reporting", as_of=AS_OF).withColumn("extra", F.lit(1))
-    return Q.column_expectations(spark, reports, perf.EXPECTED_COLUMNS)
+    return Q.column_expectations(spark, reports, perf.EXPECTED_COLUMNS, count_rows=True)
 
 
 # -- files: written from the tables to a scratch folder of the session, read back ----------------
@@ -437,8 +435,11 @@ QUERIES.update({
 })
 
 
+QUERIES.update(landed.QUERIES)
+
 # Which SURVEY §2 operators each query key exercises (inventory IDs).
 INVENTORY: dict[str, list[str]] = {
+    **landed.INVENTORY,
     "most_recent_log": ["R1", "J5", "P9", "A10"],
     "historic_endpoints_registry": ["R2", "J1", "J2", "J3", "A1", "A2"],
     "latest_endpoints_registry": ["R3", "J1", "J2", "J4", "F2", "F5", "P10", "A2", "W1", "O2"],
@@ -499,11 +500,3 @@ INVENTORY: dict[str, list[str]] = {
     "csv_typed": ["S5"],
     "parquet_union": ["S4", "K1", "U2"],
 }
-
-# Operators exercised by unit tests rather than a registered key (they need a
-# catalog or the command line): test module that covers each.
-TESTED_ELSEWHERE: dict[str, str] = {
-    "K3": "tests/test_sources_sinks.py", "K4": "tests/test_sources_sinks.py", "K5": "tests/test_cli.py",
-    "K6": "tests/test_sources_sinks.py", "P2": "tests/test_sources_sinks.py", "O3": "tests/test_cli.py",
-    "R18": "tests/test_cli.py", "R19": "tests/test_cli.py",
-}

@@ -139,3 +139,60 @@ def test_cli_consolidate_all_manifest_and_database(spark, scratch):
                  "--pipeline-dir", f"{d}/pipeline", "--cache-dir", f"{d}/var/cache"]) == 0
     assert rows(spark.table("source_pipeline")) == [("s1", "tree"), ("s2", "area"), ("s2", "tree")]
     assert spark.table("lookup").count() == 2 and spark.table("resource_dataset").count() == 1
+
+
+def test_cli_manifests_by_dataset(spark, scratch):
+    d = scratch
+    _write(f"{d}/specification/dataset.csv", "dataset,collection\ntree,c1\nhedge,\n")
+    found = {}
+    for kind in ("expectation", "expectation-csv", "operational-issue"):
+        assert main(["manifest", kind, "--spec-dir", f"{d}/specification", "--output", f"{d}/{kind}.csv", "--as-of", "2003-01-01T00:00:00Z"]) == 0
+        found[kind] = sorted(r["output_path"] for r in read_csv_text(spark, f"{d}/{kind}.csv").collect())
+    assert found == {"expectation": ["var/expectations/tree.parquet"],
+                     "expectation-csv": ["var/expectations/tree-expectation-issue.csv", "var/expectations/tree-expectation-result.csv"],
+                     "operational-issue": ["performance/operational_issue/hedge/operational-issue.csv", "performance/operational_issue/tree/operational-issue.csv"]}
+
+
+def test_cli_expectation_results(spark, scratch):
+    d = scratch
+    _write(f"{d}/specification/dataset.csv", "dataset,collection\ntree,c1\n")
+    _write(f"{d}/cache/tree-expectation-result.csv", "name,passed\nx,true\n")
+    _write(f"{d}/cache/area-expectation-result.csv", "passed,name,extra\nfalse,y,1\n")
+    assert main(["expectations", "--spec-dir", f"{d}/specification", "--cache-dir", f"{d}/cache", "--output-dir", f"{d}/out", "--as-of", "2003-01-01T00:00:00Z"]) == 0
+    assert rows(read_csv_text(spark, f"{d}/out/expectation-result.csv"), "name", "passed", "extra") == [("x", "true", ""), ("y", "false", "1")]
+    assert not os.path.exists(f"{d}/out/expectation-issue.csv") and len(rows(read_csv_text(spark, f"{d}/out/manifest.csv"))) == 3
+
+
+def test_cli_quarantine(spark, scratch):
+    d = scratch
+    _write(f"{d}/schema-field.csv", "schema,field\nlog,endpoint\nlog,entry-date\n")
+    _write(f"{d}/in/log.csv", "endpoint,entry-date\ne1,2021-01-01\ne2,soon\ne3,2021-01-02,more\n")
+    assert main(["consolidate", "log", f"{d}/out/log.csv", f"{d}/in/log.csv", "--schema-field", f"{d}/schema-field.csv", "--quarantine", f"{d}/bad"]) == 0
+    assert rows(read_csv_text(spark, f"{d}/out/log.csv")) == [("e1", "2021-01-01T00:00:00Z")]
+    assert rows(read_csv_text(spark, f"{d}/bad/dates.csv"), "endpoint", "bad_columns") == [("e2", "entry-date")]
+    assert rows(read_csv_text(spark, f"{d}/bad/surplus.csv"), "row", "cells") == [("3", '["e3","2021-01-02","more"]')]
+
+
+def test_cli_groups_and_landed_files(spark, scratch):
+    d = scratch
+    _write(f"{d}/list.csv", "slug,name\n/a,A\n/b,B\n,\n/c,C\n")
+    assert main(["groups", f"{d}/list.csv", f"{d}/groups.csv"]) == 0
+    assert rows(read_csv_text(spark, f"{d}/groups.csv"), "slug", "group_id") == [("/a", "0"), ("/b", "0"), ("/c", "1")]
+    from regscope.plans.build import COLUMN_FIELD_FIELDS
+
+    head = ",".join(COLUMN_FIELD_FIELDS)
+    blank = "," * (len(COLUMN_FIELD_FIELDS) - 4)
+    run = ["append-landed", "column-field", "--input-dir", f"{d}/var/column-field", "--output", f"{d}/column-field.parquet"]
+    for name in ("aa", "bb"):
+        _write(f"{d}/var/column-field/tree/{name}.csv", f"{head}\nx,y,WKT,geometry{blank}\n")
+        assert main(run) == 0
+    assert rows(spark.read.parquet(f"{d}/column-field.parquet"), "dataset", "resource", "field") == [("tree", "aa", "geometry"), ("tree", "bb", "geometry")]
+
+
+def test_cli_duplicate_issues_follow_file_order(spark, scratch):
+    d = scratch
+    body = "".join(f"{i % 40},geometry,{i}\n" for i in range(200))
+    _write(f"{d}/var/issue/tree/aa.csv", "row-number,field,line-number\n" + body)
+    _write(f"{d}/var/issue/area/bb.csv", "field,row-number,line-number\ngeometry,1,7\n")
+    assert main(["duplicate-issues", "--input-dir", f"{d}/var/issue", "--output", f"{d}/dup.csv"]) == 0
+    assert sorted(int(r["line-number"]) for r in read_csv_text(spark, f"{d}/dup.csv").collect()) == list(range(40, 200))
