@@ -143,8 +143,9 @@ def main(argv=None) -> int:
         from regscope.sources.parquet import read_parquet_union
         out = a.output_dir.rstrip("/")
         datasets = read_csv_text(spark, f"{a.spec_dir.rstrip('/')}/dataset.csv").select("dataset", "collection")
-        manifest = dataset_manifest(datasets, a.as_of or now(), kinds=("expectation", "expectation-csv"))
-        write_csv(manifest, manifest.columns, f"{out}/manifest.csv")
+        for kind, name in (("expectation", "manifest"), ("expectation-csv", "manifest-csv")):
+            manifest = dataset_manifest(datasets, a.as_of or now(), kinds=(kind,))
+            write_csv(manifest, manifest.columns, f"{out}/{name}.csv")
         pattern = f"{a.cache_dir.rstrip('/')}/*.parquet"
         if files_exist(spark, pattern):
             union = read_parquet_union(spark, pattern)

@@ -95,5 +95,6 @@ def parquet_footers(spark: SparkSession, files: DataFrame) -> DataFrame:
             size = min(length, int.from_bytes(end[:4], "little") + 8)
             return f.read_at(size, length - size)
 
-    size = F.conv(F.hex(F.reverse(F.expr("substring(content, -8, 4)"))), 16, 10).cast("int") + 8
+    little = F.hex(F.expr("substring(content, -8, 4)"))
+    size = F.conv(F.concat(*[F.substring(little, i, 2) for i in (7, 5, 3, 1)]), 16, 10).cast("int") + 8
     return read_ranges(spark, files, read, "footer binary", F.expr("content").substr(-size, size))

@@ -180,6 +180,18 @@ def test_leading_bytes_read_no_content(spark, scratch):
     assert "content" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_stores_that_arrow_cannot_open(spark, scratch, monkeypatch):
+    from regscope.sources import ranged
+
+    spark.range(3).write.parquet(f"{scratch}/p/a")
+    spark.range(3).selectExpr("CAST(id AS int) AS id", "id > 1 AS f").write.parquet(f"{scratch}/p/b")
+    _write(f"{scratch}/t/x.txt", "<?xml version")
+    want = sorted(r["schema"] for r in file_schemas(spark, f"{scratch}/p").collect())
+    monkeypatch.setattr(ranged, "ARROW_SCHEMES", {})
+    assert sorted(r["schema"] for r in file_schemas(spark, f"{scratch}/p").collect()) == want
+    assert rows(C.sniff_files(spark, f"{scratch}/t/*"), "filetype") == [("xml",)]
+
+
 def test_thousands_of_parquet_files_without_a_driver_loop(spark, scratch, monkeypatch):
     for i in range(2_000):
         fields = {"id": pa.array([i], pa.int32() if i % 2 else pa.int64())}
