@@ -9,6 +9,9 @@ not matter. Boilerplate lines are removed; a document left with fewer than
 ``min_words`` words or less than ``min_left`` of its words is depleted, and
 rejected. The base rules reject short and repetitive documents before that.
 
+Lines and texts are told apart by 128 bits of hash: chance matches are not to be
+expected at any number of lines.
+
 Null text has no words, and fails the base rules. Null is a host. Repeated rows
 are rows; an empty table gives an empty result. Columns other than id, text and
 host are not read.
@@ -37,8 +40,8 @@ MAX_DOCS = 20
 MIN_LEFT = 0.5
 
 _BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-SCHEMA = f"doc_id long, host string, {_BASE}, text_hash long, lines array<struct<h: long, n: int>>"
-_LINES = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int32())]))
+SCHEMA = f"doc_id long, host string, {_BASE}, text_hash binary, lines array<struct<h: binary, n: int>>"
+_LINES = pa.list_(pa.struct([("h", pa.binary()), ("n", pa.int32())]))
 _KEEP_SYMBOLS = bytes(c for c in range(256) if c not in SYMBOLS)
 
 
@@ -66,7 +69,7 @@ def repeat_words(words: list[list[bytes]], window: int = WINDOW) -> np.ndarray:
     return np.bincount(doc, weights=np.cumsum(cover[:-1]) > 0, minlength=len(words)).astype(np.int64)
 
 
-def _lines(text: bytes) -> tuple[int, list[dict[str, int]]]:
+def _lines(text: bytes) -> tuple[int, list[dict[str, bytes | int]]]:
     seen: set[bytes] = set()
     dups, held = 0, {}
     for line in text.split(b"\n"):
@@ -79,7 +82,7 @@ def _lines(text: bytes) -> tuple[int, list[dict[str, int]]]:
             seen.add(line)
         key = b" ".join(words)
         held[key] = held.get(key, 0) + len(words)
-    return dups, [{"h": xxhash.xxh64_intdigest(k) - (1 << 63), "n": n} for k, n in held.items()]
+    return dups, [{"h": xxhash.xxh3_128_digest(k), "n": n} for k, n in held.items()]
 
 
 def measure(docs: DataFrame, host_col: str = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -101,7 +104,7 @@ def measure(docs: DataFrame, host_col: str = "source", id_col: str = "doc_id", t
                     pa.array([len(t.translate(None, _KEEP_SYMBOLS)) for t in part], pa.int64()),
                     pa.array([d for d, _ in lines], pa.int64()),
                     pa.array(repeat_words(words)),
-                    pa.array([xxhash.xxh64_intdigest(t) - (1 << 63) for t in part], pa.int64()),
+                    pa.array([xxhash.xxh3_128_digest(t) for t in part], pa.binary()),
                     pa.array([x for _, x in lines], _LINES),
                 ], names)
 
