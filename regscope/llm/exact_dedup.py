@@ -1,29 +1,32 @@
 """Exact deduplication of a stream of batches against immutable snapshots.
 
-A snapshot is the set of distinct normalised texts kept so far. Each snapshot
-carries static binary-fuse filters, one per bucket of its digests, built once.
-A new batch is first grouped by itself, then its distinct digests are screened
-by the filters; the few that pass are joined with the exact bucket rows and
-compared by bytes. The first kept row of a text (smallest id of the earliest
-batch) stays for ever: a snapshot is never changed.
+A batch that has been worked off is a snapshot: a folder with its rows, the texts that
+were new in it (exact rows), and static binary-fuse filters of their digests, one per
+bucket. All of it is written once and never changed; later batches, of this run or
+of another (``earlier``), read it. A new batch is first grouped by itself, then its
+distinct digests are screened by each snapshot's filters; the few that pass are joined
+with the exact rows and compared by bytes. The first kept row of a text (smallest id of
+the earliest batch) stays for ever.
 
 Texts are equal when they are the same after each run of ASCII blanks is
 replaced by one space. Null text counts as empty. Rows of null id rank last in
 their group and get the group's ``keep_id`` like any other; of rows that repeat
-both id and text, all carry ``kept`` of that id. An empty table gives an empty
-result. Other columns of the input are not read.
+both id and text, one is kept. An empty table gives an empty result. Other columns
+of the input are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regscope.llm.common import BLANKS, stage
+from regscope.llm.common import BLANKS, shared_dir, stage
 from regscope.llm.words import fresh
 
 _M = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -106,10 +109,10 @@ class BinaryFuse:
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, h long, sha string, bytes long) of each row's normalised text."""
-    norm = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), BLANKS, " ")
+    """(doc_id, h long, sha string, bytes long, norm string) of each row's normalised text."""
+    norm = F.regexp_replace(F.coalesce(F.col(text_col).cast("string"), F.lit("")), BLANKS, " ")
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), norm.alias("norm"))
-    return d.select("doc_id", F.xxhash64("norm").alias("h"), F.sha2("norm", 256).alias("sha"), F.octet_length("norm").cast("long").alias("bytes"))
+    return d.select("doc_id", F.xxhash64("norm").alias("h"), F.sha2("norm", 256).alias("sha"), F.octet_length("norm").cast("long").alias("bytes"), "norm")
 
 
 def _bucket(n: int):
@@ -148,62 +151,101 @@ def screen(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
 KEY = ["sha", "bytes", "h"]
 
 
-def exact_dedup(spark: SparkSession, batches: list[DataFrame], id_col: str = "doc_id", text_col: str = "text",
-                bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Run the batches in order. Result, one row for each input row: doc_id,
-    keep_id, group_size, kept, text_sha256.
+@dataclass(frozen=True)
+class Snapshot:
+    """A batch that has been worked off, in a folder: ``rows`` (uid, text, digest), ``groups``
+    (each distinct text and its rows' number), ``exact`` (those new in this batch, with the
+    row that stays) and ``filters`` (``buckets`` of them)."""
+
+    path: str
+    buckets: int
+
+    def table(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/{name}")
+
+
+def open_snapshot(spark: SparkSession, path: str) -> Snapshot:
+    """A snapshot that an earlier run wrote."""
+    return Snapshot(path, spark.read.parquet(f"{path}/filters").agg(F.max("buckets")).first()[0] or 1)
+
+
+def _work_off(spark: SparkSession, docs: DataFrame, snapshots: list[Snapshot], path: str, id_col: str, text_col: str) -> None:
+    """Write the batch's rows, groups and exact rows."""
+    here = Snapshot(path, 0)
+    digests(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()).write.parquet(f"{path}/rows")  # from here on uid names a row
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")).alias("first")
+    here.table(spark, "rows").groupBy(*KEY).agg(first, F.count("*").alias("n")).write.parquet(f"{path}/groups")
+    new = groups = here.table(spark, "groups")
+    for s in snapshots:
+        positive = screen(groups.select(*KEY, F.col("first.uid").alias("own")), s.table(spark, "filters"), s.buckets)
+        hits = stage(spark, positive.join(s.table(spark, "exact").select(*KEY, F.col("first.uid").alias("old")), KEY), "hits")
+        new = new.join(_byte_check(hits, here.table(spark, "rows"), s.table(spark, "rows")), KEY, "left_anti")
+    new.select(*KEY, "first").write.parquet(f"{path}/exact")
+
+
+def _seal(spark: SparkSession, path: str, bucket_rows: int) -> Snapshot:
+    """Build the filters of a batch's exact rows, once."""
+    exact = spark.read.parquet(f"{path}/exact")
+    buckets = max(1, -(-exact.count() // bucket_rows))
+    build_filters(exact, buckets).withColumn("buckets", F.lit(buckets)).write.parquet(f"{path}/filters")
+    return Snapshot(path, buckets)
+
+
+def deduplicate(spark: SparkSession, batches: list[DataFrame], id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS,
+                earlier: Sequence[Snapshot] = (), folder: str | None = None) -> tuple[DataFrame, list[Snapshot]]:
+    """Run the batches in order, after the ``earlier`` snapshots. Result, one row for each
+    input row: doc_id, keep_id, group_size (rows of earlier snapshots included), kept,
+    text_sha256; and all snapshots. With ``folder`` the new snapshots are written there,
+    the last one with its filters too, for a later run; without, among the intermediate tables.
 
     Within a batch, rows of one digest (SHA-256 and length) are one group, by
     partial aggregation. Across batches, one text per filter-positive group is
     compared with the kept one by bytes.
     """
-    rows, groups_seen, snapshot, texts = [], [], None, None
+    if not batches:
+        raise ValueError("exact deduplication needs at least one batch")
+    base = folder.rstrip("/") if folder else f"{shared_dir(spark)}/exact-{uuid.uuid4().hex}"
+    sealed = list(earlier)
     for i, docs in enumerate(batches):
-        d = digests(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()).withColumn("batch", F.lit(i))
-        d = stage(spark, d, f"digests{i}")  # from here on uid names a row
-        first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "batch", "uid")).alias("first")
-        groups = stage(spark, d.groupBy(*KEY).agg(first, F.count("*").alias("n")), f"groups{i}")
-        own = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-        if snapshot is None:
-            snapshot, texts = groups.drop("n"), own
-        else:
-            buckets = max(1, -(-(snapshot.count() + groups.count()) // bucket_rows))
-            filters = stage(spark, build_filters(snapshot, buckets), f"filters{i}")
-            positive = screen(groups.select(*KEY, F.col("first.doc_id").alias("own_id")), filters, buckets)
-            hits = stage(spark, positive.join(snapshot.select(*KEY, F.col("first.doc_id").alias("old_id")), KEY), f"hits{i}")
-            known = _byte_check(hits, own, texts)
-            snapshot = stage(spark, snapshot.unionByName(groups.drop("n").join(known, KEY, "left_anti")), f"snapshot{i}")
-            texts = texts.unionByName(own)
-        rows.append(d)
-        groups_seen.append(groups.select(*KEY, "n"))
-    every, seen = rows[0], groups_seen[0]
-    for r, g in zip(rows[1:], groups_seen[1:], strict=True):
-        every, seen = every.unionByName(r), seen.unionByName(g)
-    sizes = seen.groupBy(*KEY).agg(F.sum("n").alias("group_size"))
+        path = f"{base}/batch-{len(earlier) + i}"
+        _work_off(spark, docs, sealed, path, id_col, text_col)
+        sealed.append(_seal(spark, path, bucket_rows) if folder or i + 1 < len(batches) else Snapshot(path, 0))
+
+    def all_of(name: str, start: int = 0) -> DataFrame:
+        parts = [s.table(spark, name).drop("norm").withColumn("batch", F.lit(i)) for i, s in enumerate(sealed) if i >= start]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    sizes = all_of("groups").groupBy(*KEY).agg(F.sum("n").alias("group_size"))
+    stays = all_of("exact").select(*KEY, "first", F.col("batch").alias("first_batch"))
     # written first: a join of two plain shuffles, of which Spark splits a very large group
-    known = stage(spark, snapshot.join(sizes, KEY), "known")
-    return every.join(known, KEY).select(
+    known = stage(spark, stays.join(sizes, KEY), "known")
+    result = all_of("rows", len(earlier)).join(known, KEY).select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
-        ((F.col("uid") == F.col("first.uid")) & (F.col("batch") == F.col("first.batch"))).alias("kept"),
+        ((F.col("uid") == F.col("first.uid")) & (F.col("batch") == F.col("first_batch"))).alias("kept"),
         F.col("sha").alias("text_sha256"))
+    return result, sealed
+
+
+def exact_dedup(spark: SparkSession, batches: list[DataFrame], id_col: str = "doc_id", text_col: str = "text",
+                bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """The result of ``deduplicate`` alone."""
+    return deduplicate(spark, batches, id_col, text_col, bucket_rows)[0]
 
 
-def _byte_check(hits: DataFrame, own: DataFrame, texts: DataFrame) -> DataFrame:
-    """The digests of the hits, after one text of either side was compared byte
-    for byte. Texts come by id; rows that repeat an id are told apart by the
-    digest. Different texts under one digest end the run: nothing is dropped on
-    the word of a hash."""
-    norm = F.regexp_replace(F.coalesce("_text", F.lit("")), BLANKS, " ")
+def _byte_check(hits: DataFrame, own: DataFrame, old: DataFrame) -> DataFrame:
+    """The digests of the hits, after the two rows' texts were compared byte for byte.
+    Different texts under one digest end the run: nothing is dropped on the word of a hash."""
 
-    def one(ids: str, source: DataFrame, name: str) -> DataFrame:
+    def texts(uid: str, rows: DataFrame, name: str) -> DataFrame:
         # a sort-merge join at every size: few hits would be broadcast, many not
-        wanted = hits.select(*KEY, F.col(ids).alias("_want"))
-        found = wanted.hint("merge").join(source, F.expr("_want <=> _id")).select(*KEY, norm.alias(name)).filter(F.sha2(name, 256) == F.col("sha"))
-        return found.groupBy(*KEY).agg(F.min(name).alias(name), F.max(name).alias(f"{name}_max"))
+        wanted = hits.select(*KEY, F.col(uid).alias("uid")).hint("merge")
+        return wanted.join(rows.select("uid", F.col("norm").alias(name)), "uid").drop("uid")
 
-    both = hits.select(*KEY).join(one("own_id", own, "a"), KEY).join(one("old_id", texts, "b"), KEY)
-    return both.filter(F.when((F.col("a") == F.col("b")) & (F.col("a") == F.col("a_max")) & (F.col("b") == F.col("b_max")), True)
-                       .otherwise(F.raise_error(F.lit("different texts share a SHA-256")))).select(*KEY)
+    both = texts("own", own, "a").join(texts("old", old, "b"), KEY)
+    return both.filter(F.when(F.col("a") == F.col("b"), True).otherwise(F.raise_error(F.lit("different texts share a SHA-256")))).select(*KEY)
 
 
 def split_batches(docs: DataFrame, parts: int = 2, id_col: str = "doc_id") -> list[DataFrame]:
