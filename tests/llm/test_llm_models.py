@@ -127,15 +127,46 @@ def test_long_words_are_not_kept():
     assert held.of(long + b" y").size and long not in held
 
 
-def test_token_cache_is_bounded_in_bytes(monkeypatch):
+def reference_ids(ids, text):
+    return np.array(ids.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def random_texts(rng, n):
+    pieces = ["the", "The,", "THE.", "word", "caf\u00e9.", "\u0130.", "\u65e5\u672c\u8a9e,", "a" * 15, "b" * 16, "c" * 15 + ",", "x" * 40 + ".", "\x00", "a\x00", "...", ",.", "12.5,", "it's", "&&&", ""]
+    def word():
+        return rng.choice(pieces) if rng.random() < 0.5 else "".join(rng.choice("abcdeABC.,") for _ in range(rng.randint(1, 18)))
+    return [rng.choice(["", " ", "\n\t"]).join(["", *[word() + rng.choice([" ", "  ", "\n", "\x0b"]) for _ in range(rng.choice([0, 1, 5, 60]))], ""]).encode() for _ in range(n)]
+
+
+def test_ids_of_any_text_equal_the_tokenizers(monkeypatch):
+    ids = packing.WordIds(packing.tokenizer_path(None))
+    rng = random.Random(8)
+    for _ in range(6):
+        batch = random_texts(rng, 60)
+        assert ids.encode(batch) == [reference_ids(ids, t) for t in batch]
+    monkeypatch.setattr(packing, "PIECE", 50)  # a long text in pieces
+    batch = random_texts(rng, 40)
+    assert ids.encode(batch) == [reference_ids(ids, t) for t in batch]
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    ids = packing.WordIds(packing.tokenizer_path(None))
+    monkeypatch.setattr(packing, "mix", lambda z: z & np.uint64(3))
+    rng = random.Random(9)
+    for _ in range(3):
+        batch = random_texts(rng, 30)
+        assert ids.encode(batch) == [reference_ids(ids, t) for t in batch]
+
+
+def test_token_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_BYTES", 10_000)
-    ids = packing.word_ids(None)
+    monkeypatch.setattr(packing, "CACHE_WORDS", 500)
+    ids = packing.WordIds(packing.tokenizer_path(None))
     rng = random.Random(3)
     for _ in range(40):
-        batch = [[bytes(rng.choice(b"abcdefgh") for _ in range(30)) for _ in range(50)]]
-        want = [b"".join(np.array(ids.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes() for w in batch[0])]
-        assert ids.encode(batch) == want
-    assert sum(len(k) + len(v) for k, v in [*ids.items(), *ids.older.items()]) < 60_000
+        batch = [b" ".join(bytes(rng.choice(b"abcdefgh") for _ in range(rng.choice([5, 30]))) for _ in range(50))]
+        assert ids.encode(batch) == [reference_ids(ids, batch[0])]
+    assert ids.pool.nbytes < 20_000 and len(ids.h) < 1_000 and sum(map(len, ids.long)) < 10_000
 
 
 def test_multikey_quicksort_equals_a_sort():

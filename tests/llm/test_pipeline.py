@@ -66,7 +66,7 @@ def test_pipeline_matches_brute_force(spark, tables):
     assert got == +need
 
     ids = packing.word_ids(None)
-    tokens = sum(len(i) // 4 + 1 for i in ids.encode([(r["text"] or "").encode().split() for r in seen["mixing"]]))
+    tokens = sum(len(i) // 4 + 1 for i in ids.encode([(r["text"] or "").encode() for r in seen["mixing"]]))
     assert sum(r["length"] for r in seen["packing"]) == tokens
 
 
