@@ -59,7 +59,11 @@ def _in_blocks(spark: SparkSession, paths, block_bytes: int | None) -> bool:
     """Are files to be cut into blocks? If asked to, or if some file is more than a task's input."""
     if block_bytes is not None:
         return True
-    return (list_files(spark, paths).agg(F.max("length")).first()[0] or 0) > _task_bytes(spark)
+    limit = _task_bytes(spark)
+    # all files together, from the listing that any read begins with: no job for small tables
+    if spark.read.text(_paths(paths))._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit:
+        return False
+    return (list_files(spark, paths).agg(F.max("length")).first()[0] or 0) > limit
 
 
 def blank_for_null(df: DataFrame) -> DataFrame:
@@ -228,7 +232,8 @@ def read_csv_union(spark: SparkSession, paths, with_path: bool = False, uniform:
         return None
     if position is not None:
         # rows of the files before each, in path order
-        per_file = running_sum(ordinals(per_file, ["file"], "__at"), "__at", "rows", "before")
+        several = len(spark.read.text(_paths(paths)).inputFiles()) > 1
+        per_file = running_sum(ordinals(per_file, ["file"], "__at"), "__at", "rows", "before") if several else per_file.withColumn("before", F.lit(0))
     rows = cells.join(per_file, "file").where(F.col("rid") > F.col("first"))
     over = F.size("cells") > F.size("header")
     rows = rows.where(~over) if surplus == "quarantine" else rows.where(
