@@ -149,7 +149,7 @@ def surplus_cells(spark: SparkSession, paths, block_bytes: int | None = None) ->
         return spark.createDataFrame([], "file string, row bigint, cells string")
     heads = cells.groupBy(F.col("file").alias("__f")).agg(F.min("rid").alias("__first"), F.min_by(F.size("cells"), "rid").alias("__width"))
     wide = cells.join(heads, F.col("file") == F.col("__f")).where(F.size("cells") > F.col("__width"))
-    return wide.select("file", (F.col("rid") - F.col("__first")).alias("row"), F.to_json("cells").alias("cells"))
+    return wide.select("file", (F.col("rid") - F.col("__first")).alias("row"), F.to_json(F.transform("cells", lambda c: F.coalesce(c, F.lit("")))).alias("cells"))
 
 
 def read_csv_typed(spark: SparkSession, path, schema: T.StructType | str | None = None, block_bytes: int | None = None) -> DataFrame:
