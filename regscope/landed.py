@@ -41,9 +41,9 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def csv_blocks(spark, sf_dir):
-    """One file of many blocks, whose cells hold line breaks."""
+    """Files of many blocks each, one a task, whose cells hold line breaks."""
     cells = fixtures(spark, sf_dir).line_cell
-    path = sinks.write_csv(cells.coalesce(1), cells.columns, f"{scratch(spark, 'blocks')}/cell.csv")
+    path = sinks.write_csv(cells, cells.columns, f"{scratch(spark, 'blocks')}/cell.csv")
     return read_csv_text(spark, path, block_bytes=BLOCK_BYTES)
 
 

@@ -27,6 +27,10 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from regscope.sources.ranged import list_files
+
+#: Bytes of small blocks that one task reads.
+TASK_BYTES = 32 << 20
 #: Longest record (bytes); beyond it a quote is taken not to be closed.
 MAX_RECORD = 16 << 20
 
@@ -68,10 +72,14 @@ def read_lines(spark: SparkSession, paths, block_bytes: int | None = None) -> Da
     from regscope.sinks import materialize
 
     paths = [paths] if isinstance(paths, str) else list(paths)
+    size = list_files(spark, paths).agg(F.sum("length")).first()[0] or 0
     with _blocks_of(spark, block_bytes):
         raw = spark.read.text(paths, lineSep="\n").select(
             F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line"))
+        # positions are those of the blocks; a task takes many small blocks, one after the other
+        if block_bytes is not None:
+            raw = raw.coalesce(max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))
         outside, inside = _after(F.col("line"))
         return materialize(raw.select("*", outside.alias("outside"), inside.alias("inside")), "csv-lines")
 
@@ -79,32 +87,36 @@ def read_lines(spark: SparkSession, paths, block_bytes: int | None = None) -> Da
 def _state(rows: DataFrame, by: list[str], order: str, start: Column) -> DataFrame:
     """``after`` (boolean): the state after each row, in order, of functions ``outside``
     and ``inside``; ``start`` is the state before the first. A function that ends alike
-    in any case begins a run; within a run only turns count."""
-    whole = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in any case settles the state; after the last such row only turns count. All windows
+    have one order, so rows are sorted once."""
+    upto = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fixed = F.col("outside") == F.col("inside")
     turn = F.col("outside") & ~F.col("inside")
-    rows = rows.withColumn("__run", F.sum(F.when(fixed, 1).otherwise(0)).over(whole))
-    within = Window.partitionBy(*by, "__run").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    turned = F.sum(F.when(turn, 1).otherwise(0)).over(within) % 2 == 1
-    value = F.max(F.when(fixed, F.col("outside"))).over(within)  # only a run's first row is fixed
-    base = F.when(F.col("__run") == 0, start).otherwise(value)
-    return rows.withColumn("after", base != turned).drop("__run")
+    rows = rows.withColumn("__turns", F.sum(F.when(turn, 1).otherwise(0)).over(upto))
+    rows = rows.withColumn("__last", F.last(F.when(fixed, F.struct(F.col("outside").alias("state"), F.col("__turns").alias("turns"))), ignorenulls=True).over(upto))
+    turned = (F.col("__turns") - F.coalesce("__last.turns", F.lit(0))) % 2 == 1
+    return rows.withColumn("after", F.coalesce("__last.state", start) != turned).drop("__turns", "__last")
 
 
 def _functions(lines: DataFrame) -> DataFrame:
     """(file, block, first, marks, outside, inside): each block's first position, how many
-    lines may change the state, and what all its lines together do to it."""
-    changes = F.col("outside") | ~F.col("inside")
-    counts = lines.groupBy("file", "block").agg(F.min("pos").alias("first"), F.sum(F.when(changes, 1).otherwise(0)).alias("marks"))
-    marks = lines.where(changes).select("file", "block", "pos", "outside", "inside")
-    last = None
-    for name, start in (("outside", False), ("inside", True)):
-        end = _state(marks, ["file", "block"], "pos", F.lit(start)).groupBy(F.col("file").alias("__f"), F.col("block").alias("__b")).agg(
-            F.max_by("after", "pos").alias(name))
-        last = end if last is None else last.join(end, ["__f", "__b"])
-    joined = counts.join(last, (counts["file"] == last["__f"]) & (counts["block"] == last["__b"]), "left")
-    return joined.select("file", "block", "first", "marks", F.coalesce("outside", F.lit(False)).alias("outside"),
-                         F.coalesce("inside", F.lit(True)).alias("inside"))
+    lines may change the state, and what all its lines together do to it: where the last
+    line that settles the state is, and how often it turns after that. Aggregates of
+    numbers only: nothing is sorted, and a block is one row before any shuffle."""
+    from regscope.sinks import materialize
+
+    settles, turns = F.col("outside") == F.col("inside"), F.col("outside") & ~F.col("inside")
+    blocks = materialize(lines.groupBy("file", "block").agg(
+        F.min("pos").alias("first"), F.sum(F.when(F.col("outside") | ~F.col("inside"), 1).otherwise(0)).alias("marks"),
+        F.max(F.when(settles & F.col("outside"), F.col("pos"))).alias("in_at"), F.max(F.when(settles & ~F.col("outside"), F.col("pos"))).alias("out_at")), "csv-marks")
+    settled = F.greatest("in_at", "out_at")  # of NULL and a number, the number
+    odd = lines.where(turns).select("file", "block", "pos").join(blocks.select("file", "block", settled.alias("at")), ["file", "block"]).where(
+        F.col("at").isNull() | (F.col("pos") > F.col("at"))).groupBy("file", "block").agg((F.count(F.lit(1)) % 2 == 1).alias("odd"))
+    every = blocks.join(odd, ["file", "block"], "left")
+    turned = F.coalesce("odd", F.lit(False))
+    state = F.coalesce(F.col("in_at") == settled, F.when(settled.isNotNull(), False))  # NULL: nothing settles it
+    return every.select("file", "block", "first", "marks", (F.coalesce(state, F.lit(False)) != turned).alias("outside"),
+                        (F.coalesce(state, F.lit(True)) != turned).alias("inside"))
 
 
 def _trimmed(record: Column) -> Column:

@@ -86,14 +86,20 @@ def _with_record(spark: SparkSession, paths) -> DataFrame:
 
 
 def _first_records(records: DataFrame) -> DataFrame:
-    """(file, header, at): each file's first record and where it is."""
-    return records.groupBy("file").agg(F.min(F.struct("block", "n", "record")).alias("__h")).select(
-        "file", F.col("__h.record").alias("header"), F.struct("__h.block", "__h.n").alias("at"))
+    """(file, header, at): each file's first record and where it is. Numbers are compared,
+    not texts; what is found is written, one row a file, so that no join moves the records."""
+    from regscope.sinks import materialize
+
+    block = materialize(records.groupBy("file").agg(F.min("block").alias("block")), "csv-first-block")
+    at = materialize(records.join(block, ["file", "block"]).groupBy("file", "block").agg(F.min("n").alias("n")), "csv-first")
+    return materialize(records.join(at, ["file", "block", "n"]).select("file", F.col("record").alias("header"), F.struct("block", "n").alias("at")), "csv-header")
 
 
 def _with_record_in_blocks(spark: SparkSession, paths, block_bytes: int | None) -> DataFrame:
     """As ``_with_record``, from files cut into blocks; and each row's file."""
-    records = read_records(spark, paths, block_bytes)
+    from regscope.sinks import materialize
+
+    records = materialize(read_records(spark, paths, block_bytes), "csv-records")
     first = _first_records(records)
     headers = first.select("header").distinct().take(2)
     if not headers:
