@@ -163,7 +163,8 @@ def _manifest_rows(df: DataFrame, templates, host: str, as_of: str, **cols) -> D
                         F.concat(F.lit(host), fill_template(url_t, **cols), F.lit("?version="), version).alias("url"),
                         fill_template(path_t, **cols).alias("output_path"))
                for kind, url_t, path_t in templates]
-    return df.select(F.explode(F.array(*entries)).alias("__m")).select("__m.*").distinct()
+    # few input bytes make many rows: they are dealt out by size before a task compares its own
+    return df.select(F.explode(F.array(*entries)).alias("__m")).select("__m.*").hint("rebalance", "url").distinct()
 
 
 def artifact_manifest(catalogue: DataFrame, as_of: str, kinds: Sequence[str] = ("issue",),
