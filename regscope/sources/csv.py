@@ -38,6 +38,8 @@ PATH_COLUMN = "__path"
 #: beyond the first file's width that costs no second reading.
 MAX_CELLS = 4096
 SPARE_CELLS = 8
+#: Files whose headers one task writes.
+FEW_FILES = 10_000
 _CORRUPT = "__corrupt"
 
 
@@ -226,10 +228,15 @@ def read_csv_union(spark: SparkSession, paths, with_path: bool = False, uniform:
         raise ValueError("surplus is 'raise' or 'quarantine'")
     if uniform and position is None:
         return read_csv_text(spark, paths, with_path=with_path, surplus=surplus, block_bytes=block_bytes) if files_exist_any(spark, paths) else None
+    from regscope.sinks import materialize
+
     cells = _cells(spark, paths, block_bytes)
     if cells is None:
         return None
+    # written: three steps need it, and the planner then knows that it is small
+    # beside the rows, which need not be moved to meet it
     per_file = cells.groupBy("file").agg(F.min_by("cells", "rid").alias("header"), F.min("rid").alias("first"), (F.max("rid") - F.min("rid") + 1).alias("rows"))
+    per_file = materialize(per_file.coalesce(1) if len(spark.read.text(_paths(paths)).inputFiles()) < FEW_FILES else per_file, "csv-files")
     # a small aggregate: one row per distinct header, not per file
     names = [r["name"] for r in per_file.groupBy("header").agg(F.min("file").alias("file"))
              .select("file", F.posexplode("header").alias("at", "name")).where(F.coalesce("name", F.lit("")) != "")
