@@ -36,7 +36,8 @@ def _level(df: DataFrame, position: str, value: str, out: str, width: int, top:
     if top < width:  # one block holds all
         return rows.withColumn(out, F.col("__own").cast("bigint")).select(*df.columns, out)
     totals = df.groupBy(block.alias("__at")).agg(F.coalesce(F.sum(value), F.lit(0)).alias("__total"))
-    before = _level(totals, "__at", "__total", "__before", width, top // width, False)
+    # blocks of one position each are as many as the positions: only wider ones get fewer
+    before = _level(totals, "__at", "__total", "__before", max(width, 2), top // width, False)
     rows = rows.join(before.select(F.col("__at").alias("__block"), "__before"), "__block")
     return rows.withColumn(out, (F.col("__before") + F.col("__own")).cast("bigint")).select(*df.columns, out)
 

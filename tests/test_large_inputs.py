@@ -108,3 +108,10 @@ def test_landed_files_are_bounded(spark, scratch):
     path = sinks.write_csv(spark.range(100).coalesce(1), ["id"], f"{scratch}/x.csv", rows_per_file=30)
     from regscope import queries
     assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 4 and queries.ROWS_PER_FILE <= 1_000_000
+
+
+def test_running_sum_of_blocks_of_one_position(spark):
+    from regscope.operators.scan import running_sum
+
+    df = spark.createDataFrame([(i, 1) for i in range(5)], "at long, n long")
+    assert rows(running_sum(df, "at", "n", "before", width=1), "at", "before") == [(i, i) for i in range(5)]
