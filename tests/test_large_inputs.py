@@ -75,6 +75,20 @@ def test_views_are_dealt_out_by_size(spark, scratch, monkeypatch):
     assert parts > 50 > spark.sparkContext.defaultParallelism
 
 
+def test_issues_are_dealt_out_before_they_are_grouped(spark, scratch, monkeypatch):
+    ids = spark.range(5000)
+    ids.select(F.col("id").alias("o_orderkey"), (F.col("id") % 700).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+               (F.col("id") / 4).alias("o_totalprice"), F.when(F.col("id") % 9 > 0, "1-URGENT").alias("o_orderpriority"),
+               ).coalesce(1).write.parquet(f"{scratch}/orders.parquet")
+    import regscope.fixtures as X
+    monkeypatch.setattr(X, "SPREAD_BYTES", 100)
+    fx = Fixtures(spark, scratch)
+    dealt = fx.registry_tables()["issue"]
+    assert dealt.rdd.getNumPartitions() > 50
+    as_text = F.to_json(F.struct("*"))
+    assert rows(dealt.select(as_text)) == rows(fx.issue.select(as_text))
+
+
 def test_many_small_blocks_are_few_tasks(spark, scratch):
     path = f"{scratch}/a.csv"
     with open(path, "w") as f:
