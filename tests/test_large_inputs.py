@@ -89,6 +89,27 @@ def test_issues_are_dealt_out_before_they_are_grouped(spark, scratch, monkeypatc
     assert rows(dealt.select(as_text)) == rows(fx.issue.select(as_text))
 
 
+def test_rows_of_a_blank_resource_are_few_before_they_meet_ended_ones(spark):
+    log = ([("e1", f"2020-01-{i % 28 + 1:02d}T00:00:00Z", "", "Timeout", "") for i in range(500)] +
+           [("e1", "2020-03-01T00:00:00Z", "200", "", "gone"), ("e1", "2020-02-01T00:00:00Z", "200", "", "r"),
+            ("e2", "2020-01-05T00:00:00Z", "200", "", "gone"), ("e2", "2020-01-04T00:00:00Z", "404", "", None),
+            ("e2", "2020-01-04T00:00:00Z", None, "x", None), ("e3", "2020-01-04T00:00:00Z", "200", "", "gone"),
+            ("e4", None, "200", "", "r"), ("e4", None, "404", "", "r"), (None, "2020-01-01T00:00:00Z", "200", "", "r")])
+    log = spark.createDataFrame(log, "endpoint string, entry_date string, status string, exception string, resource string")
+    resource = spark.createDataFrame([("gone", "2020-01-01", "2021-01-01"), ("r", "2020-01-01", ""), (None, "2020-01-01", "2021-01-01")],
+                                     "resource string, start_date string, end_date string")
+    ended = reg.ended_resources(resource)
+    want = {("e1", "200", "", "r", "2020-02-01T00:00:00Z"), ("e2", "404", "", None, "2020-01-04T00:00:00Z"),
+            ("e4", "404", "", "r", None), (None, "200", "", "r", "2020-01-01T00:00:00Z")}
+    latest = reg.latest_of_endpoints(log, ended=ended)
+    assert {tuple(r) for r in latest.collect()} == want and latest.count() == 4
+    summed = reg.latest_of_endpoints(reg.log_summary(log), "latest", ended)
+    assert {tuple(r) for r in summed.collect()} == want
+    # whatever the optimizer does, the join takes rows of an endpoint and resource, not those of the log
+    plan = _plan(latest).split("SortMergeJoin")[1]
+    assert "SortAggregate(key=[endpoint#" in plan.split("Scan")[0] and ", resource#" in plan.split("SortAggregate(key=[endpoint#")[1].split("]")[0]
+
+
 def test_many_small_blocks_are_few_tasks(spark, scratch):
     path = f"{scratch}/a.csv"
     with open(path, "w") as f:
