@@ -110,6 +110,16 @@ def test_rows_of_a_blank_resource_are_few_before_they_meet_ended_ones(spark):
     assert "SortAggregate(key=[endpoint#" in plan.split("Scan")[0] and ", resource#" in plan.split("SortAggregate(key=[endpoint#")[1].split("]")[0]
 
 
+def test_views_are_dealt_out_by_rows(spark, scratch, monkeypatch):
+    # rows that are stored in next to no bytes
+    df = spark.range(20000).select((F.col("id") * 0 + 1).alias("p_partkey"), F.lit(10).alias("p_size"))
+    df.coalesce(1).write.parquet(f"{scratch}/part.parquet")
+    import regscope.fixtures as X
+    monkeypatch.setattr(X, "SPREAD_ROWS", 300)
+    parts = Fixtures(spark, scratch).spread("part", ["p_partkey", "p_size"]).rdd.getNumPartitions()
+    assert parts == 67 > spark.sparkContext.defaultParallelism
+
+
 def test_many_small_blocks_are_few_tasks(spark, scratch):
     path = f"{scratch}/a.csv"
     with open(path, "w") as f:
