@@ -195,26 +195,29 @@ def _filed(fps: DataFrame, probe: bool) -> DataFrame:
 
 
 def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(a, b), a < b: all pairs of distinct fingerprints at most ``distance`` (3) bits apart."""
+    """(a, b), a < b: all pairs of distinct fingerprints at most ``distance`` (3) bits apart.
+    Both sides are many times the rows the planner takes them for (8 and up to 96 keys a
+    fingerprint): sorted and merged, never broadcast."""
     if not 0 <= distance <= 3:
         raise ValueError("the code's keys cover distances up to 3")
     left = _filed(fps, False).withColumnRenamed("fp", "x")
     right = _filed(fps, True).withColumnRenamed("fp", "y")
     near = (F.col("x") != F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= distance)
-    return left.join(right, "key").filter(near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return left.join(right.hint("merge"), "key").filter(near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, fingerprint, component_id; and component (a
-    fingerprint that names the component), text_key."""
+    fingerprint that names the component), text_key. Tables of a row per document or
+    fingerprint are merged, as files of few bytes hold many rows."""
     marked = stage(spark, fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     nodes = stage(spark, marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     found = connected_components(spark, links(nodes, distance))
-    joined = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    joined = nodes.join(found.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     names = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    of = joined.select("fp", "component").join(names, "component")
-    return marked.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component", "text_key")
+    of = joined.select("fp", "component").join(names.hint("merge"), "component")
+    return marked.join(of.hint("merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component", "text_key")
 
 
 def representatives(found: DataFrame) -> DataFrame:

@@ -406,6 +406,20 @@ def test_links_find_every_pair(spark):
         assert {tuple(r) for r in simhash.links(df, distance).collect()} == want
 
 
+def test_keys_of_fingerprints_are_never_broadcast(spark, scratch):
+    # small files: by their size alone the planner would broadcast tables of many more rows
+    rng = random.Random(9)
+    fps = [rng.getrandbits(63) for _ in range(200)]
+    spark.createDataFrame([(f ^ e, i) for i, f in enumerate(fps) for e in (0, 5)], "fp long, least long").write.parquet(f"{scratch}/nodes")
+    found = simhash.links(spark.read.parquet(f"{scratch}/nodes"))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in found.collect()} == {(min(f, f ^ 5), max(f, f ^ 5)) for f in fps}
+    spark.createDataFrame([(i, f"word{i} alike") for i in range(40)] * 2, "doc_id long, text string").write.parquet(f"{scratch}/docs")
+    out = simhash.near_duplicates(spark, spark.read.parquet(f"{scratch}/docs"))
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 80 and out.select("component_id").distinct().count() == 40
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(3, 3)]
     random.Random(1).shuffle(edges)
