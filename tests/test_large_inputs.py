@@ -2,6 +2,7 @@
 and helpers that the reports' rows alone do not show."""
 
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -120,6 +121,35 @@ def test_views_are_dealt_out_by_rows(spark, scratch, monkeypatch):
     assert parts == 67 > spark.sparkContext.defaultParallelism
 
 
+def test_a_file_of_many_row_groups_is_read_in_parts(spark, scratch, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    keys = [None if i % 9 == 0 else i // 2 for i in range(20000)]
+    pq.write_table(pa.table({"p_partkey": pa.array(keys, pa.int64()), "p_size": pa.array([10] * 20000, pa.int32())}), f"{scratch}/part.parquet", row_group_size=100)
+    import regscope.fixtures as X
+    monkeypatch.setattr(X, "SPREAD_ROWS", 300)
+    fx = Fixtures(spark, scratch)
+    df = fx.spread("part", ["p_partkey", "p_size"])
+    assert "Exchange" not in _plan(df) and 50 < df.rdd.getNumPartitions() < 100
+    assert df.sparkSession._jsparkSession.equals(spark._jsparkSession)  # its settings hold
+    assert df.count() == 20000
+    assert rows(df.where("p_partkey is not null")) == sorted((k, 10) for k in keys if k is not None)
+    # rows of a row group too large for a task are dealt out
+    monkeypatch.setattr(X, "SPREAD_ROWS", 40)
+    assert "Exchange" in _plan(Fixtures(spark, scratch).spread("part", ["p_partkey", "p_size"]))
+
+
+def test_reports_share_the_log_as_it_was_summed_and_moved(spark, t):  # noqa: F811
+    summary = reg.log_summary(t["log"])
+    alone = perf.build_performance(t, "2022-01-01T00:00:00Z")
+    shared = perf.build_performance(t, "2022-01-01T00:00:00Z", summary)
+    for name, df in shared.items():
+        assert rows(df.select(F.to_json(F.struct("*")))) == rows(alone[name].select(F.to_json(F.struct("*")))), name
+    # the summary goes to ended resources as it is: not gathered by endpoint and resource once more
+    plan = _plan(shared["endpoint_dataset_summary"])
+    assert not re.search(r"hashpartitioning\(endpoint#\d+, resource#\d+", plan)
+
+
 def test_many_small_blocks_are_few_tasks(spark, scratch):
     path = f"{scratch}/a.csv"
     with open(path, "w") as f:
