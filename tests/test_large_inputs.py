@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from regscope import sinks
 from regscope.fixtures import Fixtures
+from regscope.operators.setops import repeat_rows
 from regscope.plans import catalogue as cat
 from regscope.plans import performance as perf
 from regscope.plans import registry as reg
@@ -55,6 +56,28 @@ def test_star_counts_alike_dimension_rows(spark):
     assert "explode(sequence" in _plan(star)
 
 
+def test_rows_that_come_very_often_are_copied_whole(spark):
+    times = [0, 1, 2, 63, 64, 65, 128, 200, None, -3, 5000]
+    data = [(f"k{i}", None if i % 2 else "x" * i, n) for i, n in enumerate(times)] + [("k1", None, 3), ("k1", None, 70)]
+    out = repeat_rows(spark.createDataFrame(data, "`a.b` string, c string, n long"), "n")
+    assert out.columns == ["a.b", "c"]
+    want = {}
+    for a, c, n in data:
+        if n is not None and n > 0:
+            want[a, c] = want.get((a, c), 0) + n
+    assert {(r[0], r[1]): r["count"] for r in out.groupBy("`a.b`", "c").count().collect()} == want
+    assert out.count() == sum(want.values())
+    # no column of a copy is written by itself, and no row is moved for it
+    plan = _plan(out)
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and "Exchange" not in plan
+    assert "CartesianProduct" in _plan(reg.log_star({
+        "source": spark.createDataFrame([("", "a-eng:1", "e", "c", None, "d")] * 80, "source string, organisation string, endpoint string, collection string, licence string, documentation_url string"),
+        "source_pipeline": spark.createDataFrame([("", "tree")] * 80, "source string, pipeline string"),
+        "organisation": spark.createDataFrame([("a:1", "n", "ds")], "organisation string, name string, dataset string"),
+        "endpoint": spark.createDataFrame([("e", "u", "s", "")], "endpoint string, endpoint_url string, entry_date string, end_date string"),
+        "log": spark.createDataFrame([("e", "d1", "200", "", "r")], "endpoint string, entry_date string, status string, exception string, resource string")}))
+
+
 def test_reports_of_one_row_an_endpoint_reduce_the_log_first(t):  # noqa: F811
     historic = reg.historic_endpoints(t, "reporting")
     assert rows(perf.reporting_data(perf.reporting_historic(t)).select(F.to_json(F.struct("*")))) == rows(
