@@ -83,3 +83,21 @@ def test_library_does_without_the_corpus_part():
     for p in own:
         assert "regscope.llm" not in (ROOT / p).read_text() and "corpus_pipeline" not in (ROOT / p).read_text(), p
     assert importlib.util.find_spec("corpus_pipeline") and SCHEMA and np and simhash
+
+
+def test_near_copies_are_found_without_broadcasts(spark, scratch, monkeypatch):
+    # few bytes on disk, and up to 96 keys for each fingerprint: the planner would broadcast them
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    data = [(i, f"one two three {i // 2} four", "en", "web", 1) for i in range(60)]
+    spark.createDataFrame(data, schema).write.parquet(f"{scratch}/documents.parquet")
+    seen, found = [], simhash.connected_components
+
+    def components(session, edges, *more):
+        seen.append(edges._jdf.queryExecution().executedPlan().toString())
+        return found(session, edges, *more)
+
+    monkeypatch.setattr(simhash, "connected_components", components)
+    left = corpus_pipeline.drop_near_copies(spark, spark.read.parquet(f"{scratch}/documents.parquet"), scratch)
+    assert left.columns == schema.replace(" long", "").replace(" string", "").split(", ")
+    assert {r["doc_id"] for r in left.collect()} <= set(range(0, 60, 2)) and left.count() == 30
+    assert len(seen) == 1 and "SortMergeJoin" in seen[0] and "Broadcast" not in seen[0]
